@@ -103,14 +103,16 @@ def pandas_classifier(fn: Callable[[list[str]], list[str | None]]) -> Callable[[
     fallback of ``label_with_fallback`` takes over for those rows."""
     import pandas as pd
 
-    @F.pandas_udf(T.StringType())
-    def _classify(s: pd.Series) -> pd.Series:
+    def _classify(s):
         try:
             return pd.Series(fn(s.tolist()), dtype="object")
         except Exception:
             return pd.Series([None] * len(s), dtype="object")
 
-    return lambda c: _classify(c)
+    # Real (not string) annotations: Spark infers the UDF kind from them.
+    _classify.__annotations__ = {"s": pd.Series, "return": pd.Series}
+    udf = F.pandas_udf(_classify, T.StringType())
+    return lambda c: udf(c)
 
 
 def has_marker(text, markers: Iterable[str] = MARKERS) -> Column:
