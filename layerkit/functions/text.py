@@ -25,9 +25,11 @@ def full_match(col, pattern: str) -> Column:
     return as_col(col).rlike(r"\A(?:" + pattern + r")\z")
 
 
-def token_set(col, pattern: str = WORD_PATTERN) -> Column:
-    """Distinct regex tokens of the lower-cased text, as ``array<string>``."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(as_col(col)), F.lit(pattern), 0))
+def token_set(col, pattern: str = WORD_PATTERN, lowered: bool = False) -> Column:
+    """Distinct regex tokens of the lower-cased text, as ``array<string>``
+    (``lowered=True``: the column is already lower case)."""
+    c = as_col(col) if lowered else F.lower(as_col(col))
+    return F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), 0))
 
 
 def _words(words: Iterable[str]) -> Column:
@@ -44,9 +46,9 @@ def overlaps(tokens, words: Iterable[str]) -> Column:
     return F.arrays_overlap(as_col(tokens), _words(words))
 
 
-def phrase_hits(col, phrases: Iterable[str]) -> Column:
+def phrase_hits(col, phrases: Iterable[str], lowered: bool = False) -> Column:
     """How many of ``phrases`` occur as substrings of the lower-cased text."""
-    low = F.lower(as_col(col))
+    low = as_col(col) if lowered else F.lower(as_col(col))
     terms = [F.when(low.contains(p.lower()), 1).otherwise(0) for p in sorted(set(phrases))]
     if not terms:
         return F.lit(0)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,42 +120,62 @@ def run_checks(
     spark: SparkSession,
     models: Mapping[str, tuple[Callable[[Models], DataFrame], Sequence[str]]],
     checks: Sequence[Check],
+    max_concurrent_jobs: int = 8,
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Build models in declared order, test each after it is built (Q6, Q7).
 
     ``models`` maps name → ``(build(models_so_far) -> DataFrame, deps)``.
     A model whose upstream has an ``error`` failure (or was skipped) is
-    skipped with all its checks. Returns the result table
+    skipped with all its checks. Models whose upstream is decided are built
+    and tested together; their check jobs run concurrently (up to
+    ``max_concurrent_jobs`` Spark jobs). Returns the result table
     ``(node, kind, model, severity, failures, status)`` — one row per node,
     status ``success | pass | warn | fail | skipped`` — and the built models.
     Only per-check counts reach the driver.
     """
     built: dict[str, DataFrame] = {}
     blocked: set[str] = set()
-    rows = []
+    rows: dict[str, list] = {}
     by_model: dict[str, list[Check]] = {}
     for c in checks:
         by_model.setdefault(c.model, []).append(c)
-    for name, (build, deps) in models.items():
-        if any(d in blocked for d in deps):
-            blocked.add(name)
-            rows.append((name, "model", name, None, None, "skipped"))
-            for c in by_model.get(name, []):
-                rows.append((c.name, "test", name, c.severity, None, "skipped"))
-            continue
-        built[name] = build(built)
-        rows.append((name, "model", name, None, None, "success"))
+
+    def test(name: str) -> list:
         mine = by_model.get(name, [])
         fused = row_failures(built[name], mine)
-        failed_error = False
+        out = []
         for c in mine:
             n = fused[c.name] if c.name in fused else c.failures(built)
-            st = _status(n, c.severity)
-            failed_error |= st == "fail"
-            rows.append((c.name, "test", name, c.severity, n, st))
-        if failed_error:
-            blocked.add(name)
-    return spark.createDataFrame(rows, RESULT_SCHEMA), built
+            out.append((c.name, "test", name, c.severity, n, _status(n, c.severity)))
+        return out
+
+    pending = list(models)
+    with ThreadPoolExecutor(max_workers=max_concurrent_jobs) as pool:
+        while pending:
+            # Models whose upstream models are all decided form one wave; their
+            # checks are independent Spark jobs and run concurrently.
+            done = set(built) | blocked
+            wave = [m for m in pending if all(d in done or d not in models for d in models[m][1])]
+            if not wave:
+                raise ValueError(f"unresolvable dependencies among {pending}")
+            futures = {}
+            for name in wave:
+                build, deps = models[name]
+                if any(d in blocked for d in deps):
+                    blocked.add(name)
+                    rows[name] = [(name, "model", name, None, None, "skipped")] + [
+                        (c.name, "test", name, c.severity, None, "skipped") for c in by_model.get(name, [])]
+                    continue
+                built[name] = build(built)
+                futures[name] = pool.submit(test, name)
+            for name, fut in futures.items():
+                tested = fut.result()
+                rows[name] = [(name, "model", name, None, None, "success")] + tested
+                if any(r[5] == "fail" for r in tested):
+                    blocked.add(name)
+            pending = [m for m in pending if m not in wave]
+    ordered = [r for m in models for r in rows.get(m, [])]
+    return spark.createDataFrame(ordered, RESULT_SCHEMA), built
 
 
 def summarize(results: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,18 +54,24 @@ SAMPLE_SEED = 20260918
 
 
 def keyword_scores(text, pos: Iterable[str] = POSITIVE_WORDS, neg: Iterable[str] = NEGATIVE_WORDS,
-                   phrases: Iterable[str] = NEGATIVE_PHRASES) -> tuple[Column, Column]:
-    """(positive, negative): distinct word hits; each phrase found adds one negative."""
-    tokens = token_set(text)
-    return hits(tokens, pos), hits(tokens, neg) + phrase_hits(text, phrases)
+                   phrases: Iterable[str] = NEGATIVE_PHRASES, tokens: Column | None = None,
+                   lowered: bool = False) -> tuple[Column, Column]:
+    """(positive, negative): distinct word hits; each phrase found adds one negative.
+
+    ``tokens`` may pass a precomputed ``token_set`` column and ``lowered=True``
+    says ``text`` is already lower case, so several classifiers over one text
+    lower-case and tokenize it once."""
+    tokens = token_set(text, lowered=lowered) if tokens is None else tokens
+    return hits(tokens, pos), hits(tokens, neg) + phrase_hits(text, phrases, lowered=lowered)
 
 
 def keyword_label(text, pos: Iterable[str] = POSITIVE_WORDS, neg: Iterable[str] = NEGATIVE_WORDS,
-                  phrases: Iterable[str] = NEGATIVE_PHRASES, labels: Sequence[str] = LABELS) -> Column:
+                  phrases: Iterable[str] = NEGATIVE_PHRASES, labels: Sequence[str] = LABELS,
+                  tokens: Column | None = None, lowered: bool = False) -> Column:
     """More positive hits → positive, more negative → negative, else
     neutral. Labels the caller did not ask for fall through to ``neutral`` or,
     without it, the first requested label."""
-    p, n = keyword_scores(text, pos, neg, phrases)
+    p, n = keyword_scores(text, pos, neg, phrases, tokens, lowered)
     default = "neutral" if "neutral" in labels else labels[0]
     out = F.lit(default)
     if "negative" in labels:
@@ -75,9 +81,10 @@ def keyword_label(text, pos: Iterable[str] = POSITIVE_WORDS, neg: Iterable[str]
     return out
 
 
-def exclusive_label(text, pos: Iterable[str] = FALLBACK_POSITIVE, neg: Iterable[str] = FALLBACK_NEGATIVE) -> Column:
+def exclusive_label(text, pos: Iterable[str] = FALLBACK_POSITIVE, neg: Iterable[str] = FALLBACK_NEGATIVE,
+                    tokens: Column | None = None) -> Column:
     """A label only when the text hits exactly one side's word list."""
-    tokens = token_set(text)
+    tokens = token_set(text) if tokens is None else tokens
     hp, hn = overlaps(tokens, pos), overlaps(tokens, neg)
     return F.when(hp & ~hn, "positive").when(hn & ~hp, "negative").otherwise("neutral")
 
@@ -131,24 +138,29 @@ def stratified_sample(df: DataFrame, id_col: str, flag: Column, quota: int = SAM
     """``min(quota, n_flagged)`` rows of the flagged stratum, the rest of
     ``total`` from the other stratum, each chosen by ``md5(id || seed)``.
 
-    Each stratum is a global top-k (``orderBy(...).limit(k)`` → every task keeps
-    its own k, then k × tasks rows are merged), so no stratum is gathered into
-    one task. The size of the flagged stratum is only checked up to ``quota``.
-    A stratum smaller than its share yields what exists.
+    One pass: ``row_number() <= total`` per stratum becomes a partial
+    ``WindowGroupLimit``, so every task forwards at most ``total`` rows per
+    stratum and no stratum is gathered into one task. The quota split is then
+    decided on those ≤ 2 × ``total`` rows. A stratum smaller than its share
+    yields what exists. Adds ``sample_flag``.
     """
-    h = sample_rank(id_col, seed)
-    d = df.withColumn("sample_flag", flag.cast("boolean")).withColumn("__h", h)
-    flagged = d.where(F.col("sample_flag"))
-    k_flag = flagged.select(id_col).limit(quota).count()
-    a = flagged.orderBy("__h", id_col).limit(k_flag)
-    b = d.where(~F.col("sample_flag")).orderBy("__h", id_col).limit(max(total - k_flag, 0))
-    return a.unionByName(b).drop("__h")
-
-
-def review_sheet(sample: DataFrame, id_col: str, text_col: str, label_col: str = "label") -> DataFrame:
-    """``(id, text with '|' escaped, label)`` for a Markdown review table."""
+    d = (df.withColumn("sample_flag", F.coalesce(flag.cast("boolean"), F.lit(False)))
+           .withColumn("__h", sample_rank(id_col, seed)))
+    w = Window.partitionBy("sample_flag").orderBy("__h", id_col)
+    top = d.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= total)
+    # ≤ 2 × total rows from here on (bounded): one small partition is fine.
+    n_flag = F.max(F.when(F.col("sample_flag"), F.col("__rn"))).over(Window.partitionBy(F.lit(0)))
+    top = top.withColumn("__k", F.least(F.lit(quota), F.coalesce(n_flag, F.lit(0))))
+    keep = ((F.col("sample_flag") & (F.col("__rn") <= F.col("__k")))
+            | (~F.col("sample_flag") & (F.col("__rn") <= F.lit(total) - F.col("__k"))))
+    return top.where(keep).drop("__h", "__rn", "__k")
+
+
+def review_sheet(sample: DataFrame, id_col: str, text_col: str, label_col: str = "label",
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """``(id, text with '|' escaped, label, keep...)`` for a Markdown review table."""
     return sample.select(F.col(id_col), F.replace(F.col(text_col), F.lit("|"), F.lit("\\|")).alias(text_col),
-                         F.col(label_col))
+                         F.col(label_col), *[F.col(c) for c in keep])
 
 
 def enrich_summary(df: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ NAME_PLACEHOLDER = "[NAME]"
 DEFAULT_PATTERNS = (
     (NRIC_PATTERN, "[NRIC]"),
     (PHONE_PATTERN, "[PHONE]"),
-    (EMAIL_PATTERN, "[EMAIL]"),
+    (EMAIL_PATTERN, "[EMAIL]", "@"),
 )
 # Fixed value: shortest first word that is added to the name dictionary.
 MIN_FIRST_WORD = 3
@@ -95,12 +95,16 @@ def names_pattern(names: Sequence[str]) -> str:
     return "(?iu)(?:" + "|".join(_quote(n) for n in ordered) + ")"
 
 
-def redact(col, names: Sequence[str] = (), patterns: Iterable[tuple[str, str]] = DEFAULT_PATTERNS,
+def redact(col, names: Sequence[str] = (), patterns: Iterable[tuple] = DEFAULT_PATTERNS,
            whole_word: bool = False, chunk: int = NAME_CHUNK) -> Column:
     """Names (case-insensitive substring, longest first) → ``[NAME]``,
     then each pattern → its placeholder, in order. ``whole_word=True`` only
     replaces names at word boundaries. Large dictionaries are applied in
-    chunks of ``chunk`` names (longest first across chunks)."""
+    chunks of ``chunk`` names (longest first across chunks).
+
+    A pattern may be ``(regex, placeholder, required)``: a literal every match
+    contains (``@`` for e-mail). Text without it skips that regex, which is
+    the same result at a fraction of the cost."""
     c = as_col(col)
     ordered = sorted(set(n for n in names if n), key=lambda s: (-len(s), s))
     for i in range(0, len(ordered), chunk):
@@ -108,13 +112,15 @@ def redact(col, names: Sequence[str] = (), patterns: Iterable[tuple[str, str]] =
         if whole_word:
             p = r"(?<![\w])" + p + r"(?![\w])"
         c = F.regexp_replace(c, F.lit(p), F.lit(NAME_PLACEHOLDER))
-    for p, repl in patterns:
-        c = F.regexp_replace(c, F.lit(p), F.lit(repl))
+    for item in patterns:
+        p, repl = item[0], item[1]
+        replaced = F.regexp_replace(c, F.lit(p), F.lit(repl))
+        c = F.when(c.contains(item[2]), replaced).otherwise(c) if len(item) > 2 and item[2] else replaced
     return c
 
 
 def redact_frame(df: DataFrame, text_col: str, out_col: str, keep: Sequence[str],
-                 names: Sequence[str] = (), patterns: Iterable[tuple[str, str]] = DEFAULT_PATTERNS) -> DataFrame:
+                 names: Sequence[str] = (), patterns: Iterable[tuple] = DEFAULT_PATTERNS) -> DataFrame:
     """Keep only ``keep`` columns plus the redacted text; the raw text is
     not in the output schema."""
     return df.select(*keep, redact(text_col, names, patterns).alias(out_col))

@@ -59,7 +59,8 @@ from layerkit.operators import (
     unique,
 )
 from layerkit.operators.enrich import keyword_scores
-from layerkit.session import scratch_path
+from layerkit.functions.text import token_set
+from layerkit.session import scratch_path, spread
 from layerkit.sources import pages_from_json, parse_csv_lines, records_from_pages, reject_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,7 +86,7 @@ REDACT_NAMES = ("Tion", "Ther", "There", "Thnt", "the")
 REDACT_PATTERNS = (
     (QUERY_PATTERNS["nric"], "[NRIC]"),
     (QUERY_PATTERNS["phone"], "[PHONE]"),
-    (QUERY_PATTERNS["email"], "[EMAIL]"),
+    (QUERY_PATTERNS["email"], "[EMAIL]", "@"),
 )
 # Mid-frequency tokens of the generated prose stand in for sentiment words
 # (the default word lists hardly occur in it).
@@ -120,6 +121,13 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _docs(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    """Documents for CPU-heavy text work, spread over all cores when the
+    input has fewer splits than cores."""
+    d = _t(spark, sf_dir, "documents")
+    return spread(d.select(*cols) if cols else d)
+
+
 # --- derived raw inputs ---------------------------------------------------
 
 
@@ -423,7 +431,7 @@ def q_freshness(spark, sf_dir):
 
 
 def _scan_tables(spark, sf_dir):
-    return {"documents": _t(spark, sf_dir, "documents").select("text", "lang", "source"),
+    return {"documents": _docs(spark, sf_dir, "text", "lang", "source"),
             "customer": _t(spark, sf_dir, "customer").select("c_name", "c_mktsegment"),
             "conversations": _t(spark, sf_dir, "conversations").select("role", "text")}
 
@@ -440,7 +448,7 @@ def q_pii_scan_full(spark, sf_dir):
 
 def q_redact_documents(spark, sf_dir):
     """Names then patterns replaced; md5 of the whole redacted text."""
-    d = _t(spark, sf_dir, "documents")
+    d = _docs(spark, sf_dir, "doc_id", "text")
     red = redact("text", REDACT_NAMES, REDACT_PATTERNS)
     return d.select("doc_id", F.md5(red).alias("text_md5"))
 
@@ -452,10 +460,12 @@ def q_name_dictionary(spark, sf_dir):
 
 def q_label_documents(spark, sf_dir):
     """Keyword scores and label per document."""
-    d = _t(spark, sf_dir, "documents")
-    p, n = keyword_scores(F.col("text"), DOC_POSITIVE, DOC_NEGATIVE, DOC_PHRASES)
+    d = _docs(spark, sf_dir, "doc_id", "text").select("doc_id", F.lower("text").alias("low"))
+    d = d.select("doc_id", "low", token_set("low", lowered=True).alias("tok"))
+    p, n = keyword_scores(F.col("low"), DOC_POSITIVE, DOC_NEGATIVE, DOC_PHRASES, F.col("tok"), lowered=True)
     return d.select("doc_id", p.alias("pos_hits"), n.alias("neg_hits"),
-                    keyword_label("text", DOC_POSITIVE, DOC_NEGATIVE, DOC_PHRASES).alias("label"))
+                    keyword_label("low", DOC_POSITIVE, DOC_NEGATIVE, DOC_PHRASES, tokens=F.col("tok"),
+                                  lowered=True).alias("label"))
 
 
 def q_label_conversations(spark, sf_dir):
@@ -466,18 +476,29 @@ def q_label_conversations(spark, sf_dir):
 
 
 def _primary(text: Column) -> Column:
-    """Stand-in provider: refuses inputs over PRIMARY_MAX_CHARS (NULL = failed)."""
-    return F.when(F.length(text) <= PRIMARY_MAX_CHARS, keyword_label(text, DOC_POSITIVE, DOC_NEGATIVE, DOC_PHRASES))
+    """Stand-in provider: refuses inputs over PRIMARY_MAX_CHARS (NULL = failed).
+    Reads the lower-cased text and token set prepared by ``label_documents``."""
+    return F.when(F.length(text) <= PRIMARY_MAX_CHARS,
+                  keyword_label(F.col("__low"), DOC_POSITIVE, DOC_NEGATIVE, DOC_PHRASES, tokens=F.col("__tok"),
+                                lowered=True))
 
 
 def _fallback(text: Column) -> Column:
-    return exclusive_label(text, FALLBACK_POS, FALLBACK_NEG)
+    return exclusive_label(text, FALLBACK_POS, FALLBACK_NEG, tokens=F.col("__tok"))
+
+
+def label_documents(d: DataFrame, text_col: str) -> DataFrame:
+    """Redacted text → label with fallback; the text is lower-cased and
+    tokenized once for both classifiers."""
+    d = d.withColumn("__low", F.lower(text_col))
+    d = d.withColumn("__tok", token_set("__low", lowered=True))
+    return label_with_fallback(d, text_col, _primary, _fallback).drop("__low", "__tok")
 
 
 def labelled_documents(spark, sf_dir) -> DataFrame:
-    d = _t(spark, sf_dir, "documents").select(
+    d = _docs(spark, sf_dir, "doc_id", "text").select(
         "doc_id", redact("text", REDACT_NAMES, REDACT_PATTERNS).alias("text_redacted"))
-    return label_with_fallback(d, "text_redacted", _primary, _fallback)
+    return label_documents(d, "text_redacted")
 
 
 def q_label_with_fallback(spark, sf_dir):
@@ -488,18 +509,18 @@ def q_label_with_fallback(spark, sf_dir):
 
 def q_marker_flag(spark, sf_dir):
     """T5: padded, lower-cased text contains a marker."""
-    d = _t(spark, sf_dir, "documents")
+    d = _docs(spark, sf_dir, "doc_id", "text")
     return d.select("doc_id", has_marker("text", DOC_MARKERS).alias("flagged"))
 
 
 def q_review_sample(spark, sf_dir):
-    """20 rows, at least min(4, n) flagged, chosen by md5(id || seed)."""
-    d = labelled_documents(spark, sf_dir).join(
-        _t(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    """20 rows, at least min(4, n) flagged, chosen by md5(id || seed);
+    sampled first, so only the 20 chosen rows are redacted and labelled."""
+    d = _docs(spark, sf_dir, "doc_id", "text")
     s = stratified_sample(d, "doc_id", has_marker("text", DOC_MARKERS), 4, 20, SAMPLE_SEED)
-    sheet = review_sheet(s, "doc_id", "text_redacted", "label")
-    return sheet.join(s.select("doc_id", "sample_flag"), "doc_id").select(
-        "doc_id", F.md5("text_redacted").alias("text_md5"), "label", "sample_flag")
+    s = s.select("doc_id", "sample_flag", redact("text", REDACT_NAMES, REDACT_PATTERNS).alias("text_redacted"))
+    sheet = review_sheet(label_documents(s, "text_redacted"), "doc_id", "text_redacted", "label", keep=["sample_flag"])
+    return sheet.select("doc_id", F.md5("text_redacted").alias("text_md5"), "label", "sample_flag")
 
 
 def q_enrich_summary(spark, sf_dir):

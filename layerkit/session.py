@@ -84,3 +84,17 @@ def env_secret(name: str) -> str:
     if not value:
         raise RuntimeError(f"environment variable {name} is not set")
     return value
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
+    cluster's default parallelism) *only* when it has fewer partitions — for
+    small inputs feeding CPU-heavy text work. Large inputs already have many
+    splits and are returned unchanged (no extra shuffle)."""
+    spark = df.sparkSession
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no RDD access
+        return df
+    return df.repartition(target) if have < target else df

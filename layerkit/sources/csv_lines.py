@@ -92,34 +92,41 @@ def parse_csv_lines(lines: DataFrame, schema: T.StructType, header: bool = True,
     d = lines.where(F.length(F.trim(v)) > 0)
     if header:
         d = d.where(F.col(LINE) != 1)
+    # Stage 1: field count and the trailing-empty-field fix (one pass).
     k = field_count(v)
-    trailing_empty = (k == n + 1) & v.endswith(",")
-    value = F.when(trailing_empty, F.expr(f"substring({value_col}, 1, length({value_col}) - 1)")).otherwise(v)
-    k = F.when(trailing_empty, F.lit(n)).otherwise(k)
+    d = d.select(F.col(FILE), F.col(LINE), v.alias("__text"), k.alias("__k0"))
+    trailing_empty = (F.col("__k0") == n + 1) & F.col("__text").endswith(",")
+    d = d.select(F.col(FILE), F.col(LINE), F.col("__text"),
+                 F.when(trailing_empty, F.lit(n)).otherwise(F.col("__k0")).alias("__k"),
+                 F.when(trailing_empty, F.expr("substring(__text, 1, length(__text) - 1)"))
+                  .otherwise(F.col("__text")).alias("__value"))
+    # Stage 2: one CSV parse per line into n + 1 string fields.
     raw_schema = ", ".join(f"`c{i}` string" for i in range(n + 1))
-    d = d.select(F.col(FILE), F.col(LINE), v.alias("__line_text"), k.alias("__k"),
-                 F.from_csv(value, raw_schema, {"mode": "PERMISSIVE"}).alias("__raw"))
+    d = d.select(F.col(FILE), F.col(LINE), F.col("__text"), F.col("__k"),
+                 F.from_csv(F.col("__value"), raw_schema, {"mode": "PERMISSIVE"}).alias("__raw"))
+    # Stage 3: typed values and the list of faults of the line.
     raws = [F.col(f"__raw.c{i}") for i in range(n)]
     typed = [_typed(raws[i], f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
-    faults = []
     kk = F.col("__k")
-    faults.append(F.when(kk > n, F.struct(F.lit(TOO_MANY).alias("error_type"),
-                                          F.lit(None).cast("string").alias("column_name"))))
+    faults = [F.when(kk > n, F.struct(F.lit(TOO_MANY).alias("error_type"),
+                                      F.lit(None).cast("string").alias("column_name")))]
     missing_name = F.element_at(F.array(*[F.lit(x) for x in names]), F.least(kk + 1, F.lit(n)).cast("int"))
     faults.append(F.when(kk < n, F.struct(F.lit(MISSING).alias("error_type"), missing_name.alias("column_name"))))
     for i, f in enumerate(schema.fields):
         if isinstance(f.dataType, T.StringType):
             continue
-        bad = raws[i].isNotNull() & (F.length(raws[i]) > 0) & _typed(raws[i], f.dataType).isNull()
+        bad = raws[i].isNotNull() & (F.length(raws[i]) > 0) & F.col(f.name).isNull()
         faults.append(F.when(bad, F.struct(F.lit(CAST).alias("error_type"), F.lit(f.name).alias("column_name"))))
-    d = d.select(F.col(FILE), F.col(LINE), F.col("__line_text"), *typed,
+    d = d.select(F.col(FILE), F.col(LINE), F.col("__text"), F.col("__k"), F.col("__raw"), *typed)
+    d = d.select(F.col(FILE), F.col(LINE), F.col("__text"), *[F.col(x) for x in names],
                  F.array_compact(F.array(*faults)).alias("__faults"))
-    good = d.where(F.size("__faults") == 0).select(*names, F.col(FILE), F.col(LINE))
-    rejects = (d.where(F.size("__faults") > 0)
-                .select(F.col(FILE), F.col(LINE), F.col("__line_text").alias("csv_line"),
-                        F.explode("__faults").alias("__f"))
-                .select(F.col(FILE), F.col(LINE), F.col("__f.error_type").alias("error_type"),
-                        F.col("__f.column_name").alias("column_name"), F.col("csv_line")))
+    # Split with generators, not filters: a filter on the fault list would be
+    # pushed below the parse and re-run it.
+    good_row = F.struct(*[F.col(x) for x in names], F.col(FILE), F.col(LINE))
+    good = d.select(F.inline(F.when(F.size("__faults") == 0, F.array(good_row))))
+    rejects = d.select(F.inline(F.transform("__faults", lambda f: F.struct(
+        F.col(FILE).alias(FILE), F.col(LINE).alias(LINE), f["error_type"].alias("error_type"),
+        f["column_name"].alias("column_name"), F.col("__text").alias("csv_line")))))
     return good, rejects
 
 
