@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerkit.operators.joins import sized_broadcast
 
 # Fault classes of a rejected line.
 TOO_MANY = "TOO MANY COLUMNS"
@@ -30,31 +29,48 @@ LINE = "_line"
 _QUOTED = r'"(?:[^"]|"")*"'
 
 
-def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Every physical line as ``(_source_file, _line, value)``, ``_line`` 1-based.
-
-    Line numbers without a window over rows: each file split is read in order
-    by one task, so the position inside a split is
-    ``monotonically_increasing_id() - min(id of the split)``. Per-split line
-    counts (one row per split: tiny) are prefix-summed per file and joined
-    back. Both uses come from the same scan plan, so they see the same splits.
-    Line terminators ``\\n``, ``\\r\\n`` are removed by the text source.
+# Split tables up to this many rows are broadcast to number lines (one small
+# row per file split; 1M splits ≈ 128 TB of text at 128 MB per split).
+MAX_BROADCAST_SPLITS = 1_000_000
+
+
+def number_lines(raw: DataFrame, split_bound: int | None = None) -> DataFrame:
+    """Add 1-based line numbers to text lines ``(_source_file, __block, value)``
+    where ``__block`` is ``_metadata.file_block_start``.
+
+    No window over rows: each file split is read in order by one task, so the
+    position inside a split is ``monotonically_increasing_id() - min(id of the
+    split)``. Per-split line counts (one row per split) are prefix-summed per
+    file and joined back; both uses come from the same scan plan, so they see
+    the same splits. ``split_bound`` (an upper bound on the number of splits,
+    known from planning) lets that small table be broadcast; without it the
+    join is left to the optimizer.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias(FILE),
-        F.col("_metadata.file_block_start").alias("__block"),
-        F.monotonically_increasing_id().alias("__mid"),
-        F.col("value"),
-    )
+    raw = raw.withColumn("__mid", F.monotonically_increasing_id())
     splits = raw.groupBy(FILE, "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
     w = Window.partitionBy(FILE).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("__before", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
-    out = raw.join(sized_broadcast(splits), [FILE, "__block"], "inner")
+    if split_bound is not None and split_bound <= MAX_BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
+    out = raw.join(splits, [FILE, "__block"], "inner")
     line = F.col("__before") + (F.col("__mid") - F.col("__first")) + F.lit(1)
     return out.select(F.col(FILE), line.cast("long").alias(LINE), F.col("value"))
 
 
+def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Every physical line as ``(_source_file, _line, value)``, ``_line`` 1-based
+    (``\n`` and ``\r\n`` terminators removed by the text source)."""
+    paths = [path] if isinstance(path, str) else list(path)
+    text = spark.read.text(paths)
+    try:  # splits <= partitions + files: a planning-time bound, no job runs
+        bound = text.rdd.getNumPartitions() + len(text.inputFiles())
+    except Exception:
+        bound = None
+    raw = text.select(F.col("_metadata.file_path").alias(FILE),
+                      F.col("_metadata.file_block_start").alias("__block"), F.col("value"))
+    return number_lines(raw, bound)
+
+
 def field_count(value: Column) -> Column:
     """Number of CSV fields: commas outside quoted sections, plus one."""
     bare = F.regexp_replace(value, F.lit(_QUOTED), F.lit(""))
