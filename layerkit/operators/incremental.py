@@ -94,6 +94,15 @@ def load_incremental(
     return batch, merged
 
 
+LOG_SUFFIX = "__loads"
+
+
+def load_log(spark: SparkSession, path: str) -> DataFrame | None:
+    """The load log of a table written by ``append_incremental``: one row per
+    batch ``(_batch_id, rows, watermark, schema_json)``; None when absent."""
+    return read_table(spark, path.rstrip("/") + LOG_SUFFIX)
+
+
 def append_incremental(
     spark: SparkSession,
     source: DataFrame,
@@ -104,19 +113,52 @@ def append_incremental(
     at: _dt.datetime,
 ) -> LoadResult:
     """Incremental append to a parquet table at ``path`` partitioned by
-    ``_batch_id``. Each batch is written to its own partition with dynamic
-    overwrite, so a rerun of the same batch replaces it instead of doubling it.
-    New source columns are reported; old batches read them as NULL
-    (``mergeSchema``)."""
-    target = read_table(spark, path)
-    before = 0 if target is None else target.count()
-    added = [] if target is None else evolve_schema(target, source)
-    wm = watermark(target, col)
+    ``_batch_id``.
+
+    * Each batch goes to its own partition with dynamic overwrite, so a rerun
+      of the same batch id replaces it instead of doubling it.
+    * A small load log next to the table (one row per batch: rows, newest
+      ``col``, schema) gives the watermark, the previous row count and the
+      previous schema without scanning the table: the cost of a load follows
+      the new batch, not the table's history. Rows of the batch and its
+      newest stamp are counted while writing (``observe``), not by a second job.
+    * New source columns are reported; older batches read them as NULL.
+    """
+    from pyspark.sql import Observation
+
+    log = load_log(spark, path)
+    target = None if log is not None else read_table(spark, path)
+    if log is not None:
+        prev = log.where(F.col(BATCH_ID) != batch_id)
+        agg = prev.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"), F.max("watermark").alias("wm"),
+                       F.max_by("schema_json", "loaded_at").alias("schema")).first()
+        before, wm = int(agg["n"]), agg["wm"] if agg["wm"] is not None else DEFAULT_WATERMARK
+        prev_schema = T.StructType.fromJson(__import__("json").loads(agg["schema"])) if agg["schema"] else None
+    else:  # first load, or a table written without a log: one scan
+        before = 0 if target is None else target.count()
+        wm = watermark(target, col)
+        prev_schema = None if target is None else target.schema
+    added = [] if prev_schema is None else evolve_schema(prev_schema, source)
+    obs = Observation(f"load_{batch_id}")
     batch = stamp(new_rows(source, col, wm), source_name, batch_id, at)
+    batch = batch.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(col).alias("wm"))
     (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(BATCH_ID).parquet(path))
-    after = read_table(spark, path).count()
-    return LoadResult(before, after, wm, [f.name for f in added])
+    m = obs.get
+    inserted, new_wm = int(m.get("rows", 0) or 0), m.get("wm")
+    merged_schema = prev_schema or T.StructType([])
+    for f_ in batch.schema.fields:
+        if f_.name not in merged_schema.fieldNames():
+            merged_schema = merged_schema.add(f_)
+    log_row = spark.createDataFrame(
+        [(batch_id, inserted, new_wm if new_wm is not None else wm, merged_schema.json(), at)],
+        T.StructType([T.StructField(BATCH_ID, T.StringType()), T.StructField("rows", T.LongType()),
+                      T.StructField("watermark", source.schema[col].dataType),
+                      T.StructField("schema_json", T.StringType()),
+                      T.StructField("loaded_at", T.TimestampNTZType())]))
+    (log_row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BATCH_ID).parquet(path.rstrip("/") + LOG_SUFFIX))
+    return LoadResult(before, before + inserted, wm, [f.name for f in added])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:

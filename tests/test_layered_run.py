@@ -87,7 +87,7 @@ def _cfg(spark, base, land, pages, seeds, run_id, at):
     c, m, fb = seeds
     return RunConfig(warehouse=base, attendance_glob=os.path.join(land, "*.csv"), students=_students(spark),
                      grade_pages=pages, courses_csv=c, modules_csv=m, feedback_csv=fb, salt="test-salt",
-                     as_of=dt.date(2026, 9, 11), run_id=run_id, dag_id="daily", batch_id=f"b-{run_id}", loaded_at=at)
+                     as_of=dt.date(2026, 9, 11), run_id=run_id, dag_id="daily", batch_id=f"b-{at:%Y%m%d-%H%M%S}", loaded_at=at)
 
 
 def test_layered_run_end_to_end(spark):

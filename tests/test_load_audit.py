@@ -89,3 +89,23 @@ def test_catalog_init_reset_first_existing(spark):
     dropped = reset_namespace(spark, ns, init={"t1": schema})
     assert sorted(dropped) == ["t1", "t2"]
     assert spark.table(f"{ns}.t1").count() == 0 and not spark.catalog.tableExists(f"{ns}.t2")
+
+
+def test_replaying_a_batch_is_idempotent_and_log_drives_watermark(spark):
+    path = scratch_path(spark, "bronze_replay")
+    src = _students(spark, 10, dt.datetime(2026, 9, 1))
+    a = append_incremental(spark, src, path, "updated_at", "s", "b1", AT)
+    again = append_incremental(spark, src, path, "updated_at", "s", "b1", AT)   # retry of b1
+    assert (a.inserted, again.inserted, again.after) == (10, 10, 10)
+    assert spark.read.parquet(path).count() == 10
+    nxt = append_incremental(spark, src, path, "updated_at", "s", "b2", AT)
+    assert (nxt.before, nxt.inserted, nxt.watermark) == (10, 0, dt.datetime(2026, 9, 1))
+
+
+def test_scd2(spark):
+    from layerkit.operators import scd2
+
+    log = spark.createDataFrame([("S1", "DE01", 1), ("S1", "CS01", 5), ("S2", "IT01", 2)],
+                                "student_id string, course_code string, version int")
+    got = {(r.student_id, r.course_code): (r.valid_to, r.is_current) for r in scd2(log, ["student_id"], "version").collect()}
+    assert got == {("S1", "DE01"): (5, False), ("S1", "CS01"): (None, True), ("S2", "IT01"): (None, True)}
