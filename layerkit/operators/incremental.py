@@ -161,8 +161,20 @@ def append_incremental(
     return LoadResult(before, before + inserted, wm, [f.name for f in added])
 
 
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists on its file system (None when it cannot be asked)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # Spark Connect: no JVM access
+        return None
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """Parquet table at ``path`` with merged schema, or None when absent."""
+    if path_exists(spark, path) is False:
+        return None
     try:
         return spark.read.option("mergeSchema", "true").parquet(path)
     except Exception as e:  # path does not exist yet
