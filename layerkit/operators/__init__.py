@@ -7,7 +7,7 @@ from layerkit.operators.checks import (
     run_checks, summarize, unique,
 )
 from layerkit.operators.clean import cast_columns, clean_facts, current_dim, keep_valid, out_of_range, project
-from layerkit.operators.dedup import latest_by, top_per_group
+from layerkit.operators.dedup import latest_by
 from layerkit.operators.enrich import (
     enrich_summary, exclusive_label, has_marker, keyword_label, label_with_fallback,
     pandas_classifier, review_sheet, stratified_sample,
@@ -17,7 +17,7 @@ from layerkit.operators.incremental import (
     new_rows, watermark,
 )
 from layerkit.operators.joins import keep_known, lookup, orphan_keys, orphans, sized_broadcast
-from layerkit.operators.model import at_risk, dim_date, fact, role_view, scd2
+from layerkit.operators.model import at_risk, dim_date, fact, role_view
 from layerkit.operators.privacy import (
     collect_names, list_pii, name_dictionary, pii_scan, redact, redact_frame, tag,
 )

@@ -41,12 +41,3 @@ def latest_by(
     ordering = [F.col(c).desc_nulls_last() for c in order + list(tiebreak)]
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*ordering)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
-
-
-def top_per_group(df: DataFrame, keys, order_cols, k: int, rank_col: str | None = None) -> DataFrame:
-    """First ``k`` rows per group by the given ordering Columns (a feature limit:
-    top-k report or sampling quota). Uses the same partial ``WindowGroupLimit``."""
-    w = Window.partitionBy(*[F.col(c) for c in _names(keys)]).orderBy(*order_cols)
-    rn = rank_col or _RN
-    out = df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) <= k)
-    return out if rank_col else out.drop(rn)

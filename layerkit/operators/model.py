@@ -72,17 +72,3 @@ def at_risk(
 def role_view(df: DataFrame, allow: Iterable[str]) -> DataFrame:
     """Per-role column allow-list."""
     return df.select(*list(allow))
-
-
-def scd2(df: DataFrame, keys: Sequence[str], order: str, valid_from: str = "valid_from",
-         valid_to: str = "valid_to", current: str = "is_current") -> DataFrame:
-    """Type-2 history from a change log: each version is valid until the next
-    version of the same key (``lead``). One window per key: the work of a key
-    is its own version count."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*keys).orderBy(F.col(order))
-    nxt = F.lead(F.col(order)).over(w)
-    return (df.withColumn(valid_from, F.col(order))
-              .withColumn(valid_to, nxt)
-              .withColumn(current, F.col(valid_to).isNull()))

@@ -258,6 +258,10 @@ FROM events""",
 SELECT c.c_custkey, {mask} AS name_hash, c.c_nationkey, c.c_mktsegment, n.n_name
 FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey AND n.n_regionkey < 4""",
         "minimised_orders": "SELECT o_orderkey, o_custkey, o_orderdate AS order_date, o_orderstatus FROM orders",
+        "cast_orders": """
+SELECT o_orderkey, TRY_CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, TRY_CAST(o_orderdate AS DATE) AS o_orderdate,
+       TRY_CAST(o_orderstatus AS INTEGER) AS o_orderstatus
+FROM orders""",
         "dim_date": """
 WITH b AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders),
 g AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date_day

@@ -24,6 +24,7 @@ from layerkit.operators import (
     append_incremental,
     at_risk,
     audit_row,
+    cast_columns,
     clean_facts,
     count_by,
     current_dim,
@@ -336,6 +337,14 @@ def q_minimised_orders(spark, sf_dir):
                    rename={"o_orderdate": "order_date"})
 
 
+def q_cast_orders(spark, sf_dir):
+    """Typed Silver columns — price to DECIMAL(12,2), order time to DATE,
+    status text tried as an integer (NULL where it is not one)."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus")
+    return cast_columns(o, {"o_totalprice": "decimal(12,2)", "o_orderdate": "date", "o_orderstatus": "int"},
+                        strict=False)
+
+
 def q_dim_date(spark, sf_dir):
     """Calendar from the orders' first to last day."""
     return dim_date(_t(spark, sf_dir, "orders"), "o_orderdate")
@@ -624,6 +633,7 @@ QUERIES: dict[str, Query] = {
     "mask_customer": q_mask_customer,
     "dim_customer": q_dim_customer,
     "minimised_orders": q_minimised_orders,
+    "cast_orders": q_cast_orders,
     "dim_date": q_dim_date,
     "fct_lineitem": q_fct_lineitem,
     "at_risk_customers": q_at_risk_customers,

@@ -102,10 +102,11 @@ def test_replaying_a_batch_is_idempotent_and_log_drives_watermark(spark):
     assert (nxt.before, nxt.inserted, nxt.watermark) == (10, 0, dt.datetime(2026, 9, 1))
 
 
-def test_scd2(spark):
-    from layerkit.operators import scd2
-
-    log = spark.createDataFrame([("S1", "DE01", 1), ("S1", "CS01", 5), ("S2", "IT01", 2)],
-                                "student_id string, course_code string, version int")
-    got = {(r.student_id, r.course_code): (r.valid_to, r.is_current) for r in scd2(log, ["student_id"], "version").collect()}
-    assert got == {("S1", "DE01"): (5, False), ("S1", "CS01"): (None, True), ("S2", "IT01"): (None, True)}
+def test_materialize_view_and_table(spark):
+    from layerkit.sources import materialize
+
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    materialize(df, "silver.stg_x", "view")
+    assert spark.table("silver__stg_x").count() == 1
+    t = materialize(df, "gold_" + uuid.uuid4().hex[:6] + ".fct_x", "table")
+    assert t.collect()[0].v == "a"
