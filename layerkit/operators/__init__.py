@@ -19,7 +19,7 @@ from layerkit.operators.incremental import (
 from layerkit.operators.joins import keep_known, lookup, orphan_keys, orphans, sized_broadcast
 from layerkit.operators.model import at_risk, dim_date, fact, role_view
 from layerkit.operators.privacy import (
-    collect_names, list_pii, name_dictionary, pii_scan, redact, redact_frame, tag,
+    collect_names, leak_found, list_pii, name_dictionary, pii_scan, pii_scan_namespaces, redact, redact_frame, tag,
 )
 from layerkit.operators.stamp import new_batch_id, stamp
 

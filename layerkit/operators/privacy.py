@@ -66,6 +66,32 @@ def pii_scan(tables: Mapping[str, DataFrame], patterns: Mapping[str, str], mode:
     return out.where(F.col("hits") > 0) if only_hits else out
 
 
+def pii_scan_namespaces(spark: SparkSession, namespaces: Sequence[str], patterns: Mapping[str, str],
+                        mode: str = "full") -> tuple[DataFrame | None, list[str]]:
+    """P2 over the catalog: every table of the listed namespaces that exist
+    (missing ones are skipped and returned), hits > 0 only.
+    Returns ``(hits or None when nothing was scanned, skipped namespaces)``."""
+    tables, skipped = {}, []
+    for ns in namespaces:
+        if not spark.catalog.databaseExists(ns):
+            skipped.append(ns)
+            continue
+        for t in spark.catalog.listTables(ns):
+            if t.tableType == "TEMPORARY":
+                continue
+            df = spark.table(f"`{ns}`.`{t.name}`")
+            if any(isinstance(f.dataType, T.StringType) for f in df.schema.fields):
+                tables[f"{ns}.{t.name}"] = df
+    if not tables:
+        return None, skipped
+    return pii_scan(tables, patterns, mode=mode, only_hits=True), skipped
+
+
+def leak_found(hits: DataFrame | None) -> bool:
+    """True when a scan result has any row (the caller's non-zero exit)."""
+    return hits is not None and not hits.isEmpty()
+
+
 def name_dictionary(df: DataFrame, col: str, min_first: int = MIN_FIRST_WORD) -> DataFrame:
     """Every full name plus its first word when that is at least
     ``min_first`` characters; distinct, longest first then alphabetical."""

@@ -74,3 +74,19 @@ def test_tags(spark):
              {"nric_hash": {"classification": "restricted", "pii": True}})
     assert [(r.column_name, r.classification, r.pii) for r in list_pii(spark, df).collect()] == [
         ("nric_hash", "restricted", True)]
+
+
+def test_pii_scan_namespaces_skips_missing(spark):
+    import uuid
+
+    from layerkit.operators import leak_found, pii_scan_namespaces
+
+    ns = "silver_" + uuid.uuid4().hex[:6]
+    spark.sql(f"CREATE DATABASE {ns}")
+    spark.createDataFrame([("S1234567A", 1), ("ok", 2)], "nric string, n int").write.saveAsTable(f"{ns}.students")
+    spark.createDataFrame([(1,)], "n int").write.saveAsTable(f"{ns}.numbers")
+    hits, skipped = pii_scan_namespaces(spark, [ns, "gold_missing_xyz"], {"nric": NRIC_PATTERN})
+    assert skipped == ["gold_missing_xyz"] and leak_found(hits)
+    assert [(r.table_name, r.column_name, r.hits) for r in hits.collect()] == [(f"{ns}.students", "nric", 1)]
+    none, _ = pii_scan_namespaces(spark, ["gold_missing_xyz"], {"nric": NRIC_PATTERN})
+    assert none is None and not leak_found(none)
