@@ -103,6 +103,48 @@ def load_log(spark: SparkSession, path: str) -> DataFrame | None:
     return read_table(spark, path.rstrip("/") + LOG_SUFFIX)
 
 
+def _batch_partitions(spark: SparkSession, path: str) -> list[str] | None:
+    """Batch ids with a committed partition under ``path`` (a file listing, no
+    data read); None when the file system cannot be asked."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        prefix = f"{BATCH_ID}="
+        return [st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
+                if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+    except Exception:
+        return None
+
+
+def _write_log_rows(spark: SparkSession, path: str, rows: list, wm_type: T.DataType) -> None:
+    schema = T.StructType([T.StructField(BATCH_ID, T.StringType()), T.StructField("rows", T.LongType()),
+                           T.StructField("watermark", wm_type), T.StructField("schema_json", T.StringType()),
+                           T.StructField("loaded_at", T.TimestampNTZType())])
+    (spark.createDataFrame(rows, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy(BATCH_ID).parquet(path.rstrip("/") + LOG_SUFFIX))
+
+
+def _reconcile_log(spark: SparkSession, path: str, col: str) -> None:
+    """Give every committed batch partition a log row. A job lost after its
+    data commit but before its log write leaves a batch without one; its row
+    is rebuilt from that batch's partition alone (bounded by the batch)."""
+    parts = _batch_partitions(spark, path)
+    if not parts:
+        return
+    log = load_log(spark, path)
+    if log is None:
+        return  # a table written without a log is read in full on the next load
+    logged = {r[0] for r in log.select(BATCH_ID).distinct().collect()}
+    for b in sorted(set(parts) - logged):
+        part = spark.read.parquet(f"{path.rstrip('/')}/{BATCH_ID}={b}")
+        m = part.agg(F.count(F.lit(1)).alias("n"), F.max(col).alias("wm")).first()
+        _write_log_rows(spark, path, [(b, int(m["n"]), m["wm"], part.schema.json(), None)],
+                        part.schema[col].dataType)
+
+
 def append_incremental(
     spark: SparkSession,
     source: DataFrame,
@@ -126,6 +168,7 @@ def append_incremental(
     """
     from pyspark.sql import Observation
 
+    _reconcile_log(spark, path, col)
     log = load_log(spark, path)
     target = None if log is not None else read_table(spark, path)
     if log is not None:
@@ -150,14 +193,8 @@ def append_incremental(
     for f_ in batch.schema.fields:
         if f_.name not in merged_schema.fieldNames():
             merged_schema = merged_schema.add(f_)
-    log_row = spark.createDataFrame(
-        [(batch_id, inserted, new_wm if new_wm is not None else wm, merged_schema.json(), at)],
-        T.StructType([T.StructField(BATCH_ID, T.StringType()), T.StructField("rows", T.LongType()),
-                      T.StructField("watermark", source.schema[col].dataType),
-                      T.StructField("schema_json", T.StringType()),
-                      T.StructField("loaded_at", T.TimestampNTZType())]))
-    (log_row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH_ID).parquet(path.rstrip("/") + LOG_SUFFIX))
+    _write_log_rows(spark, path, [(batch_id, inserted, new_wm if new_wm is not None else wm,
+                                   merged_schema.json(), at)], source.schema[col].dataType)
     return LoadResult(before, before + inserted, wm, [f.name for f in added])
 
 
