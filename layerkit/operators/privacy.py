@@ -13,9 +13,9 @@ from layerkit.functions._util import as_col
 from layerkit.functions.text import first_word, full_match
 
 # The personal-data patterns and their placeholders, applied in
-# this order after names. Digits and letters are written as ASCII classes.
+# this order after names. (In Java regex ``\d`` and ``\s`` are ASCII classes.)
 NRIC_PATTERN = "[STFGM][0-9]{7}[A-Z]"
-PHONE_PATTERN = r"\+65\s?[0-9]{4}\s?[0-9]{4}"
+PHONE_PATTERN = r"\+65\s?\d{4}\s?\d{4}"
 EMAIL_PATTERN = "[A-Za-z0-9._+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}"
 NAME_PLACEHOLDER = "[NAME]"
 DEFAULT_PATTERNS = (

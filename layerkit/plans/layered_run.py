@@ -157,7 +157,7 @@ def data_tests() -> list:
     ]
 
 
-def enrich_feedback(spark: SparkSession, cfg: RunConfig, students: DataFrame) -> tuple[DataFrame, DataFrame]:
+def label_feedback(spark: SparkSession, cfg: RunConfig, students: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Redact before classifying, keep only the redacted text, label with the
     keyword classifier (fallback rule when it yields nothing), sample 20 rows
     for review. The name dictionary is size-checked before it becomes a regex."""
@@ -181,7 +181,7 @@ def run_layers(spark: SparkSession, cfg: RunConfig) -> dict:
     results, built = run_checks(spark, models(spark, cfg), data_tests())
     out = {"loads": loads, "results": results, "models": built}
     if cfg.feedback_csv and "stg_students" in built:
-        out["feedback"], out["review_sample"] = enrich_feedback(spark, cfg, built["stg_students"])
+        out["feedback"], out["review_sample"] = label_feedback(spark, cfg, built["stg_students"])
     counts = {}
     for col, name in [("rows_file_attendance", "file_attendance"), ("rows_db_students", "db_students"),
                       ("rows_api_grades", "api_grades"), ("rows_quarantined", "file_attendance_rejects")]:
@@ -189,7 +189,7 @@ def run_layers(spark: SparkSession, cfg: RunConfig) -> dict:
         counts[col] = None if t is None else t.count()
     s = summarize(results).first()
     row = audit_row(spark, cfg.run_id, cfg.dag_id, cfg.loaded_at, counts,
-                    {"dbt_pass": s["n_pass"], "dbt_warn": s["n_warn"], "dbt_error": s["n_error"]})
+                    {"checks_pass": s["n_pass"], "checks_warn": s["n_warn"], "checks_error": s["n_error"]})
     replace_partition(row, _p(cfg, "audit", "pipeline_runs"), "run_id")
     out["audit"] = spark.read.parquet(_p(cfg, "audit", "pipeline_runs"))
     return out

@@ -348,7 +348,7 @@ SELECT 'run-1' AS run_id, 'daily' AS dag_id, {_ts(Q.RUN_AT)} AS recorded_at,
        (SELECT count(*) FROM orders) AS rows_orders,
        (SELECT count(*) FROM lineitem) AS rows_lineitem,
        CAST(NULL AS BIGINT) AS rows_quarantined,
-       n_pass AS dbt_pass, n_warn AS dbt_warn, n_error AS dbt_error
+       n_pass AS checks_pass, n_warn AS checks_warn, n_error AS checks_error
 FROM summary""",
         "audit_replace": f"""
 SELECT 'r1' AS run_id, 'daily' AS dag_id, {l2} AS recorded_at,

@@ -558,7 +558,7 @@ def q_audit_row(spark, sf_dir):
                                 "rows_lineitem": _t(spark, sf_dir, "lineitem"),
                                 "rows_quarantined": None})
     return audit_row(spark, "run-1", "daily", RUN_AT, counts,
-                     {"dbt_pass": s["n_pass"], "dbt_warn": s["n_warn"], "dbt_error": s["n_error"]})
+                     {"checks_pass": s["n_pass"], "checks_warn": s["n_warn"], "checks_error": s["n_error"]})
 
 
 def q_audit_replace(spark, sf_dir):

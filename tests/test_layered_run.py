@@ -114,7 +114,7 @@ def test_layered_run_end_to_end(spark):
     assert out["models"]["dim_date"].count() == 5
     a = out["audit"].first()
     assert (a.rows_file_attendance, a.rows_db_students, a.rows_api_grades, a.rows_quarantined) == (106, 40, 200, 2)
-    assert (a.dbt_warn, a.dbt_error) == (2, 0)
+    assert (a.checks_warn, a.checks_error) == (2, 0)
     fb = {r.feedback_id: r for r in out["feedback"].collect()}
     assert fb["F003"].comment_redacted == "my name is [NAME], I [NAME]t home, [NRIC]"
     assert "[EMAIL]" in fb["F002"].comment_redacted and fb["F002"].label == "negative"

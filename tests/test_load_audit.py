@@ -50,7 +50,7 @@ def test_watermark_default_and_stamp(spark):
 def test_audit_replace_and_latest(spark):
     path = scratch_path(spark, "audit")
     for run, n, at in [("r1", 1, AT), ("r2", 2, AT + dt.timedelta(days=1)), ("r1", 3, AT + dt.timedelta(days=2))]:
-        replace_partition(audit_row(spark, run, "dag", at, {"rows_a": n, "rows_q": None}, {"dbt_pass": 1}), path)
+        replace_partition(audit_row(spark, run, "dag", at, {"rows_a": n, "rows_q": None}, {"checks_pass": 1}), path)
     got = {r.run_id: r.rows_a for r in spark.read.parquet(path).collect()}
     assert got == {"r1": 3, "r2": 2}
     assert [r.run_id for r in latest_runs(spark.read.parquet(path), 1).collect()] == ["r1"]
