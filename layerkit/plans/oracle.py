@@ -48,6 +48,36 @@ lines AS (
   FROM k)"""
 
 
+FILES = """
+k AS (
+  SELECT event_id % 50 AS kind,
+         'visits_' || CAST(CAST(ts AS DATE) AS VARCHAR) || '_' || lpad(CAST(event_id % 4 AS VARCHAR), 2, '0') AS file_key,
+         event_id,
+         'U' || CAST(user_id AS VARCHAR) AS sid, CAST(CAST(ts AS DATE) AS VARCHAR) AS d,
+         event_type AS m, upper(event_type) AS st
+  FROM events),
+lines AS (
+  SELECT kind, file_key, sid, d, m, st,
+         row_number() OVER (PARTITION BY file_key ORDER BY event_id) + 1 AS line,
+         CASE kind
+           WHEN 0 THEN sid || ',' || d || ',' || m || ',' || st || ',extra'
+           WHEN 1 THEN sid || ',' || d || ',' || st
+           WHEN 2 THEN sid || ',2024-13-45,' || m || ',' || st
+           WHEN 3 THEN sid || ',' || d || ',' || m || ',' || st || ','
+           WHEN 4 THEN sid || ',' || d || ',"' || m || ',X",' || st
+           WHEN 5 THEN sid || ',,' || m || ',' || st
+           WHEN 6 THEN sid || ',2024-13-45,' || m || ',' || st || ',x'
+           ELSE sid || ',' || d || ',' || m || ',' || st END AS csv_line
+  FROM k)"""
+
+GOOD_FROM_LINES = """
+SELECT file_key, line, sid AS student_id,
+       CASE WHEN kind = 5 THEN CAST(NULL AS DATE) ELSE CAST(d AS DATE) END AS class_date,
+       CASE WHEN kind = 4 THEN m || ',X' ELSE m END AS module_code,
+       st AS status
+FROM lines WHERE kind NOT IN (0, 1, 2, 6)"""
+
+
 def _label_sql(text: str, pos, neg, phrases) -> tuple[str, str, str]:
     tok = f"list_distinct(regexp_extract_all(lower({text}), '[a-z'']+'))"
     p = f"CAST(len(list_intersect({tok}, [{_strs(pos)}])) AS INTEGER)"
@@ -249,6 +279,17 @@ UNION ALL
 SELECT _source_file, _line, 'MISSING COLUMNS', 'status', csv_line FROM lines WHERE kind = 1
 UNION ALL
 SELECT _source_file, _line, 'CAST', 'class_date', csv_line FROM lines WHERE kind IN (2, 6)""",
+        "csv_files_good": f"WITH {FILES}\n{GOOD_FROM_LINES}",
+        "csv_files_rejects": f"""
+WITH {FILES}
+SELECT file_key, line, 'TOO MANY COLUMNS' AS error_type, CAST(NULL AS VARCHAR) AS column_name, csv_line
+FROM lines WHERE kind IN (0, 6)
+UNION ALL SELECT file_key, line, 'MISSING COLUMNS', 'status', csv_line FROM lines WHERE kind = 1
+UNION ALL SELECT file_key, line, 'CAST', 'class_date', csv_line FROM lines WHERE kind IN (2, 6)""",
+        "stream_ingest": f"""
+WITH {FILES}
+SELECT file_key, student_id, class_date, module_code, status, {l0} AS _ingested_at
+FROM ({GOOD_FROM_LINES})""",
         "paged_records": """
 SELECT event_id AS record_id, user_id, event_type, value, ts AS updated_at,
        CAST(floor(event_id / 50) AS BIGINT) AS page_no

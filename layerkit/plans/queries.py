@@ -152,12 +152,13 @@ def active_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
 
 
-def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(_source_file, _line, value)`` CSV text derived from events: one file
-    per day with a header at line 1; faults injected by ``event_id % 50``."""
-    e = _t(spark, sf_dir, "events")
+CSV_HEADER = "student_id,class_date,module_code,status"
+FILE_BUCKETS = 4
+
+
+def _csv_text() -> Column:
+    """One CSV line per event; faults injected by ``event_id % 50``."""
     day = F.col("ts").cast("date").cast("string")
-    f = F.concat(F.lit("visits_"), day, F.lit(".csv"))
     sid = F.concat(F.lit("U"), F.col("user_id").cast("string"))
     mod, st = F.col("event_type"), F.upper("event_type")
     k = F.col("event_id") % 50
@@ -169,13 +170,50 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(k == 5, F.concat_ws(",", sid, F.lit(""), mod, st))
               .when(k == 6, F.concat_ws(",", sid, F.lit("2024-13-45"), mod, st, F.lit("x")))
               .otherwise(F.concat_ws(",", sid, day, mod, st)))
-    rows = e.select(f.alias("_source_file"), (F.col("event_id") + 2).alias("_line"), value.alias("value"))
+    return value
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(_source_file, _line, value)`` CSV text derived from events: one file
+    per day with a header at line 1."""
+    e = _t(spark, sf_dir, "events")
+    f = F.concat(F.lit("visits_"), F.col("ts").cast("date").cast("string"), F.lit(".csv"))
+    rows = e.select(f.alias("_source_file"), (F.col("event_id") + 2).alias("_line"), _csv_text().alias("value"))
     headers = e.select(f.alias("_source_file")).distinct().select(
-        "_source_file", F.lit(1).cast("long").alias("_line"),
-        F.lit("student_id,class_date,module_code,status").alias("value"))
+        "_source_file", F.lit(1).cast("long").alias("_line"), F.lit(CSV_HEADER).alias("value"))
     return rows.unionByName(headers)
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed_csv_files(spark: SparkSession, sf_dir: str) -> str:
+    """Write the derived CSV text as real files into the shared scratch folder
+    and return the folder: one file per (day, bucket) — a header, then the
+    lines in ``event_id`` order — under ``file_key=<key>/``. The files are
+    input data: written once per session and data folder, then reused."""
+    from layerkit.operators.incremental import path_exists
+
+    memo = (spark.sparkContext.applicationId, sf_dir)
+    if memo in _LANDED and path_exists(spark, _LANDED[memo]):
+        return _LANDED[memo]
+    e = _t(spark, sf_dir, "events")
+    key = F.concat(F.lit("visits_"), F.col("ts").cast("date").cast("string"), F.lit("_"),
+                   F.lpad((F.col("event_id") % FILE_BUCKETS).cast("string"), 2, "0"))
+    rows = e.select(key.alias("file_key"), F.col("event_id").alias("__ord"), _csv_text().alias("value"))
+    headers = rows.select("file_key").distinct().select("file_key", F.lit(-1).cast("long").alias("__ord"),
+                                                        F.lit(CSV_HEADER).alias("value"))
+    out = scratch_path(spark, "landed")
+    (rows.unionByName(headers).repartition("file_key").sortWithinPartitions("file_key", "__ord")
+         .select("file_key", "value").write.partitionBy("file_key").text(out))
+    _LANDED[memo] = out
+    return out
+
+
+def _file_key(col: str = "_source_file") -> Column:
+    return F.regexp_extract(F.col(col), "file_key=([^/]+)/", 1)
+
+
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as an API would page them: 50 records per page (``event_id div 50``),
     each page a JSON document with its cursor and the next page's cursor."""
@@ -307,6 +345,35 @@ def q_csv_rejects(spark, sf_dir):
     return reject_report(rejects)
 
 
+def q_csv_files_good(spark, sf_dir):
+    """A1, A2, A6 on real files: good lines with their file and 1-based line number."""
+    from layerkit.sources import read_csv_quarantined
+
+    good, _ = read_csv_quarantined(spark, f"{landed_csv_files(spark, sf_dir)}/file_key=*/*.txt", CSV_SCHEMA)
+    return good.select(_file_key().alias("file_key"), F.col("_line").alias("line"), *CSV_SCHEMA.fieldNames())
+
+
+def q_csv_files_rejects(spark, sf_dir):
+    """A4-A7 on real files: the reject report with true line numbers."""
+    from layerkit.sources import read_csv_quarantined
+
+    _, rejects = read_csv_quarantined(spark, f"{landed_csv_files(spark, sf_dir)}/file_key=*/*.txt", CSV_SCHEMA)
+    rep = reject_report(rejects)
+    return rep.select(_file_key("file_path").alias("file_key"), "line", "error_type", "column_name", "csv_line")
+
+
+def q_stream_ingest(spark, sf_dir):
+    """Streaming discovery (availableNow): landed files loaded exactly once into
+    a Bronze table partitioned by batch, rejects into quarantine."""
+    from layerkit.streaming import ingest_new_files
+
+    land = landed_csv_files(spark, sf_dir)
+    bronze, quar, ckpt = (scratch_path(spark, n) for n in ("stream_bronze", "stream_quarantine", "stream_ckpt"))
+    ingest_new_files(spark, land, CSV_SCHEMA, bronze, quar, ckpt, "s", LOADED_AT[0], path_glob="*.txt")
+    b = spark.read.parquet(bronze)
+    return b.select(_file_key().alias("file_key"), *CSV_SCHEMA.fieldNames(), "_ingested_at")
+
+
 def q_paged_records(spark, sf_dir):
     """Landed JSON pages → typed records in page order."""
     pages = pages_from_json(landed_pages(spark, sf_dir), "page_json", RECORD_SCHEMA)
@@ -629,6 +696,9 @@ QUERIES: dict[str, Query] = {
     "drift_union": q_drift_union,
     "csv_good": q_csv_good,
     "csv_rejects": q_csv_rejects,
+    "csv_files_good": q_csv_files_good,
+    "csv_files_rejects": q_csv_files_rejects,
+    "stream_ingest": q_stream_ingest,
     "paged_records": q_paged_records,
     "mask_customer": q_mask_customer,
     "dim_customer": q_dim_customer,

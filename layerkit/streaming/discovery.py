@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,12 +38,13 @@ def ingest_new_files(
     batch_prefix: str,
     at: _dt.datetime,
     header: bool = True,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 1000,
     path_glob: str = "*.csv",
 ) -> int:
     """Load every file under ``source_dir`` not loaded before; returns the
     number of micro-batches run. ``checkpoint`` must be on shared storage
-    (e.g. under ``spark.checkpoint.dir``)."""
+    (e.g. under ``spark.checkpoint.dir``). A large backlog is taken in
+    batches of at most ``max_files_per_trigger`` files."""
     reader = spark.readStream.format("text").option("pathGlobFilter", path_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -54,10 +56,16 @@ def ingest_new_files(
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         batch_id = f"{batch_prefix}-{epoch_id:06d}"
-        numbered = number_lines(batch, split_bound=None)
-        good, rejects = parse_csv_lines(numbered, schema, header)
-        _write_batch(stamp(good.drop(LINE), F.col(FILE), batch_id, at), bronze_path)
-        _write_batch(rejects.withColumn(BATCH_ID, F.lit(batch_id)), quarantine_path)
+        # One micro-batch (at most max_files_per_trigger files) feeds two sinks:
+        # keep its numbered lines for both writes. Lost cache blocks are
+        # recomputed from the batch's files.
+        numbered = number_lines(batch, split_bound=None).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good, rejects = parse_csv_lines(numbered, schema, header)
+            _write_batch(stamp(good.drop(LINE), F.col(FILE), batch_id, at), bronze_path)
+            _write_batch(rejects.withColumn(BATCH_ID, F.lit(batch_id)), quarantine_path)
+        finally:
+            numbered.unpersist()
         epochs.append(epoch_id)
 
     q = (lines.writeStream.foreachBatch(per_batch)
