@@ -45,12 +45,22 @@ def out_of_range(df: DataFrame, col: str, low, high) -> DataFrame:
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str], strict: bool = True) -> DataFrame:
-    """Cast columns in place (B8). ``strict=False`` uses ``try_cast`` (NULL on failure).
+    """Cast columns in place (B8). ``strict=False`` gives NULL where a value
+    does not convert (text is pre-checked so dirty data stays fast).
     Note: Spark truncates fractions when casting to integer types."""
+    from pyspark.sql import types as T
+
+    from layerkit.functions.casts import try_cast_text
+
     cols = []
     for c in df.columns:
         if c in types:
-            cols.append((F.col(c).cast(types[c]) if strict else F.col(c).try_cast(types[c])).alias(c))
+            if strict:
+                cols.append(F.col(c).cast(types[c]).alias(c))
+            elif isinstance(df.schema[c].dataType, T.StringType):
+                cols.append(try_cast_text(c, types[c]).alias(c))
+            else:
+                cols.append(F.col(c).try_cast(types[c]).alias(c))
         else:
             cols.append(F.col(c))
     return df.select(*cols)

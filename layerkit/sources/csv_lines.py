@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerkit.functions.casts import try_cast_text
+
 
 # Fault classes of a rejected line.
 TOO_MANY = "TOO MANY COLUMNS"
@@ -84,7 +86,7 @@ def _typed(raw: Column, dtype: T.DataType) -> Column:
         return F.try_to_date(raw, DATE_FORMAT)
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
         return F.try_to_timestamp(raw, F.lit(TIMESTAMP_FORMAT)).cast(dtype)
-    return raw.try_cast(dtype)
+    return try_cast_text(raw, dtype)
 
 
 def parse_csv_lines(lines: DataFrame, schema: T.StructType, header: bool = True,

@@ -92,3 +92,15 @@ def test_keep_valid_literal_types(spark):
     assert keep_valid(df, not_after={"ts": dt.datetime(2024, 1, 15)}).count() == 1
     assert [r.score for r in out_of_range(df, "score", 0, 100).collect()] == [150]
     assert F is not None
+
+
+def test_try_cast_text_matches_try_cast(spark):
+    from layerkit.functions.casts import try_cast_text
+
+    vals = ["1", " 2 ", "+3", "-4", "5.7", ".5", "5.", "1e3", "x", "", "  ", "12a", "9999999999", "0x10",
+            "\t7\n", "1,000", "NaN", None, "-", "+.5e-2", "3.0E2"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    for t in ["int", "bigint", "smallint", "decimal(12,2)", "double", "date"]:
+        a = [repr(r[0]) for r in df.select(F.col("s").try_cast(t)).collect()]
+        b = [repr(r[0]) for r in df.select(try_cast_text("s", t)).collect()]
+        assert a == b, t
