@@ -25,7 +25,12 @@ from layerkit.operators import (
     stamp, stratified_sample, summarize, unique,
 )
 from layerkit.operators.incremental import read_table
-from layerkit.sources import read_csv_quarantined, read_pages, read_seed
+from layerkit.sources import read_pages, read_seed
+from layerkit.sources.csv_lines import load_csv_quarantined
+
+# Bronze attendance and its quarantine are the two outcome folders of one load.
+ATTENDANCE_GOOD = "file_attendance_load/outcome=good"
+ATTENDANCE_REJECTS = "file_attendance_load/outcome=reject"
 
 # The attendance statuses, the present-like statuses and the
 # grade range of the reference's models and tests.
@@ -84,10 +89,10 @@ def _p(cfg: RunConfig, layer: str, name: str) -> str:
 def load_bronze(spark: SparkSession, cfg: RunConfig) -> dict:
     """Three raw loads: files (full refresh + quarantine), relational
     (incremental by ``updated_at``), paged records (incremental)."""
-    good, rejects = read_csv_quarantined(spark, cfg.attendance_glob, ATTENDANCE_SCHEMA)
-    att = stamp(good.drop("_line"), F.col("_source_file"), cfg.batch_id, cfg.loaded_at)
-    att.write.mode("overwrite").parquet(_p(cfg, "bronze", "file_attendance"))
-    rejects.write.mode("overwrite").parquet(_p(cfg, "bronze", "file_attendance_rejects"))
+    # One pass over the files: good rows and rejects land in outcome=good /
+    # outcome=reject of one dataset (full refresh), both stamped.
+    load_csv_quarantined(spark, cfg.attendance_glob, ATTENDANCE_SCHEMA, _p(cfg, "bronze", "file_attendance_load"),
+                         stamp_fn=lambda d: stamp(d, F.col("_source_file"), cfg.batch_id, cfg.loaded_at))
     students = append_incremental(spark, cfg.students, _p(cfg, "bronze", "db_students"), "updated_at",
                                   "ops.students", cfg.batch_id, cfg.loaded_at)
     records = read_pages(spark, cfg.grade_pages, GRADE_SCHEMA).drop("page_no", "pos_in_page")
@@ -117,7 +122,7 @@ def models(spark: SparkSession, cfg: RunConfig) -> OrderedDict:
         "record_id", "student_id", "module_code", "assessment", F.col("score").cast("int").alias("score"),
         "updated_at"), [])
     m["stg_attendance"] = (lambda b: clean_facts(
-        bronze("file_attendance"), ["student_id", "class_date", "module_code"], "_ingested_at", "status",
+        bronze(ATTENDANCE_GOOD), ["student_id", "class_date", "module_code"], "_ingested_at", "status",
         ATTENDANCE_STATUSES, required=["module_code"], not_after={"class_date": cfg.as_of},
         parent=bronze("db_students").select("student_id"), parent_key="student_id",
         out_status="attendance_status",
@@ -183,8 +188,8 @@ def run_layers(spark: SparkSession, cfg: RunConfig) -> dict:
     if cfg.feedback_csv and "stg_students" in built:
         out["feedback"], out["review_sample"] = label_feedback(spark, cfg, built["stg_students"])
     counts = {}
-    for col, name in [("rows_file_attendance", "file_attendance"), ("rows_db_students", "db_students"),
-                      ("rows_api_grades", "api_grades"), ("rows_quarantined", "file_attendance_rejects")]:
+    for col, name in [("rows_file_attendance", ATTENDANCE_GOOD), ("rows_db_students", "db_students"),
+                      ("rows_api_grades", "api_grades"), ("rows_quarantined", ATTENDANCE_REJECTS)]:
         t = read_table(spark, _p(cfg, "bronze", name))
         counts[col] = None if t is None else t.count()
     s = summarize(results).first()

@@ -286,6 +286,21 @@ SELECT file_key, line, 'TOO MANY COLUMNS' AS error_type, CAST(NULL AS VARCHAR) A
 FROM lines WHERE kind IN (0, 6)
 UNION ALL SELECT file_key, line, 'MISSING COLUMNS', 'status', csv_line FROM lines WHERE kind = 1
 UNION ALL SELECT file_key, line, 'CAST', 'class_date', csv_line FROM lines WHERE kind IN (2, 6)""",
+        "csv_files_load": f"""
+WITH {FILES},
+good AS ({GOOD_FROM_LINES}),
+bad AS (
+  SELECT file_key, line, 'TOO MANY COLUMNS' AS error_type, CAST(NULL AS VARCHAR) AS column_name, csv_line
+  FROM lines WHERE kind IN (0, 6)
+  UNION ALL SELECT file_key, line, 'MISSING COLUMNS', 'status', csv_line FROM lines WHERE kind = 1
+  UNION ALL SELECT file_key, line, 'CAST', 'class_date', csv_line FROM lines WHERE kind IN (2, 6))
+SELECT 'good' AS outcome, file_key, line, student_id, class_date, module_code, status,
+       CAST(NULL AS VARCHAR) AS error_type, CAST(NULL AS VARCHAR) AS column_name, CAST(NULL AS VARCHAR) AS csv_line
+FROM good
+UNION ALL
+SELECT 'reject', file_key, line, CAST(NULL AS VARCHAR), CAST(NULL AS DATE), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+       error_type, column_name, csv_line
+FROM bad""",
         "stream_ingest": f"""
 WITH {FILES}
 SELECT file_key, student_id, class_date, module_code, status, {l0} AS _ingested_at

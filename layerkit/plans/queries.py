@@ -362,6 +362,18 @@ def q_csv_files_rejects(spark, sf_dir):
     return rep.select(_file_key("file_path").alias("file_key"), "line", "error_type", "column_name", "csv_line")
 
 
+def q_csv_files_load(spark, sf_dir):
+    """A1-A8 in one pass: good rows and rejects written once as one dataset
+    partitioned by outcome, read back whole."""
+    from layerkit.sources import load_csv_quarantined
+
+    out = scratch_path(spark, "csv_load")
+    load_csv_quarantined(spark, f"{landed_csv_files(spark, sf_dir)}/file_key=*/*.txt", CSV_SCHEMA, out)
+    d = spark.read.parquet(out)
+    return d.select("outcome", _file_key().alias("file_key"), F.col("_line").alias("line"),
+                    *CSV_SCHEMA.fieldNames(), "error_type", "column_name", "csv_line")
+
+
 def q_stream_ingest(spark, sf_dir):
     """Streaming discovery (availableNow): landed files loaded exactly once into
     a Bronze table partitioned by batch, rejects into quarantine."""
@@ -698,6 +710,7 @@ QUERIES: dict[str, Query] = {
     "csv_rejects": q_csv_rejects,
     "csv_files_good": q_csv_files_good,
     "csv_files_rejects": q_csv_files_rejects,
+    "csv_files_load": q_csv_files_load,
     "stream_ingest": q_stream_ingest,
     "paged_records": q_paged_records,
     "mask_customer": q_mask_customer,

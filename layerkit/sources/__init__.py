@@ -4,7 +4,10 @@ from layerkit.sources.catalog import (
     first_existing, init_table, load_tables, materialize, register_views, reset_namespace,
     table_name, write_table,
 )
-from layerkit.sources.csv_lines import field_count, parse_csv_lines, read_csv_quarantined, read_lines, reject_report
+from layerkit.sources.csv_lines import (
+    field_count, load_csv_quarantined, number_lines, parse_csv_lines, parse_csv_outcomes, read_csv_quarantined,
+    read_lines, reject_report,
+)
 from layerkit.sources.pages import chain_problems, pages_from_json, read_pages, records_from_pages
 from layerkit.sources.seeds import read_relational, read_seed
 

@@ -89,9 +89,8 @@ def _typed(raw: Column, dtype: T.DataType) -> Column:
     return try_cast_text(raw, dtype)
 
 
-def parse_csv_lines(lines: DataFrame, schema: T.StructType, header: bool = True,
-                    value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Split lines into ``(good, rejects)``.
+def _parsed(lines: DataFrame, schema: T.StructType, header: bool, value_col: str) -> DataFrame:
+    """One row per data line: file, line, raw text, typed fields, list of faults.
 
     ``lines`` has ``_source_file``, ``_line`` and the raw text. With
     ``header=True`` line 1 of each file is the header. Blank lines are skipped.
@@ -136,10 +135,18 @@ def parse_csv_lines(lines: DataFrame, schema: T.StructType, header: bool = True,
         bad = raws[i].isNotNull() & (F.length(raws[i]) > 0) & F.col(f.name).isNull()
         faults.append(F.when(bad, F.struct(F.lit(CAST).alias("error_type"), F.lit(f.name).alias("column_name"))))
     d = d.select(F.col(FILE), F.col(LINE), F.col("__text"), F.col("__k"), F.col("__raw"), *typed)
-    d = d.select(F.col(FILE), F.col(LINE), F.col("__text"), *[F.col(x) for x in names],
-                 F.array_compact(F.array(*faults)).alias("__faults"))
-    # Split with generators, not filters: a filter on the fault list would be
-    # pushed below the parse and re-run it.
+    return d.select(F.col(FILE), F.col(LINE), F.col("__text"), *[F.col(x) for x in names],
+                    F.array_compact(F.array(*faults)).alias("__faults"))
+
+
+def parse_csv_lines(lines: DataFrame, schema: T.StructType, header: bool = True,
+                    value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Split lines into ``(good, rejects)`` (rules: ``_parsed``).
+
+    Both come out of the parse through generators, not filters: a filter on
+    the fault list would be pushed below the parse and re-run it."""
+    names = [f.name for f in schema.fields]
+    d = _parsed(lines, schema, header, value_col)
     good_row = F.struct(*[F.col(x) for x in names], F.col(FILE), F.col(LINE))
     good = d.select(F.inline(F.when(F.size("__faults") == 0, F.array(good_row))))
     rejects = d.select(F.inline(F.transform("__faults", lambda f: F.struct(
@@ -148,6 +155,46 @@ def parse_csv_lines(lines: DataFrame, schema: T.StructType, header: bool = True,
     return good, rejects
 
 
+OUTCOME = "outcome"
+
+
+def parse_csv_outcomes(lines: DataFrame, schema: T.StructType, header: bool = True,
+                       value_col: str = "value") -> DataFrame:
+    """Good rows and rejects in ONE DataFrame, for a single-pass write
+    partitioned by ``outcome`` (``good`` / ``reject``): the schema's columns,
+    ``_source_file``, ``_line``, ``error_type``, ``column_name``, ``csv_line``.
+    A good line yields one row, a bad line one row per fault."""
+    names = [f.name for f in schema.fields]
+    d = _parsed(lines, schema, header, value_col)
+    typed_null = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    good = F.array(F.struct(F.lit("good").alias(OUTCOME), *[F.col(x) for x in names], F.col(FILE), F.col(LINE),
+                            F.lit(None).cast("string").alias("error_type"),
+                            F.lit(None).cast("string").alias("column_name"),
+                            F.lit(None).cast("string").alias("csv_line")))
+    bad = F.transform("__faults", lambda f: F.struct(
+        F.lit("reject").alias(OUTCOME), *typed_null, F.col(FILE).alias(FILE), F.col(LINE).alias(LINE),
+        f["error_type"].alias("error_type"), f["column_name"].alias("column_name"),
+        F.col("__text").alias("csv_line")))
+    return d.select(F.inline(F.when(F.size("__faults") == 0, good).otherwise(bad)))
+
+
+def load_csv_quarantined(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, out: str,
+                         stamp_fn=None, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Read, parse and write good rows and rejects in ONE pass over the text:
+    ``out/outcome=good`` and ``out/outcome=reject`` (overwritten = full
+    refresh). ``stamp_fn`` adds provenance columns before the write.
+    Returns ``(good, rejects)`` read back from the two folders."""
+    rows = parse_csv_outcomes(read_lines(spark, path), schema, header)
+    if stamp_fn is not None:
+        rows = stamp_fn(rows)
+    rows.write.mode("overwrite").partitionBy(OUTCOME).parquet(out)
+    names = [f.name for f in schema.fields]
+    base = spark.read.parquet(out)
+    good = base.where(F.col(OUTCOME) == "good").drop(OUTCOME, "error_type", "column_name", "csv_line")
+    rejects = base.where(F.col(OUTCOME) == "reject").drop(OUTCOME, *names)
+    return good, rejects
+
+
 def reject_report(rejects: DataFrame) -> DataFrame:
     """``(file_path, line, error_type, column_name, csv_line)`` with the raw
     line trimmed of newline, carriage return and space, ordered by file, line."""

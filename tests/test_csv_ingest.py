@@ -88,3 +88,17 @@ def test_good_plus_rejects_equals_data_lines(spark):
     _write(d, "b.csv", [HEADER, "S1,2026-09-07,DE101,PRESENT"], crlf=False)
     good, rejects = read_csv_quarantined(spark, d, SCHEMA)
     assert good.count() + rejects.select("_source_file", "_line").distinct().count() == 81
+
+
+def test_single_pass_load_outcomes(spark):
+    from layerkit.session import scratch_path
+    from layerkit.sources import load_csv_quarantined
+
+    d = tempfile.mkdtemp(prefix="csv-one-")
+    _write(d, "attendance_corrupt.csv", _corrupt_fixture())
+    out = scratch_path(spark, "load")
+    good, rejects = load_csv_quarantined(spark, os.path.join(d, "*.csv"), SCHEMA, out)
+    assert good.count() == 75 and good.columns[:4] == ["student_id", "class_date", "module_code", "status"]
+    assert sorted((r._line, r.error_type) for r in rejects.collect()) == [
+        (10, "TOO MANY COLUMNS"), (29, "TOO MANY COLUMNS"), (46, "MISSING COLUMNS"), (63, "CAST"), (75, "CAST")]
+    assert os.path.isdir(out.replace("file:", "") + "/outcome=good")
