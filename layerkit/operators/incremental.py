@@ -134,11 +134,13 @@ def _reconcile_log(spark: SparkSession, path: str, col: str) -> None:
     parts = _batch_partitions(spark, path)
     if not parts:
         return
-    log = load_log(spark, path)
-    if log is None:
+    logged = _batch_partitions(spark, path.rstrip("/") + LOG_SUFFIX)
+    if logged is None:
+        log = load_log(spark, path)
+        logged = [] if log is None else [r[0] for r in log.select(BATCH_ID).distinct().collect()]
+    if not logged:
         return  # a table written without a log is read in full on the next load
-    logged = {r[0] for r in log.select(BATCH_ID).distinct().collect()}
-    for b in sorted(set(parts) - logged):
+    for b in sorted(set(parts) - set(logged)):
         part = spark.read.parquet(f"{path.rstrip('/')}/{BATCH_ID}={b}")
         m = part.agg(F.count(F.lit(1)).alias("n"), F.max(col).alias("wm")).first()
         _write_log_rows(spark, path, [(b, int(m["n"]), m["wm"], part.schema.json(), None)],
