@@ -79,6 +79,10 @@ class RunConfig:
     loaded_at: dt.datetime              # one driver-side time for the whole run
     feedback_csv: str | None = None
     sample_seed: int = 20260918
+    # "view": Silver is recomputed by every consumer (the reference's choice);
+    # "table": each Silver model is written once and read back, so its tests
+    # and the Gold models reuse it instead of re-running dedup and joins.
+    silver_kind: str = "view"
     extra: dict = field(default_factory=dict)
 
 
@@ -111,22 +115,28 @@ def models(spark: SparkSession, cfg: RunConfig) -> OrderedDict:
         df.write.mode("overwrite").parquet(_p(cfg, "gold", name))
         return spark.read.parquet(_p(cfg, "gold", name))
 
+    def silver(name, df):
+        if cfg.silver_kind == "view":
+            return df
+        df.write.mode("overwrite").parquet(_p(cfg, "silver", name))
+        return spark.read.parquet(_p(cfg, "silver", name))
+
     m = OrderedDict()
     m["courses"] = (lambda b: read_seed(spark, cfg.courses_csv, COURSE_SCHEMA), [])
     m["modules"] = (lambda b: read_seed(spark, cfg.modules_csv, MODULE_SCHEMA), [])
-    m["stg_students"] = (lambda b: current_dim(
+    m["stg_students"] = (lambda b: silver("stg_students", current_dim(
         bronze("db_students"), "student_id", "updated_at",
         keep=["student_id", "nric_hash", "full_name", "course_code", "enrolment_date", "updated_at"],
-        masks={"nric_hash": ("nric", cfg.salt)}), [])
-    m["stg_grades"] = (lambda b: latest_by(bronze("api_grades"), "record_id", "updated_at").select(
+        masks={"nric_hash": ("nric", cfg.salt)})), [])
+    m["stg_grades"] = (lambda b: silver("stg_grades", latest_by(bronze("api_grades"), "record_id", "updated_at").select(
         "record_id", "student_id", "module_code", "assessment", F.col("score").cast("int").alias("score"),
-        "updated_at"), [])
-    m["stg_attendance"] = (lambda b: clean_facts(
+        "updated_at")), [])
+    m["stg_attendance"] = (lambda b: silver("stg_attendance", clean_facts(
         bronze(ATTENDANCE_GOOD), ["student_id", "class_date", "module_code"], "_ingested_at", "status",
         ATTENDANCE_STATUSES, required=["module_code"], not_after={"class_date": cfg.as_of},
         parent=bronze("db_students").select("student_id"), parent_key="student_id",
         out_status="attendance_status",
-        keep=["student_id", "class_date", "module_code", "attendance_status"]), [])
+        keep=["student_id", "class_date", "module_code", "attendance_status"])), [])
     m["dim_student"] = (lambda b: gold("dim_student", lookup(b["stg_students"], b["courses"], "course_code").select(
         "student_id", "nric_hash", "full_name", "course_code", "course_name", "enrolment_date")),
         ["stg_students", "courses"])

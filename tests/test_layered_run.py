@@ -83,20 +83,25 @@ def _seeds(folder):
     return c, m, fb
 
 
-def _cfg(spark, base, land, pages, seeds, run_id, at):
+def _cfg(spark, base, land, pages, seeds, run_id, at, silver_kind="view"):
     c, m, fb = seeds
     return RunConfig(warehouse=base, attendance_glob=os.path.join(land, "*.csv"), students=_students(spark),
                      grade_pages=pages, courses_csv=c, modules_csv=m, feedback_csv=fb, salt="test-salt",
-                     as_of=dt.date(2026, 9, 11), run_id=run_id, dag_id="daily", batch_id=f"b-{at:%Y%m%d-%H%M%S}", loaded_at=at)
+                     as_of=dt.date(2026, 9, 11), run_id=run_id, dag_id="daily", batch_id=f"b-{at:%Y%m%d-%H%M%S}", loaded_at=at,
+                     silver_kind=silver_kind)
 
 
-def test_layered_run_end_to_end(spark):
+import pytest
+
+
+@pytest.mark.parametrize("silver_kind", ["view", "table"])
+def test_layered_run_end_to_end(spark, silver_kind):
     land, pages, seed_dir = (tempfile.mkdtemp(prefix=p) for p in ("att-", "pages-", "seeds-"))
     base = scratch_path(spark, "warehouse")
     n_good = _attendance(land)
     _pages(pages, _grades())
     seeds = _seeds(seed_dir)
-    out = run_layers(spark, _cfg(spark, base, land, pages, seeds, "r1", dt.datetime(2026, 9, 11, 6)))
+    out = run_layers(spark, _cfg(spark, base, land, pages, seeds, "r1", dt.datetime(2026, 9, 11, 6), silver_kind))
     assert (out["loads"]["students"].inserted, out["loads"]["grades"].inserted) == (40, 200)
     res = {r.node: r for r in out["results"].collect()}
     assert res["relationships_stg_students_course_code__courses_course_code"].status == "warn"
@@ -124,13 +129,13 @@ def test_layered_run_end_to_end(spark):
     assert out["models"]["stg_students"].where(F.col("nric_hash").rlike("^[0-9a-f]{64}$")).count() == 40
 
     # Second run, nothing new: 0 inserted; the same run id is replaced, not added.
-    again = run_layers(spark, _cfg(spark, base, land, pages, seeds, "r1", dt.datetime(2026, 9, 12, 6)))
+    again = run_layers(spark, _cfg(spark, base, land, pages, seeds, "r1", dt.datetime(2026, 9, 12, 6), silver_kind))
     assert (again["loads"]["students"].inserted, again["loads"]["grades"].inserted) == (0, 0)
     assert again["audit"].count() == 1
 
     # Quality scenario: a score of 150 arrives -> the singular test errors.
     _pages(pages, _grades(bad=True))
-    bad = run_layers(spark, _cfg(spark, base, land, pages, seeds, "r2", dt.datetime(2026, 9, 13, 6)))
+    bad = run_layers(spark, _cfg(spark, base, land, pages, seeds, "r2", dt.datetime(2026, 9, 13, 6), silver_kind))
     r = {x.node: x.status for x in bad["results"].collect()}
     assert r["assert_score_between_0_and_100"] == "fail"
     assert bad["audit"].count() == 2
