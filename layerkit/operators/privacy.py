@@ -112,7 +112,8 @@ def collect_names(names: DataFrame, max_names: int = MAX_DICTIONARY) -> list[str
 
 
 def _quote(s: str) -> str:
-    return re.sub(r"([^0-9A-Za-z_ ])", r"\\\1", s)
+    """A literal in a regex (``\\Q…\\E``, as Java's ``Pattern.quote``)."""
+    return "\\Q" + s.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
 def names_pattern(names: Sequence[str]) -> str:
@@ -136,7 +137,7 @@ def redact(col, names: Sequence[str] = (), patterns: Iterable[tuple] = DEFAULT_P
     for i in range(0, len(ordered), chunk):
         p = names_pattern(ordered[i:i + chunk])
         if whole_word:
-            p = r"(?<![\w])" + p + r"(?![\w])"
+            p = r"(?<![\p{L}\p{N}_])" + p + r"(?![\p{L}\p{N}_])"
         c = F.regexp_replace(c, F.lit(p), F.lit(NAME_PLACEHOLDER))
     for item in patterns:
         p, repl = item[0], item[1]

@@ -84,8 +84,10 @@ def _typed(raw: Column, dtype: T.DataType) -> Column:
         return raw
     if isinstance(dtype, T.DateType):
         return F.try_to_date(raw, DATE_FORMAT)
-    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
-        return F.try_to_timestamp(raw, F.lit(TIMESTAMP_FORMAT)).cast(dtype)
+    if isinstance(dtype, T.TimestampNTZType):
+        return raw.try_cast(dtype)  # zone-free: ISO date-time text, 'T' or space
+    if isinstance(dtype, T.TimestampType):
+        return F.try_to_timestamp(raw, F.lit(TIMESTAMP_FORMAT))
     return try_cast_text(raw, dtype)
 
 

@@ -90,3 +90,30 @@ def test_pii_scan_namespaces_skips_missing(spark):
     assert [(r.table_name, r.column_name, r.hits) for r in hits.collect()] == [(f"{ns}.students", "nric", 1)]
     none, _ = pii_scan_namespaces(spark, ["gold_missing_xyz"], {"nric": NRIC_PATTERN})
     assert none is None and not leak_found(none)
+
+
+def test_redact_quotes_special_and_accented_names(spark):
+    df = spark.createDataFrame([("josé (jo) met O'Neil, a.b and axb; José-Luis",)], "t string")
+    out = df.select(redact("t", ["José", "(jo)", "O'Neil", "a.b"], patterns=()).alias("r")).first().r
+    assert out == "[NAME] [NAME] met [NAME], [NAME] and axb; [NAME]-Luis"
+    ww = df.select(redact("t", ["José"], patterns=(), whole_word=True).alias("r")).first().r
+    assert ww == "[NAME] (jo) met O'Neil, a.b and axb; [NAME]-Luis"
+    weird = df.select(redact("t", ["a\\Eb", "met"], patterns=()).alias("r")).first().r
+    assert "[NAME]" in weird
+
+
+def test_csv_timestamp_ntz_column(spark):
+    from pyspark.sql import types as T
+
+    from layerkit.sources import parse_csv_lines
+
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("at", T.TimestampNTZType()),
+                           T.StructField("n", T.IntegerType())])
+    lines = spark.createDataFrame([("f", 1, "id,at,n"), ("f", 2, "a,2026-09-10 08:00:05,3"),
+                                   ("f", 3, "b,yesterday,4"), ("f", 4, "c,2026-09-10T09:00:00,x")],
+                                  "_source_file string, _line long, value string")
+    good, rej = parse_csv_lines(lines, schema)
+    import datetime as dt
+
+    assert [(r.id, r.at, r.n) for r in good.collect()] == [("a", dt.datetime(2026, 9, 10, 8, 0, 5), 3)]
+    assert sorted((r._line, r.column_name) for r in rej.collect()) == [(3, "at"), (4, "n")]
