@@ -238,6 +238,14 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
       l_extendedprice DESC NULLS LAST, l_discount DESC NULLS LAST, l_tax DESC NULLS LAST,
       l_returnflag DESC NULLS LAST, l_linestatus DESC NULLS LAST) AS rn
   FROM lineitem) WHERE rn = 1""",
+        "dedup_hot_key": """
+SELECT event_id, ts, user_id, event_type, day FROM (
+  SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN CAST(-1 AS BIGINT) ELSE user_id END AS user_id, event_type,
+         CAST(ts AS DATE) AS day,
+         row_number() OVER (PARTITION BY CASE WHEN event_id % 3 = 0 THEN CAST(-1 AS BIGINT) ELSE user_id END,
+                                         event_type, CAST(ts AS DATE)
+                            ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
+  FROM events) WHERE rn = 1""",
         "clean_visits": f"""
 WITH {BRONZE_VISITS},
 ranked AS (

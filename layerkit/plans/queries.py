@@ -280,6 +280,16 @@ def q_dedup_lineitem(spark, sf_dir):
     return latest_by(_t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
 
 
+def q_dedup_hot_key(spark, sf_dir):
+    """E1 under skew: every third event is re-assigned to one hot user (a third
+    of all rows on one key); newest event per (user, type, day). The partial
+    WindowGroupLimit cuts the hot key to one row per task before the shuffle."""
+    e = _t(spark, sf_dir, "events")
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit(-1).cast("long")).otherwise(F.col("user_id"))
+    d = e.select("event_id", "ts", hot.alias("user_id"), "event_type", F.col("ts").cast("date").alias("day"))
+    return latest_by(d, ["user_id", "event_type", "day"], "ts", tiebreak=["event_id"])
+
+
 def q_clean_visits(spark, sf_dir):
     """Dedup → normalise → allowed → not NULL → not after as_of → known parent."""
     from layerkit.operators import keep_known
@@ -701,6 +711,7 @@ QUERIES: dict[str, Query] = {
     "latest_event": q_latest_event,
     "latest_event_by_day": q_latest_event_by_day,
     "dedup_lineitem": q_dedup_lineitem,
+    "dedup_hot_key": q_dedup_hot_key,
     "clean_visits": q_clean_visits,
     "incremental_events": q_incremental_events,
     "incremental_runs": q_incremental_runs,

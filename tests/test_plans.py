@@ -29,7 +29,8 @@ def test_no_cartesian_or_nested_loop_and_no_python(plans):
             assert op not in p, (name, op)
 
 
-@pytest.mark.parametrize("name", ["latest_event", "latest_event_by_day", "dedup_lineitem", "clean_visits",
+@pytest.mark.parametrize("name", ["latest_event", "latest_event_by_day", "dedup_lineitem", "dedup_hot_key",
+                                  "clean_visits",
                                   "review_sample"])
 def test_topk_is_limited_before_the_shuffle(plans, name):
     p = plans[name]
