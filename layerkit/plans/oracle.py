@@ -358,6 +358,11 @@ GROUP BY o_orderpriority""",
         "check_relationships": """
 SELECT o_custkey, count(*) AS n FROM orders o
 WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal >= 0 AND c.c_custkey = o.o_custkey)
+GROUP BY o_custkey""",
+        "check_relationships_hot": """
+WITH o AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN CAST(-1 AS BIGINT) ELSE o_custkey END AS o_custkey FROM orders)
+SELECT o_custkey, count(*) AS n FROM o
+WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal >= 0 AND c.c_custkey = o.o_custkey)
 GROUP BY o_custkey""",
         "orphan_orders": """
 SELECT o_orderkey, o_custkey FROM orders o

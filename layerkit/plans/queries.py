@@ -495,6 +495,16 @@ def q_check_relationships(spark, sf_dir):
         {"orders": _t(spark, sf_dir, "orders"), "customers": active_customers(spark, sf_dir)})
 
 
+def q_check_relationships_hot(spark, sf_dir):
+    """Q4 under skew: every third order points to one missing customer (-1);
+    the child is counted per key before the anti join, so the hot orphan
+    key is one row in the join."""
+    o = _t(spark, sf_dir, "orders")
+    hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit(-1).cast("long")).otherwise(F.col("o_custkey"))
+    return relationships("orders", "o_custkey", "customers", "c_custkey").failing(
+        {"orders": o.select(hot.alias("o_custkey")), "customers": active_customers(spark, sf_dir)})
+
+
 def q_orphan_orders(spark, sf_dir):
     """The orphan child rows themselves (anti join)."""
     return orphans(_t(spark, sf_dir, "orders"), "o_custkey", active_customers(spark, sf_dir), "c_custkey").select(
@@ -736,6 +746,7 @@ QUERIES: dict[str, Query] = {
     "check_unique": q_check_unique,
     "check_accepted_values": q_check_accepted_values,
     "check_relationships": q_check_relationships,
+    "check_relationships_hot": q_check_relationships_hot,
     "orphan_orders": q_orphan_orders,
     "check_range": q_check_range,
     "check_results": q_check_results,
