@@ -26,10 +26,10 @@ DEFAULT_PATTERNS = (
 # Fixed value: shortest first word that is added to the name dictionary.
 MIN_FIRST_WORD = 3
 
-# Names per alternation; larger dictionaries are split into several passes.
-NAME_CHUNK = 500
-# Largest dictionary ``collect_names`` brings to the driver.
-MAX_DICTIONARY = 20_000
+# Largest dictionary ``collect_names`` brings to the driver (it becomes one
+# regex literal in the plan): entries and total UTF-8 bytes.
+MAX_DICTIONARY = 200_000
+MAX_DICTIONARY_BYTES = 4 * 1024 * 1024
 
 
 def pii_scan(tables: Mapping[str, DataFrame], patterns: Mapping[str, str], mode: str = "full",
@@ -101,13 +101,19 @@ def name_dictionary(df: DataFrame, col: str, min_first: int = MIN_FIRST_WORD) ->
             .orderBy(F.length("name").desc(), F.col("name")))
 
 
-def collect_names(names: DataFrame, max_names: int = MAX_DICTIONARY) -> list[str]:
+def collect_names(names: DataFrame, max_names: int = MAX_DICTIONARY,
+                  max_bytes: int = MAX_DICTIONARY_BYTES) -> list[str]:
     """Bring a name dictionary to the driver for use in a regex, refusing one
-    larger than ``max_names`` (the check reads at most ``max_names + 1`` rows)."""
-    rows = names.limit(max_names + 1).collect()
-    if len(rows) > max_names:
-        raise ValueError(f"name dictionary exceeds {max_names} entries")
-    out = [r[0] for r in rows]
+    over ``max_names`` entries or ``max_bytes`` bytes. The bounds are proven
+    by one aggregate over at most ``max_names + 1`` rows before any name is
+    collected."""
+    col = names.columns[0]
+    head = names.limit(max_names + 1)
+    r = head.agg(F.count(F.lit(1)).alias("n"),
+                 F.coalesce(F.sum(F.octet_length(F.col(col))), F.lit(0)).alias("b")).first()
+    if r["n"] > max_names or r["b"] > max_bytes:
+        raise ValueError(f"name dictionary exceeds {max_names} entries or {max_bytes} bytes")
+    out = [x[0] for x in head.collect()]
     return sorted(set(out), key=lambda s: (-len(s), s))
 
 
@@ -116,26 +122,65 @@ def _quote(s: str) -> str:
     return "\\Q" + s.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
+def _lit(ch: str) -> str:
+    """One character as a regex literal."""
+    if ch.isalnum() or ch in " _":
+        return ch
+    if ord(ch) < 128 and not ch.isspace() and ch.isprintable():
+        return "\\" + ch
+    return _quote(ch)
+
+
+def _fold_key(ch: str) -> str:
+    """Characters a case-insensitive match treats as one share a key."""
+    low, up = ch.lower(), ch.upper()
+    if len(low) == 1 and len(up) == 1:
+        return min(low, up.lower() if len(up.lower()) == 1 else low)
+    return ch
+
+
+def _trie_regex(names: Sequence[str]) -> str:
+    """The names as a prefix tree: at every text position the regex follows
+    one path (work bounded by name length, not by dictionary size), and a
+    greedy ``(?:…)?`` after a name that others extend prefers the longer one
+    — the same leftmost-longest matches as an alternation sorted longest
+    first."""
+    trie: dict = {}
+    for n in names:
+        node = trie
+        for ch in n:
+            node = node.setdefault(_fold_key(ch), {})
+        node[""] = True
+
+    def emit(node: dict) -> str:
+        alts = [_lit(ch) + emit(node[ch]) for ch in sorted(k for k in node if k)]
+        if not alts:
+            return ""
+        body = alts[0] if len(alts) == 1 else "(?:" + "|".join(alts) + ")"
+        return "(?:" + body + ")?" if "" in node else body
+
+    return emit(trie)
+
+
 def names_pattern(names: Sequence[str]) -> str:
-    """Case-insensitive alternation of the quoted names, longest first."""
-    ordered = sorted(set(n for n in names if n), key=lambda s: (-len(s), s))
-    return "(?iu)(?:" + "|".join(_quote(n) for n in ordered) + ")"
+    """Case-insensitive regex matching any of the names, leftmost-longest."""
+    uniq = sorted(set(n for n in names if n))
+    return "(?iu)(?:" + _trie_regex(uniq) + ")"
 
 
 def redact(col, names: Sequence[str] = (), patterns: Iterable[tuple] = DEFAULT_PATTERNS,
-           whole_word: bool = False, chunk: int = NAME_CHUNK) -> Column:
+           whole_word: bool = False) -> Column:
     """Names (case-insensitive substring, longest first) → ``[NAME]``,
     then each pattern → its placeholder, in order. ``whole_word=True`` only
-    replaces names at word boundaries. Large dictionaries are applied in
-    chunks of ``chunk`` names (longest first across chunks).
+    replaces names at word boundaries. The names form one prefix-tree regex,
+    so the cost per text character does not grow with the dictionary.
 
     A pattern may be ``(regex, placeholder, required)``: a literal every match
     contains (``@`` for e-mail). Text without it skips that regex, which is
     the same result at a fraction of the cost."""
     c = as_col(col)
-    ordered = sorted(set(n for n in names if n), key=lambda s: (-len(s), s))
-    for i in range(0, len(ordered), chunk):
-        p = names_pattern(ordered[i:i + chunk])
+    if any(names):
+        p = names_pattern(names)
         if whole_word:
             p = r"(?<![\p{L}\p{N}_])" + p + r"(?![\p{L}\p{N}_])"
         c = F.regexp_replace(c, F.lit(p), F.lit(NAME_PLACEHOLDER))

@@ -117,3 +117,25 @@ def test_csv_timestamp_ntz_column(spark):
 
     assert [(r.id, r.at, r.n) for r in good.collect()] == [("a", dt.datetime(2026, 9, 10, 8, 0, 5), 3)]
     assert sorted((r._line, r.column_name) for r in rej.collect()) == [(3, "at"), (4, "n")]
+
+
+def test_trie_regex_equals_sorted_alternation(spark):
+    # The prefix-tree regex must pick exactly what an alternation sorted
+    # longest-first picks, on random dictionaries and texts.
+    import random
+
+    from layerkit.operators.privacy import _quote, names_pattern
+
+    rng = random.Random(7)
+    alphabet = "abAB ._k"
+    cases = []
+    for _ in range(60):
+        names = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randint(1, 4))).strip() or "a"
+                        for _ in range(rng.randint(1, 8))})
+        text = "".join(rng.choice(alphabet + "xy") for _ in range(rng.randint(0, 40)))
+        flat = "(?iu)(?:" + "|".join(_quote(n) for n in sorted(set(names), key=lambda s: (-len(s), s))) + ")"
+        cases.append((text, names_pattern(names), flat))
+    df = spark.createDataFrame(cases, "t string, trie string, flat string")
+    rows = df.select(F.regexp_replace("t", F.col("trie"), F.lit("<>")).alias("a"),
+                     F.regexp_replace("t", F.col("flat"), F.lit("<>")).alias("b")).collect()
+    assert all(r.a == r.b for r in rows), [r for r in rows if r.a != r.b][:3]
