@@ -33,6 +33,7 @@ class Check:
     severity: str = "error"
     weight: str | None = None
     row_level: Callable[[], object] | None = field(default=None, repr=False)
+    requires: tuple = ()   # other models the check reads (e.g. a relationship's parent)
 
     def failures(self, models: Models) -> int:
         df = self.failing(models)
@@ -83,12 +84,14 @@ def relationships(model: str, col: str, parent: str, field_name: str, severity:
     is pre-aggregated per key before the anti join); failures = sum of ``n``.
     """
     return Check(f"relationships_{model}_{col}__{parent}_{field_name}", model,
-                 lambda m: orphan_keys(m[model], col, m[parent], field_name), severity, weight="n")
+                 lambda m: orphan_keys(m[model], col, m[parent], field_name), severity, weight="n",
+                 requires=(parent,))
 
 
-def assertion(model: str, name: str, query: Callable[[Models], DataFrame], severity: str = "error") -> Check:
-    """Q5: any query returning offending rows."""
-    return Check(name, model, query, severity)
+def assertion(model: str, name: str, query: Callable[[Models], DataFrame], severity: str = "error",
+              requires: Sequence[str] = ()) -> Check:
+    """Q5: any query returning offending rows (``requires``: other models it reads)."""
+    return Check(name, model, query, severity, requires=tuple(requires))
 
 
 def row_failures(df: DataFrame, checks: Sequence[Check]) -> dict[str, int]:
@@ -140,36 +143,47 @@ def run_checks(
     for c in checks:
         by_model.setdefault(c.model, []).append(c)
 
-    def test(name: str) -> list:
-        mine = by_model.get(name, [])
-        fused = row_failures(built[name], mine)
+    def build_and_test(name: str, upstream: dict, failed: frozenset) -> tuple[DataFrame, list]:
+        df = models[name][0](upstream)
+        view = dict(upstream)
+        view[name] = df
+        runnable = [c for c in by_model.get(name, [])
+                    if all(r in view and r not in failed for r in c.requires)]
+        fused = row_failures(df, runnable)
         out = []
-        for c in mine:
-            n = fused[c.name] if c.name in fused else c.failures(built)
+        for c in by_model.get(name, []):
+            if c not in runnable:  # a model it reads was skipped or failed its checks
+                out.append((c.name, "test", name, c.severity, None, "skipped"))
+                continue
+            n = fused[c.name] if c.name in fused else c.failures(view)
             out.append((c.name, "test", name, c.severity, n, _status(n, c.severity)))
-        return out
+        return df, out
 
+    # Scheduling waits for declared upstream models AND models the checks read;
+    # only declared upstream models gate (skip) a model.
+    sched = {m: set(deps) | {r for c in by_model.get(m, []) for r in c.requires if r != m and r in models}
+             for m, (_, deps) in models.items()}
     pending = list(models)
     with ThreadPoolExecutor(max_workers=max_concurrent_jobs) as pool:
         while pending:
-            # Models whose upstream models are all decided form one wave; their
-            # checks are independent Spark jobs and run concurrently.
+            # Models whose upstream is decided form one wave: they are
+            # independent, so each is built and tested in its own thread
+            # (their Spark jobs run concurrently).
             done = set(built) | blocked
-            wave = [m for m in pending if all(d in done or d not in models for d in models[m][1])]
+            wave = [m for m in pending if all(d in done or d not in models for d in sched[m])]
             if not wave:
                 raise ValueError(f"unresolvable dependencies among {pending}")
             futures = {}
+            upstream = dict(built)
             for name in wave:
-                build, deps = models[name]
-                if any(d in blocked for d in deps):
+                if any(d in blocked for d in models[name][1]):
                     blocked.add(name)
                     rows[name] = [(name, "model", name, None, None, "skipped")] + [
                         (c.name, "test", name, c.severity, None, "skipped") for c in by_model.get(name, [])]
                     continue
-                built[name] = build(built)
-                futures[name] = pool.submit(test, name)
+                futures[name] = pool.submit(build_and_test, name, upstream, frozenset(blocked))
             for name, fut in futures.items():
-                tested = fut.result()
+                built[name], tested = fut.result()
                 rows[name] = [(name, "model", name, None, None, "success")] + tested
                 if any(r[5] == "fail" for r in tested):
                     blocked.add(name)

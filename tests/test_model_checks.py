@@ -103,3 +103,16 @@ def test_freshness_statuses(spark):
     st = lambda h: freshness(df, "t", dt.datetime(2026, 9, 10, 8) + dt.timedelta(hours=h)).first().status
     assert (st(1), st(30), st(50)) == ("pass", "warn", "error")
     assert freshness(df.limit(0), "t", dt.datetime(2026, 9, 10)).first().status == "error"
+
+
+def test_check_reading_a_failed_model_is_skipped(spark):
+    parent = spark.createDataFrame([(1,), (1,)], "k int")            # fails its unique check
+    child = spark.createDataFrame([(1,), (2,)], "k int")
+    models = {"parent": (lambda m: parent, []), "child": (lambda m: child, [])}
+    checks = [unique("parent", "k"), relationships("child", "k", "parent", "k", severity="warn"),
+              not_null("child", "k")]
+    res, built = run_checks(spark, models, checks)
+    st = {r.node: r.status for r in res.collect()}
+    assert st["unique_parent_k"] == "fail"
+    assert st["relationships_child_k__parent_k"] == "skipped"
+    assert st["child"] == "success" and st["not_null_child_k"] == "pass"
