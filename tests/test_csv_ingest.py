@@ -62,19 +62,24 @@ def test_edge_lines_accept_and_double_fault(spark):
     assert sorted((r._line, r.error_type) for r in rejects.collect()) == [(5, "CAST"), (5, "TOO MANY COLUMNS")]
 
 
-def test_line_numbers_across_files_and_splits(spark):
+import pytest
+
+
+@pytest.mark.parametrize("whole_max", [0, 1 << 20, 100_000])   # splits only / whole files / mixed
+def test_line_numbers_across_files_and_splits(spark, whole_max):
     d = tempfile.mkdtemp(prefix="csv-split-")
     n = 4000
     for day in range(3):
-        _write(d, f"att_{day}.csv", [HEADER] + [f"S{i:05d},2026-09-0{day + 1},M{i % 7},PRESENT" for i in range(n)])
+        m = n if day else n // 2          # one smaller file (< 100 kB), two larger
+        _write(d, f"att_{day}.csv", [HEADER] + [f"S{i:05d},2026-09-0{day + 1},M{i % 7},PRESENT" for i in range(m)])
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
     try:
-        lines = read_lines(spark, os.path.join(d, "*.csv"))
-        assert lines.rdd.getNumPartitions() > 3
+        lines = read_lines(spark, os.path.join(d, "*.csv"), whole_file_max_bytes=whole_max)
         rows = lines.collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert len(rows) == 3 * (n + 1)
+    assert len(rows) == 2 * (n + 1) + (n // 2 + 1)
+    assert len({(r._source_file, r._line) for r in rows}) == len(rows)
     for r in rows:
         if r._line == 1:
             assert r.value == HEADER
