@@ -47,3 +47,18 @@ def test_env_secret(monkeypatch):
     monkeypatch.delenv("LK_TEST_SALT")
     with pytest.raises(RuntimeError):
         env_secret("LK_TEST_SALT")
+
+
+def test_session_helpers(spark):
+    from layerkit.session import build_session, cut_lineage, scratch_path, shared_dir, spread
+
+    s = build_session(shuffle_partitions=8)
+    assert s is spark and s.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"
+    d = shared_dir(spark)
+    assert d == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(d.rstrip("/") + "/x-")
+    df = spark.range(100).withColumn("y", F.col("id") * 2)
+    cut = cut_lineage(df)
+    assert cut.count() == 100 and sorted(r.y for r in cut.collect())[-1] == 198
+    assert spread(spark.range(10).coalesce(1), 4).rdd.getNumPartitions() == 4
+    assert spread(spark.range(10).repartition(6), 4).rdd.getNumPartitions() == 6
