@@ -165,6 +165,8 @@ def _trie_regex(names: Sequence[str]) -> str:
 def names_pattern(names: Sequence[str]) -> str:
     """Case-insensitive regex matching any of the names, leftmost-longest."""
     uniq = sorted(set(n for n in names if n))
+    if not uniq:
+        raise ValueError("names_pattern needs at least one non-empty name")
     return "(?iu)(?:" + _trie_regex(uniq) + ")"
 
 

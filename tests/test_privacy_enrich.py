@@ -139,3 +139,14 @@ def test_trie_regex_equals_sorted_alternation(spark):
     rows = df.select(F.regexp_replace("t", F.col("trie"), F.lit("<>")).alias("a"),
                      F.regexp_replace("t", F.col("flat"), F.lit("<>")).alias("b")).collect()
     assert all(r.a == r.b for r in rows), [r for r in rows if r.a != r.b][:3]
+
+
+def test_empty_dictionary(spark):
+    import pytest
+
+    from layerkit.operators.privacy import names_pattern
+
+    with pytest.raises(ValueError):
+        names_pattern(["", ""])
+    df = spark.createDataFrame([("abc",)], "t string")
+    assert df.select(redact("t", [], patterns=()).alias("r")).first().r == "abc"
