@@ -115,3 +115,19 @@ def test_broadcast_bounds_rows_and_bytes(spark):
     assert not broadcast_fits(small, max_rows=5, max_bytes=50)        # too many bytes
     wide = spark.createDataFrame([(1, "x" * 100_000)], "k int, s string")
     assert not broadcast_fits(wide, max_rows=10, max_bytes=64 * 1024)
+
+
+def test_clean_facts_ignores_duplicated_input(spark):
+    from layerkit.plans.queries import active_customers, bronze_visits
+
+    sf = "/root/testdata/sf0.001"
+    raw = bronze_visits(spark, sf)
+    parent = active_customers(spark, sf).select(F.col("c_custkey").alias("user_id"))
+    args = dict(keys=["user_id", "visit_date", "module"], order="_ingested_at", status_col="status",
+                allowed_status=["CLICK", "VIEW", "PURCHASE"], required=["module"],
+                not_after={"visit_date": dt.date(2024, 1, 20)}, parent=parent, parent_key="user_id",
+                tiebreak=["event_id"], keep=["user_id", "visit_date", "module", "status"])
+    once = clean_facts(raw, **args)
+    twice = clean_facts(raw.unionByName(raw).repartition(5), **args)
+    assert once.count() > 0
+    assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0

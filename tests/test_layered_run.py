@@ -127,6 +127,13 @@ def test_layered_run_end_to_end(spark, silver_kind):
     assert "comment" not in out["feedback"].columns
     assert out["review_sample"].count() == 4
     assert out["models"]["stg_students"].where(F.col("nric_hash").rlike("^[0-9a-f]{64}$")).count() == 40
+    # Masking and redaction worked: no readable NRIC in Silver/Gold outputs.
+    from layerkit.operators import pii_scan
+    from layerkit.operators.privacy import NRIC_PATTERN
+
+    leaks = pii_scan({"dim_student": out["models"]["dim_student"], "stg_students": out["models"]["stg_students"],
+                      "feedback_enriched": out["feedback"]}, {"nric": NRIC_PATTERN}, mode="contains", only_hits=True)
+    assert leaks.count() == 0
 
     # Second run, nothing new: 0 inserted; the same run id is replaced, not added.
     again = run_layers(spark, _cfg(spark, base, land, pages, seeds, "r1", dt.datetime(2026, 9, 12, 6), silver_kind))
