@@ -8,6 +8,8 @@ the same batch operators as a full load — line numbering, CSV parse with
 quarantine, provenance stamp — and writes both outputs to a partition named
 after the batch, with dynamic overwrite, so a replayed epoch after an executor
 or driver failure rewrites its own partition instead of adding rows twice.
+The parsed rows of a micro-batch are persisted for its two sinks; lost
+blocks are recomputed from the batch's files.
 """
 
 from __future__ import annotations
@@ -20,7 +22,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerkit.operators.stamp import BATCH_ID, stamp
-from layerkit.sources.csv_lines import FILE, LINE, number_lines, parse_csv_lines
+from layerkit.sources.csv_lines import FILE, LINE, OUTCOME, parse_csv_outcomes, read_lines
+
+
+# The binaryFile source's fixed schema (a stream needs it up front).
+BINARY_FILE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("content", T.BinaryType()),
+])
 
 
 def _write_batch(df: DataFrame, path: str) -> None:
@@ -43,32 +54,39 @@ def ingest_new_files(
 ) -> int:
     """Load every file under ``source_dir`` not loaded before; returns the
     number of micro-batches run. ``checkpoint`` must be on shared storage
-    (e.g. under ``spark.checkpoint.dir``). A large backlog is taken in
-    batches of at most ``max_files_per_trigger`` files."""
-    reader = spark.readStream.format("text").option("pathGlobFilter", path_glob)
+    (e.g. under ``spark.checkpoint.dir``).
+
+    The stream only discovers files: a ``binaryFile`` source selecting just
+    ``path`` never reads file contents. Each micro-batch (at most
+    ``max_files_per_trigger`` files, a bounded list of names) is then read by
+    the batch reader — landing-size files numbered in one pass — parsed once
+    and written to Bronze and quarantine."""
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("pathGlobFilter", path_glob))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    lines = reader.load(source_dir).select(
-        F.col("_metadata.file_path").alias(FILE),
-        F.col("_metadata.file_block_start").alias("__block"),
-        F.col("value"))
+    files = reader.load(source_dir).select("path")
     epochs: list[int] = []
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        paths = [r.path for r in batch.collect()]  # file names only, bounded per trigger
+        if not paths:
+            return
         batch_id = f"{batch_prefix}-{epoch_id:06d}"
-        # One micro-batch (at most max_files_per_trigger files) feeds two sinks:
-        # keep its numbered lines for both writes. Lost cache blocks are
-        # recomputed from the batch's files.
-        numbered = number_lines(batch, split_bound=None).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = parse_csv_outcomes(read_lines(spark, paths), schema, header)
+        rows = stamp(rows, F.col(FILE), batch_id, at).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good, rejects = parse_csv_lines(numbered, schema, header)
-            _write_batch(stamp(good.drop(LINE), F.col(FILE), batch_id, at), bronze_path)
-            _write_batch(rejects.withColumn(BATCH_ID, F.lit(batch_id)), quarantine_path)
+            names = schema.fieldNames()
+            good = rows.where(F.col(OUTCOME) == "good").select(*names, FILE, "_ingested_at", BATCH_ID)
+            bad = rows.where(F.col(OUTCOME) == "reject").select(FILE, LINE, "error_type", "column_name",
+                                                                "csv_line", BATCH_ID)
+            _write_batch(good, bronze_path)
+            _write_batch(bad, quarantine_path)
         finally:
-            numbered.unpersist()
+            rows.unpersist()
         epochs.append(epoch_id)
 
-    q = (lines.writeStream.foreachBatch(per_batch)
+    q = (files.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
