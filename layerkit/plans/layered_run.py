@@ -25,7 +25,8 @@ from layerkit.operators import (
     stamp, stratified_sample, summarize, unique,
 )
 from layerkit.operators.incremental import read_table
-from layerkit.sources import read_pages, read_seed
+from layerkit.sources import chain_problems, read_seed, records_from_pages
+from layerkit.sources.pages import page_schema
 from layerkit.sources.csv_lines import load_csv_quarantined
 
 # Bronze attendance and its quarantine are the two outcome folders of one load.
@@ -99,11 +100,13 @@ def load_bronze(spark: SparkSession, cfg: RunConfig) -> dict:
                          stamp_fn=lambda d: stamp(d, F.col("_source_file"), cfg.batch_id, cfg.loaded_at))
     students = append_incremental(spark, cfg.students, _p(cfg, "bronze", "db_students"), "updated_at",
                                   "ops.students", cfg.batch_id, cfg.loaded_at)
-    records = read_pages(spark, cfg.grade_pages, GRADE_SCHEMA).drop("page_no", "pos_in_page")
+    pages = spark.read.schema(page_schema(GRADE_SCHEMA)).json(cfg.grade_pages)
+    records = records_from_pages(pages).drop("page_no", "pos_in_page")
     records = records.withColumn("updated_at", F.col("updated_at").try_cast("timestamp_ntz"))
     grades = append_incremental(spark, records, _p(cfg, "bronze", "api_grades"), "updated_at",
                                 "GET /records", cfg.batch_id, cfg.loaded_at)
-    return {"students": students, "grades": grades}
+    # A broken cursor chain means pages are missing: report it with the load.
+    return {"students": students, "grades": grades, "page_chain_problems": chain_problems(pages).count()}
 
 
 def models(spark: SparkSession, cfg: RunConfig) -> OrderedDict:

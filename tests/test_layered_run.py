@@ -103,6 +103,7 @@ def test_layered_run_end_to_end(spark, silver_kind):
     seeds = _seeds(seed_dir)
     out = run_layers(spark, _cfg(spark, base, land, pages, seeds, "r1", dt.datetime(2026, 9, 11, 6), silver_kind))
     assert (out["loads"]["students"].inserted, out["loads"]["grades"].inserted) == (40, 200)
+    assert out["loads"]["page_chain_problems"] == 0
     res = {r.node: r for r in out["results"].collect()}
     assert res["relationships_stg_students_course_code__courses_course_code"].status == "warn"
     assert res["relationships_stg_grades_student_id__stg_students_student_id"].failures == 1
