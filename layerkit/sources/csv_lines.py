@@ -185,7 +185,7 @@ def _parsed(lines: DataFrame, schema: T.StructType, header: bool, value_col: str
     # Stage 2: one CSV parse per line into n + 1 string fields.
     raw_schema = ", ".join(f"`c{i}` string" for i in range(n + 1))
     d = d.select(F.col(FILE), F.col(LINE), F.col("__text"), F.col("__k"),
-                 F.from_csv(F.col("__value"), raw_schema, {"mode": "PERMISSIVE"}).alias("__raw"))
+                 F.from_csv(F.col("__value"), raw_schema, {"mode": "PERMISSIVE", "escape": "\""}).alias("__raw"))
     # Stage 3: typed values and the list of faults of the line.
     raws = [F.col(f"__raw.c{i}") for i in range(n)]
     typed = [_typed(raws[i], f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
