@@ -43,3 +43,45 @@ def test_stratified_sample_matches_brute_force(spark, flags, quota, total):
     k = min(quota, len(flagged), total)
     want = sorted(flagged[:k] + other[:max(total - k, 0)])
     assert got == want
+
+
+VOCAB = ["enjoyed", "Great", "BEST", "hard", "confused", "don't", "too", "fast", "much", "give", "up", "no",
+         "life", "damn", "well", "x", "y's", "lost", "fun", "and", "the", "bad"]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(VOCAB + [",", ".", "  ", "'"]), max_size=15), min_size=1, max_size=15))
+def test_keyword_label_matches_reference_semantics(spark, docs):
+    import re
+
+    from layerkit.operators import keyword_label
+    from layerkit.operators.enrich import NEGATIVE_PHRASES, NEGATIVE_WORDS, POSITIVE_WORDS
+
+    texts = [" ".join(d) for d in docs]
+
+    def label(t):
+        low = t.lower()
+        toks = set(re.findall(r"[A-Za-z']+", low))
+        p = len(toks & set(POSITIVE_WORDS))
+        n = len(toks & set(NEGATIVE_WORDS)) + sum(1 for ph in NEGATIVE_PHRASES if ph in low)
+        return "positive" if p > n else "negative" if n > p else "neutral"
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.l for r in df.select("i", keyword_label("t").alias("l")).collect()}
+    assert got == {i: label(t) for i, t in enumerate(texts)}
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet="abcAB -'", min_size=1, max_size=5).filter(lambda s: s.strip()), min_size=1,
+                max_size=6),
+       st.lists(st.text(alphabet="abcAB -'x", max_size=30), min_size=1, max_size=10))
+def test_redact_names_matches_python_alternation(spark, names, texts):
+    import re
+
+    from layerkit.operators import redact
+
+    ordered = sorted(set(names), key=lambda s: (-len(s), s))
+    rx = re.compile("|".join(re.escape(n) for n in ordered), re.IGNORECASE)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.r for r in df.select("i", redact("t", names, patterns=()).alias("r")).collect()}
+    assert got == {i: rx.sub("[NAME]", t) for i, t in enumerate(texts)}
