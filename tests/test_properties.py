@@ -15,7 +15,7 @@ def _desc_nulls_last(x):
     return (0, -x) if x is not None else (1, 0)
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=25, deadline=None, derandomize=True)
 @given(st.lists(st.tuples(small, small, small), min_size=1, max_size=30))
 def test_latest_by_matches_brute_force(spark, rows):
     df = spark.createDataFrame(rows, "k int, ts int, v int")
@@ -31,7 +31,7 @@ def test_latest_by_matches_brute_force(spark, rows):
     assert got == sorted(want)
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=15, deadline=None, derandomize=True)
 @given(st.lists(st.booleans(), min_size=0, max_size=60), st.integers(0, 6), st.integers(0, 25))
 def test_stratified_sample_matches_brute_force(spark, flags, quota, total):
     rows = [(i, f) for i, f in enumerate(flags)]
@@ -49,7 +49,7 @@ VOCAB = ["enjoyed", "Great", "BEST", "hard", "confused", "don't", "too", "fast",
          "life", "damn", "well", "x", "y's", "lost", "fun", "and", "the", "bad"]
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=15, deadline=None, derandomize=True)
 @given(st.lists(st.lists(st.sampled_from(VOCAB + [",", ".", "  ", "'"]), max_size=15), min_size=1, max_size=15))
 def test_keyword_label_matches_reference_semantics(spark, docs):
     import re
@@ -71,7 +71,7 @@ def test_keyword_label_matches_reference_semantics(spark, docs):
     assert got == {i: label(t) for i, t in enumerate(texts)}
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=15, deadline=None, derandomize=True)
 @given(st.lists(st.text(alphabet="abcAB -'", min_size=1, max_size=5).filter(lambda s: s.strip()), min_size=1,
                 max_size=6),
        st.lists(st.text(alphabet="abcAB -'x", max_size=30), min_size=1, max_size=10))
