@@ -62,3 +62,29 @@ def test_session_helpers(spark):
     assert cut.count() == 100 and sorted(r.y for r in cut.collect())[-1] == 198
     assert spread(spark.range(10).coalesce(1), 4).rdd.getNumPartitions() == 4
     assert spread(spark.range(10).repartition(6), 4).rdd.getNumPartitions() == 6
+
+
+def test_chain_problem_kinds(spark):
+    from layerkit.sources import chain_problems, pages_from_json
+
+    rec = T.StructType([T.StructField("record_id", T.LongType())])
+    pages = pages_from_json(spark.createDataFrame([
+        ('{"page_no":0,"cursor":null,"data":[],"next_cursor":"a"}',),
+        ('{"page_no":1,"cursor":null,"data":[],"next_cursor":"a"}',),     # second first page
+        ('{"page_no":2,"cursor":"a","data":[],"next_cursor":null}',),
+        ('{"page_no":3,"cursor":"a","data":[],"next_cursor":null}',),     # cursor used twice, second last page
+    ], "j string"), "j", rec)
+    kinds = sorted({r.problem for r in chain_problems(pages).collect()})
+    assert kinds == ["cursor fetched twice", "first page not unique", "last page not unique"]
+
+
+def test_count_by_global_and_row_counts(spark):
+    from layerkit.operators import count_by, row_counts
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "n int, s string")
+    g = count_by(df, [], {"n_a": F.col("s") == "a"}).first()
+    assert (g.n, g.n_a) == (3, 2)
+    by = {r.s: r.n for r in count_by(df, ["s"]).collect()}
+    assert by == {"a": 2, "b": 1}
+    assert row_counts(spark, {"x": df, "missing": "no_such_db.no_such_table", "none": None}) == {
+        "x": 3, "missing": None, "none": None}
