@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from layerkit.llm.bpe_automaton import op7_bpe_automaton
+from layerkit.llm.cross_polytope import op2_cross_polytope
 from layerkit.llm.decision_list import op4_decision_list
+from layerkit.llm.near_dedup import op1_minhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_minhash": op1_minhash,
+        "op2_cross_polytope": op2_cross_polytope,
         "op4_decision_list": op4_decision_list,
+        "op7_bpe_automaton": op7_bpe_automaton,
     }
 
 
