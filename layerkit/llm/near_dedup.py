@@ -74,10 +74,15 @@ def _sign(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         np.multiply(flat, _FACTORS[k], out=hashed)
         np.add(hashed, _SHIFTS[k], out=hashed)
         minima[:, k] = np.minimum.reduceat(hashed, first) >> np.uint64(32)
-    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sets), BANDS)).copy()
+    return minima, band_keys(minima)
+
+
+def band_keys(minima: np.ndarray) -> np.ndarray:
+    """One key for each band of ``ROWS`` minima, different bands' keys apart."""
+    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(minima), BANDS)).copy()
     for k in range(ROWS):
         keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + minima[:, k::ROWS])
-    return minima, keys.view(np.int64)
+    return keys.view(np.int64)
 
 
 def _signature_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -117,9 +122,9 @@ def _clusters(nodes: DataFrame) -> DataFrame:
 
 def _cells(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
     """Every class of a cluster with its set, once for each cell it is part of."""
-    members = clusters.join(nodes.select("node", "minima", "bands"), "node")
+    members = clusters.join(nodes.select("node", "minima"), "node")
     rows = docs.select(F.col(id_col).cast("bigint").alias("node"), F.col(text).cast("string").alias("_text")).join(members, "node")
-    rows = rows.select("node", "_text", "cluster", "blocks", "minima", "bands")
+    rows = rows.select("node", "_text", "cluster", "blocks", "minima")
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "_text"):
@@ -127,12 +132,12 @@ def _cells(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, id_col: str,
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary()), *b.columns[2:]],
                                              names=["node", "shingles", *b.schema.names[2:]])
 
-    rows = rows.mapInArrow(with_sets, "node bigint, shingles binary, cluster bigint, blocks int, minima binary, bands array<bigint>")
+    rows = rows.mapInArrow(with_sets, "node bigint, shingles binary, cluster bigint, blocks int, minima binary")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = rows.withColumn("other", other)
     return rows.select("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                       "block", "node", "shingles", "minima", "bands")
+                       "block", "node", "shingles", "minima")
 
 
 def _confirm(cell: pa.Table, percent: int, agree: int) -> pa.Table:
@@ -141,7 +146,7 @@ def _confirm(cell: pa.Table, percent: int, agree: int) -> pa.Table:
     node = cell.column("node").to_numpy()
     sets = [np.frombuffer(s, dtype=np.uint64) for s in cell.column("shingles").to_pylist()]
     minima = np.frombuffer(b"".join(cell.column("minima").to_pylist()), dtype=np.uint32).reshape(-1, MINIMA)
-    bands = np.array(cell.column("bands").to_pylist(), dtype=np.int64).reshape(-1, BANDS)
+    bands = band_keys(minima)
     block = cell.column("block").to_numpy()
     low, high = cell.column("low")[0].as_py(), cell.column("high")[0].as_py()
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
