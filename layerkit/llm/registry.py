@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from layerkit.llm.bpe_automaton import op7_bpe_automaton
+from layerkit.llm import chat_parts, secret_ledger
 from layerkit.llm.cross_polytope import op2_cross_polytope
 from layerkit.llm.decision_list import op4_decision_list
 from layerkit.llm.near_dedup import op1_minhash
@@ -17,9 +18,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_minhash": op1_minhash,
         "op2_cross_polytope": op2_cross_polytope,
         "op4_decision_list": op4_decision_list,
+        "op6_secret_ledger": secret_ledger.op6_secret_ledger,
         "op7_bpe_automaton": op7_bpe_automaton,
+        "op9_chat_parts": chat_parts.op9_chat_parts,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_secret_ledger": secret_ledger.ORACLE,
+        "op9_chat_parts": chat_parts.ORACLE,
+    }
