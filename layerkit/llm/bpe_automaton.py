@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerkit.llm.tables import read_table
+from layerkit.llm.tables import read_table, ship
 from layerkit.llm.words import slices
 
 #: Fixed value: the public pre-splitting pattern of this kind of byte-level BPE.
@@ -244,6 +244,7 @@ def _coder(shared, split: str) -> Coder:
 
 def _share(spark: SparkSession, path: str):
     """Broadcast the compiled file: its size is that of a vocabulary, whatever the corpus."""
+    ship(spark)
     return spark.sparkContext.broadcast(load_automaton(path))
 
 

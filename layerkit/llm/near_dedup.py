@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.llm.components import components
-from layerkit.llm.tables import read_table, stored
+from layerkit.llm.tables import read_table, ship, stored
 from layerkit.llm.words import mix, slices, split_words, windows, word_hashes
 
 BANDS, ROWS = 32, 4
@@ -194,6 +194,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row:
     documents whose shingle sets have ``100 * intersection >= percent * union``
     are linked, and ``component_id`` is the smallest id reachable."""
+    ship(docs.sparkSession)
     signed = stored(signatures(docs, id_col, text, size), "signatures")
     known = signed.where("set_key is not null and doc_id is not null")
     classes = known.groupBy("set_key").agg(F.min("doc_id").alias("node"))

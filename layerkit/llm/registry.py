@@ -6,26 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from layerkit.llm import chat_parts, license_rules, secret_ledger
 from layerkit.llm.bpe_automaton import op7_bpe_automaton
-from layerkit.llm import chat_parts, secret_ledger
 from layerkit.llm.cross_polytope import op2_cross_polytope
 from layerkit.llm.decision_list import op4_decision_list
+from layerkit.llm.mixing import op3_pfair_mix
 from layerkit.llm.near_dedup import op1_minhash
+from layerkit.llm.subword_toxicity import op10_subword_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash": op1_minhash,
         "op2_cross_polytope": op2_cross_polytope,
+        "op3_pfair_mix": op3_pfair_mix,
         "op4_decision_list": op4_decision_list,
+        "op5_license_rules": license_rules.op5_license_rules,
         "op6_secret_ledger": secret_ledger.op6_secret_ledger,
         "op7_bpe_automaton": op7_bpe_automaton,
         "op9_chat_parts": chat_parts.op9_chat_parts,
+        "op10_subword_toxicity": op10_subword_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_license_rules": license_rules.ORACLE,
         "op6_secret_ledger": secret_ledger.ORACLE,
         "op9_chat_parts": chat_parts.ORACLE,
     }

@@ -1,7 +1,11 @@
-"""Reading the given tables and naming shared work tables."""
+"""Reading the given tables, naming shared work tables, shipping the package."""
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,3 +27,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def text_or_empty(col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.coalesce(c.cast("string"), F.lit(""))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library to the Python workers, once for each application, so
+    that functions of its modules run there without an installation."""
+    import layerkit
+
+    sc = spark.sparkContext
+    if getattr(sc, "_layerkit_shipped", False):
+        return
+    top = os.path.dirname(layerkit.__path__[0])
+    name = os.path.join(tempfile.mkdtemp(prefix="layerkit-ship-"), "layerkit.zip")
+    with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(layerkit.__path__[0]):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.relpath(path, top))
+    sc.addPyFile(name)
+    sc._layerkit_shipped = True

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from layerkit.llm.tables import ship
 from layerkit.llm.words import IS_SPACE, slices, span_hashes, split_words, windows, word_hashes
 
 SYMBOLS = "#*$%&|<>"
@@ -101,6 +102,7 @@ def text_counts(texts: pa.Array) -> dict[str, np.ndarray]:
 def with_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns and the ``COUNTS`` of each row's text. Any other column,
     whatever its name, is left out; names in ``keep`` must not be ``COUNTS``."""
+    ship(docs.sparkSession)
     rows = docs.select(*keep, F.col(text).cast("string").alias("_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     kinds += "".join(f", {c} bigint" for c in COUNTS)
