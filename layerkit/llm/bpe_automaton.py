@@ -35,6 +35,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from layerkit.llm.tables import read_table, ship
 from layerkit.llm.words import slices
@@ -248,10 +249,9 @@ def _share(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(load_automaton(path))
 
 
-def _keep(df: DataFrame, keep: list[str], extra: str, value: str) -> tuple[DataFrame, str]:
+def _keep(df: DataFrame, keep: list[str], extra: str, value: str) -> tuple[DataFrame, StructType]:
     rows = df.select(*keep, F.col(value).alias("_value"))
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
-    return rows, kinds + extra
+    return rows, StructType([*rows.schema.fields[:-1], *StructType.fromDDL(extra).fields])
 
 
 def encode(docs: DataFrame, path: str, keep: list[str], text: str = "text", split: str = SPLIT) -> DataFrame:

@@ -106,7 +106,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source: str = "source", weigh
     others = F.broadcast(listed.where("source is null").select(F.lit(True).alias("_any"), F.col("class").alias("_other")))
     hashed = F.xxhash64(F.col(id_col), F.lit(seed))
     share = F.col("_hash").cast("double") / F.lit(2.0**64) + 0.5
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("_source"), hashed.alias("_hash"))
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("_source"), hashed.alias("_hash"))
     keyed = keyed.join(named, "_source", "left").withColumn("_any", F.lit(True)).join(others, "_any", "left")
     keyed = keyed.select("row", F.coalesce("_class", "_other").alias("class"), "_hash",
                          F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("int").alias("_bucket"))

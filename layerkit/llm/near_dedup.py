@@ -223,4 +223,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size:
     ids = judged.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_kept"))
     gone = ids.where("not _kept").select("_id")
     with_id = docs.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col).cast("bigint") == F.col("_id"), "left_anti")
-    return with_id.dropDuplicates([id_col, text]).unionByName(docs.where(F.col(id_col).isNull()))
+    once = with_id.withColumn("_same", F.xxhash64(text)).dropDuplicates([id_col, "_same"]).drop("_same")
+    return once.unionByName(docs.where(F.col(id_col).isNull()))

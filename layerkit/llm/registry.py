@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from layerkit.llm import chat_parts, license_rules, secret_ledger
 from layerkit.llm.bpe_automaton import op7_bpe_automaton
+from layerkit.llm.cotraining import op8_cotraining
 from layerkit.llm.cross_polytope import op2_cross_polytope
 from layerkit.llm.decision_list import op4_decision_list
 from layerkit.llm.mixing import op3_pfair_mix
@@ -24,8 +26,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_license_rules": license_rules.op5_license_rules,
         "op6_secret_ledger": secret_ledger.op6_secret_ledger,
         "op7_bpe_automaton": op7_bpe_automaton,
+        "op8_cotraining": op8_cotraining,
         "op9_chat_parts": chat_parts.op9_chat_parts,
         "op10_subword_toxicity": op10_subword_toxicity,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from layerkit.llm.tables import read_table, ship
 from layerkit.llm.words import BYTE_KEYS, mix, slices, split_words, word_hashes
@@ -248,7 +249,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.scores.astype(np.float32), model.bias, model.weights))
     rows = docs.select(*keep, F.col(text).cast("string").alias("_text"))
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1]) + "score double"
+    kinds = StructType([*rows.schema.fields[:-1], StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)

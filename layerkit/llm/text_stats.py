@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from layerkit.llm.tables import ship
 from layerkit.llm.words import IS_SPACE, slices, span_hashes, split_words, windows, word_hashes
@@ -104,8 +105,7 @@ def with_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFra
     whatever its name, is left out; names in ``keep`` must not be ``COUNTS``."""
     ship(docs.sparkSession)
     rows = docs.select(*keep, F.col(text).cast("string").alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    kinds += "".join(f", {c} bigint" for c in COUNTS)
+    kinds = StructType([*rows.schema.fields[:-1], *(StructField(c, LongType()) for c in COUNTS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "_text"):
