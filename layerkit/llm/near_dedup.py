@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.llm.components import components
-from layerkit.llm.tables import read_table, ship, stored
+from layerkit.llm.tables import free_name, read_table, ship, stored
 from layerkit.llm.words import mix, slices, split_words, windows, word_hashes
 
 BANDS, ROWS = 32, 4
@@ -220,8 +220,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size:
     smallest id. Documents without words and rows with a null id stay; rows that
     repeat an id with an equal text are one document."""
     judged = near_duplicates(docs.select(id_col, text), id_col, text, size, percent)
-    ids = judged.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_kept"))
-    gone = ids.where("not _kept").select("_id")
-    with_id = docs.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col).cast("bigint") == F.col("_id"), "left_anti")
-    once = with_id.withColumn("_same", F.xxhash64(text)).dropDuplicates([id_col, "_same"]).drop("_same")
+    gone_id, same = free_name(docs, "_id"), free_name(docs, "_same")
+    ids = judged.groupBy(F.col("doc_id").alias(gone_id)).agg(F.max("kept").alias("_kept"))
+    gone = ids.where("not _kept").select(gone_id)
+    with_id = docs.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col).cast("bigint") == F.col(gone_id), "left_anti")
+    once = with_id.withColumn(same, F.xxhash64(text)).dropDuplicates([id_col, same]).drop(same)
     return once.unionByName(docs.where(F.col(id_col).isNull()))

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerkit.llm.tables import read_table, text_or_empty
+from layerkit.llm.tables import free_name, read_table, text_or_empty
 from layerkit.session import scratch_path
 
 SPAN = "struct<start:int,place:int,kind:string,end:int>"
@@ -149,9 +149,9 @@ def scan(paths: DataFrame, ledger_path: str, keep: list[str], rules: dict[str, l
     # are merged by a set, as a rerun of a lost job may have written them twice.
     hits = ledger.where(F.col("rule_version").isin(*rules) & (F.size("spans") > 0))
     hits = hits.groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("_spans"))
-    named = paths.select(*(F.col(c) for c in keep), blob(text_or_empty(text)).alias("_blob"))
-    out = named.join(hits, F.col("_blob") == F.col("blob"), "left")
-    return out.select(*keep, F.coalesce("_spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
+    named = paths.select(F.struct(*keep).alias("kept"), blob(text_or_empty(text)).alias("blob"))
+    out = named.join(hits, "blob", "left")
+    return out.select("kept.*", F.coalesce("_spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
 
 
 def new_ledger(spark: SparkSession) -> str:
@@ -179,8 +179,9 @@ def without_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]")
     spans by one); all other columns and all rows stay as they are."""
     spark = docs.sparkSession
     ledger = scan_unseen(docs, new_ledger(spark), RULES, text)
-    hits = ledger.where(F.size("spans") > 0).groupBy(F.col("blob").alias("_blob")).agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("_spans"))
+    key, found = free_name(docs, "_blob"), free_name(docs, "_spans")
+    hits = ledger.where(F.size("spans") > 0).groupBy(F.col("blob").alias(key)).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias(found))
     t = F.col(text)
     # What stays between spans, taken from left to right: overlapping spans
     # begin before the reach of those before them.
@@ -192,9 +193,9 @@ def without_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]")
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
                         F.concat(acc["out"], F.substring(t, acc["at"] + 1, gap), fresh).alias("out"))
 
-    redacted = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t))))
-    joined = docs.withColumn("_blob", blob(text_or_empty(text))).join(hits, "_blob", "left")
-    changed = F.when(F.col("_spans").isNotNull() & t.isNotNull(), redacted).otherwise(t)
+    redacted = F.aggregate(F.col(found), start, step, lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t))))
+    joined = docs.withColumn(key, blob(text_or_empty(text))).join(hits, key, "left")
+    changed = F.when(F.col(found).isNotNull() & t.isNotNull(), redacted).otherwise(t)
     return joined.withColumn(text, changed).select(*docs.columns)
 
 

@@ -29,6 +29,14 @@ def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ship(spark: SparkSession) -> None:
     """Send this library to the Python workers, once for each application, so
     that functions of its modules run there without an installation."""
