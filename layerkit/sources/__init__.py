@@ -1,11 +1,11 @@
 """Sources and sinks: CSV lines with quarantine, landed JSON pages, seeds, JDBC, tables."""
 
 from layerkit.sources.catalog import (
-    first_existing, init_table, load_tables, materialize, register_views, reset_namespace,
+    first_existing, init_table, materialize, register_views, reset_namespace,
     table_name, write_table,
 )
 from layerkit.sources.csv_lines import (
-    field_count, load_csv_quarantined, number_lines, parse_csv_lines, parse_csv_outcomes, read_csv_quarantined,
+    field_count, literal_path, load_csv_quarantined, number_lines, parse_csv_lines, parse_csv_outcomes, read_csv_quarantined,
     read_lines, reject_report,
 )
 from layerkit.sources.pages import chain_problems, pages_from_json, read_pages, records_from_pages

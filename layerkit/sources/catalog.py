@@ -83,7 +83,3 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
 
-
-def load_tables(spark: SparkSession, base: str, names: Sequence[str]) -> dict[str, DataFrame]:
-    """Parquet tables ``{base}/{name}.parquet`` by name."""
-    return {n: spark.read.parquet(f"{base.rstrip('/')}/{n}.parquet") for n in names}

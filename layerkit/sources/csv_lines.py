@@ -27,13 +27,14 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 FILE = "_source_file"
 LINE = "_line"
-# A quoted field: "...", with "" as an escaped quote inside.
-_QUOTED = r'"(?:[^"]|"")*"'
+# A quoted stretch: a field with escaped quotes ("") is several, side by side.
+# Possessive, so that long fields need no stack.
+_QUOTED = r'"[^"]*+"'
 
 
-# Split tables up to this many rows are broadcast to number lines (one small
-# row per file split; 1M splits ≈ 128 TB of text at 128 MB per split).
-MAX_BROADCAST_SPLITS = 1_000_000
+# A split table of at most this many rows (known from planning: about 2 MB) is
+# broadcast to number lines; a larger one is joined as the optimizer chooses.
+MAX_BROADCAST_SPLITS = 10_000
 
 
 def number_lines(raw: DataFrame, split_bound: int | None = None) -> DataFrame:
@@ -44,9 +45,8 @@ def number_lines(raw: DataFrame, split_bound: int | None = None) -> DataFrame:
     position inside a split is ``monotonically_increasing_id() - min(id of the
     split)``. Per-split line counts (one row per split) are prefix-summed per
     file and joined back; both uses come from the same scan plan, so they see
-    the same splits. ``split_bound`` (an upper bound on the number of splits,
-    known from planning) lets that small table be broadcast; without it the
-    join is left to the optimizer.
+    the same splits. ``split_bound`` is an upper bound on the number of splits,
+    known from planning.
     """
     raw = raw.withColumn("__mid", F.monotonically_increasing_id())
     splits = raw.groupBy(FILE, "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
@@ -59,81 +59,24 @@ def number_lines(raw: DataFrame, split_bound: int | None = None) -> DataFrame:
     return out.select(F.col(FILE), line.cast("long").alias(LINE), F.col("value"))
 
 
-# Files up to this size are read whole (one row per file) and numbered in one
-# pass; larger files use the split-count method, so no task holds a big file.
-WHOLE_FILE_MAX_BYTES = 64 * 1024 * 1024
-
-
-def _file_sizes(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, int]] | None:
-    """``(path, bytes)`` of every file the paths/globs name (a listing, no read);
-    None when the file system cannot be asked."""
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        out = []
-        for p in paths:
-            hp = jvm.org.apache.hadoop.fs.Path(p)
-            fs = hp.getFileSystem(conf)
-            statuses = fs.globStatus(hp) or []
-            stack = list(statuses)
-            while stack:
-                st = stack.pop()
-                name = st.getPath().getName()
-                if name.startswith((".", "_")):
-                    continue
-                if st.isDirectory():
-                    stack.extend(fs.listStatus(st.getPath()))
-                else:
-                    out.append((st.getPath().toString(), int(st.getLen())))
-        return out
-    except Exception:
-        return None
-
-
-def _lines_whole(spark: SparkSession, files: Sequence[str]) -> DataFrame:
-    """Each file as one value split into lines: line number = position + 1.
-    Terminators ``\r\n``, ``\n``, ``\r``; a final terminator adds no line."""
-    whole = spark.read.text(list(files), wholetext=True).select(
-        F.col("_metadata.file_path").alias(FILE), F.col("value"))
-    body = F.regexp_replace(F.col("value"), "(\r\n|\n|\r)$", "")
-    parts = F.when(F.length(F.col("value")) == 0, F.array().cast("array<string>")).otherwise(
-        F.split(body, "\r\n|\n|\r"))
-    return whole.select(F.col(FILE), F.posexplode(parts).alias("__pos", "value")).select(
-        F.col(FILE), (F.col("__pos") + 1).cast("long").alias(LINE), F.col("value"))
-
-
-def _lines_split(spark: SparkSession, files: Sequence[str]) -> DataFrame:
-    text = spark.read.text(list(files))
-    try:  # splits <= partitions + files: a planning-time bound, no job runs
-        bound = text.rdd.getNumPartitions() + len(text.inputFiles())
-    except Exception:
-        bound = None
-    raw = text.select(F.col("_metadata.file_path").alias(FILE),
-                      F.col("_metadata.file_block_start").alias("__block"), F.col("value"))
-    return number_lines(raw, bound)
+def literal_path(path: str) -> str:
+    """A file's own name as a path pattern: glob characters escaped."""
+    return "".join("\\" + c if c in "[]{}*?\\" else c for c in path)
 
 
-def read_lines(spark: SparkSession, path: str | Sequence[str],
-               whole_file_max_bytes: int = WHOLE_FILE_MAX_BYTES) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Every physical line as ``(_source_file, _line, value)``, ``_line`` 1-based.
 
-    Files up to ``whole_file_max_bytes`` are read whole and numbered in one
-    pass (``posexplode``); larger ones by ``number_lines`` (two passes over
-    those files, no row window). Set ``whole_file_max_bytes=0`` to number
-    everything by splits."""
-    paths = [path] if isinstance(path, str) else list(path)
-    sizes = _file_sizes(spark, paths) if whole_file_max_bytes > 0 else None
-    if sizes is None:
-        return _lines_split(spark, paths)
-    small = [f for f, n in sizes if n <= whole_file_max_bytes]
-    large = [f for f, n in sizes if n > whole_file_max_bytes]
-    parts = ([_lines_whole(spark, small)] if small else []) + ([_lines_split(spark, large)] if large else [])
-    if not parts:
-        return _lines_split(spark, paths)  # let Spark report the missing path
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
+    ``path`` goes to Spark's own reader as it is: files, folders or globs (a
+    file whose name holds glob characters: ``literal_path``); a path that is
+    not there raises. A UTF-8 byte-order mark at a file's start is not part of
+    its first line. Files of any size are numbered by their splits: one row per
+    split besides the lines, and no task holds a file."""
+    text = spark.read.text(path if isinstance(path, str) else list(path))
+    raw = text.select(F.col("_metadata.file_path").alias(FILE),
+                      F.col("_metadata.file_block_start").alias("__block"), F.col("value"))
+    # Splits <= partitions + files: known from planning, no job runs.
+    return number_lines(raw, text.rdd.getNumPartitions() + len(text.inputFiles()))
 
 
 def field_count(value: Column) -> Column:
@@ -269,7 +212,6 @@ def reject_report(rejects: DataFrame) -> DataFrame:
 
 
 def read_csv_quarantined(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-                         header: bool = True, whole_file_max_bytes: int = WHOLE_FILE_MAX_BYTES
-                         ) -> tuple[DataFrame, DataFrame]:
+                         header: bool = True) -> tuple[DataFrame, DataFrame]:
     """A1-A6 in one call: ``parse_csv_lines(read_lines(path), schema)``."""
-    return parse_csv_lines(read_lines(spark, path, whole_file_max_bytes), schema, header)
+    return parse_csv_lines(read_lines(spark, path), schema, header)

@@ -1,5 +1,5 @@
 """Structured Streaming: exactly-once discovery of landed files."""
 
-from layerkit.streaming.discovery import ingest_new_files
+from layerkit.streaming.discovery import good_rows, ingest_new_files, rejected_rows
 
-__all__ = ["ingest_new_files"]
+__all__ = ["good_rows", "ingest_new_files", "rejected_rows"]

@@ -1,9 +1,10 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import types as T
 
-from layerkit.sources import parse_csv_lines, read_csv_quarantined, read_lines, reject_report
+from layerkit.sources import literal_path, parse_csv_lines, read_csv_quarantined, read_lines, reject_report
 
 SCHEMA = T.StructType([
     T.StructField("student_id", T.StringType()),
@@ -62,11 +63,7 @@ def test_edge_lines_accept_and_double_fault(spark):
     assert sorted((r._line, r.error_type) for r in rejects.collect()) == [(5, "CAST"), (5, "TOO MANY COLUMNS")]
 
 
-import pytest
-
-
-@pytest.mark.parametrize("whole_max", [0, 1 << 20, 100_000])   # splits only / whole files / mixed
-def test_line_numbers_across_files_and_splits(spark, whole_max):
+def test_line_numbers_across_files_and_splits(spark):
     d = tempfile.mkdtemp(prefix="csv-split-")
     n = 4000
     for day in range(3):
@@ -74,8 +71,7 @@ def test_line_numbers_across_files_and_splits(spark, whole_max):
         _write(d, f"att_{day}.csv", [HEADER] + [f"S{i:05d},2026-09-0{day + 1},M{i % 7},PRESENT" for i in range(m)])
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
     try:
-        lines = read_lines(spark, os.path.join(d, "*.csv"), whole_file_max_bytes=whole_max)
-        rows = lines.collect()
+        rows = read_lines(spark, os.path.join(d, "*.csv")).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert len(rows) == 2 * (n + 1) + (n // 2 + 1)
@@ -87,6 +83,30 @@ def test_line_numbers_across_files_and_splits(spark, whole_max):
             assert r.value.startswith(f"S{r._line - 2:05d},")
 
 
+def odd_files():
+    """Names with glob characters and spaces, a byte-order mark, blank lines at the end."""
+    d = tempfile.mkdtemp(prefix="csv-odd-")
+    for name, text in [("day[1].csv", "h\n1\n"), ("day1.csv", "h\n2\n"), ("o k.csv", "h\n3\n"), ("a{b}*?.csv", "h\n4\n")]:
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text)
+    with open(os.path.join(d, "bom.csv"), "wb") as f:
+        f.write(b"\xef\xbb\xbfh\r\n5\r\n\r\n\r\n")
+    return d
+
+
+def test_paths_are_read_once_and_as_they_are(spark):
+    d = odd_files()
+    whole = [(r._line, r.value) for r in read_lines(spark, os.path.join(d, "*.csv")).collect()]
+    assert sorted(v for n, v in whole if n == 2) == ["1", "2", "3", "4", "5"]
+    assert sorted(v for n, v in whole if n == 1) == ["h"] * 5 and sorted(n for n, v in whole if v == "") == [3, 4]
+    assert sorted(whole) == sorted((r._line, r.value) for r in read_lines(spark, d).collect())
+    named = read_lines(spark, [literal_path(os.path.join(d, n)) for n in ("day[1].csv", "o k.csv", "a{b}*?.csv")])
+    assert sorted(r.value for r in named.where("_line = 2").collect()) == ["1", "3", "4"]
+    for missing in (os.path.join(d, "none.csv"), [os.path.join(d, "day1.csv"), os.path.join(d, "none.csv")], os.path.join(d, "*.txt")):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            read_lines(spark, missing)
+
+
 def test_good_plus_rejects_equals_data_lines(spark):
     d = tempfile.mkdtemp(prefix="csv-m-")
     _write(d, "a.csv", _corrupt_fixture())
