@@ -71,5 +71,6 @@ def contains_any(col, needles: Iterable[str]) -> Column:
 
 
 def first_word(col) -> Column:
-    """First whitespace-separated word of the trimmed value."""
-    return F.split(F.trim(as_col(col)), r"\s+").getItem(0)
+    """First word between white space, in the Unicode sense and with U+001C to
+    U+001F; empty if there is none."""
+    return F.regexp_extract(as_col(col), r"(?U)[^\s\x1c-\x1f]+", 0)

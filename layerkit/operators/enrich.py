@@ -106,15 +106,25 @@ def label_with_fallback(df: DataFrame, text: str, primary: Callable[[Column], Co
 
 def pandas_classifier(fn: Callable[[list[str]], list[str | None]]) -> Callable[[Column], Column]:
     """T4: wrap a provider call ``fn(texts) -> labels`` as an Arrow-batched
-    pandas UDF. A batch whose call raises yields NULL labels, so the
-    fallback of ``label_with_fallback`` takes over for those rows."""
+    pandas UDF. When a batch's call raises, its texts are sent one by one: a text
+    whose own call raises gets a NULL label, so that the fallback of
+    ``label_with_fallback`` takes over for it and for no other."""
     import pandas as pd
 
+    def _one(text):
+        try:
+            return fn([text])[0]
+        except Exception:  # whatever the provider raises: this text failed
+            return None
+
     def _classify(s):
         try:
-            return pd.Series(fn(s.tolist()), dtype="object")
+            labels = list(fn(s.tolist()))
+            if len(labels) != len(s):
+                raise ValueError(f"{len(labels)} labels for {len(s)} texts")
         except Exception:
-            return pd.Series([None] * len(s), dtype="object")
+            labels = [_one(text) for text in s]
+        return pd.Series(labels, dtype="object")
 
     # Real (not string) annotations: Spark infers the UDF kind from them.
     _classify.__annotations__ = {"s": pd.Series, "return": pd.Series}

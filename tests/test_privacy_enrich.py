@@ -4,7 +4,7 @@ from layerkit.operators import (
     exclusive_label, has_marker, keyword_label, label_with_fallback, list_pii, name_dictionary,
     pandas_classifier, pii_scan, redact, review_sheet, stratified_sample, tag,
 )
-from layerkit.operators.privacy import NRIC_PATTERN, collect_names
+from layerkit.operators.privacy import NRIC_PATTERN, redact_by_table
 
 
 def test_pii_scan_full_vs_contains(spark):
@@ -17,7 +17,7 @@ def test_pii_scan_full_vs_contains(spark):
 
 def test_name_dictionary_and_redaction(spark):
     students = spark.createDataFrame([("Wen Jie Tan",), ("Wei Ling",), ("Al Bo",), (None,)], "full_name string")
-    names = collect_names(name_dictionary(students, "full_name"))
+    names = [r.name for r in name_dictionary(students, "full_name").collect()]
     assert names[0] == "Wen Jie Tan" and "Wen" in names and "Wei" in names and "Al" not in names
     df = spark.createDataFrame([("wen jie tan went home; call +65 8000 0123 or a.b@x.com S1234567A",)], "t string")
     out = df.select(redact("t", names).alias("r")).first().r
@@ -119,34 +119,60 @@ def test_csv_timestamp_ntz_column(spark):
     assert sorted((r._line, r.column_name) for r in rej.collect()) == [(3, "at"), (4, "n")]
 
 
-def test_trie_regex_equals_sorted_alternation(spark):
-    # The prefix-tree regex must pick exactly what an alternation sorted
-    # longest-first picks, on random dictionaries and texts.
-    import random
+def one_at_a_time(text, names):
+    """Names replaced one after the other over the whole text, longest first."""
+    import re
+
+    for n in sorted(set(names), key=lambda n: (-len(n), n)):
+        text = re.compile(re.escape(n), re.IGNORECASE).sub("[NAME]", text)
+    return text
+
 
-    from layerkit.operators.privacy import _quote, names_pattern
+def test_overlapping_names_leave_nothing(spark):
+    names = ["Lee Ann Wong", "Ann Lee", "Lee", "Ann"]
+    df = spark.createDataFrame([(1, "Ann Lee Ann Wong spoke")], "id int, t string")
+    assert df.select(redact("t", names, patterns=()).alias("r")).first().r == "[NAME] [NAME] spoke"
+    table = spark.createDataFrame([(n,) for n in names], "n string")
+    assert redact_by_table(df, "id", "t", table, "n", "r", patterns=()).first().r == "[NAME] [NAME] spoke"
+
+
+def test_redaction_by_table_equals_one_at_a_time(spark):
+    import random
 
     rng = random.Random(7)
-    alphabet = "abAB ._k"
-    cases = []
-    for _ in range(60):
-        names = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randint(1, 4))).strip() or "a"
-                        for _ in range(rng.randint(1, 8))})
-        text = "".join(rng.choice(alphabet + "xy") for _ in range(rng.randint(0, 40)))
-        flat = "(?iu)(?:" + "|".join(_quote(n) for n in sorted(set(names), key=lambda s: (-len(s), s))) + ")"
-        cases.append((text, names_pattern(names), flat))
-    df = spark.createDataFrame(cases, "t string, trie string, flat string")
-    rows = df.select(F.regexp_replace("t", F.col("trie"), F.lit("<>")).alias("a"),
-                     F.regexp_replace("t", F.col("flat"), F.lit("<>")).alias("b")).collect()
-    assert all(r.a == r.b for r in rows), [r for r in rows if r.a != r.b][:3]
+    letters = "abAB ._kNamé"
+    names = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(1, 9))).strip() or "a" for _ in range(60)} | {"am", "Nam", "ß", "a\\Eb"})
+    texts = ["".join(rng.choice(letters + "xy") for _ in range(rng.randint(0, 60))) for _ in range(120)] + ["", "NAME", "a\\Eb am"]
+    df = spark.createDataFrame([(i % 100, t) for i, t in enumerate(texts)] + [(None, "Nam b"), (5, None)], "id int, t string")
+    table = spark.createDataFrame([(n,) for n in names] * 2 + [(None,), ("",)], "n string")
+    want = sorted((str(r.id), str(r.t), "None" if r.t is None else one_at_a_time(r.t, names)) for r in df.collect())
+    for limit in (1 << 30, 0):  # names broadcast; names shuffled
+        out = redact_by_table(df, "id", "t", table, "n", "r", patterns=(), broadcast_bytes=limit)
+        assert out.columns == ["id", "t", "r"]
+        assert sorted((str(r.id), str(r.t), str(r.r)) for r in out.collect()) == want
 
 
-def test_empty_dictionary(spark):
-    import pytest
+def test_patterns_use_unicode_white_space_and_digits(spark):
+    df = spark.createDataFrame([("+65\u00a09123\u00a04567 and +65\u0669\u0661\u0662\u06634567",)], "t string")
+    assert df.select(redact("t").alias("r")).first().r == "[PHONE] and [PHONE]"
+    names = spark.createDataFrame([("Wen\u00a0Jie",), ("\u2003Mei\x1cLing",)], "n string")
+    assert {"Wen", "Mei"} <= {r.name for r in name_dictionary(names, "n").collect()}
+
+
+def test_one_bad_text_fails_alone(spark):
+    df = spark.createDataFrame([(i, "poison" if i == 42 else "good") for i in range(100)], "id int, t string").coalesce(1)
 
-    from layerkit.operators.privacy import names_pattern
+    def provider(texts):
+        if "poison" in texts:
+            raise RuntimeError("refused")
+        return ["positive"] * len(texts)
 
-    with pytest.raises(ValueError):
-        names_pattern(["", ""])
-    df = spark.createDataFrame([("abc",)], "t string")
-    assert df.select(redact("t", [], patterns=()).alias("r")).first().r == "abc"
+    got = {r.id: r.label_source for r in label_with_fallback(df, "t", pandas_classifier(provider), exclusive_label).collect()}
+    assert [i for i, s in got.items() if s == "rules-v1"] == [42]
+
+
+def test_empty_dictionary(spark):
+    df = spark.createDataFrame([(1, "abc")], "id int, t string")
+    assert df.select(redact("t", ["", ""], patterns=()).alias("r")).first().r == "abc"
+    none = spark.createDataFrame([], "n string")
+    assert redact_by_table(df, "id", "t", none, "n", "r", patterns=()).first().r == "abc"
