@@ -8,6 +8,7 @@ A check yields its *failing rows*; it passes when there are none. Severity
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -21,6 +22,8 @@ from layerkit.operators.joins import orphan_keys
 
 Models = Mapping[str, DataFrame]
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class Check:
@@ -128,16 +131,20 @@ def run_checks(
     """Build models in declared order, test each after it is built (Q6, Q7).
 
     ``models`` maps name → ``(build(models_so_far) -> DataFrame, deps)``.
-    A model whose upstream has an ``error`` failure (or was skipped) is
-    skipped with all its checks. Models whose upstream is decided are built
+    A model whose upstream has an ``error`` failure, failed to build or was
+    skipped is skipped with all its checks. A model that fails to build (its
+    builder raises, or the first check that runs it does) has status ``error``
+    and its checks are skipped; the run goes on. Models whose upstream is decided are built
     and tested together; their check jobs run concurrently (up to
     ``max_concurrent_jobs`` Spark jobs). Returns the result table
     ``(node, kind, model, severity, failures, status)`` — one row per node,
-    status ``success | pass | warn | fail | skipped`` — and the built models.
+    status ``success | error | pass | warn | fail | skipped`` — and the built
+    models.
     Only per-check counts reach the driver.
     """
     built: dict[str, DataFrame] = {}
     blocked: set[str] = set()
+    errors: dict[str, str] = {}
     rows: dict[str, list] = {}
     by_model: dict[str, list[Check]] = {}
     for c in checks:
@@ -183,11 +190,20 @@ def run_checks(
                     continue
                 futures[name] = pool.submit(build_and_test, name, upstream, frozenset(blocked))
             for name, fut in futures.items():
-                built[name], tested = fut.result()
+                try:
+                    built[name], tested = fut.result()
+                except Exception as e:  # whatever a builder raises: this model failed
+                    errors[name] = f"{type(e).__name__}: {e}".splitlines()[0]
+                    blocked.add(name)
+                    rows[name] = [(name, "model", name, None, None, "error")] + [
+                        (c.name, "test", name, c.severity, None, "skipped") for c in by_model.get(name, [])]
+                    continue
                 rows[name] = [(name, "model", name, None, None, "success")] + tested
                 if any(r[5] == "fail" for r in tested):
                     blocked.add(name)
             pending = [m for m in pending if m not in wave]
+    for name, message in errors.items():
+        log.error("model %s failed to build: %s", name, message)
     ordered = [r for m in models for r in rows.get(m, [])]
     return spark.createDataFrame(ordered, RESULT_SCHEMA), built
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,54 +99,54 @@ def load_incremental(
 LOG_SUFFIX = "__loads"
 
 
+def _log_schema(wm_type: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField("rows", T.LongType()), T.StructField("watermark", wm_type),
+                         T.StructField("schema_json", T.StringType()), T.StructField("seq", T.LongType()),
+                         T.StructField("loaded_at", T.TimestampNTZType())])
+
+
 def load_log(spark: SparkSession, path: str) -> DataFrame | None:
     """The load log of a table written by ``append_incremental``: one row per
-    batch ``(_batch_id, rows, watermark, schema_json)``; None when absent."""
+    batch ``(_batch_id, rows, watermark, schema_json, seq, loaded_at)``; None
+    when absent."""
     return read_table(spark, path.rstrip("/") + LOG_SUFFIX)
 
 
-def _batch_partitions(spark: SparkSession, path: str) -> list[str] | None:
-    """Batch ids with a committed partition under ``path`` (a file listing, no
-    data read); None when the file system cannot be asked."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            return []
-        prefix = f"{BATCH_ID}="
-        return [st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
-                if st.isDirectory() and st.getPath().getName().startswith(prefix)]
-    except Exception:
-        return None
+def _partition(path: str, batch_id: str) -> str:
+    return f"{path.rstrip('/')}/{BATCH_ID}={batch_id}"
+
+
+def _batch_partitions(spark: SparkSession, path: str) -> list[str]:
+    """Batch ids with a partition under ``path``: a file listing, no data read."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    prefix = f"{BATCH_ID}="
+    return [st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
+            if st.isDirectory() and st.getPath().getName().startswith(prefix)]
 
 
-def _write_log_rows(spark: SparkSession, path: str, rows: list, wm_type: T.DataType) -> None:
-    schema = T.StructType([T.StructField(BATCH_ID, T.StringType()), T.StructField("rows", T.LongType()),
-                           T.StructField("watermark", wm_type), T.StructField("schema_json", T.StringType()),
-                           T.StructField("loaded_at", T.TimestampNTZType())])
-    (spark.createDataFrame(rows, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(BATCH_ID).parquet(path.rstrip("/") + LOG_SUFFIX))
-
-
-def _reconcile_log(spark: SparkSession, path: str, col: str) -> None:
-    """Give every committed batch partition a log row. A job lost after its
-    data commit but before its log write leaves a batch without one; its row
-    is rebuilt from that batch's partition alone (bounded by the batch)."""
-    parts = _batch_partitions(spark, path)
-    if not parts:
-        return
-    logged = _batch_partitions(spark, path.rstrip("/") + LOG_SUFFIX)
-    if logged is None:
-        log = load_log(spark, path)
-        logged = [] if log is None else [r[0] for r in log.select(BATCH_ID).distinct().collect()]
-    if not logged:
+def _write_log(spark: SparkSession, path: str, batch_id: str, rows: list, wm_type: T.DataType) -> None:
+    """Replace a batch's part of the log (no rows: the batch isn't logged)."""
+    log = spark.createDataFrame(rows, _log_schema(wm_type))
+    log.coalesce(1).write.mode("overwrite").parquet(_partition(path.rstrip("/") + LOG_SUFFIX, batch_id))
+
+
+def _reconcile_log(spark: SparkSession, path: str, col: str, skip: str) -> None:
+    """Give every batch partition a log row. A job lost after its data commit
+    but before its log write leaves a batch without one; its row is rebuilt
+    from that batch's partition alone (``skip``: the batch that is written next)."""
+    log = load_log(spark, path)
+    if log is None:
         return  # a table written without a log is read in full on the next load
-    for b in sorted(set(parts) - set(logged)):
-        part = spark.read.parquet(f"{path.rstrip('/')}/{BATCH_ID}={b}")
-        m = part.agg(F.count(F.lit(1)).alias("n"), F.max(col).alias("wm")).first()
-        _write_log_rows(spark, path, [(b, int(m["n"]), m["wm"], part.schema.json(), None)],
-                        part.schema[col].dataType)
+    logged = {r[0]: r[1] for r in log.select(BATCH_ID, "seq").collect()}  # one row per load ever run
+    seq = max(logged.values(), default=0)
+    for b in sorted(set(_batch_partitions(spark, path)) - set(logged) - {skip}):
+        part = spark.read.parquet(_partition(path, b))
+        m = part.agg(F.count(F.lit(1)).alias("n"), F.max(col).alias("wm"), F.max(INGESTED_AT).alias("at")).first()
+        seq += 1
+        _write_log(spark, path, b, [(int(m["n"]), m["wm"], part.schema.json(), seq, m["at"])], part.schema[col].dataType)
 
 
 def append_incremental(
@@ -159,64 +161,62 @@ def append_incremental(
     """Incremental append to a parquet table at ``path`` partitioned by
     ``_batch_id``.
 
-    * Each batch goes to its own partition with dynamic overwrite, so a rerun
-      of the same batch id replaces it instead of doubling it.
+    * Each batch is written to its own partition folder, which it replaces as a
+      whole: a rerun of the same batch id with more, fewer or no rows leaves
+      just the new ones.
     * A small load log next to the table (one row per batch: rows, newest
-      ``col``, schema) gives the watermark, the previous row count and the
+      ``col``, schema, order) gives the watermark, the previous row count and the
       previous schema without scanning the table: the cost of a load follows
       the new batch, not the table's history. Rows of the batch and its
       newest stamp are counted while writing (``observe``), not by a second job.
+    * The batch's log row is taken back before its data are replaced and written
+      after, so that a job lost in between leaves a batch without a log row,
+      which the next load rebuilds: table and log agree again.
     * New source columns are reported; older batches read them as NULL.
     """
     from pyspark.sql import Observation
 
-    _reconcile_log(spark, path, col)
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch_id):
+        raise ValueError("a batch id is made of letters, digits, '_', '.' and '-'")
+    wm_type = source.schema[col].dataType
+    _reconcile_log(spark, path, col, skip=batch_id)
     log = load_log(spark, path)
-    target = None if log is not None else read_table(spark, path)
+    seq = 1
     if log is not None:
         prev = log.where(F.col(BATCH_ID) != batch_id)
         agg = prev.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"), F.max("watermark").alias("wm"),
-                       F.max_by("schema_json", "loaded_at").alias("schema")).first()
-        before, wm = int(agg["n"]), agg["wm"] if agg["wm"] is not None else DEFAULT_WATERMARK
-        prev_schema = T.StructType.fromJson(__import__("json").loads(agg["schema"])) if agg["schema"] else None
+                       F.max_by("schema_json", "seq").alias("schema"), F.coalesce(F.max("seq"), F.lit(0)).alias("seq")).first()
+        before, wm, seq = int(agg["n"]), agg["wm"] if agg["wm"] is not None else DEFAULT_WATERMARK, int(agg["seq"]) + 1
+        prev_schema = T.StructType.fromJson(json.loads(agg["schema"])) if agg["schema"] else None
     else:  # first load, or a table written without a log: one scan
+        target = read_table(spark, path)
         before = 0 if target is None else target.count()
         wm = watermark(target, col)
         prev_schema = None if target is None else target.schema
     added = [] if prev_schema is None else evolve_schema(prev_schema, source)
+    _write_log(spark, path, batch_id, [], wm_type)
     obs = Observation(f"load_{batch_id}")
     batch = stamp(new_rows(source, col, wm), source_name, batch_id, at)
-    batch = batch.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(col).alias("wm"))
-    (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(BATCH_ID).parquet(path))
+    counted = batch.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(col).alias("wm"))
+    counted.drop(BATCH_ID).write.mode("overwrite").parquet(_partition(path, batch_id))
     m = obs.get
-    inserted, new_wm = int(m.get("rows", 0) or 0), m.get("wm")
     merged_schema = prev_schema or T.StructType([])
     for f_ in batch.schema.fields:
         if f_.name not in merged_schema.fieldNames():
             merged_schema = merged_schema.add(f_)
-    _write_log_rows(spark, path, [(batch_id, inserted, new_wm if new_wm is not None else wm,
-                                   merged_schema.json(), at)], source.schema[col].dataType)
+    inserted = int(m.get("rows", 0) or 0)
+    _write_log(spark, path, batch_id, [(inserted, m.get("wm"), merged_schema.json(), seq, at)], wm_type)
     return LoadResult(before, before + inserted, wm, [f.name for f in added])
 
 
-def path_exists(spark: SparkSession, path: str) -> bool | None:
-    """Whether ``path`` exists on its file system (None when it cannot be asked)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-    except Exception:  # Spark Connect: no JVM access
-        return None
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """Parquet table at ``path`` with merged schema, or None when absent."""
-    if path_exists(spark, path) is False:
+    if not path_exists(spark, path):
         return None
-    try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
-    except Exception as e:  # path does not exist yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
+    return spark.read.option("mergeSchema", "true").parquet(path)

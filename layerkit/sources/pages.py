@@ -8,7 +8,7 @@ client that lands them is not part of the library.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,24 +40,38 @@ def read_pages(spark: SparkSession, path: str, record_schema: T.StructType) -> D
     return records_from_pages(pages)
 
 
+def _problem(name: str, side: str) -> Column:
+    return F.struct(F.lit(name).alias("problem"), F.col(f"{side}.page_no").alias("page_no"), F.col(f"{side}.cursor").alias("cursor"))
+
+
 def chain_problems(pages: DataFrame) -> DataFrame:
     """Pages that break the cursor chain: ``(problem, page_no, cursor)``.
 
-    Exactly one first page (no cursor) and one last page (no next cursor);
-    every ``next_cursor`` must be the ``cursor`` of some page (anti join), and
-    no cursor may fetch two pages. Empty result = complete chain.
+    Exactly one first page (no cursor) and one last page (no next cursor); every
+    ``next_cursor`` must be the ``cursor`` of some page; every page but the first
+    must be the next one of another page; no cursor may fetch two pages, and no
+    two pages may name the same next one. Empty result = complete chain.
+
+    The pages' data aren't read: one pass takes the three small columns, and one
+    aggregate by cursor brings together the page that a cursor fetched and the
+    page that named it.
     """
-    c = pages.agg(F.count_if(F.col("cursor").isNull()).alias("nf"),
-                  F.count_if(F.col("next_cursor").isNull()).alias("nl")).first()
-    firsts = pages.where(F.col("cursor").isNull() & F.lit(c["nf"] != 1))
-    lasts = pages.where(F.col("next_cursor").isNull() & F.lit(c["nl"] != 1))
-    extra_first = firsts.select(F.lit("first page not unique").alias("problem"), "page_no", "cursor")
-    extra_last = lasts.select(F.lit("last page not unique").alias("problem"), "page_no", "cursor")
-    targets = pages.where(F.col("cursor").isNotNull()).select(F.col("cursor").alias("next_cursor")).distinct()
-    dangling = (pages.where(F.col("next_cursor").isNotNull())
-                .join(targets, "next_cursor", "left_anti")
-                .select(F.lit("next cursor has no page").alias("problem"), "page_no", "cursor"))
-    dup = (pages.where(F.col("cursor").isNotNull()).groupBy("cursor")
-           .agg(F.min("page_no").alias("page_no"), F.count(F.lit(1)).alias("n")).where("n > 1")
-           .select(F.lit("cursor fetched twice").alias("problem"), "page_no", "cursor"))
-    return extra_first.unionByName(extra_last).unionByName(dangling).unionByName(dup)
+    small = pages.select("page_no", "cursor", "next_cursor")
+    fetched = small.select(F.col("cursor").alias("key"), F.lit(1).alias("is_page"), "page_no", "cursor", F.col("next_cursor").eqNullSafe(F.col("cursor")).alias("self"))
+    named = small.select(F.col("next_cursor").alias("key"), F.lit(0).alias("is_page"), "page_no", "cursor", F.lit(False).alias("self"))
+    page, link = F.col("is_page") == 1, (F.col("is_page") == 0)
+    by_key = fetched.unionByName(named).groupBy("key").agg(
+        F.count_if(page).alias("pages"), F.count_if(link).alias("links"), F.count_if(page & F.col("self") & F.col("key").isNotNull()).alias("selves"),
+        F.min(F.when(page, F.struct("page_no", "cursor"))).alias("page"), F.min(F.when(link, F.struct("page_no", "cursor"))).alias("link"))
+    key, n, m = F.col("key"), F.col("pages"), F.col("links")
+    others = m - F.col("selves")
+    found = F.array_compact(F.array(
+        F.when(key.isNull() & (n > 1), _problem("first page not unique", "page")),
+        F.when(key.isNull() & (n == 0), _problem("no first page", "link")),
+        F.when(key.isNull() & (m > 1), _problem("last page not unique", "link")),
+        F.when(key.isNull() & (m == 0), _problem("no last page", "page")),
+        F.when(key.isNotNull() & (n == 0), _problem("next cursor has no page", "link")),
+        F.when(key.isNotNull() & (n > 1), _problem("cursor fetched twice", "page")),
+        F.when(key.isNotNull() & (n > 0) & (others == 0), _problem("no page leads here", "page")),
+        F.when(key.isNotNull() & (m > 1), _problem("named by two pages", "link"))))
+    return by_key.select(F.inline(found))

@@ -116,3 +116,19 @@ def test_check_reading_a_failed_model_is_skipped(spark):
     assert st["unique_parent_k"] == "fail"
     assert st["relationships_child_k__parent_k"] == "skipped"
     assert st["child"] == "success" and st["not_null_child_k"] == "pass"
+
+
+def test_build_error_is_a_status_and_the_run_goes_on(spark):
+    df = spark.range(3).withColumnRenamed("id", "k")
+
+    def broken(m):
+        raise RuntimeError("no source")
+
+    models = {"a": (lambda m: df, []), "b": (broken, ["a"]), "c": (lambda m: m["b"], ["b"]), "d": (lambda m: m["a"], ["a"]),
+              "e": (lambda m: m["a"].selectExpr("1 / (k - k) as x", "assert_true(k < 0) as y"), ["a"])}
+    checks = [unique("a", "k"), unique("b", "k"), unique("c", "k"), not_null("d", "k"), not_null("e", "y")]
+    results, built = run_checks(spark, models, checks)
+    got = {r.node: r.status for r in results.collect()}
+    assert got == {"a": "success", "unique_a_k": "pass", "b": "error", "unique_b_k": "skipped", "c": "skipped", "unique_c_k": "skipped",
+                   "d": "success", "not_null_d_k": "pass", "e": "error", "not_null_e_y": "skipped"}
+    assert set(built) == {"a", "d"}

@@ -75,7 +75,29 @@ def test_chain_problem_kinds(spark):
         ('{"page_no":3,"cursor":"a","data":[],"next_cursor":null}',),     # cursor used twice, second last page
     ], "j string"), "j", rec)
     kinds = sorted({r.problem for r in chain_problems(pages).collect()})
-    assert kinds == ["cursor fetched twice", "first page not unique", "last page not unique"]
+    assert kinds == ["cursor fetched twice", "first page not unique", "last page not unique", "named by two pages"]
+
+
+def test_unreachable_pages_are_reported(spark):
+    from layerkit.sources import chain_problems
+
+    rows = [(0, None, "c1"), (1, "c1", None), (7, "c7", "c7")]
+    pages = spark.createDataFrame(rows, "page_no long, cursor string, next_cursor string")
+    assert [tuple(r) for r in chain_problems(pages).collect()] == [("no page leads here", 7, "c7")]
+    assert chain_problems(pages.where("page_no < 2")).count() == 0 and chain_problems(pages.where("page_no > 9")).count() == 0
+
+
+def test_shared_folder_must_be_set_on_a_cluster():
+    import types
+
+    import pytest
+
+    from layerkit.session import shared_dir
+
+    conf = types.SimpleNamespace(get=lambda key, default=None: default)
+    for master in ("local-cluster[2,1,1024]", "yarn", "spark://h:7077", "k8s://h"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(types.SimpleNamespace(conf=conf, sparkContext=types.SimpleNamespace(master=master)))
 
 
 def test_count_by_global_and_row_counts(spark):
