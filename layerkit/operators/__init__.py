@@ -16,10 +16,10 @@ from layerkit.operators.incremental import (
     LoadResult, append_incremental, empty_like, evolve_schema, insert_by_name, load_incremental,
     new_rows, watermark,
 )
-from layerkit.operators.joins import keep_known, lookup, orphan_keys, orphans, sized_broadcast
+from layerkit.operators.joins import keep_known, lookup, orphan_keys, orphans
 from layerkit.operators.model import at_risk, dim_date, fact, role_view
 from layerkit.operators.privacy import (
-    collect_names, leak_found, list_pii, name_dictionary, pii_scan, pii_scan_namespaces, redact, redact_frame, tag,
+    leak_found, list_pii, name_dictionary, pii_scan, pii_scan_namespaces, redact, redact_by_table, tag,
 )
 from layerkit.operators.stamp import new_batch_id, stamp
 

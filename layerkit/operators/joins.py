@@ -1,4 +1,4 @@
-"""Joins: size-checked broadcast, lookups, semi and anti joins."""
+"""Joins: lookups, semi and anti joins."""
 
 from __future__ import annotations
 
@@ -7,63 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bounds a side must satisfy to be broadcast by ``sized_broadcast``.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def _row_bytes(df: DataFrame):
-    """Per-row byte size: actual length of strings/binaries, fixed size otherwise."""
-    from pyspark.sql import types as T
-
-    fixed = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4,
-             T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16}
-    parts = []
-    for f in df.schema.fields:
-        c, t = F.col(f"`{f.name}`"), f.dataType
-        if isinstance(t, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        elif type(t) in fixed:
-            parts.append(F.lit(fixed[type(t)]))
-        else:  # nested: size of its JSON form as an estimate
-            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
-    out = F.lit(8)
-    for p in parts:
-        out = out + p
-    return out
-
-
-def broadcast_fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
-    One bounded pass: ``limit`` stops after ``max_rows + 1`` rows."""
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                   F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).first()
-    return r["n"] <= max_rows and r["b"] <= max_bytes
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast-hint ``df`` only after proving it small (rows AND bytes, see
-    ``broadcast_fits``). Beyond the bounds the side is returned unhinted and
-    Catalyst/AQE choose a shuffle join (AQE may still switch to broadcast at
-    runtime from real shuffle sizes)."""
-    return F.broadcast(df) if broadcast_fits(df, max_rows, max_bytes) else df
-
-
 def _on(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def lookup(df: DataFrame, dim: DataFrame, on, keep_orphans: bool = True,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, on, keep_orphans: bool = True) -> DataFrame:
     """Left (or inner) equi-join USING ``on``; orphans keep NULL dimension columns.
 
-    The dimension side is broadcast only after its size check.
-    """
-    return df.join(sized_broadcast(dim, max_broadcast_rows, max_broadcast_bytes), _on(on),
-                   "left" if keep_orphans else "inner")
+    No hint: Catalyst broadcasts a dimension whose size it knows to be small,
+    and AQE decides from real shuffle sizes otherwise."""
+    return df.join(dim, _on(on), "left" if keep_orphans else "inner")
 
 
 def keep_known(df: DataFrame, parent: DataFrame, on, parent_on: Sequence[str] | str | None = None) -> DataFrame:

@@ -16,15 +16,13 @@ def dim_date(df: DataFrame, date_col: str, out_col: str = "date_day") -> DataFra
 
     ``min``/``max`` is one global aggregate (partial per task); the one-row
     bounds relation is exploded with ``sequence`` (NULL bounds → no rows). The
-    output size is the day span of the data, not the row count, and the
-    exploded days are spread over the shuffle partitions before the calendar
-    attributes are computed.
+    output size is the day span of the data, not the row count: a few thousand
+    days in one task, without a shuffle.
     """
     bounds = df.agg(F.min(F.col(date_col).cast("date")).alias("lo"),
                     F.max(F.col(date_col).cast("date")).alias("hi"))
     days = bounds.where(F.col("lo").isNotNull()).select(
         F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias(out_col))
-    days = days.repartition(out_col)
     d = F.col(out_col)
     return days.select(
         d,

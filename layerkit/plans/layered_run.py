@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 
 from layerkit.functions import indicator
 from layerkit.operators import (
-    accepted_values, append_incremental, assertion, audit_row, clean_facts, collect_names, current_dim,
+    accepted_values, append_incremental, assertion, audit_row, clean_facts, current_dim,
     dim_date, exclusive_label, fact, has_marker, keyword_label, label_with_fallback, latest_by, lookup,
-    name_dictionary, not_null, redact, relationships, replace_partition, review_sheet, run_checks,
+    name_dictionary, not_null, redact_by_table, relationships, replace_partition, review_sheet, run_checks,
     stamp, stratified_sample, summarize, unique,
 )
 from layerkit.operators.incremental import read_table
@@ -80,10 +80,10 @@ class RunConfig:
     loaded_at: dt.datetime              # one driver-side time for the whole run
     feedback_csv: str | None = None
     sample_seed: int = 20260918
-    # "view": Silver is recomputed by every consumer (the reference's choice);
     # "table": each Silver model is written once and read back, so its tests
-    # and the Gold models reuse it instead of re-running dedup and joins.
-    silver_kind: str = "view"
+    # and the Gold models reuse it instead of re-running dedup and joins;
+    # "view": Silver is recomputed by every consumer.
+    silver_kind: str = "table"
     extra: dict = field(default_factory=dict)
 
 
@@ -176,13 +176,12 @@ def data_tests() -> list:
 
 
 def label_feedback(spark: SparkSession, cfg: RunConfig, students: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Redact before classifying, keep only the redacted text, label with the
-    keyword classifier (fallback rule when it yields nothing), sample 20 rows
-    for review. The name dictionary is size-checked before it becomes a regex."""
-    fb = spark.read.csv(cfg.feedback_csv, header=True, schema=FEEDBACK_SCHEMA, mode="PERMISSIVE")
-    names = collect_names(name_dictionary(students, "full_name"))
-    red = fb.select("feedback_id", "student_id", "module_code", "comment",
-                    redact("comment", names).alias("comment_redacted"))
+    """Quarantine malformed feedback lines, redact before classifying, keep only
+    the redacted text, label with the keyword classifier (fallback rule when it
+    yields nothing), sample 20 rows for review."""
+    fb, _ = load_csv_quarantined(spark, cfg.feedback_csv, FEEDBACK_SCHEMA, _p(cfg, "bronze", "file_feedback_load"))
+    names = name_dictionary(students, "full_name")
+    red = redact_by_table(fb.select("feedback_id", "student_id", "module_code", "comment"), "feedback_id", "comment", names, "name", "comment_redacted")
     labelled = label_with_fallback(red, "comment_redacted", keyword_label, exclusive_label)
     enriched = labelled.select("feedback_id", "student_id", "module_code", "comment_redacted", "label",
                                "label_source", "needs_review",

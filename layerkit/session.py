@@ -7,6 +7,7 @@ Operators never read the wall clock: ``as_of``, ``batch_id``, ``salt`` and
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -51,11 +52,15 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and scratch tables.
 
-    Read from ``spark.checkpoint.dir``. Only when it is unset (local runs,
-    tests) a fresh folder is made and set on the session.
+    Read from ``spark.checkpoint.dir``. Only when it is unset on a local master
+    (one machine: tests, trials) a fresh folder is made and set on the session;
+    on a cluster a machine-local folder would be another one on each executor,
+    so an unset option raises.
     """
     d = spark.conf.get(CHECKPOINT_CONF, None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="layerkit-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
     try:

@@ -106,17 +106,6 @@ def test_try_cast_text_matches_try_cast(spark):
         assert a == b, t
 
 
-def test_broadcast_bounds_rows_and_bytes(spark):
-    from layerkit.operators.joins import broadcast_fits
-
-    small = spark.createDataFrame([(1, "a" * 10)] * 5, "k int, s string")
-    assert broadcast_fits(small, max_rows=5, max_bytes=1000)
-    assert not broadcast_fits(small, max_rows=4, max_bytes=1000)      # too many rows
-    assert not broadcast_fits(small, max_rows=5, max_bytes=50)        # too many bytes
-    wide = spark.createDataFrame([(1, "x" * 100_000)], "k int, s string")
-    assert not broadcast_fits(wide, max_rows=10, max_bytes=64 * 1024)
-
-
 def test_clean_facts_ignores_duplicated_input(spark):
     from layerkit.plans.queries import active_customers, bronze_visits
 
