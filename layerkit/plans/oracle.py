@@ -51,7 +51,7 @@ lines AS (
 FILES = """
 k AS (
   SELECT event_id % 50 AS kind,
-         'visits_' || CAST(CAST(ts AS DATE) AS VARCHAR) || '_' || lpad(CAST(event_id % 4 AS VARCHAR), 2, '0') AS file_key,
+         'visits_' || lpad(CAST(event_id // 2000 AS VARCHAR), 8, '0') AS file_key,
          event_id,
          'U' || CAST(user_id AS VARCHAR) AS sid, CAST(CAST(ts AS DATE) AS VARCHAR) AS d,
          event_type AS m, upper(event_type) AS st
@@ -94,25 +94,30 @@ def _exclusive_sql(text: str, pos, neg) -> str:
     return f"(CASE WHEN {hp} AND NOT {hn} THEN 'positive' WHEN {hn} AND NOT {hp} THEN 'negative' ELSE 'neutral' END)"
 
 
-REDACT_SQL = (
-    "regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, "
-    "'(?i)(?:There|Ther|Thnt|Tion|the)', '[NAME]', 'g'), "
-    "'[STFGM][0-9]{7}[A-Z]', '[NRIC]', 'g'), "
-    "'\\+?[0-9]{2} ?[0-9]{4} ?[0-9]{4}', '[PHONE]', 'g'), "
-    "'[A-Za-z0-9._+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}', '[EMAIL]', 'g')"
-)
+def _redact_sql() -> str:
+    """One name after the other, longest first, then the patterns."""
+    out = "text"
+    for name in ("There", "Ther", "Thnt", "Tion", "the"):
+        out = f"regexp_replace({out}, '(?i){name}', '[NAME]', 'g')"
+    for pattern, mark in (("[STFGM][0-9]{7}[A-Z]", "[NRIC]"), ("\\+?[0-9]{2} ?[0-9]{4} ?[0-9]{4}", "[PHONE]"),
+                          ("[A-Za-z0-9._+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}", "[EMAIL]")):
+        out = f"regexp_replace({out}, '{pattern}', '{mark}', 'g')"
+    return out
 
 
-def _labelled_docs() -> str:
+REDACT_SQL = _redact_sql()
+
+
+def _labelled_docs(ok: str = "doc_id % 7 <> 0") -> str:
     _, _, prim = _label_sql("r", Q.DOC_POSITIVE, Q.DOC_NEGATIVE, Q.DOC_PHRASES)
     fb = _exclusive_sql("r", Q.FALLBACK_POS, Q.FALLBACK_NEG)
     return f"""
 red AS (SELECT doc_id, text, {REDACT_SQL} AS r FROM documents),
 labelled AS (
   SELECT doc_id, text, r AS text_redacted,
-         CASE WHEN length(r) <= {Q.PRIMARY_MAX_CHARS} THEN {prim} ELSE {fb} END AS label,
-         CASE WHEN length(r) <= {Q.PRIMARY_MAX_CHARS} THEN '{"offline-stub-v1"}' ELSE 'rules-v1' END AS label_source,
-         NOT (length(r) <= {Q.PRIMARY_MAX_CHARS}) AS needs_review
+         CASE WHEN {ok} THEN {prim} ELSE {fb} END AS label,
+         CASE WHEN {ok} THEN 'offline-stub-v1' ELSE 'rules-v1' END AS label_source,
+         NOT ({ok}) AS needs_review
   FROM red)"""
 
 
@@ -180,9 +185,18 @@ def _freshness_sql(source: str, table: str, col: str, as_of) -> str:
             f"WHEN {age} / 1000000 > 86400 THEN 'warn' ELSE 'pass' END AS status FROM {table}")
 
 
+CONTACTS = """
+contacts AS (
+  SELECT CASE k WHEN 0 THEN nric WHEN 1 THEN 'see ' || nric WHEN 2 THEN nric || chr(10) ELSE substr(nric, 1, length(nric) - 4) END AS id_text,
+         CASE k WHEN 0 THEN mail WHEN 1 THEN 'see ' || mail WHEN 2 THEN mail || chr(10) ELSE substr(mail, 1, length(mail) - 4) END AS mail_text,
+         CASE k WHEN 0 THEN phone WHEN 1 THEN 'see ' || phone WHEN 2 THEN phone || chr(10) ELSE substr(phone, 1, length(phone) - 4) END AS phone_text
+  FROM (SELECT c_custkey % 4 AS k, 'S' || lpad(CAST(c_custkey % 10000000 AS VARCHAR), 7, '0') || 'A' AS nric,
+               'c' || CAST(c_custkey AS VARCHAR) || '@mail.example' AS mail,
+               '65 8000 ' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS phone FROM customer))"""
+
+
 def _pii_sql(mode: str) -> str:
-    tables = {"documents": ["text", "lang", "source"], "customer": ["c_name", "c_mktsegment"],
-              "conversations": ["role", "text"]}
+    tables = Q.TEXT_COLUMNS | {"contacts": ["id_text", "mail_text", "phone_text"]}
     fn = "regexp_full_match" if mode == "full" else "regexp_matches"
     parts = []
     for t, cols in tables.items():
@@ -190,7 +204,7 @@ def _pii_sql(mode: str) -> str:
             for pname, p in Q.QUERY_PATTERNS.items():
                 parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{pname}' AS pattern_name, "
                              f"count(*) FILTER (WHERE {fn}({c}, '{p}')) AS hits FROM {t}")
-    return "\nUNION ALL ".join(parts)
+    return f"WITH {CONTACTS}\n" + "\nUNION ALL ".join(parts)
 
 
 RUN_HISTORY = """
@@ -261,11 +275,24 @@ WHERE rn = 1
 SELECT * FROM events
 WHERE ts > (SELECT coalesce(max(ts), TIMESTAMP '1900-01-01 00:00:00') FROM events WHERE ts <= {c2})""",
         "incremental_runs": f"""
-SELECT event_id, ts, user_id,
-       CASE WHEN ts < {c1} THEN {l0} ELSE {l1} END AS _ingested_at,
+SELECT event_id, ts, user_id, event_type, value, props,
+       CASE WHEN ts < {c1} THEN {l0} WHEN ts < {c2} THEN {l1} ELSE {l2} END AS _ingested_at,
        'events' AS _source_file,
-       CASE WHEN ts < {c1} THEN 'b1' ELSE 'b2' END AS _batch_id
-FROM events WHERE ts < {c2}""",
+       CASE WHEN ts < {c1} THEN 'b1' WHEN ts < {c2} THEN 'b2' ELSE 'b3' END AS _batch_id
+FROM events""",
+        "incremental_table": f"""
+SELECT event_id, ts, user_id, event_type, value, props,
+       CASE WHEN ts < {c2} THEN NULL ELSE 'c' || CAST(user_id % 3 AS VARCHAR) END AS channel,
+       CASE WHEN ts < {c1} THEN {l0} WHEN ts < {c2} THEN {l1} ELSE {l2} END AS _ingested_at,
+       'events' AS _source_file,
+       CASE WHEN ts < {c1} THEN 'b1' WHEN ts < {c2} THEN 'b2' ELSE 'b3' END AS _batch_id
+FROM events""",
+        "incremental_results": f"""
+WITH n AS (SELECT count(*) FILTER (WHERE ts < {c1}) AS a, count(*) FILTER (WHERE ts < {c2}) AS b, count(*) AS c FROM events)
+SELECT 1 AS run, CAST(0 AS BIGINT) AS rows_before, a AS rows_after, a AS inserted, '' AS added FROM n
+UNION ALL SELECT 2, a, b, b - a, '' FROM n
+UNION ALL SELECT 3, b, c, c - b, 'channel' FROM n
+UNION ALL SELECT 4, b, c, c - b, 'channel' FROM n""",
         "drift_union": f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CAST(NULL AS VARCHAR) AS o_orderpriority
 FROM orders WHERE o_orderdate < TIMESTAMP '{Q.DRIFT_DATE}'
@@ -314,17 +341,20 @@ WITH {FILES}
 SELECT file_key, student_id, class_date, module_code, status, {l0} AS _ingested_at
 FROM ({GOOD_FROM_LINES})""",
         "paged_records": """
-SELECT event_id AS record_id, user_id, event_type, value, ts AS updated_at,
+SELECT event_id AS record_id, user_id, event_type, value, CASE WHEN event_id % 50 = 9 THEN NULL ELSE ts END AS updated_at,
        CAST(floor(event_id / 50) AS BIGINT) AS page_no
 FROM events""",
         "mask_customer": f"SELECT c_custkey, {mask} AS name_hash FROM customer",
         "dim_customer": f"""
-SELECT c.c_custkey, {mask} AS name_hash, c.c_nationkey, c.c_mktsegment, n.n_name
-FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey AND n.n_regionkey < 4""",
+WITH v AS (SELECT customer.*, unnest(range(0, CAST(c_custkey % 4 AS BIGINT) + 1)) AS version FROM customer),
+c AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY version DESC) AS rn FROM v)
+SELECT c.c_custkey, {mask} AS name_hash, c.c_nationkey, c.c_mktsegment || '-' || CAST(version AS VARCHAR) AS c_mktsegment, n.n_name
+FROM (SELECT * FROM c WHERE rn = 1) c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey AND n.n_regionkey < 4""",
         "minimised_orders": "SELECT o_orderkey, o_custkey, o_orderdate AS order_date, o_orderstatus FROM orders",
         "cast_orders": """
 SELECT o_orderkey, TRY_CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, TRY_CAST(o_orderdate AS DATE) AS o_orderdate,
-       TRY_CAST(o_orderstatus AS INTEGER) AS o_orderstatus
+       TRY_CAST(CASE o_orderkey % 5 WHEN 0 THEN o_orderstatus WHEN 1 THEN '-' || CAST(o_custkey AS VARCHAR) WHEN 2 THEN '3000000000'
+                WHEN 3 THEN '' ELSE CAST(o_custkey AS VARCHAR) END AS INTEGER) AS o_code
 FROM orders""",
         "dim_date": """
 WITH b AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders),
@@ -388,8 +418,11 @@ SELECT DISTINCT name FROM (
     SELECT regexp_split_to_array(trim(p_name), '\\s+')[1] AS fw FROM part WHERE p_name IS NOT NULL AND length(p_name) > 0)
   WHERE length(fw) >= 3)""",
         "label_documents": f"SELECT doc_id, {dp} AS pos_hits, {dn} AS neg_hits, {doc_label} AS label FROM documents",
-        "label_conversations": f"SELECT conv_id, turn, {cp} AS pos_hits, {cn} AS neg_hits, {cl} AS label FROM conversations",
+        "label_conversations": f"""
+WITH c AS (SELECT conv_id, turn, role, text || '. ' || [{_strs(Q.SAID)}][(conv_id + turn) % {len(Q.SAID)} + 1] AS text FROM conversations)
+SELECT conv_id, turn, role, {cp} AS pos_hits, {cn} AS neg_hits, {cl} AS label FROM c""",
         "label_with_fallback": f"WITH {_labelled_docs()}\nSELECT doc_id, label, label_source, needs_review FROM labelled",
+        "label_outage": f"WITH {_labelled_docs('false')}\nSELECT doc_id, label, label_source, needs_review FROM labelled",
         "marker_flag": f"SELECT doc_id, {_marker_sql('text')} AS flagged FROM documents",
         "review_sample": f"""
 WITH {_labelled_docs()},
@@ -421,7 +454,7 @@ SELECT 'run-1' AS run_id, 'daily' AS dag_id, {_ts(Q.RUN_AT)} AS recorded_at,
 FROM summary""",
         "audit_replace": f"""
 SELECT 'r1' AS run_id, 'daily' AS dag_id, {l2} AS recorded_at,
-       (SELECT count(*) FROM events WHERE ts < TIMESTAMP '2024-01-25 00:00:00') AS rows_events,
+       (SELECT count(*) FROM events) AS rows_events,
        (SELECT count(*) FROM orders) AS rows_orders, CAST(NULL AS BIGINT) AS rows_quarantined
 UNION ALL
 SELECT 'r2', 'daily', {l1}, (SELECT count(*) FROM events WHERE ts < {c2}), (SELECT count(*) FROM orders),
@@ -433,8 +466,13 @@ d AS (SELECT run_id, dag_id, rows_users,
              rows_users - lag(rows_users) OVER (PARTITION BY dag_id ORDER BY recorded_at, run_id) AS delta_rows_users
       FROM hist)
 SELECT run_id, dag_id, rows_users, delta_rows_users, coalesce(delta_rows_users = 0, false) AS stalled FROM d""",
-        "adhoc_sql": Q.ADHOC_SQL,
+        "adhoc_sql": """
+WITH g AS (SELECT o_orderpriority, count(*) AS n_orders, count(*) FILTER (WHERE o_orderstatus = 'F') AS n_finished, avg(o_totalprice) AS price
+           FROM orders GROUP BY o_orderpriority)
+SELECT o_orderpriority, n_orders, n_finished FROM g WHERE n_orders > 100 OR price < 1000""",
     }
-    sql["incremental_table"] = sql["incremental_runs"]
+    from layerkit.plans.oracle_more import more_sql
+
+    sql |= more_sql()
     sql["role_view"] = f"SELECT c_custkey, avg_price_cents FROM ({sql['at_risk_customers']})"
     return sql

@@ -60,9 +60,13 @@ from layerkit.operators import (
     unique,
 )
 from layerkit.operators.enrich import keyword_scores
+from layerkit.operators.privacy import EMAIL_PATTERN, NRIC_PATTERN
 from layerkit.functions.text import token_set
 from layerkit.session import scratch_path, spread
-from layerkit.sources import pages_from_json, parse_csv_lines, records_from_pages, reject_report
+from layerkit.operators.incremental import new_rows
+from layerkit.sources import (
+    chain_problems, pages_from_json, parse_csv_lines, parse_csv_outcomes, records_from_pages, reject_report,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,11 +82,7 @@ DRIFT_DATE = "1998-01-01 00:00:00"
 AVG_PRICE_BOUND = 100000.0
 RETURNS_BOUND = 20
 DISCOUNT_RANGE = (0.0, 0.09)
-QUERY_PATTERNS = {
-    "email": "[A-Za-z0-9._+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}",
-    "phone": "\\+?[0-9]{2} ?[0-9]{4} ?[0-9]{4}",
-    "nric": "[STFGM][0-9]{7}[A-Z]",
-}
+QUERY_PATTERNS = {"email": EMAIL_PATTERN, "phone": "\\+?[0-9]{2} ?[0-9]{4} ?[0-9]{4}", "nric": NRIC_PATTERN}
 REDACT_NAMES = ("Tion", "Ther", "There", "Thnt", "the")
 REDACT_PATTERNS = (
     (QUERY_PATTERNS["nric"], "[NRIC]"),
@@ -96,7 +96,8 @@ DOC_NEGATIVE = ("thth", "than", "thre", "que", "thnt", "thes")
 DOC_PHRASES = ("and the",)
 FALLBACK_POS = ("tion", "from")
 FALLBACK_NEG = ("thth", "que")
-PRIMARY_MAX_CHARS = 8000
+# The stand-in provider fails on every seventh document.
+PRIMARY_FAILS_EVERY = 7
 DOC_MARKERS = (" und ", " des ")
 SAMPLE_SEED = 20260918
 FRESH_AS_OF = {"events": dt.datetime(2024, 1, 31, 6), "events_late": dt.datetime(2024, 2, 1, 12),
@@ -153,7 +154,10 @@ def active_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CSV_HEADER = "student_id,class_date,module_code,status"
-FILE_BUCKETS = 4
+# Lines of one landed file: more data, more files.
+FILE_ROWS = 2000
+# Splits of landed files: small, so that every file has several.
+SPLIT_BYTES = "16k"
 
 
 def _csv_text() -> Column:
@@ -184,32 +188,44 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(headers)
 
 
-_LANDED: dict[tuple[str, str], str] = {}
+def land_lines(rows: DataFrame, header: str, out: str) -> None:
+    """Write ``(file_key, __ord, value)`` as text files under ``out``, one for
+    each key: a header, then the lines in order."""
+    headers = rows.select("file_key").distinct().select("file_key", F.lit(-1).cast("long").alias("__ord"), F.lit(header).alias("value"))
+    (rows.unionByName(headers).repartition("file_key").sortWithinPartitions("file_key", "__ord")
+         .select("file_key", "value").write.partitionBy("file_key").text(out))
 
 
 def landed_csv_files(spark: SparkSession, sf_dir: str) -> str:
     """Write the derived CSV text as real files into the shared scratch folder
-    and return the folder: one file per (day, bucket) — a header, then the
-    lines in ``event_id`` order — under ``file_key=<key>/``. The files are
-    input data: written once per session and data folder, then reused."""
-    from layerkit.operators.incremental import path_exists
-
-    memo = (spark.sparkContext.applicationId, sf_dir)
-    if memo in _LANDED and path_exists(spark, _LANDED[memo]):
-        return _LANDED[memo]
+    and return the folder: ``FILE_ROWS`` events a file, in ``event_id`` order,
+    under ``file_key=<key>/``."""
     e = _t(spark, sf_dir, "events")
-    key = F.concat(F.lit("visits_"), F.col("ts").cast("date").cast("string"), F.lit("_"),
-                   F.lpad((F.col("event_id") % FILE_BUCKETS).cast("string"), 2, "0"))
-    rows = e.select(key.alias("file_key"), F.col("event_id").alias("__ord"), _csv_text().alias("value"))
-    headers = rows.select("file_key").distinct().select("file_key", F.lit(-1).cast("long").alias("__ord"),
-                                                        F.lit(CSV_HEADER).alias("value"))
+    number = F.floor(F.col("event_id") / FILE_ROWS).cast("string")
     out = scratch_path(spark, "landed")
-    (rows.unionByName(headers).repartition("file_key").sortWithinPartitions("file_key", "__ord")
-         .select("file_key", "value").write.partitionBy("file_key").text(out))
-    _LANDED[memo] = out
+    land_lines(e.select(F.concat(F.lit("visits_"), F.lpad(number, 8, "0")).alias("file_key"), F.col("event_id").alias("__ord"),
+                        _csv_text().alias("value")), CSV_HEADER, out)
     return out
 
 
+def small_splits(spark: SparkSession) -> SparkSession:
+    """A session whose file reads have splits of ``SPLIT_BYTES``."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    other.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
+    return other
+
+
+def loaded_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed files, read in several splits each, parsed and written once with
+    their outcome; read back whole."""
+    from layerkit.sources import load_csv_quarantined
+
+    out = scratch_path(spark, "csv_load")
+    load_csv_quarantined(small_splits(spark), f"{landed_csv_files(spark, sf_dir)}/file_key=*/*.txt", CSV_SCHEMA, out)
+    return spark.read.parquet(out)
+
+
 def _file_key(col: str = "_source_file") -> Column:
     return F.regexp_extract(F.col(col), "file_key=([^/]+)/", 1)
 
@@ -220,7 +236,8 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _t(spark, sf_dir, "events")
     last = e.agg(F.max(F.floor(F.col("event_id") / 50)).alias("m")).first()["m"]
     rec = F.struct(F.col("event_id").alias("record_id"), "user_id", "event_type", "value",
-                   F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("updated_at"))
+                   F.when(F.col("event_id") % 50 == 9, F.concat(F.lit("on "), F.col("user_id").cast("string")))
+                   .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("updated_at"))
     pages = e.groupBy(F.floor(F.col("event_id") / 50).alias("page_no")).agg(
         F.array_sort(F.collect_list(rec)).alias("data"))
     cursor = F.when(F.col("page_no") == 0, F.lit(None).cast("string")).otherwise(
@@ -310,26 +327,48 @@ def q_incremental_events(spark, sf_dir):
 
 
 def _grown_source(e: DataFrame, cutoff) -> DataFrame:
-    return e.where(F.col("ts") < ntz_lit(cutoff))
+    return e if cutoff is None else e.where(F.col("ts") < ntz_lit(cutoff))
+
+
+# Three runs over a growing source; the last one sees all of it.
+RUN_CUTS = (CUTOFF_1, CUTOFF_2, None)
 
 
 def q_incremental_runs(spark, sf_dir):
-    """Three runs over a growing source; the third finds nothing new."""
-    e = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    """Three runs over a growing source."""
+    e = _t(spark, sf_dir, "events")
     target = None
-    for i, cut in enumerate([CUTOFF_1, CUTOFF_2, CUTOFF_2]):
+    for i, cut in enumerate(RUN_CUTS):
         _, target = load_incremental(_grown_source(e, cut), target, "ts", "events", f"b{i + 1}", LOADED_AT[i])
     return target
 
 
-def q_incremental_table(spark, sf_dir):
-    """A13/A14 on a real table: three appends to a parquet table partitioned by
-    batch (in the shared checkpoint folder), read back."""
-    e = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+def load_events(spark, sf_dir):
+    """Three appends to a written table, the last one run again as after a lost
+    job; its source has a column more. Returns the path and the results."""
+    e = _t(spark, sf_dir, "events")
     path = scratch_path(spark, "incremental")
-    for i, cut in enumerate([CUTOFF_1, CUTOFF_2, CUTOFF_2]):
-        append_incremental(spark, _grown_source(e, cut), path, "ts", "events", f"b{i + 1}", LOADED_AT[i])
-    return spark.read.parquet(path).select("event_id", "ts", "user_id", "_ingested_at", "_source_file", "_batch_id")
+    results = []
+    for i, cut in enumerate([*RUN_CUTS, None]):
+        k = min(i, 2)
+        source = _grown_source(e, cut) if k < 2 else e.withColumn("channel", F.concat(F.lit("c"), (F.col("user_id") % 3).cast("string")))
+        results.append(append_incremental(spark, source, path, "ts", "events", f"b{k + 1}", LOADED_AT[k]))
+    return path, results
+
+
+def q_incremental_table(spark, sf_dir):
+    """A13-A16 on a written table: every event once, the column that came later
+    NULL in older batches."""
+    path, _ = load_events(spark, sf_dir)
+    return spark.read.option("mergeSchema", "true").parquet(path).select(
+        "event_id", "ts", "user_id", "event_type", "value", "props", "channel", "_ingested_at", "_source_file", "_batch_id")
+
+
+def q_incremental_results(spark, sf_dir):
+    """Rows before, after and inserted and the columns added, per run."""
+    _, results = load_events(spark, sf_dir)
+    rows = [(i + 1, r.before, r.after, r.inserted, ",".join(r.added_columns)) for i, r in enumerate(results)]
+    return spark.createDataFrame(rows, "run int, rows_before long, rows_after long, inserted long, added string")
 
 
 def q_drift_union(spark, sf_dir):
@@ -357,47 +396,40 @@ def q_csv_rejects(spark, sf_dir):
 
 def q_csv_files_good(spark, sf_dir):
     """A1, A2, A6 on real files: good lines with their file and 1-based line number."""
-    from layerkit.sources import read_csv_quarantined
-
-    good, _ = read_csv_quarantined(spark, f"{landed_csv_files(spark, sf_dir)}/file_key=*/*.txt", CSV_SCHEMA)
+    good = loaded_csv_files(spark, sf_dir).where("outcome = 'good'")
     return good.select(_file_key().alias("file_key"), F.col("_line").alias("line"), *CSV_SCHEMA.fieldNames())
 
 
 def q_csv_files_rejects(spark, sf_dir):
     """A4-A7 on real files: the reject report with true line numbers."""
-    from layerkit.sources import read_csv_quarantined
-
-    _, rejects = read_csv_quarantined(spark, f"{landed_csv_files(spark, sf_dir)}/file_key=*/*.txt", CSV_SCHEMA)
-    rep = reject_report(rejects)
+    rep = reject_report(loaded_csv_files(spark, sf_dir).where("outcome = 'reject'"))
     return rep.select(_file_key("file_path").alias("file_key"), "line", "error_type", "column_name", "csv_line")
 
 
 def q_csv_files_load(spark, sf_dir):
     """A1-A8 in one pass: good rows and rejects written once as one dataset
     partitioned by outcome, read back whole."""
-    from layerkit.sources import load_csv_quarantined
-
-    out = scratch_path(spark, "csv_load")
-    load_csv_quarantined(spark, f"{landed_csv_files(spark, sf_dir)}/file_key=*/*.txt", CSV_SCHEMA, out)
-    d = spark.read.parquet(out)
+    d = loaded_csv_files(spark, sf_dir)
     return d.select("outcome", _file_key().alias("file_key"), F.col("_line").alias("line"),
                     *CSV_SCHEMA.fieldNames(), "error_type", "column_name", "csv_line")
 
 
 def q_stream_ingest(spark, sf_dir):
     """Streaming discovery (availableNow): landed files loaded exactly once into
-    a Bronze table partitioned by batch, rejects into quarantine."""
-    from layerkit.streaming import ingest_new_files
+    a table partitioned by batch and outcome; a second run finds nothing new."""
+    from layerkit.streaming import good_rows, ingest_new_files
 
     land = landed_csv_files(spark, sf_dir)
-    bronze, quar, ckpt = (scratch_path(spark, n) for n in ("stream_bronze", "stream_quarantine", "stream_ckpt"))
-    ingest_new_files(spark, land, CSV_SCHEMA, bronze, quar, ckpt, "s", LOADED_AT[0], path_glob="*.txt")
-    b = spark.read.parquet(bronze)
+    table, ckpt = (scratch_path(spark, n) for n in ("stream_table", "stream_ckpt"))
+    for run in ("s", "t"):
+        ingest_new_files(small_splits(spark), land, CSV_SCHEMA, table, ckpt, run, LOADED_AT[0], path_glob="*.txt")
+    b = good_rows(spark, table, CSV_SCHEMA)
     return b.select(_file_key().alias("file_key"), *CSV_SCHEMA.fieldNames(), "_ingested_at")
 
 
 def q_paged_records(spark, sf_dir):
-    """Landed JSON pages → typed records in page order."""
+    """Landed JSON pages → typed records in page order; a text that is
+    no timestamp (one on every page) becomes NULL."""
     pages = pages_from_json(landed_pages(spark, sf_dir), "page_json", RECORD_SCHEMA)
     r = records_from_pages(pages)
     return r.select("record_id", "user_id", "event_type", "value",
@@ -410,12 +442,20 @@ def q_mask_customer(spark, sf_dir):
     return c.select("c_custkey", mask("c_name", SALT).alias("name_hash"))
 
 
+def customer_versions(spark, sf_dir) -> DataFrame:
+    """One to four versions of each customer, the segment changing with each."""
+    c = _t(spark, sf_dir, "customer")
+    c = c.withColumn("version", F.explode(F.sequence(F.lit(0), (F.col("c_custkey") % 4).cast("int"))))
+    return c.withColumn("c_mktsegment", F.concat(F.col("c_mktsegment"), F.lit("-"), F.col("version").cast("string")))
+
+
 def q_dim_customer(spark, sf_dir):
-    """Current customer, masked, minimised, left lookup of nation
-    (a lookup missing one region keeps its customers with NULL n_name)."""
+    """The latest of several versions per customer, masked,
+    minimised, left lookup of nation (a lookup missing one region keeps its
+    customers with NULL n_name)."""
     n = _t(spark, sf_dir, "nation").where(F.col("n_regionkey") < 4).select(
         F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return current_dim(_t(spark, sf_dir, "customer"), "c_custkey", "c_acctbal",
+    return current_dim(customer_versions(spark, sf_dir), "c_custkey", "version",
                        keep=["c_custkey", "name_hash", "c_nationkey", "c_mktsegment"],
                        masks={"name_hash": ("c_name", SALT)}, lookup_df=n, lookup_on="c_nationkey")
 
@@ -427,11 +467,13 @@ def q_minimised_orders(spark, sf_dir):
 
 
 def q_cast_orders(spark, sf_dir):
-    """Typed Silver columns — price to DECIMAL(12,2), order time to DATE,
-    status text tried as an integer (NULL where it is not one)."""
-    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus")
-    return cast_columns(o, {"o_totalprice": "decimal(12,2)", "o_orderdate": "date", "o_orderstatus": "int"},
-                        strict=False)
+    """Typed Silver columns — price to DECIMAL(12,2), order time to DATE, a
+    code tried as an integer (NULL where it is text or too large)."""
+    k = F.col("o_orderkey") % 5
+    code = (F.when(k == 0, F.col("o_orderstatus")).when(k == 1, F.concat(F.lit("-"), F.col("o_custkey").cast("string")))
+             .when(k == 2, F.lit("3000000000")).when(k == 3, F.lit("")).otherwise(F.col("o_custkey").cast("string")))
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", code.alias("o_code"))
+    return cast_columns(o, {"o_totalprice": "decimal(12,2)", "o_orderdate": "date", "o_code": "int"}, strict=False)
 
 
 def q_dim_date(spark, sf_dir):
@@ -538,10 +580,34 @@ def q_freshness(spark, sf_dir):
     return a.unionByName(b).unionByName(c)
 
 
+# All given tables with text columns.
+TEXT_COLUMNS = {
+    "benchmark": ["text"], "conversations": ["role", "text"], "customer": ["c_name", "c_mktsegment"],
+    "documents": ["text", "lang", "source"], "events": ["event_type", "props"], "lineitem": ["l_returnflag", "l_linestatus"],
+    "nation": ["n_name"], "orders": ["o_orderstatus", "o_orderpriority"], "pages": ["url", "html"],
+    "part": ["p_name", "p_brand", "p_type"], "region": ["r_name"], "supplier": ["s_name"],
+}
+
+
+def contacts(spark, sf_dir) -> DataFrame:
+    """A table that leaks: identifiers as whole values, inside text, with a line
+    end after them, and almost-identifiers."""
+    c = _t(spark, sf_dir, "customer")
+    number = F.lpad((F.col("c_custkey") % 10_000_000).cast("string"), 7, "0")
+    nric, mail = F.concat(F.lit("S"), number, F.lit("A")), F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@mail.example"))
+    phone = F.concat(F.lit("65 8000 "), F.lpad((F.col("c_custkey") % 10_000).cast("string"), 4, "0"))
+    k = F.col("c_custkey") % 4
+
+    def cases(value: Column) -> Column:
+        return (F.when(k == 0, value).when(k == 1, F.concat(F.lit("see "), value)).when(k == 2, F.concat(value, F.lit("\n")))
+                .otherwise(F.substring(value, F.lit(1), F.length(value) - 4)))
+
+    return c.select(cases(nric).alias("id_text"), cases(mail).alias("mail_text"), cases(phone).alias("phone_text"))
+
+
 def _scan_tables(spark, sf_dir):
-    return {"documents": _docs(spark, sf_dir, "text", "lang", "source"),
-            "customer": _t(spark, sf_dir, "customer").select("c_name", "c_mktsegment"),
-            "conversations": _t(spark, sf_dir, "conversations").select("role", "text")}
+    tables = {t: _t(spark, sf_dir, t).select(*cols) for t, cols in TEXT_COLUMNS.items()}
+    return tables | {"documents": _docs(spark, sf_dir, *TEXT_COLUMNS["documents"]), "contacts": contacts(spark, sf_dir)}
 
 
 def q_pii_scan_contains(spark, sf_dir):
@@ -576,37 +642,57 @@ def q_label_documents(spark, sf_dir):
                                   lowered=True).alias("label"))
 
 
+# What every eighth turn says besides, in turn: words of both sides, a phrase.
+SAID = ("", "", "I was confused and it was BORING", "great class, too fast", "Thanks, learned well", "hard, but fair", "we give up", "")
+
+
+def spoken(spark, sf_dir) -> DataFrame:
+    c = _t(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.element_at(F.array(*(F.lit(x) for x in SAID)), ((F.col("conv_id") + F.col("turn")) % len(SAID) + 1).cast("int"))
+    return c.withColumn("text", F.concat(F.col("text"), F.lit(". "), said))
+
+
 def q_label_conversations(spark, sf_dir):
-    """T1 with the default (fixed) word lists on conversation turns."""
-    c = _t(spark, sf_dir, "conversations")
+    """T1 with the default (fixed) word lists on conversation turns, some of
+    which say words of either side."""
+    c = spoken(spark, sf_dir)
     p, n = keyword_scores(F.col("text"))
-    return c.select("conv_id", "turn", p.alias("pos_hits"), n.alias("neg_hits"), keyword_label("text").alias("label"))
+    return c.select("conv_id", "turn", "role", p.alias("pos_hits"), n.alias("neg_hits"), keyword_label("text").alias("label"))
 
 
 def _primary(text: Column) -> Column:
-    """Stand-in provider: refuses inputs over PRIMARY_MAX_CHARS (NULL = failed).
+    """Stand-in provider: fails on every seventh document (NULL = failed).
     Reads the lower-cased text and token set prepared by ``label_documents``."""
-    return F.when(F.length(text) <= PRIMARY_MAX_CHARS,
+    return F.when(F.col("doc_id") % PRIMARY_FAILS_EVERY != 0,
                   keyword_label(F.col("__low"), DOC_POSITIVE, DOC_NEGATIVE, DOC_PHRASES, tokens=F.col("__tok"),
                                 lowered=True))
 
 
+def _outage(text: Column) -> Column:
+    return F.lit(None).cast("string")
+
+
 def _fallback(text: Column) -> Column:
     return exclusive_label(text, FALLBACK_POS, FALLBACK_NEG, tokens=F.col("__tok"))
 
 
-def label_documents(d: DataFrame, text_col: str) -> DataFrame:
+def label_documents(d: DataFrame, text_col: str, primary=_primary) -> DataFrame:
     """Redacted text → label with fallback; the text is lower-cased and
     tokenized once for both classifiers."""
     d = d.withColumn("__low", F.lower(text_col))
     d = d.withColumn("__tok", token_set("__low", lowered=True))
-    return label_with_fallback(d, text_col, _primary, _fallback).drop("__low", "__tok")
+    return label_with_fallback(d, text_col, primary, _fallback).drop("__low", "__tok")
 
 
-def labelled_documents(spark, sf_dir) -> DataFrame:
+def labelled_documents(spark, sf_dir, primary=_primary) -> DataFrame:
     d = _docs(spark, sf_dir, "doc_id", "text").select(
         "doc_id", redact("text", REDACT_NAMES, REDACT_PATTERNS).alias("text_redacted"))
-    return label_documents(d, "text_redacted")
+    return label_documents(d, "text_redacted", primary)
+
+
+def q_label_outage(spark, sf_dir):
+    """The provider is down: every row has the fallback's label."""
+    return labelled_documents(spark, sf_dir, _outage).select("doc_id", "label", "label_source", "needs_review")
 
 
 def q_label_with_fallback(spark, sf_dir):
@@ -644,7 +730,7 @@ def q_count_by_status(spark, sf_dir):
 
 
 def _audit_counts(spark, sf_dir, cutoff):
-    e = _t(spark, sf_dir, "events").where(F.col("ts") < ntz_lit(cutoff))
+    e = _grown_source(_t(spark, sf_dir, "events"), cutoff)
     return row_counts(spark, {"rows_events": e, "rows_orders": _t(spark, sf_dir, "orders"),
                               "rows_quarantined": None})
 
@@ -664,7 +750,7 @@ def q_audit_replace(spark, sf_dir):
     """Runs r1, r2, then r1 again; the rewrite replaces r1 only."""
     path = scratch_path(spark, "audit")
     for run_id, cutoff, at in [("r1", CUTOFF_1, LOADED_AT[0]), ("r2", CUTOFF_2, LOADED_AT[1]),
-                               ("r1", CUTOFF_2 + dt.timedelta(days=5), LOADED_AT[2])]:
+                               ("r1", None, LOADED_AT[2])]:
         replace_partition(audit_row(spark, run_id, "daily", at, _audit_counts(spark, sf_dir, cutoff)), path, "run_id")
     return spark.read.parquet(path).select("run_id", "dag_id", "recorded_at", "rows_events", "rows_orders",
                                            "rows_quarantined")
@@ -699,22 +785,14 @@ def q_stalled_runs(spark, sf_dir):
     return s.select("run_id", "dag_id", "rows_users", "delta_rows_users", "stalled")
 
 
-ADHOC_SQL = """
-SELECT o_orderpriority,
-       count(*) AS n_orders,
-       CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS n_finished
-FROM orders
-GROUP BY o_orderpriority
-HAVING count(*) > 100 OR avg(o_totalprice) < 1000
-"""
-
-
 def q_adhoc_sql(spark, sf_dir):
-    """Ad-hoc SQL over the registered tables."""
+    """Ad-hoc SQL over registered tables (under a name of its own)."""
     from layerkit.sources import register_views
 
-    register_views({"orders": _t(spark, sf_dir, "orders")})
-    return spark.sql(ADHOC_SQL)
+    register_views({"layerkit_adhoc_orders": _t(spark, sf_dir, "orders")})
+    return spark.sql("""
+        SELECT o_orderpriority, count(*) AS n_orders, CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS n_finished
+        FROM layerkit_adhoc_orders GROUP BY o_orderpriority HAVING count(*) > 100 OR avg(o_totalprice) < 1000""")
 
 
 QUERIES: dict[str, Query] = {
@@ -726,6 +804,7 @@ QUERIES: dict[str, Query] = {
     "incremental_events": q_incremental_events,
     "incremental_runs": q_incremental_runs,
     "incremental_table": q_incremental_table,
+    "incremental_results": q_incremental_results,
     "drift_union": q_drift_union,
     "csv_good": q_csv_good,
     "csv_rejects": q_csv_rejects,
@@ -759,6 +838,7 @@ QUERIES: dict[str, Query] = {
     "label_documents": q_label_documents,
     "label_conversations": q_label_conversations,
     "label_with_fallback": q_label_with_fallback,
+    "label_outage": q_label_outage,
     "marker_flag": q_marker_flag,
     "review_sample": q_review_sample,
     "enrich_summary": q_enrich_summary,
@@ -769,3 +849,12 @@ QUERIES: dict[str, Query] = {
     "stalled_runs": q_stalled_runs,
     "adhoc_sql": q_adhoc_sql,
 }
+
+
+def _more() -> dict[str, Query]:
+    from layerkit.plans.queries_more import MORE
+
+    return MORE
+
+
+QUERIES |= _more()

@@ -7,5 +7,9 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_oracle_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+def test_every_query_of_the_library_has_oracle_sql():
+    from layerkit.plans.oracle import oracle_sql
+    from layerkit.plans.queries import QUERIES
+
+    assert set(QUERIES) == set(oracle_sql())
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())

@@ -3,12 +3,13 @@ names and types, same rows (order-insensitive)."""
 
 import pytest
 
-import __spark_entry__ as E
+from layerkit.plans.oracle import oracle_sql
+from layerkit.plans.queries import QUERIES as LIBRARY
 from tools.check_oracle import TABLES, digest, type_diff
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = dict(LIBRARY)
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
