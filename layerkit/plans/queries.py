@@ -208,11 +208,11 @@ def landed_csv_files(spark: SparkSession, sf_dir: str) -> str:
     return out
 
 
-def small_splits(spark: SparkSession) -> SparkSession:
-    """A session whose file reads have splits of ``SPLIT_BYTES``."""
+def small_splits(spark: SparkSession, size: str = SPLIT_BYTES) -> SparkSession:
+    """A session whose file reads have splits of ``size``."""
     other = spark.newSession()
     other.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    other.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
+    other.conf.set("spark.sql.files.maxPartitionBytes", size)
     return other
 
 

@@ -29,11 +29,12 @@ FEEDBACK = T.StructType([
     T.StructField("feedback_id", T.StringType()), T.StructField("student_id", T.StringType()), T.StructField("module_code", T.StringType()),
     T.StructField("submitted_at", T.TimestampNTZType()), T.StructField("comment", T.StringType())])
 FEEDBACK_FILE_ROWS = 500
+FEEDBACK_SPLIT_BYTES = "512k"  # a few splits a file
 
 
 def _feedback_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feedback line per document, faults by ``doc_id % 20``."""
-    d = Q._t(spark, sf_dir, "documents")
+    d = Q._docs(spark, sf_dir, "doc_id", "text", "lang")
     i, k = F.col("doc_id").cast("string"), F.col("doc_id") % 20
     head = F.concat(F.lit("F"), i, F.lit(",S"), (F.col("doc_id") % 97).cast("string"))
     stamp = F.when(k == 2, F.lit("yesterday")).otherwise(F.lit("2024-01-05 10:00:00"))
@@ -47,7 +48,7 @@ def _feedback_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _loaded_feedback(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     land, out = scratch_path(spark, "feedback"), scratch_path(spark, "feedback_load")
     Q.land_lines(_feedback_lines(spark, sf_dir), FEEDBACK_HEADER, land)
-    load_csv_quarantined(Q.small_splits(spark), f"{land}/file_key=*/*.txt", FEEDBACK, out)
+    load_csv_quarantined(Q.small_splits(spark, FEEDBACK_SPLIT_BYTES), f"{land}/file_key=*/*.txt", FEEDBACK, out)
     rows = spark.read.parquet(out)
     return rows.where("outcome = 'good'"), rows.where("outcome = 'reject'")
 
@@ -123,7 +124,7 @@ def spoken_names(spark, sf_dir) -> DataFrame:
 
 def q_redact_by_table(spark, sf_dir):
     """Names of a table, one at a time, longest first, whatever their number."""
-    d = Q._t(spark, sf_dir, "documents").select("doc_id", "text")
+    d = Q._docs(spark, sf_dir, "doc_id", "text")
     out = redact_by_table(d, "doc_id", "text", spoken_names(spark, sf_dir), "name", "redacted", patterns=())
     return out.select("doc_id", F.md5("redacted").alias("text_md5"))
 

@@ -39,7 +39,7 @@ def main() -> None:
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from pyspark.sql import SparkSession
 
-    import __spark_entry__ as E
+    from layerkit.plans.queries import QUERIES
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     scratch = tempfile.mkdtemp(prefix="layerkit-plans-")
@@ -51,7 +51,7 @@ def main() -> None:
              f"Generated by `python tools/plan_outline.py {sf_dir}` (local[8], 16 shuffle partitions, AQE initial",
              "plans). Each block lists exchanges, aggregates, windows/limits, joins, generators and scans, top",
              "(output) to bottom (input); `partial_`/`Partial` operators run before the shuffle.", ""]
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         lines += [f"## {name}", "", "```"] + outline(plan) + ["```", ""]
