@@ -174,11 +174,11 @@ def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(_shown(base), 256).alias("base_sha256"), _shown(F.col("spans")).alias("spans"))
 
 
-def without_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
+def without_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", ledger_path: str | None = None) -> DataFrame:
     """``docs`` with every span of its text replaced by ``mark`` (overlapping
-    spans by one); all other columns and all rows stay as they are."""
-    spark = docs.sparkSession
-    ledger = scan_unseen(docs, new_ledger(spark), RULES, text)
+    spans by one); all other columns and all rows stay as they are. With the
+    path of a kept ledger only texts that are new to it are scanned."""
+    ledger = scan_unseen(docs, ledger_path or new_ledger(docs.sparkSession), RULES, text)
     key, found = free_name(docs, "_blob"), free_name(docs, "_spans")
     hits = ledger.where(F.size("spans") > 0).groupBy(F.col("blob").alias(key)).agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias(found))

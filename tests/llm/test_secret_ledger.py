@@ -83,3 +83,7 @@ def test_odd_rows_and_redaction(spark):
     hidden = "token=" + "0a" * 14 + " and AKIA" + "A1" * 9 + " end"
     df = spark.createDataFrame([(1, hidden), (2, hidden), (3, None)], "doc_id long, text string")
     assert {r["text"] for r in sl.without_secrets(df).collect()} == {"[SECRET] and [SECRET] end", None}
+    kept = sl.new_ledger(spark)
+    for _ in range(2):
+        assert {r["text"] for r in sl.without_secrets(df, ledger_path=kept).collect()} == {"[SECRET] and [SECRET] end", None}
+    assert spark.read.parquet(kept).count() == 2 * len(sl.RULES)
