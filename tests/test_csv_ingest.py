@@ -127,3 +127,19 @@ def test_single_pass_load_outcomes(spark):
     assert sorted((r._line, r.error_type) for r in rejects.collect()) == [
         (10, "TOO MANY COLUMNS"), (29, "TOO MANY COLUMNS"), (46, "MISSING COLUMNS"), (63, "CAST"), (75, "CAST")]
     assert os.path.isdir(out.replace("file:", "") + "/outcome=good")
+
+
+def test_reject_report_is_ordered_by_file_and_line(spark):
+    d = tempfile.mkdtemp(prefix="csv-order-")
+    for name in ("b.csv", "a.csv", "c.csv"):
+        _write(d, name, _corrupt_fixture())
+    _, rejects = read_csv_quarantined(spark, d, SCHEMA)
+    got = [(r.file_path, r.line, r.error_type) for r in reject_report(rejects.repartition(7)).collect()]
+    assert len(got) == 15 and got == sorted(got)
+
+
+def test_long_quoted_fields(spark):
+    text = "x, " * 60_000
+    lines = spark.createDataFrame([("f", 1, HEADER), ("f", 2, f'S1,2026-09-07,"{text}""q"",",PRESENT')], "_source_file string, _line long, value string")
+    good, rejects = parse_csv_lines(lines, SCHEMA)
+    assert rejects.count() == 0 and good.first().module_code == text + '"q",'

@@ -176,3 +176,9 @@ def test_empty_dictionary(spark):
     assert df.select(redact("t", ["", ""], patterns=()).alias("r")).first().r == "abc"
     none = spark.createDataFrame([], "n string")
     assert redact_by_table(df, "id", "t", none, "n", "r", patterns=()).first().r == "abc"
+
+
+def test_name_dictionary_is_ordered_longest_first(spark):
+    df = spark.createDataFrame([(n,) for n in ("Bo Li", "Anna Maria Lo", "Cy Lu", "Anna Po")], "n string")
+    got = [r.name for r in name_dictionary(df.repartition(5), "n").collect()]
+    assert got == sorted(got, key=lambda n: (-len(n), n)) and "Anna" in got and "Bo" not in got
