@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -56,7 +57,7 @@ def byte_letters() -> dict[str, int]:
 
 
 class BpeAutomaton:
-    """Compiled merges: token labels, gadgets and the byte trie."""
+    """Compiled merges: token labels and gadgets."""
 
     def __init__(self, vocab: dict[bytes, int], merges: list[tuple[bytes, bytes]], added: dict[str, int]):
         size = max([*vocab.values(), *added.values()]) + 1
@@ -81,31 +82,11 @@ class BpeAutomaton:
                 self.rank[x << self.shift | y] = r
                 reached.add(c)
         self.reached = reached
-        self.step: dict[int, int] = {}
-        self.accepts: list[int] = [-1]
-        for i in sorted(reached):
-            state = 0
-            for byte in self.labels[i]:
-                key = state << 8 | byte
-                if key not in self.step:
-                    self.step[key] = len(self.accepts)
-                    self.accepts.append(-1)
-                state = self.step[key]
-            self.accepts[state] = i
-        self.width = [len(label) for label in self.labels]
-        #: The longest token that a token begins with, other than itself; -1: none.
-        self.shorter = [-1] * size
-        for i in reached:
-            state = 0
-            for byte in self.labels[i][:-1]:
-                state = self.step[state << 8 | byte]
-                if self.accepts[state] >= 0:
-                    self.shorter[i] = self.accepts[state]
 
     def arc(self, x: int, y: int) -> bool:
         """May token ``y`` follow token ``x`` inside a word?"""
         rank, made, shift = self.rank, self.made, self.shift
-        until = len(self.labels) + 1 << 8
+        until = 1 << 62  # after all merges
         while True:
             r = rank.get(x << shift | y)
             if r is not None and r < until:
@@ -140,6 +121,10 @@ def load_automaton(path: str) -> BpeAutomaton:
     return BpeAutomaton(vocab, [(raw(a), raw(b)) for a, b in pairs], added)
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Kept(dict):
     """Encoded words by text; starts anew when full."""
 
@@ -148,7 +133,7 @@ class _Kept(dict):
         self.encode = encode
 
     def __missing__(self, word: str) -> bytes:
-        ids = b"".join(i.to_bytes(4, "little") for i in self.encode(word.encode("utf-8", "surrogatepass")))
+        ids = _packed(self.encode(word.encode("utf-8", "surrogatepass")))
         if len(self) >= WORDS_KEPT:
             self.clear()
         if len(word) <= 64:
@@ -166,6 +151,20 @@ class Coder:
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
         self.arcs: dict[int, bool] = {}
         self.words = _Kept(self.encode_word)
+        labels = automaton.labels
+        self.width = [len(label) for label in labels]
+        #: Byte trie: each node is (children by byte, token that ends here or -1).
+        self.trie: tuple[dict, int] = ({}, -1)
+        #: The longest token that a token begins with, other than itself; -1: none.
+        self.shorter = [-1] * len(labels)
+        for i in sorted(automaton.reached, key=lambda i: (self.width[i], i)):  # shorter labels first
+            node = self.trie
+            for byte in labels[i][:-1]:
+                node = node[0].setdefault(byte, ({}, -1))
+                if node[1] >= 0:
+                    self.shorter[i] = node[1]
+            children = node[0].get(labels[i][-1], ({}, -1))[0]
+            node[0][labels[i][-1]] = (children, i)
 
     def arc(self, x: int, y: int) -> bool:
         key = x << self.automaton.shift | y
@@ -180,33 +179,35 @@ class Coder:
         """The only path of arcs that spells ``word``. Longer tokens are tried
         first; a position from which no arc leads on is given up for good, as
         there is but one way to reach it."""
-        step, accepts, arcs, shift = self.automaton.step, self.automaton.accepts, self.arcs, self.automaton.shift
-        shorter, width = self.automaton.shorter, self.automaton.width
-        n, at, path, dead = len(word), 0, [], set()
+        arcs, shift, shorter, width, begin = self.arcs, self.automaton.shift, self.shorter, self.width, self.trie[0]
+        n, at, path, dead, before = len(word), 0, [], (), -1
         while at < n:
-            state, token = 0, -1
+            children, token = begin, -1
             for byte in word[at:]:
-                state = step.get(state << 8 | byte)
-                if state is None:
+                node = children.get(byte)
+                if node is None:
                     break
-                if accepts[state] >= 0:
-                    token = accepts[state]
+                children, here = node
+                if here >= 0:
+                    token = here
             while True:
                 while token >= 0:
-                    if at + width[token] not in dead:
-                        if not path:
+                    if not dead or at + width[token] not in dead:
+                        if before < 0:
                             break
-                        known = arcs.get(path[-1] << shift | token)
-                        if known or known is None and self.arc(path[-1], token):
+                        known = arcs.get(before << shift | token)
+                        if known or known is None and self.arc(before, token):
                             break
                     token = shorter[token]
                 if token >= 0:
                     break
-                dead.add(at)
+                dead = {at, *dead}
                 token = path.pop()
+                before = path[-1] if path else -1
                 at -= width[token]
                 token = shorter[token]
             path.append(token)
+            before = token
             at += width[token]
         return path
 
