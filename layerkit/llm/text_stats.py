@@ -35,8 +35,11 @@ _CONTINUES[128:192] = True  # UTF-8 bytes that don't begin a code point
 
 
 def _per_text(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-    return total[at[1:]] - total[at[:-1]]
+    out = np.zeros(len(at) - 1, dtype=np.int64)
+    full = np.diff(at) > 0
+    if full.any():
+        out[full] = np.add.reduceat(flags, at[:-1][full], dtype=np.int64)
+    return out
 
 
 def _repeats(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,9 +67,9 @@ def text_counts(texts: pa.Array) -> dict[str, np.ndarray]:
     start = start[start < len(w.data)]
     end = np.concatenate([start[1:], [len(w.data)]]) if len(start) else start
     end = np.where(np.isin(end - 1, breaks), end - 1, end)
-    inner = np.concatenate([[0], np.cumsum(~IS_SPACE[w.data])])
-    worded = inner[end] > inner[start]
-    start, end = start[worded], end[worded]
+    if len(start):
+        worded = np.logical_or.reduceat(~IS_SPACE[w.data], start)
+        start, end = start[worded], end[worded]
     line_doc = np.searchsorted(w.at, start, side="right") - 1
     line_later, _ = _repeats(span_hashes(w.data, start, end), line_doc)
 
