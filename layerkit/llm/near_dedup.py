@@ -226,3 +226,25 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size:
     with_id = docs.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col).cast("bigint") == F.col(gone_id), "left_anti")
     once = with_id.withColumn(same, F.xxhash64(text)).dropDuplicates([id_col, same]).drop(same)
     return once.unionByName(docs.where(F.col(id_col).isNull()))
+
+
+#: DuckDB SQL of the query: every pair of different sets that share a shingle.
+ORACLE = r"""
+with recursive worded as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_sort(list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))) end as s from worded),
+keyed as (select doc_id, s, len(s) as n, md5(array_to_string(s, chr(10))) as k from sets),
+classes as (select k, min(doc_id) as node, any_value(s) as s, any_value(n) as n from keyed where n > 0 group by k),
+pieces as (select node, n, unnest(s) as piece from classes),
+shared as (
+  select a.node as a, b.node as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as m
+  from pieces a join pieces b on a.piece = b.piece and a.node < b.node group by a.node, b.node),
+links as (select a, b from shared where 100 * m >= 80 * (na + nb - m)),
+edges as (select a, b from links union all select b, a from links),
+reach(node, root) as (select node, node from classes union select e.b, r.root from reach r join edges e on r.node = e.a),
+roots as (select node, min(root) as root from reach group by node)
+select d.doc_id, cast(d.n as bigint) as n_shingles, coalesce(r.root, d.doc_id) as component_id, coalesce(r.root, d.doc_id) = d.doc_id as kept
+from keyed d left join classes c on d.n > 0 and c.k = d.k left join roots r on r.node = c.node
+"""

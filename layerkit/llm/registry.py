@@ -7,19 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from layerkit.llm import chat_parts, license_rules, secret_ledger
+from layerkit.llm import chat_parts, license_rules, near_dedup, secret_ledger
 from layerkit.llm.bpe_automaton import op7_bpe_automaton
 from layerkit.llm.cotraining import op8_cotraining
 from layerkit.llm.cross_polytope import op2_cross_polytope
 from layerkit.llm.decision_list import op4_decision_list
 from layerkit.llm.mixing import op3_pfair_mix
-from layerkit.llm.near_dedup import op1_minhash
 from layerkit.llm.subword_toxicity import op10_subword_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op1_minhash": op1_minhash,
+        "op1_minhash": near_dedup.op1_minhash,
         "op2_cross_polytope": op2_cross_polytope,
         "op3_pfair_mix": op3_pfair_mix,
         "op4_decision_list": op4_decision_list,
@@ -35,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_minhash": near_dedup.ORACLE,
         "op5_license_rules": license_rules.ORACLE,
         "op6_secret_ledger": secret_ledger.ORACLE,
         "op9_chat_parts": chat_parts.ORACLE,
