@@ -234,15 +234,21 @@ def learn_from(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text:
 def judge(docs: DataFrame, pair: Pair, text: str = "text", columns: dict[str, str] = DEFAULT_COLUMNS) -> DataFrame:
     """``row`` (all columns of ``docs`` as a struct), ``quality_score`` (calibrated
     probability of good quality) and ``kept``, in one narrow pass."""
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text).alias("_body"),
-                       *(_metadata(n, columns, docs.columns).alias(f"_{n}") for n in METADATA))
+    def own(c: str) -> Column:
+        return F.col(f"`{c}`")
+
     if not pair.trained:
         share = float(1 / (1 + np.exp(-pair.prior)))
-        return rows.select("row", F.lit(share).alias("quality_score"), F.lit(True).alias("kept"))
-    counted = with_counts(rows, ["row", *(f"_{n}" for n in METADATA)], "_body")
+        return docs.select(F.struct(*map(own, docs.columns)).alias("row"), F.lit(share).alias("quality_score"), F.lit(True).alias("kept"))
+    # The text goes through Python once, beside the other columns.
+    rest = [own(c) for c in docs.columns if c != text]
+    rows = docs.select(F.struct(F.lit(0).alias("_none"), *rest).alias("_rest"), own(text).alias("_body"),
+                       *(_metadata(n, columns, docs.columns).alias(f"_{n}") for n in METADATA))
+    counted = with_counts(rows, ["_rest", *(f"_{n}" for n in METADATA)], "_body", keep_text=True)
+    row = F.struct(*(F.col("_text").alias(c) if c == text else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns))
     logit = (pair.content.expression(lambda n: _column(n, "")) + pair.metadata.expression(lambda n: F.col(f"_{n}")) - F.lit(pair.prior))
     score = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.least(F.greatest(logit, F.lit(-60.0)), F.lit(60.0))))
-    return counted.select("row", score.alias("quality_score")).withColumn("kept", F.col("quality_score") >= KEEP_AT)
+    return counted.select(row.alias("row"), score.alias("quality_score")).withColumn("kept", F.col("quality_score") >= KEEP_AT)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -103,18 +103,20 @@ def text_counts(texts: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
-def with_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` columns and the ``COUNTS`` of each row's text. Any other column,
-    whatever its name, is left out; names in ``keep`` must not be ``COUNTS``."""
+def with_counts(docs: DataFrame, keep: list[str], text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``keep`` columns, the text as ``_text`` if asked for, and the ``COUNTS`` of
+    each row's text. Any other column, whatever its name, is left out; names in
+    ``keep`` must be neither ``_text`` nor ``COUNTS``."""
     ship(docs.sparkSession)
     rows = docs.select(*keep, F.col(text).cast("string").alias("_text"))
-    kinds = StructType([*rows.schema.fields[:-1], *(StructField(c, LongType()) for c in COUNTS)])
+    n = len(rows.schema.fields) - (not keep_text)
+    kinds = StructType([*rows.schema.fields[:n], *(StructField(c, LongType()) for c in COUNTS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "_text"):
             counts = text_counts(b.column(b.num_columns - 1))
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], *(pa.array(counts[c], pa.int64()) for c in COUNTS)],
-                names=[*b.schema.names[:-1], *COUNTS])
+                [*b.columns[:n], *(pa.array(counts[c], pa.int64()) for c in COUNTS)],
+                names=[*b.schema.names[:n], *COUNTS])
 
     return rows.mapInArrow(run, kinds)
