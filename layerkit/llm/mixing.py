@@ -3,21 +3,25 @@
 Every source is a periodic task: with weight w its block j (from 0) may not come
 before slot floor(j / w) and must be over by slot ceil((j + 1) / w). The released
 block with the earliest deadline takes each slot, so at every slot each source
-has had less than one block more or less than its weight's share.
-
-Weights are whole slots of a cycle, so that schedule repeats after one cycle: it
-is computed once, as one fold over the cycle's slots (at most ``CYCLE`` plus the
-number of classes), and broadcast. Documents are ranked inside their source by a
-hash of their id. Ranks come from counts: documents are dealt by hash range into
-buckets of about ``BUCKET_ROWS``, whatever their source, and a document's rank is
-its place in the bucket plus its source's documents in the buckets before. So a
-source with a third of all rows is spread like any other.
+has had less than one block more or less than its weight's share, however long
+the run and however many sources.
+
+Windows come from the weights as they are, in whole numbers of any size, over the
+whole run. The schedule is a sequence, so the driver makes it from the sources'
+counts, with one entry in a heap for each source, and writes it in pieces of
+``PIECE`` blocks; documents never go there. Documents are ranked inside their
+source by a hash of their id. Ranks come from counts: documents are dealt by hash
+range into buckets of about ``BUCKET_ROWS``, whatever their source, and a
+document's rank is its place in the bucket plus its source's documents in the
+buckets before. So a source with a third of all rows is spread like any other.
+A bucket gets the slots of its blocks with its counts; documents move once.
 
 No row is dropped or repeated. When a source has run out its slots stay empty and
 the others keep their proportions.
 
-At most ``MAX_SOURCES`` sources have weights of their own, those with the most
-documents or those that are named; all others share one class.
+With given weights, the sources that aren't named share ``other`` by the same
+power of their counts as without weights; if that is 0 they follow after the
+last block of the named ones.
 
 Defined results: a null source is the source ''; rows with a null id are ranked by
 their null's hash; equal ids stand side by side, in any order; an empty table
@@ -26,14 +30,24 @@ gives an empty result; a named source without documents leaves its slots empty.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Iterator
+from fractions import Fraction
+from heapq import heapify, heappop, heappush
+from itertools import islice
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerkit.llm.tables import read_table
+from layerkit.session import scratch_path
 
 CYCLE = 1000
 BLOCK_ROWS = 16
 BUCKET_ROWS = 4000
+#: Blocks of the schedule that the driver holds at a time.
+PIECE = 500_000
+#: Sources with a number of their own in ``class``; all are scheduled alike.
 MAX_SOURCES = 200
 #: Without given weights a source's weight is its number of documents to this
 #: power: small sources get more than their share, large ones less.
@@ -42,8 +56,9 @@ SEED = 20240229
 
 
 def classes(docs: DataFrame, source: str, weights: dict[str, float] | None = None, other: float = 0.0) -> DataFrame:
-    """``source`` (null: all others), ``class`` (from 0) and ``slots`` of a cycle;
-    at most ``MAX_SOURCES`` + 1 rows. Weights need not add up to 1."""
+    """An outline of the weights: ``source`` (null: all others), ``class`` (from 0)
+    and ``slots``, rounded, of a cycle. ``mixed`` doesn't round. Weights need not
+    add up to 1."""
     counts = docs.groupBy(F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source")).agg(F.count(F.lit(1)).alias("n"))
     if weights is None:
         named = counts.orderBy(F.desc("n"), "source").limit(MAX_SOURCES).select("source", F.pow("n", F.lit(EXPONENT)).alias("weight"))
@@ -51,48 +66,100 @@ def classes(docs: DataFrame, source: str, weights: dict[str, float] | None = Non
         rest = rest.where("weight is not null").select(F.lit(None).cast("string").alias("source"), "weight")
         listed = named.unionByName(rest)
     else:
-        if len(weights) > MAX_SOURCES or any(w <= 0 for w in weights.values()):
-            raise ValueError(f"weights must be positive, at most {MAX_SOURCES} of them")
+        _check(weights)
         rows = F.array(*(F.struct(F.lit(s).cast("string").alias("source"), F.lit(float(w)).alias("weight")) for s, w in [*weights.items(), (None, max(other, 1e-12))]))
         listed = docs.sparkSession.range(1).select(F.inline(rows))
-    # A window without partitions over at most MAX_SOURCES + 1 rows.
+    # A window without partitions over one row for each class.
     everything, order = Window.partitionBy(F.lit(0)), Window.partitionBy(F.lit(0)).orderBy(F.asc_nulls_last("source"))
     slots = F.greatest(F.lit(1), F.round(F.col("weight") / F.sum("weight").over(everything) * CYCLE).cast("int"))
     return listed.select("source", (F.row_number().over(order) - 1).alias("class"), slots.alias("slots"))
 
 
 def cycle(listed: DataFrame) -> DataFrame:
-    """The schedule of one cycle: ``class``, ``j`` (block of the class within the
-    cycle), ``slot``, ``slots`` (of the class), ``cycle_slots``, and the block's
-    ``release`` and ``deadline``."""
-    one = listed.agg(F.array_sort(F.collect_list(F.struct("class", "slots"))).alias("tasks"))
-    one = one.select(F.transform("tasks", lambda t: t["slots"]).alias("quota")).where(F.size("quota") > 0)
-    one = one.withColumn("total", F.aggregate("quota", F.lit(0), lambda a, q: a + q))
-    total, quota = F.col("total"), F.col("quota")
-
-    def release(done: Column, q: Column) -> Column:
-        return F.floor(done * total / q).cast("int")
-
-    def deadline(done: Column, q: Column) -> Column:
-        return F.ceil((done + 1) * total / q).cast("int")
-
-    def step(acc: Column, slot: Column) -> Column:
-        jobs = F.transform(F.arrays_zip(acc["done"], quota).cast("array<struct<done:int,q:int>>"), lambda x, i: F.struct(
-            (release(x["done"], x["q"]) > slot).cast("int").alias("early"), deadline(x["done"], x["q"]).alias("deadline"), i.alias("class")))
-        # A one-element array, so that the choice is made once for both uses.
-        pick = F.array(F.array_min(jobs)["class"])
-        return F.element_at(F.transform(pick, lambda p: F.struct(
-            F.transform(acc["done"], lambda d, i: F.when(i == p, d + 1).otherwise(d)).alias("done"),
-            F.array_append(acc["order"], p).alias("order"))), 1)
-
-    start = F.struct(F.transform(quota, lambda q: F.lit(0)).alias("done"), F.array().cast("array<int>").alias("order"))
-    order = F.aggregate(F.sequence(F.lit(0), total - 1), start, step, lambda acc: acc["order"])
-    slots = one.select("total", F.posexplode(order).alias("slot", "class"))
-    j = F.row_number().over(Window.partitionBy("class").orderBy("slot")) - 1
-    out = slots.withColumn("j", j).join(listed.select("class", "slots"), "class")
-    return out.select("class", "j", "slot", "slots", F.col("total").alias("cycle_slots"),
-                      F.floor(F.col("j") * F.col("total") / F.col("slots")).cast("int").alias("release"),
-                      F.ceil((F.col("j") + 1) * F.col("total") / F.col("slots")).cast("int").alias("deadline"))
+    """The schedule of one cycle of ``classes``: ``class``, ``j`` (block of the class
+    within the cycle), ``slot``, ``slots`` (of the class), ``cycle_slots``, and the
+    block's ``release`` and ``deadline``."""
+    tasks = sorted((r["class"], r["slots"]) for r in listed.collect())
+    slots = [n for _, n in tasks]
+    rows = [(tasks[k][0], j, t, slots[k], sum(slots), release, deadline) for k, j, t, release, deadline in _earliest_deadline_first(slots, slots)]
+    return listed.sparkSession.createDataFrame(rows, "class int, j int, slot int, slots int, cycle_slots int, release int, deadline int")
+
+
+def _check(weights: dict[str, float]) -> None:
+    if len(weights) > MAX_SOURCES or any(w <= 0 for w in weights.values()):
+        raise ValueError(f"weights must be positive, at most {MAX_SOURCES} of them")
+
+
+def _earliest_deadline_first(shares: list[int], blocks: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """Task, block, slot, release and deadline in the order of slots, for tasks of
+    ``blocks`` and weights ``share`` / sum of shares, in whole numbers."""
+    total = sum(shares)
+    waiting: list[tuple[int, int, int]] = []
+    ready = [(-(-total // s), k, 0, 0) for k, (s, n) in enumerate(zip(shares, blocks)) if n]
+    heapify(ready)
+    slot = 0
+    while ready or waiting:
+        while waiting and waiting[0][0] <= slot:
+            release, k, j = heappop(waiting)
+            heappush(ready, (-(-(j + 1) * total // shares[k]), k, j, release))
+        if not ready:  # slots of sources that have run out
+            slot = waiting[0][0]
+            continue
+        deadline, k, j, release = heappop(ready)
+        yield k, j, slot, release, deadline
+        if j + 1 < blocks[k]:
+            heappush(waiting, ((j + 1) * total // shares[k], k, j + 1))
+        slot += 1
+
+
+def schedule(weights: list[float], blocks: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """As above, for weights that need not add up to 1 and count exactly as the
+    fractions that they are. Tasks of weight 0 follow after all others, by the
+    root of their blocks."""
+    end = 0
+    for some in ([k for k, w in enumerate(weights) if w > 0], [k for k, w in enumerate(weights) if w <= 0]):
+        exact = [Fraction(weights[k] if weights[k] > 0 else max(blocks[k], 1) ** EXPONENT) for k in some]
+        scale = max((w.denominator for w in exact), default=1)  # powers of 2, as of any float
+        begin = end
+        for k, j, slot, release, deadline in _earliest_deadline_first([int(w * scale) for w in exact], [blocks[k] for k in some]):
+            end = begin + slot + 1
+            yield some[k], j, begin + slot, begin + release, begin + deadline
+
+
+def _tasks(counts: dict[str, int], weights: dict[str, float] | None, other: float) -> tuple[list[str], list[float]]:
+    """Sources and their weights; the source None stands for others that don't occur."""
+    if weights is None:
+        names = sorted(counts)
+        return names, [counts[s] ** EXPONENT for s in names]
+    _check(weights)
+    rest = sorted(counts.keys() - weights.keys())
+    whole = sum(counts[s] ** EXPONENT for s in rest)
+    shared = [max(other, 0.0) * counts[s] ** EXPONENT / whole for s in rest]
+    if not rest and other > 0:
+        rest, shared = [None], [other]
+    return [*weights, *rest], [*map(float, weights.values()), *shared]
+
+
+SCHEDULE = pa.schema([("_source", pa.string()), ("class", pa.int32()), ("block", pa.int64()), ("slot", pa.int64()), ("release", pa.int64()), ("deadline", pa.int64())])
+
+
+def _written_schedule(spark: SparkSession, counts: dict[str, int], weights: dict[str, float] | None, other: float, block_rows: int) -> DataFrame:
+    """One row for each block, written in pieces under the shared folder."""
+    names, shares = _tasks(counts, weights, other)
+    own = sorted(weights or sorted(names, key=lambda s: (-counts[s], s))[:MAX_SOURCES])
+    number = {s: k for k, s in enumerate(own)}
+    labels = [number.get(s, len(own)) for s in names]
+    all_slots = schedule(shares, [-(-counts.get(s, 0) // block_rows) for s in names])
+    path = scratch_path(spark, "mixing-schedule")
+    while True:
+        piece = list(islice(all_slots, PIECE))
+        rows = list(zip(*piece)) or [()] * 5
+        columns = [[names[k] for k in rows[0]], [labels[k] for k in rows[0]], *rows[1:]]
+        table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SCHEDULE)], schema=SCHEDULE)
+        written = spark.createDataFrame(table)
+        written.write.mode("append").parquet(path)
+        if len(piece) < PIECE:
+            return spark.read.schema(written.schema).parquet(path)
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", source: str = "source", weights: dict[str, float] | None = None, other: float = 0.0,
@@ -100,37 +167,39 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source: str = "source", weigh
     """``row`` (all columns of ``docs`` as a struct), ``class``, ``block`` (of its
     source), ``slot``, ``release``, ``deadline`` and ``position``, by which the
     rows are in mixed order."""
-    listed = classes(docs, source, weights, other)
-    buckets = max(1, -(-docs.count() // BUCKET_ROWS))
-    named = F.broadcast(listed.where("source is not null").select(F.col("source").alias("_source"), F.col("class").alias("_class")))
-    others = F.broadcast(listed.where("source is null").select(F.lit(True).alias("_any"), F.col("class").alias("_other")))
+    named = F.coalesce(F.col(source).cast("string"), F.lit(""))
+    sizes = {r["_source"]: r["n"] for r in docs.groupBy(named.alias("_source")).agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
+    buckets = max(1, -(-sum(sizes.values()) // BUCKET_ROWS))
+    slots = _written_schedule(docs.sparkSession, sizes, weights, other, block_rows)
     hashed = F.xxhash64(F.col(id_col), F.lit(seed))
     share = F.col("_hash").cast("double") / F.lit(2.0**64) + 0.5
-    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("_source"), hashed.alias("_hash"))
-    keyed = keyed.join(named, "_source", "left").withColumn("_any", F.lit(True)).join(others, "_any", "left")
-    keyed = keyed.select("row", F.coalesce("_class", "_other").alias("class"), "_hash",
-                         F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("int").alias("_bucket"))
-
-    counts = keyed.groupBy("class", "_bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.partitionBy("class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    before = counts.select("_bucket", "class", F.coalesce(before, F.lit(0)).alias("before"))
-    # One row for each bucket, holding at most one number for each class.
-    before = before.groupBy("_bucket").agg(F.map_from_entries(F.collect_list(F.struct("class", "before"))).alias("_before"))
-
-    dealt = keyed.repartition("_bucket")
-    place = F.row_number().over(Window.partitionBy("_bucket", "class").orderBy("_hash"))
-    ranked = dealt.withColumn("_place", place).join(before, "_bucket")
-    ranked = ranked.withColumn("_rank", F.element_at("_before", F.col("class")) + F.col("_place") - 1)
-    ranked = ranked.withColumn("block", F.floor(F.col("_rank") / block_rows).cast("bigint"))
-
-    one = cycle(listed)
-    sizes = F.broadcast(listed.select("class", F.col("slots").alias("_slots")))
-    out = ranked.join(sizes, "class").withColumn("j", (F.col("block") % F.col("_slots")).cast("int"))
-    out = out.join(F.broadcast(one), ["class", "j"])
-    cycles = F.floor(F.col("block") / F.col("slots")) * F.col("cycle_slots")
-    slot = (cycles + F.col("slot")).cast("bigint")
-    return out.select("row", "class", "block", slot.alias("slot"), (cycles + F.col("release")).cast("bigint").alias("release"),
-                      (cycles + F.col("deadline")).cast("bigint").alias("deadline"), (slot * block_rows + F.col("_rank") % block_rows).alias("position"))
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), named.alias("_source"), hashed.alias("_hash"))
+    keyed = keyed.withColumn("_bucket", F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("int"))
+
+    counts = keyed.groupBy("_source", "_bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.withColumn("_before", F.coalesce(before, F.lit(0)))
+    # A source's documents in a bucket have ranks, and so blocks, in sequence.
+    first, last = F.floor(F.col("_before") / block_rows), F.floor((F.col("_before") + F.col("n") - 1) / block_rows)
+    held = counts.select("_source", "_bucket", "_before", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))).alias("block"))
+    held = held.join(slots, ["_source", "block"]).groupBy("_source", "_bucket").agg(
+        F.first("_before").alias("_before"), F.array_sort(F.collect_list(F.struct("block", "slot", "release", "deadline", "class"))).alias("_blocks"))
+
+    # A bucket's slots go in with its documents, as one row for each source in it.
+    kinds = keyed.schema["row"].dataType
+    given = held.select(F.lit(None).cast(kinds).alias("row"), "_source", F.lit(None).cast("bigint").alias("_hash"), "_bucket", "_before", "_blocks")
+    dealt = keyed.withColumn("_before", F.lit(None).cast("bigint")).withColumn("_blocks", F.lit(None).cast(given.schema["_blocks"].dataType))
+    dealt = dealt.unionByName(given).repartition("_bucket")
+    # Their row stands first (its hash is null) and its place is 0.
+    inside = Window.partitionBy("_bucket", "_source").orderBy(F.asc_nulls_first("_hash"))
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = dealt.select("row", "_hash", (F.row_number().over(inside) - 2).alias("_place"),
+                          F.first("_before", ignorenulls=True).over(so_far).alias("_before"), F.first("_blocks", ignorenulls=True).over(so_far).alias("_blocks"))
+    ranked = ranked.where("_hash is not null").withColumn("_rank", F.col("_before") + F.col("_place"))
+    at = (F.floor(F.col("_rank") / block_rows) - F.floor(F.col("_before") / block_rows) + 1).cast("int")
+    out = ranked.select("row", "_rank", F.element_at("_blocks", at).alias("_b"))
+    return out.select("row", "_b.class", "_b.block", "_b.slot", "_b.release", "_b.deadline",
+                      (F.col("_b.slot") * block_rows + F.col("_rank") % block_rows).alias("position"))
 
 
 def in_mixed_order(docs: DataFrame, id_col: str = "doc_id", source: str = "source", weights: dict[str, float] | None = None, other: float = 0.0) -> DataFrame:

@@ -1,4 +1,6 @@
 import collections
+import math
+from fractions import Fraction
 
 import pytest
 
@@ -67,3 +69,26 @@ def test_odd_rows_and_weights(spark):
     assert mixing.in_mixed_order(empty(spark)).count() == 0
     with pytest.raises(ValueError):
         mixing.classes(odd(spark), "source", {"a": 0})
+
+
+def check_shares(rows, weights):
+    """Rows (source, block, slot, release, deadline) against the exact weights."""
+    total = sum(map(Fraction, weights.values()))
+    share = {s: Fraction(w) / total for s, w in weights.items()}
+    done = collections.Counter()
+    for t, (s, block, slot, release, deadline) in enumerate(sorted(rows, key=lambda r: r[2])):
+        assert slot == t and block == done[s] and release <= t < deadline
+        assert release == math.floor(block / share[s]) and deadline == math.ceil((block + 1) / share[s])
+        done[s] += 1
+        assert all(abs(done[c] - (t + 1) * w) < 1 for c, w in share.items())
+
+
+def test_given_weights_hold_over_many_cycles(spark):
+    """Shares that no cycle of 1000 slots holds, one of them under half a slot."""
+    weights = {"a": 0.70041, "b": 0.29929, "c": 0.0003}
+    n = {"a": 8404, "b": 3591, "c": 3}
+    docs = spark.createDataFrame([(i, s) for s, k in n.items() for i in range(k)], "doc_id long, source string")
+    got = mixing.mixed(docs, weights=weights, block_rows=1).select("row.source", "block", "slot", "release", "deadline").collect()
+    assert len(got) == sum(n.values())
+    early = [tuple(r) for r in got if r["slot"] < 9000]
+    check_shares(early, weights)
