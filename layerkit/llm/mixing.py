@@ -86,8 +86,8 @@ def cycle(listed: DataFrame) -> DataFrame:
 
 
 def _check(weights: dict[str, float]) -> None:
-    if len(weights) > MAX_SOURCES or any(w <= 0 for w in weights.values()):
-        raise ValueError(f"weights must be positive, at most {MAX_SOURCES} of them")
+    if any(w <= 0 for w in weights.values()):
+        raise ValueError("weights must be positive")
 
 
 def _earliest_deadline_first(shares: list[int], blocks: list[int]) -> Iterator[tuple[int, int, int, int, int]]:

@@ -92,3 +92,22 @@ def test_given_weights_hold_over_many_cycles(spark):
     assert len(got) == sum(n.values())
     early = [tuple(r) for r in got if r["slot"] < 9000]
     check_shares(early, weights)
+
+
+def test_every_source_has_its_windows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(mixing, "PIECE", 50)
+    n = {f"s{k:03d}": 3 + k % 7 for k in range(300)}
+    docs = spark.createDataFrame([(1000 * k + i, s) for k, (s, c) in enumerate(n.items()) for i in range(c)], "doc_id long, source string")
+    got = mixing.mixed(docs, block_rows=1).select("row.source", "block", "slot", "release", "deadline").collect()
+    assert len(got) == sum(n.values())
+    share = {s: Fraction(c**0.5) for s, c in n.items()}
+    total = sum(share.values())
+    assert all(r["release"] == math.floor(r["block"] * total / share[r["source"]]) and r["release"] <= r["slot"] < r["deadline"]
+               and r["deadline"] == math.ceil((r["block"] + 1) * total / share[r["source"]]) for r in got)
+    # More given weights than classes; the others, without weight, come last.
+    given = {s: 1.0 for s in list(n)[:250]}
+    got = mixing.mixed(docs, weights=given, block_rows=1).select("row.source", "slot").collect()
+    assert len(got) == sum(n.values())
+    assert max(r["slot"] for r in got if r["source"] in given) < min(r["slot"] for r in got if r["source"] not in given)
