@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from layerkit.llm.tables import read_table, text_or_empty
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A text without any of these holds no licence sentence.
+#: The pre-test of the SQL, which knows fewer sentences than ``MAY_HOLD``.
 MENTIONS = r"(?i)licen[cs]e|copyright|permission|warrant|redistribut|spdx|public domain"
 #: A normalised sentence with one of these that no pattern knows is "unknown".
 SPEAKS = r"license|copyright|all rights reserved|public domain"
@@ -76,6 +76,15 @@ SENTENCES: list[tuple[str, str]] = [
     ("all-rights", r"all rights reserved"),
 ]
 
+_GAP = "[^a-z0-9.+]+"  # what normalisation turns into a space
+#: A text without any of these holds no licence sentence: every pattern above and
+#: ``SPEAKS`` needs one of them. Tried before normalisation.
+MAY_HOLD = "(?i)" + "|".join(p.replace(" ", _GAP) for p in (
+    "licen[cs]e", "copyright", "permission", "redistribut", "spdx", "public domain", "rights reserved", "cc0", "cc by", "creative commons",
+    "attribution", "gnu", "applicable law", "hope that it", "software is provided", "in no event", "endorse"))
+#: Patterns that are tried between word ends, so that hexadecimal strings don't fit.
+WHOLE_WORDS = {"cc0": r"\bcc0\b|creative commons zero"}
+
 #: Ordered rules. Longer notices come before what they contain.
 RULES: list[tuple[str, list[str]]] = [
     ("Apache-2.0", ["apache-2", "apache-compliance", "apache-obtain", "apache-as-is", "apache-see"]),
@@ -135,7 +144,7 @@ def sentence_id(s: Column) -> Column:
     """Id of a normalised sentence; ``unknown`` if it only speaks of licences."""
     out: Column | None = None
     for name, pattern in SENTENCES:
-        test = s.rlike(_regex(pattern))
+        test = s.rlike(WHOLE_WORDS.get(name, _regex(pattern)))
         out = F.when(test, F.lit(name)) if out is None else out.when(test, F.lit(name))
     return out.when(s.rlike(SPEAKS), F.lit("unknown"))
 
@@ -159,7 +168,7 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     t = text_or_empty(text)
     none = F.array().cast("array<string>")
     named = F.array_compact(F.transform(sentences(t), sentence_id))
-    rows = docs.select(*keep, F.when(t.rlike(MENTIONS), named).otherwise(none).alias("_named"))
+    rows = docs.select(*keep, F.when(t.rlike(MAY_HOLD), named).otherwise(none).alias("_named"))
     rows = rows.select(*keep, F.filter("_named", lambda i: i != "unknown").alias("sentence_ids"),
                        F.size(F.filter("_named", lambda i: i == "unknown")).cast("bigint").alias("n_unknown"))
     rows = rows.withColumn("_match", match_rules(F.col("sentence_ids")))

@@ -41,3 +41,33 @@ def test_odd_rows(spark):
     got = lr.scan(odd(spark), ["doc_id"]).collect()
     assert len(got) == len(ODD_ROWS) and all(r["licenses"] == [] and r["n_unknown"] == 0 for r in got)
     assert lr.scan(empty(spark), ["doc_id"]).count() == 0
+
+
+def test_no_sentence_is_passed_over(spark):
+    """One text for each pattern, holding nothing else."""
+    texts = {
+        "spdx-apache-2": "SPDX-License-Identifier: Apache-2.0", "spdx-mit": "SPDX-License-Identifier: MIT", "spdx-gpl-3": "SPDX-License-Identifier: GPL-3.0",
+        "spdx-gpl-2": "SPDX-License-Identifier: GPL-2.0", "spdx-bsd-3": "SPDX-License-Identifier: BSD-3-Clause", "spdx-bsd-2": "SPDX-License-Identifier: BSD-2-Clause",
+        "spdx-mpl-2": "SPDX-License-Identifier: MPL-2.0", "apache-2": "Licensed under the Apache License, Version 2.0",
+        "apache-compliance": "You may not use this file except in compliance with the License", "apache-obtain": "You may obtain a copy of the License at",
+        "apache-as-is": "Unless required by applicable\nlaw or agreed to in writing", "apache-see": "See the License for the specific language governing permissions",
+        "lgpl-3": "GNU Lesser General Public License v3", "lgpl-2": "GNU Library General Public Licence, version 2", "agpl-3": "GNU Affero General Public License",
+        "gpl-3-or-later": "GNU General Public License version 3, or (at your option) any later version",
+        "gpl-2-or-later": "GNU General Public License version 2, or (at your option) any later version",
+        "gpl-3": "GNU General Public License v3", "gpl-2": "GNU General Public License v2", "gpl-hope": "distributed in the HOPE that it will be useful",
+        "gpl-received": "You should have received a copy of the GNU", "gpl-see": "See the GNU General Public License for more details",
+        "cc-by-nc-sa-4": "CC BY-NC-SA 4.0", "cc-by-nc-nd-4": "Attribution-NonCommercial-NoDerivatives 4.0", "cc-by-nc-4": "CC BY-NC 4.0",
+        "cc-by-sa-4": "CC_BY_SA 4.0", "cc-by-sa-3": "Attribution-ShareAlike 3.0", "cc-by-4": "Creative Commons Attribution 4.0", "cc0": "Released under CC0.",
+        "mit": "released under the MIT licence", "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy",
+        "mit-notice": "The above copyright notice and this permission notice shall be included", "as-is": 'THE SOFTWARE IS PROVIDED "AS IS"',
+        "no-liability": "IN NO EVENT SHALL THE AUTHORS", "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose",
+        "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "bsd-source": "Redistributions of source code must retain the above copyright notice",
+        "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice",
+        "bsd-endorse": "Neither the name of X may be used to endorse or promote", "mpl-2": "Mozilla Public License, version 2.0",
+        "unlicense": "free and unencumbered software released into the public\ndomain", "copyright": "Copyright X", "all-rights": "All  rights  reserved.",
+    }
+    assert list(texts) == [name for name, _ in lr.SENTENCES]
+    got = scan(spark, [*texts.values(), "sha 4acc0f19 and cc0ffee", "Creative Commons Zero"])
+    assert [r["sentence_ids"] for r in got] == [*([name] for name in texts), [], ["cc0"]]
+    assert [r["licenses"] for r in got][list(texts).index("cc-by-sa-4")] == ["CC-BY-SA-4.0"]
