@@ -121,17 +121,44 @@ def _regex(pattern: str) -> str:
     return pattern.replace(",?", "")
 
 
-#: Steps of normalisation, as (pattern, replacement), for Spark and SQL alike.
+#: Steps of normalisation, as (pattern, replacement), for Spark and SQL alike;
+#: the SQL joins and cuts by the first two alone.
 JOIN_LINES = (r"\r?\n[ \t]*([a-z(])", r" ")  # a line that goes on in lower case
 END_SENTENCE = r"([.!?;])[ \t\r]+"
+#: A further line of a comment or quotation; a line of stars only where a comment
+#: with stars has been opened, as stars also mark the items of lists.
+_NEXT = r"[ \t]*\r?\n[ \t]*(?:(?:#+|//+[!/]?|--+|;+|%+|!+|>+|dnl\b|REM\b|rem\b)[ \t]*)?"
+_NEXT_STAR = r"[ \t]*\r?\n[ \t]*(?:\*+(?!/)[ \t]*)?"
+
+
+def _joins(following: str) -> list[tuple[str, str]]:
+    """Lines that go on: in lower case, after a word that ends no sentence, inside
+    a licence's name, from capitals to capitals."""
+    return [
+        (rf"{following}([a-z(])", " $1"),
+        (rf"(?i)\b(the|of|by|an|and|or|to|under|with|for|see){following}(?=[a-z\"'(])", "$1 "),
+        (rf"(?i)\b(gnu|lesser|library|affero|general|public|apache|mozilla|mit){following}(?=(?:lesser|library|affero|general|public|licen[cs]e)\b)", "$1 "),
+        (rf"(?i)\b(licen[cs]e,?){following}(?=version\b)", "$1 "),
+        (rf"(?i)\b(version){following}(?=[0-9])", "$1 "),
+        (rf"([A-Z]{{2,}} [A-Z]{{2,}}){following}(?=[\"'(]*[A-Z]{{2,}}[\"')]* [A-Z]{{2,}})", "$1 "),
+    ]
+
+
+#: A semicolon before the version of a licence ends no sentence.
+CUT = r"([.!?]|;(?![ \t\r]+(?:(?:either|only|under|using|the|terms|of)[ \t]+)*(?:version\b|v\.?[ \t]?[0-9])))[ \t\r]+"
 KEPT = r"[^a-z0-9.+]+"
 TRIM = r"[. ]+$|^[. ]+"
 
 
 def sentences(text: Column) -> Column:
     """Normalised sentences of a text, in order, empty ones left out."""
-    joined = F.regexp_replace(text, JOIN_LINES[0], " $1")
-    lines = F.split(F.regexp_replace(joined, END_SENTENCE, "$1\n"), "\n", -1)
+    def join(t: Column, following: str) -> Column:
+        for pattern, by in _joins(following):
+            t = F.regexp_replace(t, pattern, by)
+        return t
+
+    joined = join(F.when(F.contains(text, F.lit("/*")), join(text, _NEXT_STAR)).otherwise(text), _NEXT)
+    lines = F.split(F.regexp_replace(joined, CUT, "$1\n"), "\n", -1)
 
     def normal(s: Column) -> Column:
         plain = F.regexp_replace(F.translate(s, _UPPER, _LOWER), KEPT, " ")

@@ -71,3 +71,81 @@ def test_no_sentence_is_passed_over(spark):
     got = scan(spark, [*texts.values(), "sha 4acc0f19 and cc0ffee", "Creative Commons Zero"])
     assert [r["sentence_ids"] for r in got] == [*([name] for name in texts), [], ["cc0"]]
     assert [r["licenses"] for r in got][list(texts).index("cc-by-sa-4")] == ["CC-BY-SA-4.0"]
+
+
+def gnu(name, version):
+    return f"""This program is free software; you can redistribute it and/or modify
+it under the terms of the {name} as published by
+the Free Software Foundation; either version {version} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+{name} for more details.
+
+You should have received a copy of the {name}
+along with this program; if not, see <https://www.gnu.org/licenses/>."""
+
+
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details.
+
+You should have received a copy of the GNU Lesser General Public
+License along with this library; if not, write to the Free Software
+Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA  02110-1301  USA"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS
+"AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED. IN NO EVENT SHALL THE
+COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DAMAGES."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_standard_notices_plain_and_in_comments(spark):
+    notices = {
+        "GPL-2.0-or-later": gnu("GNU General Public License", 2), "GPL-3.0-or-later": gnu("GNU General Public License", 3), "LGPL-2.1": LGPL,
+        "BSD-3-Clause": BSD, "Apache-2.0": APACHE}
+    texts, want = [], []
+    for name, notice in notices.items():
+        for prefix, before, after in [("", "", ""), ("# ", "", ""), ("// ", "", ""), ("-- ", "", ""), (" * ", "/*\n", "\n */")]:
+            body = "\n".join((prefix + line).rstrip() for line in notice.split("\n"))
+            texts.append(f"{before}{body}{after}\nx = 1;\n")
+            want.append((name, [name], 0))
+    got = scan(spark, texts)
+    assert [(n, r["licenses"], r["n_unmatched"]) for (n, _, _), r in zip(want, got)] == want
+
+
+def test_sentences_stay_apart(spark):
+    got = scan(spark, ["Code is released under the MIT License; documentation is CC BY 4.0.", "* released under the MIT License\n* cc by 4.0",
+                       "# SPDX-License-Identifier: MIT\n# Copyright 2020 X\n# All rights reserved.", "licensed under the Apache License; version 2"])
+    assert [r["licenses"] for r in got] == [["CC-BY-4.0", "MIT"], ["CC-BY-4.0", "MIT"], ["MIT", "Proprietary"], ["Apache-2.0"]]
