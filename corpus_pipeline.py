@@ -37,8 +37,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids, language and source of every document with its token ids."""
-    return bpe_automaton.encode(docs, bpe_automaton.tokenizer_path(), ["doc_id", "lang", "source"])
+    """Ids, language, source and place in the mixture (``position``, from 0) of
+    every document with its token ids. Files are read in any order, so that the
+    place comes from their names and the rows in them."""
+    placed = mixing.place_in_files(docs.select("doc_id", "lang", "source", "text"))
+    return bpe_automaton.encode(placed, bpe_automaton.tokenizer_path(), ["doc_id", "lang", "source", "position"])
 
 
 STAGES = [

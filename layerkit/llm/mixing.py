@@ -209,6 +209,18 @@ def in_mixed_order(docs: DataFrame, id_col: str = "doc_id", source: str = "sourc
     return out.repartitionByRange("position").sortWithinPartitions("position").select("row.*")
 
 
+def place_in_files(docs: DataFrame, name: str = "position") -> DataFrame:
+    """``docs`` as read from files, with ``name``: a row's place, from 0, in the
+    files in name order, whatever the order in which they are read."""
+    given = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != name), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = docs.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    # One row for each file; part numbers of more digits make longer names.
+    order = Window.partitionBy(F.lit(0)).orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_file", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"))
+    placed = given.join(F.broadcast(files), "_file").withColumn(name, F.col("_before") + F.col("_row"))
+    return placed.drop("_file", "_row", "_before")
+
+
 def op3_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixed(docs).select("row.doc_id", "row.source", "block", "slot", "release", "deadline", "position")

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 import corpus_pipeline
-from layerkit.llm import bpe_automaton, cotraining, registry
+from layerkit.llm import bpe_automaton, cotraining, mixing, registry
 
 from .small import DOCUMENTS, SF001, SF01, WORD, duplicate_components, labels, odd
 from .test_secret_ledger import base
@@ -77,3 +77,19 @@ def test_entry_works_without_the_package(monkeypatch):
     monkeypatch.setattr(sys, "meta_path", [Gone(), *sys.meta_path])
     names = set(importlib.reload(E).queries())
     assert names and not any(n.startswith("op") or n == "pipeline" for n in names) and set(E.oracle_sql()) <= names
+
+
+def test_the_mixture_reaches_the_last_stage(spark, tmp_path):
+    """Files of unequal size, larger ones later, are read in another order."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    mixed = {r["doc_id"]: r["position"] for r in mixing.mixed(docs).select("row.doc_id", "position").collect()}
+    path, begin = str(tmp_path / "mixed"), 0
+    ordered = mixing.in_mixed_order(docs).toPandas()
+    (tmp_path / "mixed").mkdir()
+    for k, n in enumerate([3, 11, 40, len(ordered)]):
+        part = ordered.iloc[begin:begin + n]
+        part.to_parquet(f"{path}/part-{k:05d}.parquet", index=False)
+        begin += len(part)
+    got = corpus_pipeline.tokens(spark, spark.read.parquet(path), SF001).select("doc_id", "position").collect()
+    assert [r["doc_id"] for r in sorted(got, key=lambda r: r["position"])] == sorted(mixed, key=mixed.get)
+    assert sorted(r["position"] for r in got) == list(range(len(mixed)))
