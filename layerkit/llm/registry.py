@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from layerkit.llm import chat_parts, license_rules, near_dedup, secret_ledger
 from layerkit.llm.bpe_automaton import op7_bpe_automaton
+from layerkit.llm.chunk_bpe import op13_chunk_bpe
 from layerkit.llm.cotraining import op8_cotraining
 from layerkit.llm.cross_polytope import op2_cross_polytope
 from layerkit.llm.decision_list import op4_decision_list
@@ -28,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_cotraining": op8_cotraining,
         "op9_chat_parts": chat_parts.op9_chat_parts,
         "op10_subword_toxicity": op10_subword_toxicity,
+        "op13_chunk_bpe": op13_chunk_bpe,
         "pipeline": corpus_pipeline.run,
     }
 
