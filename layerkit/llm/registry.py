@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from layerkit.llm import chat_parts, license_rules, near_dedup, secret_ledger
+from layerkit.llm import chat_parts, lexical_search, license_rules, near_dedup, secret_ledger
 from layerkit.llm.bpe_automaton import op7_bpe_automaton
 from layerkit.llm.chunk_bpe import op13_chunk_bpe
 from layerkit.llm.cotraining import op8_cotraining
@@ -29,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_cotraining": op8_cotraining,
         "op9_chat_parts": chat_parts.op9_chat_parts,
         "op10_subword_toxicity": op10_subword_toxicity,
+        "op12_lexical_search": lexical_search.op12_lexical_search,
         "op13_chunk_bpe": op13_chunk_bpe,
         "pipeline": corpus_pipeline.run,
     }
@@ -40,4 +41,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_license_rules": license_rules.ORACLE,
         "op6_secret_ledger": secret_ledger.ORACLE,
         "op9_chat_parts": chat_parts.ORACLE,
+        "op12_lexical_search": lexical_search.ORACLE,
     }
