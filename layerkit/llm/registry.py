@@ -15,6 +15,7 @@ from layerkit.llm.cross_polytope import op2_cross_polytope
 from layerkit.llm.decision_list import op4_decision_list
 from layerkit.llm.mixing import op3_pfair_mix
 from layerkit.llm.subword_toxicity import op10_subword_toxicity
+from layerkit.llm.whitening import op11_whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -29,6 +30,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_cotraining": op8_cotraining,
         "op9_chat_parts": chat_parts.op9_chat_parts,
         "op10_subword_toxicity": op10_subword_toxicity,
+        "op11_whitening": op11_whitening,
         "op12_lexical_search": lexical_search.op12_lexical_search,
         "op13_chunk_bpe": op13_chunk_bpe,
         "pipeline": corpus_pipeline.run,
@@ -41,5 +43,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_license_rules": license_rules.ORACLE,
         "op6_secret_ledger": secret_ledger.ORACLE,
         "op9_chat_parts": chat_parts.ORACLE,
+        "op11_whitening": op11_whitening,
         "op12_lexical_search": lexical_search.ORACLE,
     }
