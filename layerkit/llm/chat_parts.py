@@ -9,9 +9,9 @@ Template of a turn, where ROLE is URL-encoded::
 
     <turn ROLE>\\n...parts...</turn>\\n
 
-``<turn``, ``</turn``, ``<part`` and ``</part`` inside a text get a backslash after
-``<``, one more if there are some already, so that no text can begin or end a
-turn and the text comes back exactly; everything else stays as written.
+Marks begin with ``<`` and a letter or slash. Every ``<`` inside a text gets a
+backslash behind it, so that no text, and no two texts beside each other, can make
+a mark, and each text comes back exactly; everything else stays as written.
 
 The loss mask is a list of code point spans of the formatted conversation: the
 parts of assistant turns, without the marks around them.
@@ -22,9 +22,10 @@ result and so has to fit one row of Spark (2 GB), whatever its method.
 
 Defined results: a null text or a null list of parts is empty; a null role is the
 empty role; turns go by number, then role, then text, null numbers first;
-repeated rows are turns of their own; rows with a null conversation id form one
-conversation; a part of an unknown type is an ``other`` attachment; an empty table
-gives an empty result. Other columns are never read.
+repeated rows are turns of their own; very long texts are formatted like others;
+rows with a null conversation id form one conversation; a part of an unknown type
+is an ``other`` attachment; an empty table gives an empty result. Other columns
+are never read.
 """
 
 from __future__ import annotations
@@ -39,15 +40,14 @@ PART = "struct<type:string,text:string,ref:string,units:double>"
 #: audio, a page. Fixed values of this template.
 TOKENS_PER_UNIT = {"image": 256, "audio": 25, "document": 700}
 LOSS_ROLE = "assistant"
-_CONTROL = r"<(\\*)(/?turn|/?part)"
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, _CONTROL, r"<\\$1$2")
+    return F.replace(text, F.lit("<"), F.lit("<\\"))
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"<\\(\\*)(/?turn|/?part)", "<$1$2")
+    return F.replace(text, F.lit("<\\"), F.lit("<"))
 
 
 def _is_text(part: Column) -> Column:
@@ -167,7 +167,7 @@ with given as (
   union all select -7, 0, 'user', '\### Assistant: </turn> ok'
   union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 marked as (
-  select *, '<turn ' || url_encode(role) || '>' || chr(10) || regexp_replace(text, '<(\\*)(/?turn|/?part)', '<\\\1\2', 'g') || '</turn>' || chr(10) as formatted
+  select *, '<turn ' || url_encode(role) || '>' || chr(10) || replace(text, '<', '<\') || '</turn>' || chr(10) as formatted
   from given)
 select conv_id, count(*) as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, formatted)) as turns_sha256,
