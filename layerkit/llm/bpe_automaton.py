@@ -21,8 +21,9 @@ the byte labels of the arcs.
 
 Defined results: null and empty texts have no tokens and decode to the empty
 text; the strings of added tokens inside a text become those tokens, as the
-library does; repeated rows and repeated ids give one result each; an empty
-table gives an empty result. Only the named columns are read.
+library does; very long texts are encoded whole, in time proportional to their
+length even if they are one word; repeated rows and repeated ids give one result
+each; an empty table gives an empty result. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -180,10 +181,11 @@ class Coder:
         first; a position from which no arc leads on is given up for good, as
         there is but one way to reach it."""
         arcs, shift, shorter, width, begin = self.arcs, self.automaton.shift, self.shorter, self.width, self.trie[0]
-        n, at, path, dead, before = len(word), 0, [], (), -1
+        n, at, path, dead, before = len(word), 0, [], set(), -1
+        view = memoryview(word)
         while at < n:
             children, token = begin, -1
-            for byte in word[at:]:
+            for byte in view[at:]:
                 node = children.get(byte)
                 if node is None:
                     break
@@ -201,7 +203,7 @@ class Coder:
                     token = shorter[token]
                 if token >= 0:
                     break
-                dead = {at, *dead}
+                dead.add(at)
                 token = path.pop()
                 before = path[-1] if path else -1
                 at -= width[token]

@@ -43,6 +43,12 @@ def test_like_the_library_on_random_and_long_texts(coder, library):
         same(coder, library, text)
 
 
+def test_one_word_of_any_length(coder, library):
+    rng = random.Random(8)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ab", "é漢a"):
+        same(coder, library, "".join(rng.choice(letters) for _ in range(400_000)))
+
+
 def test_arcs_are_those_of_correct_tokenisations(library):
     """Two tokens have an arc exactly if their bytes are encoded to just them."""
     small = ba.BpeAutomaton({bytes([b]): b for b in range(97, 100)} | {b"aa": 200, b"ab": 201, b"aab": 202, b"bc": 203, b"aabc": 204}, [
