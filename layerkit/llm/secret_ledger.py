@@ -8,13 +8,15 @@ however many paths hold it, appends what it finds, and joins the ledger's
 findings back to all paths. New rules are a new rule version: old pairs stay.
 
 All work is Spark SQL functions. Spans are code points, end exclusive: a text is
-split at a rule's matches, and running sums of the pieces' and the matches'
-lengths give the positions. Texts that a rule can't match are passed over by a
-plain test first.
+split at a rule's matches, each piece and match becomes a row of counts, and
+running sums over them give the positions. Texts that a rule can't match are
+passed over by a plain test first. Redaction cuts a text into parts of
+``CUT_CHARS`` and cuts each part's share of the spans out of it.
 
 Defined results: a null text is the empty text and has no spans; repeated rows
-and repeated paths give one result each; a null path keeps its row; an empty
-table scans nothing and gives an empty result. Other columns are passed through
+and repeated paths give one result each; a null path keeps its row; very long
+texts, with any number of matches, are scanned and redacted whole in about linear
+time, the spans of one text being one row; an empty table scans nothing and gives an empty result. Other columns are passed through
 untouched by ``scan`` if asked for in ``keep``.
 """
 
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerkit.llm.tables import free_name, read_table, text_or_empty
@@ -68,35 +70,29 @@ RULES: dict[str, list[Rule]] = {
 _NEEDS = {"access": "AKIA", "private_key": "PRIVATE KEY-----", "jwt": "eyJ", "host_token": "gh", "url_password": "://"}
 
 
-def _found(text: Column, rule: Rule, place: int) -> Column:
-    """The spans of one rule: one pass over the pieces between its matches and
-    the matches, with the position carried along."""
-    rows = F.arrays_zip(F.split(text, rule.pattern, -1), F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)),
-                        F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)))
-    rows = rows.cast("array<struct<before:string,match:string,held:string>>")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
+#: Code points of a text that are redacted at a time.
+CUT_CHARS = 4096
 
-    def step(acc: Column, r: Column) -> Column:
-        begin = acc["at"] + F.length(r["before"])
-        end = begin + F.coalesce(F.length(r["match"]), F.lit(0))  # none after the last piece
-        span = F.struct(begin.alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"), end.alias("end"))
-        kept = F.coalesce(F.length(r["held"]) >= rule.least, F.lit(False))
-        spans = F.when(kept, F.concat(acc["spans"], F.array(span).cast(f"array<{SPAN}>"))).otherwise(acc["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
 
-    return F.aggregate(rows, start, step, lambda acc: acc["spans"])
+def _found(text: Column, rule: Rule) -> Column:
+    """The matches of one rule as code point counts: of the text between the
+    match before and this one, of the match, and of what it must have enough of."""
+    rows = F.arrays_zip(F.split(text, rule.pattern, -1), F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)),
+                        F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)))
+    rows = rows.cast("array<struct<before:string,match:string,held:string>>")  # no match after the last piece
+    return F.transform(rows, lambda r: F.struct(F.length(r["before"]).alias("before"), F.coalesce(F.length(r["match"]), F.lit(0)).alias("size"),
+                                                F.coalesce(F.length(r["held"]) >= rule.least, F.lit(False)).alias("kept")))
 
 
-def spans_of(text: Column, rules: list[Rule], first_place: int = 0) -> Column:
-    """All spans of ``rules`` in ``text``, by start, then kind as listed."""
-    none = F.array().cast(f"array<{SPAN}>")
+def _matches(text: Column, rules: list[Rule], first_place: int) -> Column:
+    """The matches of each rule that may have some."""
     parts = []
     for i, rule in enumerate(rules):
         test = text.rlike(rule.test or rule.pattern)
         if rule.kind in _NEEDS:
             test = F.contains(text, F.lit(_NEEDS[rule.kind])) & test
-        parts.append(F.when(test, _found(text, rule, first_place + i)).otherwise(none))
-    return F.array_sort(F.concat(*parts))
+        parts.append(F.when(test, F.struct(F.lit(first_place + i).alias("place"), F.lit(rule.kind).alias("kind"), _found(text, rule).alias("matches"))))
+    return F.array_compact(F.array(*parts))
 
 
 def blob(text: Column) -> Column:
@@ -130,9 +126,16 @@ def scan_unseen(paths: DataFrame, ledger_path: str, rules: dict[str, list[Rule]]
     rows = unseen(paths, ledger, rules, text)
     places = _places(rules)
     entries = F.array(*(
-        F.when(F.array_contains("versions", v), F.struct(F.lit(v).alias("rule_version"), spans_of(F.col("text"), listed, places[v]).alias("spans")))
+        F.when(F.array_contains("versions", v), F.struct(F.lit(v).alias("rule_version"), _matches(F.col("text"), listed, places[v]).alias("rules")))
         for v, listed in rules.items()))
-    found = rows.select("blob", F.explode(F.array_compact(entries)).alias("e")).select("blob", "e.rule_version", "e.spans")
+    each = rows.select("blob", F.explode(F.array_compact(entries)).alias("e")).select("blob", "e.rule_version", F.explode_outer("e.rules").alias("r"))
+    each = each.select("blob", "rule_version", "r.place", "r.kind", F.posexplode_outer("r.matches").alias("i", "m"))
+    # The blobs lie together since they were made distinct, so that neither the
+    # running sum of a rule's pieces nor the list of a blob's spans moves a row.
+    end = F.sum(F.col("m.before") + F.col("m.size")).over(Window.partitionBy("blob", "place").orderBy("i")).cast("int")
+    each = each.withColumn("end", end)
+    span = F.struct((F.col("end") - F.col("m.size")).alias("start"), "place", "kind", "end").cast(SPAN)
+    found = each.groupBy("blob", "rule_version").agg(F.array_sort(F.collect_list(F.when(F.col("m.kept"), span))).alias("spans"))
     found.write.mode("append").parquet(ledger_path)
     return spark.read.schema(LEDGER).parquet(ledger_path)
 
@@ -141,14 +144,19 @@ def _shown(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _entries(ledger: DataFrame, rules: dict[str, list[Rule]]) -> DataFrame:
+    """The entries with spans, one for each pair of ``rules``, whatever number of
+    them the rerun of a lost job has written."""
+    hits = ledger.where(F.col("rule_version").isin(*rules) & (F.size("spans") > 0))
+    return hits.groupBy("blob", "rule_version").agg(F.first("spans").alias("spans"))
+
+
 def scan(paths: DataFrame, ledger_path: str, keep: list[str], rules: dict[str, list[Rule]] = RULES, text: str = "text") -> DataFrame:
     """``keep`` columns and ``spans`` (array, of all rule versions in ``rules``)
     for every row of ``paths``."""
     ledger = scan_unseen(paths, ledger_path, rules, text)
-    # Clean blobs have no row here: most paths meet nothing. A blob's entries
-    # are merged by a set, as a rerun of a lost job may have written them twice.
-    hits = ledger.where(F.col("rule_version").isin(*rules) & (F.size("spans") > 0))
-    hits = hits.groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("_spans"))
+    # Clean blobs have no row here: most paths meet nothing.
+    hits = _entries(ledger, rules).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("_spans"))
     named = paths.select(F.struct(*keep).alias("kept"), blob(text_or_empty(text)).alias("blob"))
     out = named.join(hits, "blob", "left")
     return out.select("kept.*", F.coalesce("_spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
@@ -174,28 +182,50 @@ def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(_shown(base), 256).alias("base_sha256"), _shown(F.col("spans")).alias("spans"))
 
 
+def _cuts(ledger: DataFrame, rules: dict[str, list[Rule]], key: str, found: str) -> DataFrame:
+    """For each blob with spans, the places to cut out of each ``CUT_CHARS`` of it:
+    (begin, end, whether the span begins here). Overlapping spans are one."""
+    each = _entries(ledger, rules).select("blob", F.explode("spans").alias("s")).select("blob", "s.start", "s.end").distinct()
+    in_order = Window.partitionBy("blob").orderBy("start", "end")
+    reach = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    each = each.withColumn("fresh", F.coalesce((F.col("start") >= reach).cast("int"), F.lit(1)))
+    each = each.withColumn("n", F.sum("fresh").over(in_order))
+    merged = each.groupBy("blob", "n").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    first, last = (F.floor(c / CUT_CHARS).cast("int") for c in (F.col("start"), F.col("end") - 1))
+    touched = merged.select("blob", "start", "end", F.explode(F.sequence(first, last)).alias("k"))
+    begin = F.col("k") * CUT_CHARS
+    cut = F.struct((F.greatest("start", begin) - begin).alias("begin"), (F.least("end", begin + CUT_CHARS) - begin).alias("end"), (F.col("start") >= begin).alias("fresh"))
+    by_part = touched.groupBy("blob", "k").agg(F.array_sort(F.collect_list(cut)).alias("cuts"))
+    return by_part.groupBy(F.col("blob").alias(key)).agg(F.map_from_entries(F.collect_list(F.struct("k", "cuts"))).alias(found))
+
+
+def _redacted(part: Column, cuts: Column, mark: str) -> Column:
+    """A part of a text without its cuts, in which marks stand where spans begin."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, c: Column) -> Column:
+        left = F.substring(part, acc["at"] + 1, c["begin"] - acc["at"])
+        return F.struct(c["end"].alias("at"), F.concat(acc["out"], left, F.when(c["fresh"], F.lit(mark)).otherwise(F.lit(""))).alias("out"))
+
+    return F.aggregate(cuts, start, step, lambda acc: F.concat(acc["out"], F.substring(part, acc["at"] + 1, F.lit(CUT_CHARS))))
+
+
 def without_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", ledger_path: str | None = None) -> DataFrame:
     """``docs`` with every span of its text replaced by ``mark`` (overlapping
     spans by one); all other columns and all rows stay as they are. With the
     path of a kept ledger only texts that are new to it are scanned."""
     ledger = scan_unseen(docs, ledger_path or new_ledger(docs.sparkSession), RULES, text)
     key, found = free_name(docs, "_blob"), free_name(docs, "_spans")
-    hits = ledger.where(F.size("spans") > 0).groupBy(F.col("blob").alias(key)).agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias(found))
+    hits = _cuts(ledger, RULES, key, found)
     t = F.col(text)
-    # What stays between spans, taken from left to right: overlapping spans
-    # begin before the reach of those before them.
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    parts = F.regexp_extract_all(t, F.lit(f"(?s).{{1,{CUT_CHARS}}}"), F.lit(0))
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.greatest(s["start"] - acc["at"], F.lit(0))
-        fresh = F.when((s["start"] < acc["at"]) & (acc["at"] > 0), F.lit("")).otherwise(F.lit(mark))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.concat(acc["out"], F.substring(t, acc["at"] + 1, gap), fresh).alias("out"))
+    def one(part: Column, k: Column) -> Column:
+        cuts = F.try_element_at(F.col(found), k)
+        return F.when(cuts.isNull(), part).otherwise(_redacted(part, cuts, mark))
 
-    redacted = F.aggregate(F.col(found), start, step, lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t))))
     joined = docs.withColumn(key, blob(text_or_empty(text))).join(hits, key, "left")
-    changed = F.when(F.col(found).isNotNull() & t.isNotNull(), redacted).otherwise(t)
+    changed = F.when(F.col(found).isNotNull() & t.isNotNull(), F.array_join(F.transform(parts, one), "")).otherwise(t)
     return joined.withColumn(text, changed).select(*docs.columns)
 
 

@@ -87,3 +87,35 @@ def test_odd_rows_and_redaction(spark):
     for _ in range(2):
         assert {r["text"] for r in sl.without_secrets(df, ledger_path=kept).collect()} == {"[SECRET] and [SECRET] end", None}
     assert spark.read.parquet(kept).count() == 2 * len(sl.RULES)
+
+
+def plain_redaction(text, spans, mark="[SECRET]"):
+    out, at = "", 0
+    for a, z in sorted(spans):
+        if a >= at:
+            out += text[at:a] + mark
+        at = max(at, z)
+    return out + text[at:]
+
+
+def test_many_matches_in_one_text(spark):
+    rng = random.Random(2)
+    text = "é ".join("".join(rng.choice("0123456789abcdef") for _ in range(24 + i % 9)) for i in range(100_000)) + " token=" + "q" * 9000
+    df = spark.createDataFrame([(1, text), (2, text[5:]), (3, "clean")], "path long, text string").repartition(2)
+    got = {r["path"]: r["spans"] for r in sl.scan(df, sl.new_ledger(spark), ["path"], {"base": sl.RULES["base"]}).collect()}
+    for path, t in ((1, text), (2, text[5:])):
+        assert [tuple(s) for s in got[path]] == base(t)
+        assert len(got[path]) > 99_000
+    clean = {r["path"]: r["text"] for r in sl.without_secrets(df).collect()}
+    assert clean[1] == plain_redaction(text, [(a, z) for a, _, _, z in base(text)])
+    assert clean[2] == plain_redaction(text[5:], [(a, z) for a, _, _, z in base(text[5:])]) and clean[3] == "clean"
+
+
+def test_redaction_in_small_parts(spark, monkeypatch):
+    rng = random.Random(12)
+    bits = ["token=abcdef", "secret: ", "0a" * 12, "AKIA" + "B2" * 8, " ", "é😀", "\n", "x"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    for size in (1, 7, 64):
+        monkeypatch.setattr(sl, "CUT_CHARS", size)
+        got = {r["path"]: r["text"] for r in sl.without_secrets(spark.createDataFrame(list(enumerate(texts)), "path long, text string")).collect()}
+        assert got == {i: plain_redaction(t, [(a, z) for a, _, _, z in base(t)]) for i, t in enumerate(texts)}
