@@ -46,9 +46,7 @@ def test_odd_rows(spark):
 def test_no_sentence_is_passed_over(spark):
     """One text for each pattern, holding nothing else."""
     texts = {
-        "spdx-apache-2": "SPDX-License-Identifier: Apache-2.0", "spdx-mit": "SPDX-License-Identifier: MIT", "spdx-gpl-3": "SPDX-License-Identifier: GPL-3.0",
-        "spdx-gpl-2": "SPDX-License-Identifier: GPL-2.0", "spdx-bsd-3": "SPDX-License-Identifier: BSD-3-Clause", "spdx-bsd-2": "SPDX-License-Identifier: BSD-2-Clause",
-        "spdx-mpl-2": "SPDX-License-Identifier: MPL-2.0", "apache-2": "Licensed under the Apache License, Version 2.0",
+        "apache-2": "Licensed under the Apache License, Version 2.0",
         "apache-compliance": "You may not use this file except in compliance with the License", "apache-obtain": "You may obtain a copy of the License at",
         "apache-as-is": "Unless required by applicable\nlaw or agreed to in writing", "apache-see": "See the License for the specific language governing permissions",
         "lgpl-3": "GNU Lesser General Public License v3", "lgpl-2": "GNU Library General Public Licence, version 2", "agpl-3": "GNU Affero General Public License",
@@ -56,15 +54,18 @@ def test_no_sentence_is_passed_over(spark):
         "gpl-2-or-later": "GNU General Public License version 2, or (at your option) any later version",
         "gpl-3": "GNU General Public License v3", "gpl-2": "GNU General Public License v2", "gpl-hope": "distributed in the HOPE that it will be useful",
         "gpl-received": "You should have received a copy of the GNU", "gpl-see": "See the GNU General Public License for more details",
-        "cc-by-nc-sa-4": "CC BY-NC-SA 4.0", "cc-by-nc-nd-4": "Attribution-NonCommercial-NoDerivatives 4.0", "cc-by-nc-4": "CC BY-NC 4.0",
+        "cc-by-nc-sa-4": "CC BY-NC-SA 4.0", "cc-by-nc-nd-4": "Attribution-NonCommercial-NoDerivatives 4.0", "cc-by-nc-4": "CC BY-NC 4.0", "cc-by-nd-4": "CC BY-ND 4.0",
         "cc-by-sa-4": "CC_BY_SA 4.0", "cc-by-sa-3": "Attribution-ShareAlike 3.0", "cc-by-4": "Creative Commons Attribution 4.0", "cc0": "Released under CC0.",
         "mit": "released under the MIT licence", "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy",
         "mit-notice": "The above copyright notice and this permission notice shall be included", "as-is": 'THE SOFTWARE IS PROVIDED "AS IS"',
         "no-liability": "IN NO EVENT SHALL THE AUTHORS", "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose",
+        "isc": "Distributed under the ISC License.",
         "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted",
         "bsd-source": "Redistributions of source code must retain the above copyright notice",
         "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice",
-        "bsd-endorse": "Neither the name of X may be used to endorse or promote", "mpl-2": "Mozilla Public License, version 2.0",
+        "bsd-endorse": "Neither the name of X may be used to endorse or promote", "bsd-3": "licensed under the BSD 3-Clause License",
+        "bsd-2": "Simplified BSD License", "mpl-2": "Mozilla Public License, version 2.0", "epl-2": "Eclipse Public License - v 2.0",
+        "bsl-1": "Boost Software License", "zlib": "zlib/libpng license", "artistic-2": "Artistic License 2.0",
         "unlicense": "free and unencumbered software released into the public\ndomain", "copyright": "Copyright X", "all-rights": "All  rights  reserved.",
     }
     assert list(texts) == [name for name, _ in lr.SENTENCES]
@@ -149,3 +150,27 @@ def test_sentences_stay_apart(spark):
     got = scan(spark, ["Code is released under the MIT License; documentation is CC BY 4.0.", "* released under the MIT License\n* cc by 4.0",
                        "# SPDX-License-Identifier: MIT\n# Copyright 2020 X\n# All rights reserved.", "licensed under the Apache License; version 2"])
     assert [r["licenses"] for r in got] == [["CC-BY-4.0", "MIT"], ["CC-BY-4.0", "MIT"], ["MIT", "Proprietary"], ["Apache-2.0"]]
+
+
+def test_spdx_lines(spark):
+    lines = {
+        "SPDX-License-Identifier: GPL-2.0-or-later": ["GPL-2.0-or-later"], "SPDX-License-Identifier: GPL-2.0-only": ["GPL-2.0-only"], "SPDX-License-Identifier: GPL-2.0": ["GPL-2.0"],
+        "// SPDX-License-Identifier: LGPL-2.1": ["LGPL-2.1"], "# SPDX-License-Identifier: AGPL-3.0-only": ["AGPL-3.0-only"], "/* SPDX-License-Identifier: ISC */": ["ISC"],
+        "SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause": ["Apache-2.0", "BSD-3-Clause", "MIT"], "spdx-license-identifier: gpl-3.0+": ["GPL-3.0+"],
+        "SPDX-License-Identifier: LicenseRef-Own": [], "-- SPDX-License-Identifier: CC-BY-ND-4.0": ["CC-BY-ND-4.0"],
+    }
+    got = scan(spark, list(lines))
+    assert [r["licenses"] for r in got] == list(lines.values())
+    assert [r["n_unknown"] for r in got] == [int(not x) for x in lines.values()]
+    assert all(len(scan(spark, [f"SPDX-License-Identifier: {n}" for n in lr.SPDX])[i]["licenses"]) == 1 for i in (0, 5, -1))
+
+
+def test_names_in_prose(spark):
+    texts = {"Code: BSD-3-Clause.": "BSD-3-Clause", "under the LGPLv2.1": "LGPL-2.1", "Licensed under the AGPL v3 or so": "AGPL-3.0", "GPLv3 code": "GPL-3.0",
+             "available under the ISC licence": "ISC", "Apache License 2.0": "Apache-2.0", "All rights are mine; the GNU General Public License,\nversion 2, holds": "GPL-2.0"}
+    assert [r["licenses"] for r in scan(spark, list(texts))] == [[x] for x in texts.values()]
+
+
+def test_a_long_text(spark):
+    lines = ["some words of no meaning at all"] * 40_000 + ["Licensed under CC BY 4.0."] + ["and so on"] * 40_000
+    assert [r["licenses"] for r in scan(spark, ["\n".join(lines), " ".join(lines)])] == [["CC-BY-4.0"]] * 2
