@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerkit.functions._util import as_col
+from layerkit.functions.automaton import strings_held
 from layerkit.functions.text import first_word, full_match
+from layerkit.session import free_name, scratch_path, ship_package
 
 # The personal-data patterns and their placeholders, applied in
 # this order after names, with ``\d`` and ``\s`` in the Unicode sense.
@@ -26,8 +28,8 @@ DEFAULT_PATTERNS = (
 # Fixed value: shortest first word that is added to the name dictionary.
 MIN_FIRST_WORD = 3
 
-# A name table of at most this many bytes is broadcast to find candidates.
-NAMES_BROADCAST_BYTES = 32 * 1024 * 1024
+# Names that one automaton holds, in bytes; compiled, about 50 times as much.
+AUTOMATON_BYTES = 4 * 1024 * 1024
 
 
 def pii_scan(tables: Mapping[str, DataFrame], patterns: Mapping[str, str], mode: str = "full",
@@ -144,58 +146,54 @@ def redact(col, names: Sequence[str] = (), patterns: Iterable[tuple] = DEFAULT_P
     return _replace_patterns(c, patterns)
 
 
-def _anchors(letters: str, sizes: Sequence[int]) -> Column:
-    """Distinct pieces of ``sizes`` letters of a text, given as the column of its
-    lower-cased letters."""
-    n = F.size(letters)
-
-    def pieces(size: int) -> Column:
-        at = F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
-        return F.array_distinct(F.transform(at, lambda i: F.concat(*(F.element_at(F.col(letters), i + k) for k in range(size)))))
-
-    return F.concat(*(pieces(k) for k in sizes))
-
-
-def redact_by_table(df: DataFrame, id_col: str, text_col: str, names: DataFrame, name_col: str, out_col: str,
-                    patterns: Iterable[tuple] = DEFAULT_PATTERNS, broadcast_bytes: int = NAMES_BROADCAST_BYTES) -> DataFrame:
+def redact_by_table(df: DataFrame, text_col: str, names: DataFrame, name_col: str, out_col: str,
+                    patterns: Iterable[tuple] = DEFAULT_PATTERNS, part_bytes: int = AUTOMATON_BYTES) -> DataFrame:
     """``redact`` with the names of a table of any size: adds ``out_col``.
 
-    A name is found by its anchor, its first 6 letters (3, 2 or 1 of shorter
-    names): texts are taken apart into their distinct pieces of these sizes and
-    joined with the names, which are broadcast if they are proven small and
-    shuffled otherwise; of the names, only those inside the placeholder's word reach
-    the driver. Each text then gets the few
-    names whose anchors it holds, and those replace one another's text longest
-    first, exactly as the whole dictionary would. Names inside the placeholder's
-    own letters (such as "am") are found in it too, as in one-at-a-time
-    replacement; names with brackets only as the text itself holds them.
-
-    Equal ids with different texts are told apart by their text."""
-    low = F.lower(F.col(name_col))
-    size = F.length(low)
-    width = F.when(size >= 6, 6).when(size >= 3, 3).otherwise(size)
+    The lower-cased names are compiled into an automaton that is walked once over
+    each lower-cased text and yields the names it holds, so that what follows
+    grows with the names found, and no row moves. These names replace one
+    another's text longest first, exactly as the whole dictionary would. Names
+    inside the placeholder's own letters (such as "am") are found in it too, as in
+    one-at-a-time replacement; names with brackets only as the text itself holds
+    them.
+
+    A task holds one automaton of about ``part_bytes`` of names. A larger table is
+    dealt into parts of that size; the texts are walked over once for each part,
+    and the names found are kept by the text's digest in the shared folder."""
+    spark = df.sparkSession
     listed = (names.where(F.col(name_col).isNotNull() & (F.length(name_col) > 0))
-              .groupBy(low.alias("__low")).agg(F.min(name_col).alias("__name"), F.first(width).alias("__width")))
-    listed = listed.select("__name", F.substring("__low", F.lit(1), F.col("__width")).alias("__anchor"))
-    # One row: a size, at most four lengths, at most the ten pieces of "name".
-    inside = F.lit(NAME_PLACEHOLDER.strip("[]").lower()).contains(F.lower("__name"))
-    bounds = listed.agg(F.coalesce(F.sum(F.octet_length("__name") + F.octet_length("__anchor") + F.lit(64)), F.lit(0)).alias("bytes"),
-                        F.sort_array(F.collect_set(F.length("__anchor"))).alias("sizes"),
+              .groupBy(F.lower(F.col(name_col)).alias("__low")).agg(F.min(name_col).alias("__name")))
+    # One row: a size, at most the ten pieces of "name".
+    inside = F.lit(NAME_PLACEHOLDER.strip("[]").lower()).contains(F.col("__low"))
+    bounds = listed.agg(F.coalesce(F.sum(F.octet_length("__low")), F.lit(0)).alias("bytes"),
                         F.sort_array(F.collect_set(F.when(inside, F.col("__name")))).alias("inside")).first()
-    if bounds["bytes"] <= broadcast_bytes:
-        listed = F.broadcast(listed)
-    key = [F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__same")]
-    # The letters are a column of their own, so that a text is cut up once.
-    letters = df.where(F.col(text_col).isNotNull()).select(*key, F.split(F.lower(text_col), "").alias("__letters"))
-    pieces = letters.select("__id", "__same", F.explode(_anchors("__letters", bounds["sizes"] or [1])).alias("__anchor"))
-    found = pieces.join(listed, "__anchor").groupBy("__id", "__same").agg(F.collect_set("__name").alias("__names"))
-    own = df.withColumn("__same", F.xxhash64(text_col))
-    joined = own.join(found, own[id_col].eqNullSafe(found["__id"]) & (own["__same"] == found["__same"]), "left").drop(found["__same"])
-    none = F.array().cast("array<string>")
+    parts = bounds["bytes"] // part_bytes + 1
+    ship_package(spark)
+    low = F.lower(F.col(text_col))
+
+    def part(rows: DataFrame):
+        return spark.sparkContext.broadcast([(r["__low"], r["__name"]) for r in rows.collect()])
+
+    key = free_name(df, "__digest")
+    found = free_name(df, "__names")
+    if parts == 1:
+        held = df.withColumn(found, strings_held(low, part(listed)))
+    else:
+        names_at, found_at = scratch_path(spark, "names"), scratch_path(spark, "names-found")
+        listed.withColumn("__part", F.pmod(F.xxhash64("__low"), F.lit(parts))).write.partitionBy("__part").parquet(names_at)
+        texts = df.select(F.sha2(text_col, 256).alias(key), low.alias("__text")).where("__text is not null")
+        for k in range(parts):
+            shared = part(spark.read.parquet(names_at).where(F.col("__part") == k))
+            hits = texts.select(key, strings_held(F.col("__text"), shared).alias(found)).where(F.size(found) > 0)
+            hits.withColumn("__part", F.lit(k)).write.mode("append").parquet(found_at)
+        by_text = spark.read.parquet(found_at).groupBy(key, "__part").agg(F.first(found).alias(found))
+        by_text = by_text.groupBy(key).agg(F.flatten(F.collect_list(found)).alias(found))
+        held = df.withColumn(key, F.sha2(text_col, 256)).join(by_text, key, "left")
     always = F.array(*(F.lit(n) for n in bounds["inside"])).cast("array<string>")
-    every = F.array_distinct(F.concat(F.coalesce("__names", none), always))
+    every = F.array_distinct(F.concat(F.coalesce(found, F.array().cast("array<string>")), always))
     red = _replace_patterns(_replace_names(F.col(text_col), every), patterns)
-    return joined.withColumn(out_col, red).select(*[c for c in df.columns if c != out_col], out_col)
+    return held.withColumn(out_col, red).select(*[c for c in df.columns if c != out_col], out_col)
 
 
 def tag(df: DataFrame, tags: Mapping[str, Mapping[str, object]]) -> DataFrame:

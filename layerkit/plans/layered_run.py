@@ -181,7 +181,7 @@ def label_feedback(spark: SparkSession, cfg: RunConfig, students: DataFrame) ->
     yields nothing), sample 20 rows for review."""
     fb, _ = load_csv_quarantined(spark, cfg.feedback_csv, FEEDBACK_SCHEMA, _p(cfg, "bronze", "file_feedback_load"))
     names = name_dictionary(students, "full_name")
-    red = redact_by_table(fb.select("feedback_id", "student_id", "module_code", "comment"), "feedback_id", "comment", names, "name", "comment_redacted")
+    red = redact_by_table(fb.select("feedback_id", "student_id", "module_code", "comment"), "comment", names, "name", "comment_redacted")
     labelled = label_with_fallback(red, "comment_redacted", keyword_label, exclusive_label)
     enriched = labelled.select("feedback_id", "student_id", "module_code", "comment_redacted", "label",
                                "label_source", "needs_review",

@@ -125,7 +125,7 @@ def spoken_names(spark, sf_dir) -> DataFrame:
 def q_redact_by_table(spark, sf_dir):
     """Names of a table, one at a time, longest first, whatever their number."""
     d = Q._docs(spark, sf_dir, "doc_id", "text")
-    out = redact_by_table(d, "doc_id", "text", spoken_names(spark, sf_dir), "name", "redacted", patterns=())
+    out = redact_by_table(d, "text", spoken_names(spark, sf_dir), "name", "redacted", patterns=())
     return out.select("doc_id", F.md5("redacted").alias("text_md5"))
 
 

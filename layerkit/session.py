@@ -10,6 +10,7 @@ import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,6 +84,35 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this library to the Python workers, once for each application, so
+    that functions of its modules run there without an installation."""
+    import layerkit
+
+    sc = spark.sparkContext
+    if getattr(sc, "_layerkit_shipped", False):
+        return
+    top = os.path.dirname(layerkit.__path__[0])
+    folder = tempfile.TemporaryDirectory(prefix="layerkit-ship-")  # goes when the driver ends
+    name = os.path.join(folder.name, "layerkit.zip")
+    with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as z:
+        for at, _, files in os.walk(layerkit.__path__[0]):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    path = os.path.join(at, f)
+                    z.write(path, os.path.relpath(path, top))
+    sc.addPyFile(name)
+    sc._layerkit_shipped = folder
+
+
 def env_secret(name: str) -> str:
     """A secret from the environment; raises when unset or empty."""
     value = os.environ.get(name, "")

@@ -133,7 +133,7 @@ def test_overlapping_names_leave_nothing(spark):
     df = spark.createDataFrame([(1, "Ann Lee Ann Wong spoke")], "id int, t string")
     assert df.select(redact("t", names, patterns=()).alias("r")).first().r == "[NAME] [NAME] spoke"
     table = spark.createDataFrame([(n,) for n in names], "n string")
-    assert redact_by_table(df, "id", "t", table, "n", "r", patterns=()).first().r == "[NAME] [NAME] spoke"
+    assert redact_by_table(df, "t", table, "n", "r", patterns=()).first().r == "[NAME] [NAME] spoke"
 
 
 def test_redaction_by_table_equals_one_at_a_time(spark):
@@ -146,8 +146,8 @@ def test_redaction_by_table_equals_one_at_a_time(spark):
     df = spark.createDataFrame([(i % 100, t) for i, t in enumerate(texts)] + [(None, "Nam b"), (5, None)], "id int, t string")
     table = spark.createDataFrame([(n,) for n in names] * 2 + [(None,), ("",)], "n string")
     want = sorted((str(r.id), str(r.t), "None" if r.t is None else one_at_a_time(r.t, names)) for r in df.collect())
-    for limit in (1 << 30, 0):  # names broadcast; names shuffled
-        out = redact_by_table(df, "id", "t", table, "n", "r", patterns=(), broadcast_bytes=limit)
+    for limit in (1 << 30, 60):  # one automaton; several
+        out = redact_by_table(df, "t", table, "n", "r", patterns=(), part_bytes=limit)
         assert out.columns == ["id", "t", "r"]
         assert sorted((str(r.id), str(r.t), str(r.r)) for r in out.collect()) == want
 
@@ -175,7 +175,7 @@ def test_empty_dictionary(spark):
     df = spark.createDataFrame([(1, "abc")], "id int, t string")
     assert df.select(redact("t", ["", ""], patterns=()).alias("r")).first().r == "abc"
     none = spark.createDataFrame([], "n string")
-    assert redact_by_table(df, "id", "t", none, "n", "r", patterns=()).first().r == "abc"
+    assert redact_by_table(df, "t", none, "n", "r", patterns=()).first().r == "abc"
 
 
 def test_name_dictionary_is_ordered_longest_first(spark):
