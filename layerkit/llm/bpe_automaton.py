@@ -234,16 +234,14 @@ class Coder:
         return raw
 
 
-_CODERS: dict[tuple[int, str], Coder] = {}
+_KEPT: list = [None, None, None]
 
 
 def _coder(shared, split: str) -> Coder:
     """This worker's coder for a broadcast automaton."""
-    key = (shared.id if hasattr(shared, "id") else id(shared), split)
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Coder(shared.value, split)
-    return _CODERS[key]
+    if _KEPT[0] is not shared or _KEPT[1] != split:
+        _KEPT[:] = shared, split, Coder(shared.value, split)
+    return _KEPT[2]
 
 
 def _share(spark: SparkSession, path: str):

@@ -205,16 +205,14 @@ def stitch(match: regex.Pattern, texts: list[str], ends: list[np.ndarray], chunk
     return np.concatenate([*out, np.array(own, dtype=np.int64)])
 
 
-_CODERS: dict[tuple[int, str], RankCoder] = {}
+_KEPT: list = [None, None, None]
 
 
 def _coder(shared, pattern: str) -> RankCoder:
     """This worker's coder for broadcast ranks."""
-    key = (shared.id if hasattr(shared, "id") else id(shared), pattern)
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = RankCoder(shared.value, pattern)
-    return _CODERS[key]
+    if _KEPT[0] is not shared or _KEPT[1] != pattern:
+        _KEPT[:] = shared, pattern, RankCoder(shared.value, pattern)
+    return _KEPT[2]
 
 
 def _digests(kept: pa.Array, ids: list[bytes], coder: RankCoder) -> pa.RecordBatch:
