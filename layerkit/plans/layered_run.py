@@ -179,7 +179,7 @@ def label_feedback(spark: SparkSession, cfg: RunConfig, students: DataFrame) ->
     """Quarantine malformed feedback lines, redact before classifying, keep only
     the redacted text, label with the keyword classifier (fallback rule when it
     yields nothing), sample 20 rows for review."""
-    fb, _ = load_csv_quarantined(spark, cfg.feedback_csv, FEEDBACK_SCHEMA, _p(cfg, "bronze", "file_feedback_load"))
+    fb, _ = load_csv_quarantined(spark, cfg.feedback_csv, FEEDBACK_SCHEMA, _p(cfg, "bronze", "file_feedback_load"), quoted_breaks=True)
     names = name_dictionary(students, "full_name")
     red = redact_by_table(fb.select("feedback_id", "student_id", "module_code", "comment"), "comment", names, "name", "comment_redacted")
     labelled = label_with_fallback(red, "comment_redacted", keyword_label, exclusive_label)

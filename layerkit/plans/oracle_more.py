@@ -7,16 +7,19 @@ from layerkit.plans import queries as Q
 
 _FEEDBACK = """
 lines AS (
-  SELECT doc_id % 20 AS k, 'feedback_' || lpad(CAST(doc_id // 500 AS VARCHAR), 8, '0') AS file_key,
-         row_number() OVER (PARTITION BY doc_id // 500 ORDER BY doc_id) + 1 AS line,
-         'F' || doc_id AS feedback_id, 'S' || (doc_id % 97) AS student_id, lang AS module_code,
-         regexp_replace(text, '["\\r\\n]', ' ', 'g') AS comment
+  SELECT doc_id, doc_id % 20 AS k, 'feedback_' || lpad(CAST(doc_id // 500 AS VARCHAR), 8, '0') AS file_key,
+         'F' || doc_id AS feedback_id, 'S' || (doc_id % 97) AS student_id, lang AS module_code, text AS comment,
+         doc_id % 500 = 499 AND doc_id // 500 % 2 = 1 AS unclosed
   FROM documents),
-raw AS (
+texts AS (
   SELECT *, feedback_id || ',' || student_id AS head,
          feedback_id || ',' || student_id || ',' || module_code || ',' || CASE k WHEN 2 THEN 'yesterday' ELSE '2024-01-05 10:00:00' END
-           || ',"' || comment || '"' AS whole
-  FROM lines)"""
+           || ',"' || replace(comment, '"', '""') || CASE WHEN unclosed THEN '' ELSE '"' END AS whole
+  FROM lines),
+raw AS (
+  SELECT *, coalesce(sum(CASE WHEN k = 0 THEN 1 ELSE 1 + length(whole) - length(replace(whole, chr(10), '')) END)
+                     OVER (PARTITION BY file_key ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + 2 AS line
+  FROM texts)"""
 
 _PAGES = """
 base AS (
@@ -41,12 +44,13 @@ def more_sql() -> dict[str, str]:
         "feedback_good": f"""
 WITH {_FEEDBACK}
 SELECT feedback_id, student_id, module_code, TIMESTAMP '2024-01-05 10:00:00' AS submitted_at, md5(comment) AS comment_md5
-FROM raw WHERE k NOT IN (0, 1, 2)""",
+FROM raw WHERE k NOT IN (0, 1, 2) AND NOT unclosed""",
         "feedback_rejects": f"""
 WITH {_FEEDBACK}
 SELECT file_key, line, 'MISSING COLUMNS' AS error_type, 'module_code' AS column_name, md5(head) AS line_md5 FROM raw WHERE k = 0
 UNION ALL SELECT file_key, line, 'TOO MANY COLUMNS', NULL, md5(whole || ',x,y') FROM raw WHERE k = 1
-UNION ALL SELECT file_key, line, 'CAST', 'submitted_at', md5(whole) FROM raw WHERE k = 2""",
+UNION ALL SELECT file_key, line, 'CAST', 'submitted_at', md5(whole) FROM raw WHERE k = 2
+UNION ALL SELECT file_key, line, 'UNQUOTED VALUE', NULL, md5(trim(split_part(whole, chr(10), 1), chr(10) || chr(13) || ' ')) FROM raw WHERE unclosed""",
         "page_chain_problems": f"""
 WITH {_PAGES},
 c AS (SELECT cursor, count(*) AS n, min(page_no) AS p FROM pages GROUP BY cursor),

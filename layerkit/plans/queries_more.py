@@ -33,34 +33,38 @@ FEEDBACK_SPLIT_BYTES = "512k"  # a few splits a file
 
 
 def _feedback_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A feedback line per document, faults by ``doc_id % 20``."""
+    """A feedback record per document, whose comment keeps its line breaks and
+    quotes; faults by ``doc_id % 20``, and the last comment of every other file
+    is never closed."""
     d = Q._docs(spark, sf_dir, "doc_id", "text", "lang")
     i, k = F.col("doc_id").cast("string"), F.col("doc_id") % 20
     head = F.concat(F.lit("F"), i, F.lit(",S"), (F.col("doc_id") % 97).cast("string"))
     stamp = F.when(k == 2, F.lit("yesterday")).otherwise(F.lit("2024-01-05 10:00:00"))
-    comment = F.concat(F.lit('"'), F.regexp_replace("text", '["\r\n]', " "), F.lit('"'))
+    file = F.floor(F.col("doc_id") / FEEDBACK_FILE_ROWS)
+    closed = (F.col("doc_id") % FEEDBACK_FILE_ROWS != FEEDBACK_FILE_ROWS - 1) | (file % 2 == 0)
+    comment = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.when(closed, F.lit('"')).otherwise(F.lit("")))
     whole = F.concat_ws(",", head, F.col("lang"), stamp, comment)
     line = F.when(k == 0, head).when(k == 1, F.concat(whole, F.lit(",x,y"))).when(k == 3, F.concat(whole, F.lit(","))).otherwise(whole)
-    number = F.lpad(F.floor(F.col("doc_id") / FEEDBACK_FILE_ROWS).cast("string"), 8, "0")
+    number = F.lpad(file.cast("string"), 8, "0")
     return d.select(F.concat(F.lit("feedback_"), number).alias("file_key"), F.col("doc_id").alias("__ord"), line.alias("value"))
 
 
 def _loaded_feedback(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     land, out = scratch_path(spark, "feedback"), scratch_path(spark, "feedback_load")
     Q.land_lines(_feedback_lines(spark, sf_dir), FEEDBACK_HEADER, land)
-    load_csv_quarantined(Q.small_splits(spark, FEEDBACK_SPLIT_BYTES), f"{land}/file_key=*/*.txt", FEEDBACK, out)
+    load_csv_quarantined(Q.small_splits(spark, FEEDBACK_SPLIT_BYTES), f"{land}/file_key=*/*.txt", FEEDBACK, out, quoted_breaks=True)
     rows = spark.read.parquet(out)
     return rows.where("outcome = 'good'"), rows.where("outcome = 'reject'")
 
 
 def q_feedback_good(spark, sf_dir):
-    """Feedback lines that parse, with their whole comment."""
+    """Feedback records that parse, with their whole comment, line breaks and all."""
     good, _ = _loaded_feedback(spark, sf_dir)
     return good.select("feedback_id", "student_id", "module_code", "submitted_at", F.md5("comment").alias("comment_md5"))
 
 
 def q_feedback_rejects(spark, sf_dir):
-    """Feedback lines that don't, quarantined with file, line and reason."""
+    """Feedback records that don't, quarantined with file, line and reason."""
     _, rejects = _loaded_feedback(spark, sf_dir)
     rep = reject_report(rejects)
     return rep.select(Q._file_key("file_path").alias("file_key"), "line", "error_type", "column_name", F.md5("csv_line").alias("line_md5"))

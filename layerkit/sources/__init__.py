@@ -8,6 +8,7 @@ from layerkit.sources.csv_lines import (
     field_count, literal_path, load_csv_quarantined, number_lines, parse_csv_lines, parse_csv_outcomes, read_csv_quarantined,
     read_lines, reject_report,
 )
+from layerkit.sources.csv_records import read_records
 from layerkit.sources.pages import chain_problems, pages_from_json, read_pages, records_from_pages
 from layerkit.sources.seeds import read_relational, read_seed
 

@@ -21,12 +21,15 @@ from layerkit.functions.casts import try_cast_text
 TOO_MANY = "TOO MANY COLUMNS"
 MISSING = "MISSING COLUMNS"
 CAST = "CAST"
+UNCLOSED = "UNQUOTED VALUE"  # a quoted field that is never closed
 
 DATE_FORMAT = "yyyy-MM-dd"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 FILE = "_source_file"
 LINE = "_line"
+OPEN = "_open"
+BLOCK = "__block"
 # A quoted stretch: a field with escaped quotes ("") is several, side by side.
 # Possessive, so that long fields need no stack.
 _QUOTED = r'"[^"]*+"'
@@ -109,7 +112,9 @@ def _parsed(lines: DataFrame, schema: T.StructType, header: bool, value_col: str
       first absent column); ``CAST`` per typed column whose non-empty text
       does not parse (dates strictly ``yyyy-MM-dd``). An empty typed value is
       NULL, not a fault. One extra field that is empty (``a,b,c,d,``) is
-      accepted. Quoted commas are fine; quoted newlines are not supported.
+      accepted. Quoted commas are fine, and so are quoted line breaks in lines that
+    are whole records (``read_records``); a record with a field that is never
+    closed is one ``UNQUOTED VALUE``.
     """
     names = [f.name for f in schema.fields]
     n = len(names)
@@ -119,16 +124,17 @@ def _parsed(lines: DataFrame, schema: T.StructType, header: bool, value_col: str
         d = d.where(F.col(LINE) != 1)
     # Stage 1: field count and the trailing-empty-field fix (one pass).
     k = field_count(v)
-    d = d.select(F.col(FILE), F.col(LINE), v.alias("__text"), k.alias("__k0"))
+    unclosed = F.col(OPEN) if OPEN in lines.columns else F.lit(False)
+    d = d.select(F.col(FILE), F.col(LINE), unclosed.alias(OPEN), v.alias("__text"), k.alias("__k0"))
     trailing_empty = (F.col("__k0") == n + 1) & F.col("__text").endswith(",")
-    d = d.select(F.col(FILE), F.col(LINE), F.col("__text"),
+    d = d.select(F.col(FILE), F.col(LINE), F.col(OPEN), F.col("__text"),
                  F.when(trailing_empty, F.lit(n)).otherwise(F.col("__k0")).alias("__k"),
                  F.when(trailing_empty, F.expr("substring(__text, 1, length(__text) - 1)"))
                   .otherwise(F.col("__text")).alias("__value"))
     # Stage 2: one CSV parse per line into n + 1 string fields.
     raw_schema = ", ".join(f"`c{i}` string" for i in range(n + 1))
-    d = d.select(F.col(FILE), F.col(LINE), F.col("__text"), F.col("__k"),
-                 F.from_csv(F.col("__value"), raw_schema, {"mode": "PERMISSIVE", "escape": "\""}).alias("__raw"))
+    options = {"mode": "PERMISSIVE", "escape": "\"", "multiLine": str(OPEN in lines.columns)}
+    d = d.select(F.col(FILE), F.col(LINE), F.col(OPEN), F.col("__text"), F.col("__k"), F.from_csv(F.col("__value"), raw_schema, options).alias("__raw"))
     # Stage 3: typed values and the list of faults of the line.
     raws = [F.col(f"__raw.c{i}") for i in range(n)]
     typed = [_typed(raws[i], f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
@@ -142,9 +148,10 @@ def _parsed(lines: DataFrame, schema: T.StructType, header: bool, value_col: str
             continue
         bad = raws[i].isNotNull() & (F.length(raws[i]) > 0) & F.col(f.name).isNull()
         faults.append(F.when(bad, F.struct(F.lit(CAST).alias("error_type"), F.lit(f.name).alias("column_name"))))
-    d = d.select(F.col(FILE), F.col(LINE), F.col("__text"), F.col("__k"), F.col("__raw"), *typed)
+    d = d.select(F.col(FILE), F.col(LINE), F.col(OPEN), F.col("__text"), F.col("__k"), F.col("__raw"), *typed)
+    only = F.array(F.struct(F.lit(UNCLOSED).alias("error_type"), F.lit(None).cast("string").alias("column_name")))
     return d.select(F.col(FILE), F.col(LINE), F.col("__text"), *[F.col(x) for x in names],
-                    F.array_compact(F.array(*faults)).alias("__faults"))
+                    F.when(F.col(OPEN), only).otherwise(F.array_compact(F.array(*faults))).alias("__faults"))
 
 
 def parse_csv_lines(lines: DataFrame, schema: T.StructType, header: bool = True,
@@ -186,13 +193,21 @@ def parse_csv_outcomes(lines: DataFrame, schema: T.StructType, header: bool = Tr
     return d.select(F.inline(F.when(F.size("__faults") == 0, good).otherwise(bad)))
 
 
+def _read(spark: SparkSession, path: str | Sequence[str], quoted_breaks: bool) -> DataFrame:
+    """Lines, or records if quoted fields may hold line breaks."""
+    from layerkit.sources.csv_records import read_records
+
+    return read_records(spark, path) if quoted_breaks else read_lines(spark, path)
+
+
 def load_csv_quarantined(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, out: str,
-                         stamp_fn=None, header: bool = True) -> tuple[DataFrame, DataFrame]:
+                         stamp_fn=None, header: bool = True, quoted_breaks: bool = False) -> tuple[DataFrame, DataFrame]:
     """Read, parse and write good rows and rejects in ONE pass over the text:
     ``out/outcome=good`` and ``out/outcome=reject`` (overwritten = full
-    refresh). ``stamp_fn`` adds provenance columns before the write.
+    refresh). ``stamp_fn`` adds provenance columns before the write. With
+    ``quoted_breaks`` quoted fields may hold line breaks.
     Returns ``(good, rejects)`` read back from the two folders."""
-    rows = parse_csv_outcomes(read_lines(spark, path), schema, header)
+    rows = parse_csv_outcomes(_read(spark, path, quoted_breaks), schema, header)
     if stamp_fn is not None:
         rows = stamp_fn(rows)
     rows.write.mode("overwrite").partitionBy(OUTCOME).parquet(out)
@@ -212,6 +227,7 @@ def reject_report(rejects: DataFrame) -> DataFrame:
 
 
 def read_csv_quarantined(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-                         header: bool = True) -> tuple[DataFrame, DataFrame]:
-    """A1-A6 in one call: ``parse_csv_lines(read_lines(path), schema)``."""
-    return parse_csv_lines(read_lines(spark, path), schema, header)
+                         header: bool = True, quoted_breaks: bool = False) -> tuple[DataFrame, DataFrame]:
+    """A1-A6 in one call: lines, or records if quoted fields may hold line
+    breaks, split into ``(good, rejects)``."""
+    return parse_csv_lines(_read(spark, path, quoted_breaks), schema, header)

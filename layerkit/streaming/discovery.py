@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from layerkit.operators.stamp import BATCH_ID, stamp
 from layerkit.sources.csv_lines import FILE, LINE, OUTCOME, literal_path, parse_csv_outcomes, read_lines
+from layerkit.sources.csv_records import read_records
 
 
 # The binaryFile source's fixed schema (a stream needs it up front).
@@ -55,6 +56,7 @@ def ingest_new_files(
     header: bool = True,
     max_files_per_trigger: int | None = 1000,
     path_glob: str = "*.csv",
+    quoted_breaks: bool = False,
 ) -> int:
     """Load every file under ``source_dir`` not loaded before into the table at
     ``path`` (``good_rows``, ``rejected_rows``); returns the number of
@@ -66,12 +68,14 @@ def ingest_new_files(
     ``max_files_per_trigger`` files, a bounded list of names) is then read by
     the batch reader, each name once and literally: with glob characters in one
     name the source may list others more than once. A batch whose files can't
-    all be read fails, so that the checkpoint never counts a lost file as done."""
+    all be read fails, so that the checkpoint never counts a lost file as done.
+    With ``quoted_breaks`` quoted fields may hold line breaks."""
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", path_glob))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     files = reader.load(source_dir).select("path")
+    read = read_records if quoted_breaks else read_lines
     epochs: list[int] = []
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -83,7 +87,7 @@ def ingest_new_files(
         if found != len(names):
             raise RuntimeError(f"{len(names)} new files were listed, {found} can be read")
         batch_id = f"{batch_prefix}-{epoch_id:06d}"
-        rows = stamp(parse_csv_outcomes(read_lines(spark, paths), schema, header), F.col(FILE), batch_id, at)
+        rows = stamp(parse_csv_outcomes(read(spark, paths), schema, header), F.col(FILE), batch_id, at)
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(BATCH_ID, OUTCOME).parquet(path))
         epochs.append(epoch_id)
