@@ -61,6 +61,15 @@ UNION ALL SELECT 'next cursor has no page', p, cur FROM x WHERE nxt IS NOT NULL
 UNION ALL SELECT 'cursor fetched twice', p, cursor FROM c WHERE cursor IS NOT NULL AND n > 1
 UNION ALL SELECT 'named by two pages', p, cur FROM x WHERE nxt IS NOT NULL AND n > 1 AND nxt IN (SELECT cursor FROM c WHERE cursor IS NOT NULL)
 UNION ALL SELECT 'no page leads here', p, cursor FROM c WHERE cursor IS NOT NULL AND cursor NOT IN (SELECT nxt FROM x WHERE nxt IS NOT NULL AND others > 0)""",
+        "paged_by_cursor": """
+SELECT doc_id AS record_id, lang, source, CAST(n_chars AS BIGINT) AS n_chars, doc_id // 50 AS page_rank, CAST(doc_id % 50 AS INTEGER) AS pos_in_page FROM documents""",
+        "page_rings": """
+WITH p AS (SELECT DISTINCT doc_id // 50 AS page FROM documents),
+c AS (SELECT page, CASE WHEN page > 0 THEN substring(md5('page ' || page), 1, 12) END AS cursor FROM p),
+back AS (SELECT page FROM p WHERE page % 10 = 5 AND page < (SELECT max(page) FROM p)),
+ring AS (SELECT b.page FROM back b JOIN c own ON own.page = b.page JOIN c before ON before.page = b.page - 4 WHERE own.cursor < before.cursor)
+SELECT 'detached' AS problem, cursor FROM c JOIN back ON c.page = back.page + 1
+UNION ALL SELECT 'cycle', cursor FROM c JOIN ring ON c.page BETWEEN ring.page - 3 AND ring.page""",
         "check_build_error": """
 WITH f AS (SELECT (SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)) AS u,
                   (SELECT count(DISTINCT o_orderstatus) FROM orders WHERE o_orderstatus NOT IN ('F', 'O')) AS a)

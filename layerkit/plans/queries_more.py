@@ -19,7 +19,8 @@ from layerkit.operators.enrich import MARKERS
 from layerkit.plans import queries as Q
 from layerkit.session import scratch_path
 from layerkit.sources import (
-    chain_problems, first_existing, init_table, load_csv_quarantined, materialize, read_seed, reject_report, reset_namespace, table_name,
+    chain_problems, cursor_of_request, first_existing, init_table, load_csv_quarantined, materialize, pages_from_responses, rank_pages, read_seed,
+    records_in_page_order, reject_report, reset_namespace, ring_problems, table_name,
 )
 from layerkit.sources.catalog import ensure_namespace, write_table
 from layerkit.sources.pages import page_schema
@@ -91,6 +92,46 @@ def q_page_chain_problems(spark, sf_dir):
     return chain_problems(spark.read.schema(page_schema(Q.RECORD_SCHEMA)).json(out))
 
 
+LISTED = T.StructType([
+    T.StructField("record_id", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
+
+
+def landed_responses(spark: SparkSession, sf_dir: str, rings: bool = False) -> DataFrame:
+    """The documents' list as an API gives it out: 50 records a response, whose
+    body holds ``data`` and ``next_cursor`` alone, each line with its request.
+    Cursors tell nothing of the order, nor do the files. With ``rings`` every
+    tenth page leads back to the one three before it."""
+    d = Q._docs(spark, sf_dir, "doc_id", "lang", "source", "n_chars").withColumn("page", F.floor(F.col("doc_id") / 50))
+    last = d.agg(F.max("page").alias("m")).first()["m"]
+    page = F.col("page")
+
+    def cursor(p):
+        return F.substring(F.md5(F.concat(F.lit("page "), p.cast("string"))), 1, 12)
+
+    record = F.struct(F.col("doc_id").alias("record_id"), "lang", "source", F.col("n_chars").cast("bigint").alias("n_chars"))
+    pages = d.groupBy("page").agg(F.array_sort(F.collect_list(record)).alias("data"))
+    following = F.when((page % 10 == 5) & F.lit(rings), cursor(page - 3)).otherwise(cursor(page + 1))
+    body = F.to_json(F.struct("data", F.when(page < F.lit(last), following).alias("next_cursor")), {"ignoreNullFields": "false"})
+    request = F.concat(F.lit("GET /records?limit=50"), F.when(page == 0, F.lit("")).otherwise(F.concat(F.lit("&cursor="), F.url_encode(cursor(page)))))
+    out = scratch_path(spark, "responses")
+    pages.select(F.to_json(F.struct(request.alias("request"), body.alias("body"))).alias("value"), cursor(page).alias("c")).repartition(8, "c").select("value").write.text(out)
+    lines = spark.read.text(out).select(F.from_json("value", "request string, body string").alias("r")).select("r.*")
+    return pages_from_responses(lines, cursor_of_request(F.col("request")), "body", LISTED)
+
+
+def q_paged_by_cursor(spark, sf_dir):
+    """Landed responses → typed records in page order, which comes from the
+    cursors alone."""
+    pages = landed_responses(spark, sf_dir)
+    return records_in_page_order(pages, rank_pages(pages))
+
+
+def q_page_rings(spark, sf_dir):
+    """Pages that lead back to earlier ones, and the heads of the chains that
+    no page leads to any more."""
+    return ring_problems(rank_pages(landed_responses(spark, sf_dir, rings=True)))
+
+
 def q_check_build_error(spark, sf_dir):
     """Q7/Q10: a model that fails to build has status error, what depends on it
     is skipped, the rest of the run goes on."""
@@ -238,6 +279,8 @@ MORE: dict[str, Q.Query] = {
     "feedback_good": q_feedback_good,
     "feedback_rejects": q_feedback_rejects,
     "page_chain_problems": q_page_chain_problems,
+    "paged_by_cursor": q_paged_by_cursor,
+    "page_rings": q_page_rings,
     "check_build_error": q_check_build_error,
     "redact_default_patterns": q_redact_default_patterns,
     "redact_by_table": q_redact_by_table,

@@ -9,6 +9,7 @@ from layerkit.sources.csv_lines import (
     read_lines, reject_report,
 )
 from layerkit.sources.csv_records import read_records
+from layerkit.sources.page_order import cursor_of_name, cursor_of_request, pages_from_responses, rank_pages, records_in_page_order, ring_problems
 from layerkit.sources.pages import chain_problems, pages_from_json, read_pages, records_from_pages
 from layerkit.sources.seeds import read_relational, read_seed
 

@@ -25,6 +25,8 @@ WRITTEN = {
     "csv outcomes": lambda s: Q.parse_csv_outcomes(_read(s), Q.CSV_SCHEMA),
     "feedback lines": lambda s: M._feedback_lines(s, SF),
     "pages": lambda s: M.broken_pages(s, SF),
+    "responses": lambda s: M.landed_responses(s, SF),
+    "records in page order": lambda s: M.q_paged_by_cursor(s, SF),
     "chain problems": lambda s: Q.chain_problems(M.broken_pages(s, SF)),
     "checked model": lambda s: Q.check_models(s, SF)[0]["fct_revenue"][0]({n: Q._t(s, SF, n[4:]) for n in ("stg_orders", "stg_lineitem")}),
     "default patterns": lambda s: M.q_redact_default_patterns(s, SF),
