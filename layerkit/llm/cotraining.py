@@ -3,18 +3,20 @@
 Two views of a page, each enough to learn from: its text's content (whole-text
 statistics) and its metadata (language, source, length). One logistic classifier
 per view starts from labelled documents; then, round by round, each labels the
-unlabelled documents it is surest of for the other one. At the end both are
+documents it is surest of, among all unlabelled ones, for the other one: Spark
+scores them all and brings the surest few to the driver. At the end both are
 calibrated on labelled documents that neither has learnt from, and their
 calibrated log odds are added (less the prior's, which both hold). A view that
 says nothing about quality gets a slope near zero there and changes little.
 
-The training documents are two samples of bounded size, labelled and unlabelled,
-taken by a hash of their id; only their statistics reach the driver. Numbers are
-cut into ranges at the sample's quantiles, so scores are sums of conditional
-expressions, computed by Spark for all documents.
+The labelled documents are a sample of bounded size, taken by a hash of their id;
+only its statistics reach the driver, and those of ``grow`` rows a round and view.
+Numbers are cut into ranges at the sample's quantiles, so scores are sums of
+conditional expressions, computed by Spark for all documents. The statistics of all
+documents are written once to the shared folder and read by every round.
 
 Defined results: null and empty texts are judged by their zero counts, null
-metadata as a value of its own; repeated rows and ids give one result each;
+metadata as a value of its own, very long texts by their whole counts; repeated rows and ids give one result each;
 without labelled rows of both kinds every document is kept with the labels' share
 as its score; an empty table gives an empty result. Columns that ``docs`` has
 besides are passed through, whatever their names.
@@ -22,7 +24,8 @@ besides are passed through, whatever their names.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import add
 
@@ -32,12 +35,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.llm.decision_list import RATIOS
-from layerkit.llm.tables import read_table
+from layerkit.llm.tables import read_table, stored
 from layerkit.llm.text_stats import with_counts
 
-#: Documents of either kind that training sees at most.
-MAX_LABELLED, MAX_UNLABELLED = 6000, 6000
+#: Labelled documents that training sees at most.
+MAX_LABELLED = 6000
 ROUNDS = 5
+#: Documents that a view labels in a round, and how sure it has to be.
+GROW, SURE = 200, 0.97
 #: Shares of the sample at which numbers are cut: finer where few documents are.
 CUTS = (0.01, 0.03, 0.05, 0.1, 0.2, 0.35, 0.5, 0.65, 0.8, 0.85, 0.9, 0.93, 0.95, 0.97, 0.99)
 SOURCE_CELLS = 64
@@ -73,6 +78,9 @@ class View:
     slope: float = 1.0
     shift: float = 0.0
 
+    def copy(self) -> View:
+        return replace(self, weights=dict(self.weights))
+
     def prepare(self, rows: pd.DataFrame) -> None:
         for n in self.names:
             if rows[n].dtype == object:
@@ -156,24 +164,15 @@ class Pair:
     trained: bool = False
 
 
-def _surest(view: View, pool: pd.DataFrame, free: np.ndarray, grow: int, share: float, sure: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the pool, still free, that the view is surest of, and their labels:
-    good and bad ones in the labels' proportion. Sure means calibrated: a view
-    that tells little is never sure and passes nothing on."""
-    p = 1 / (1 + np.exp(-np.clip(view.slope * view.logit(pool) + view.shift, -30, 30)))
-    order = np.argsort(-p, kind="stable")
-    order = order[free[order]]
-    n_good = max(1, round(grow * share))
-    good = order[:n_good]
-    bad = order[::-1][: max(1, grow - n_good)]
-    good, bad = good[p[good] >= sure], bad[p[bad] <= 1 - sure]
-    return np.concatenate([good, bad]), np.concatenate([np.ones(len(good)), np.zeros(len(bad))])
-
-
-def cotrain(labelled: pd.DataFrame, good: np.ndarray, pool: pd.DataFrame, rounds: int = ROUNDS, grow: int = 200, sure: float = 0.97,
-            seed: int = 3) -> Pair:
-    """Train both views on two thirds of the labelled rows and on the pool rows
-    that the other view labels; calibrate on the last third."""
+#: What a view is surest of: (view, ids taken before, good ones, bad ones) to rows
+#: with their ids, surest first, good ones before bad ones, and how many are good.
+Surest = Callable[[View, set, int, int], tuple[pd.DataFrame, int]]
+
+
+def cotrain(labelled: pd.DataFrame, good: np.ndarray, surest: Surest, rounds: int = ROUNDS, grow: int = GROW, seed: int = 3) -> Pair:
+    """Train both views on two thirds of the labelled rows and on the unlabelled
+    rows that the other view labels, good and bad ones in the labels' proportion;
+    calibrate on the last third."""
     good = np.asarray(good, dtype=float)
     held = np.random.default_rng(seed).random(len(good)) < 1 / 3
     if len(good) < 20 or min(good[held].sum(), (1 - good[held]).sum(), good[~held].sum(), (1 - good[~held]).sum()) < 1:
@@ -182,17 +181,18 @@ def cotrain(labelled: pd.DataFrame, good: np.ndarray, pool: pd.DataFrame, rounds
     rows, kept = labelled[~held], good[~held]
     views = [View(CONTENT), View(METADATA)]
     learnt = [(rows, kept), (rows, kept)]
-    free = [np.ones(len(pool), dtype=bool), np.ones(len(pool), dtype=bool)]
+    taken: list[set] = [set(), set()]
     for view in views:
-        view.prepare(pd.concat([rows, pool]))
+        view.prepare(rows)
         view.fit(rows, kept)
         view.calibrate(labelled[held], good[held])
-    for _ in range(rounds if len(pool) else 0):
-        given = [_surest(views[k], pool, free[1 - k], grow, kept.mean(), sure) for k in (0, 1)]
+    n_good = max(1, round(grow * kept.mean()))
+    for _ in range(rounds):
+        given = [surest(views[k].copy(), taken[1 - k], n_good, max(1, grow - n_good)) for k in (0, 1)]
         for k in (0, 1):
-            pick, said = given[1 - k]  # what the other view is sure of
-            free[k][pick] = False
-            learnt[k] = (pd.concat([learnt[k][0], pool.iloc[pick]]), np.concatenate([learnt[k][1], said]))
+            pick, n = given[1 - k]  # what the other view is sure of
+            taken[k] |= set(pick["_id"])
+            learnt[k] = (pd.concat([learnt[k][0], pick[rows.columns]]), np.concatenate([learnt[k][1], np.arange(len(pick)) < n]))
             views[k].fit(*learnt[k])
             views[k].calibrate(labelled[held], good[held])
     share = good[held].mean()
@@ -211,24 +211,55 @@ def _metadata(name: str, columns: dict[str, str], known: list[str]) -> Column:
 DEFAULT_COLUMNS = {"lang": "lang", "source_cell": "source", "log_chars": "n_chars"}
 
 
-def learn_from(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label_col: str = "quality",
-               columns: dict[str, str] = DEFAULT_COLUMNS, max_labelled: int = MAX_LABELLED, max_unlabelled: int = MAX_UNLABELLED) -> Pair:
-    """Co-train on the samples. An id with several labels counts by its lowest."""
+def features(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label_col: str = "quality",
+             columns: dict[str, str] = DEFAULT_COLUMNS) -> DataFrame:
+    """``_id``, ``_good`` (null: no label) and the features of every document with
+    an id, written once. An id with several labels counts by its lowest, an id of
+    several documents by the first in the order of their features."""
     marked = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
               .groupBy(F.col(id_col).alias("_id")).agg((F.min(label_col) > 0).cast("int").alias("_good")))
-    order = [F.xxhash64("_id"), F.col("_id")]
-    some = marked.orderBy(*order).limit(max_labelled)
-    ids = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct()
-    others = ids.join(marked.select("_id"), "_id", "left_anti").orderBy(*order).limit(max_unlabelled)
-    sample = F.broadcast(some.unionByName(others.withColumn("_good", F.lit(None).cast("int"))))
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_body"),
-                       *(_metadata(n, columns, docs.columns).alias(f"_{n}") for n in METADATA)).join(sample, "_id").dropDuplicates(["_id"])
-    counted = with_counts(rows, ["_id", "_good", *(f"_{n}" for n in METADATA)], "_body")
-    got = counted.select("_id", "_good", *(F.col(f"_{n}").alias(n) for n in METADATA), *(_column(n, "").alias(n) for n in CONTENT)).orderBy("_id").toPandas()
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text).alias("_body"),
+                                                        *(_metadata(n, columns, docs.columns).alias(f"_{n}") for n in METADATA))
+    counted = with_counts(rows, ["_id", *(f"_{n}" for n in METADATA)], "_body")
+    each = counted.select("_id", *(F.col(f"_{n}").alias(n) for n in METADATA), *(_column(n, "").alias(n) for n in CONTENT))
+    once = each.groupBy("_id").agg(F.min(F.struct(*METADATA, *CONTENT)).alias("f")).select("_id", "f.*")
+    return stored(once.join(marked, "_id", "left"), "cotraining-features")
+
+
+def _brought(rows: DataFrame) -> pd.DataFrame:
+    got = rows.toPandas()
     for n in ("lang", "source_cell"):
         got[n] = got[n].astype(object)
-    known = got["_good"].notna()
-    return cotrain(got[known], got.loc[known, "_good"].to_numpy(), got[~known])
+    return got
+
+
+def surest_of(table: DataFrame, sure: float = SURE) -> Surest:
+    """The surest rows among all unlabelled ones of ``features``. Sure means
+    calibrated: a view that tells little is never sure and passes nothing on."""
+    least = float(np.log(sure / (1 - sure)))
+
+    def pick(view: View, taken: set, n_good: int, n_bad: int) -> tuple[pd.DataFrame, int]:
+        odds = view.expression(F.col)
+        free = table.where("_good is null").withColumn("_odds", odds)
+        if taken:  # at most grow in each round
+            gone = table.sparkSession.createDataFrame([(i,) for i in sorted(taken)], table.select("_id").schema)
+            free = free.join(F.broadcast(gone), "_id", "left_anti")
+        ties = [F.xxhash64("_id"), F.col("_id")]
+        good = free.where(F.col("_odds") >= least).orderBy(F.desc("_odds"), *ties).limit(n_good)
+        bad = free.where(F.col("_odds") <= -least).orderBy("_odds", *ties).limit(n_bad)
+        got = _brought(good.withColumn("_kind", F.lit(0)).unionByName(bad.withColumn("_kind", F.lit(1))))
+        got = got.sort_values(["_kind", "_odds", "_id"], kind="stable").reset_index(drop=True)
+        return got, int((got["_kind"] == 0).sum())
+
+    return pick
+
+
+def learn_from(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label_col: str = "quality",
+               columns: dict[str, str] = DEFAULT_COLUMNS, max_labelled: int = MAX_LABELLED, grow: int = GROW) -> Pair:
+    """Co-train on a bounded sample of the labelled and all unlabelled documents."""
+    table = features(docs, labels, id_col, text, label_col, columns)
+    some = _brought(table.where("_good is not null").orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)).sort_values("_id")
+    return cotrain(some[[*METADATA, *CONTENT]], some["_good"].to_numpy(), surest_of(table), grow=grow)
 
 
 def judge(docs: DataFrame, pair: Pair, text: str = "text", columns: dict[str, str] = DEFAULT_COLUMNS) -> DataFrame:
