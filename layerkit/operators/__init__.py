@@ -10,13 +10,15 @@ from layerkit.operators.clean import cast_columns, clean_facts, current_dim, kee
 from layerkit.operators.dedup import latest_by
 from layerkit.operators.enrich import (
     enrich_summary, exclusive_label, has_marker, keyword_label, label_with_fallback,
-    pandas_classifier, review_sheet, stratified_sample,
+    pandas_classifier, provider_labels, review_sheet, stratified_sample,
 )
+from layerkit.operators.history import as_of_lookup, history
 from layerkit.operators.incremental import (
     LoadResult, append_incremental, empty_like, evolve_schema, insert_by_name, load_incremental,
     new_rows, watermark,
 )
 from layerkit.operators.joins import keep_known, lookup, orphan_keys, orphans
+from layerkit.operators.latest_state import latest_state, merge_latest
 from layerkit.operators.model import at_risk, dim_date, fact, role_view
 from layerkit.operators.privacy import (
     leak_found, list_pii, name_dictionary, pii_scan, pii_scan_namespaces, redact, redact_by_table, tag,

@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from layerkit.functions._util import as_col
 from layerkit.functions.text import contains_any, hits, overlaps, phrase_hits, token_set
+from layerkit.operators.incremental import path_exists
+from layerkit.session import free_name, ship_package
 
 # The keyword classifier's word lists, phrases and labels.
 POSITIVE_WORDS = (
@@ -132,6 +134,36 @@ def pandas_classifier(fn: Callable[[list[str]], list[str | None]]) -> Callable[[
     return lambda c: udf(c)
 
 
+LABEL_TABLE = "digest string, provider string, label string"
+
+
+def provider_labels(df: DataFrame, text: str, fn: Callable[[list[str]], list[str | None]], provider: str, path: str,
+                    fallback: Callable[[Column], Column] = exclusive_label, fallback_id: str = FALLBACK_SOURCE) -> DataFrame:
+    """T4 with memory: ``label``, ``label_source`` and ``needs_review`` of every
+    row, from a provider that is asked once for each distinct text.
+
+    The label table at ``path`` holds what the provider has said, by the digest of
+    the (redacted) text and the provider's name and version. Texts that it lacks
+    are sent, each once however many rows hold it, in Arrow batches; texts whose
+    own call fails get the fallback's label and are sent again by the next run, as
+    no failure is kept. A null text isn't sent and has the fallback's label."""
+    spark = df.sparkSession
+    ship_package(spark)
+    digest = free_name(df, "__digest")
+    if not path_exists(spark, path):
+        spark.createDataFrame([], LABEL_TABLE).write.mode("ignore").parquet(path)
+    known = spark.read.schema(LABEL_TABLE).parquet(path).where(F.col("provider") == provider).groupBy("digest").agg(F.first("label").alias("__label"))
+    rows = df.withColumn(digest, F.sha2(F.col(text), 256))
+    texts = rows.where(F.col(text).isNotNull()).groupBy(F.col(digest).alias("digest")).agg(F.first(text).alias("text"))
+    asked = texts.join(known, "digest", "left_anti").withColumn("label", pandas_classifier(fn)(F.col("text")))
+    # A filter on the label would be run before its column is made, and so call twice.
+    said = asked.select(F.explode(F.array_compact(F.array(F.when(F.col("label").isNotNull(), F.struct("digest", F.lit(provider).alias("provider"), "label"))))).alias("r"))
+    said.select("r.*").write.mode("append").parquet(path)
+    known = spark.read.schema(LABEL_TABLE).parquet(path).where(F.col("provider") == provider).groupBy(F.col("digest").alias(digest)).agg(F.first("label").alias("__label"))
+    got = rows.join(known, digest, "left")
+    return label_with_fallback(got, text, lambda _: F.col("__label"), fallback, provider, fallback_id).drop(digest, "__label")
+
+
 def has_marker(text, markers: Iterable[str] = MARKERS) -> Column:
     """T5: the padded, lower-cased text contains any marker."""
     padded = F.concat(F.lit(" "), F.lower(as_col(text)), F.lit(" "))

@@ -31,6 +31,10 @@ pages AS (
   UNION ALL SELECT page_no + 1000000, 's' || page_no, 's' || page_no FROM base WHERE page_no % 40 = 20)"""
 
 
+_LIMITS = """
+d AS (SELECT doc_id, source, TIMESTAMP '2024-01-01' + to_minutes(doc_id) AS ts, CAST(n_chars AS BIGINT) AS limit_chars FROM documents)"""
+
+
 def more_sql() -> dict[str, str]:
     patterns = {n: p.replace("'", "''") for n, p in Q.QUERY_PATTERNS.items()}
     full = " UNION ALL ".join(
@@ -61,6 +65,23 @@ UNION ALL SELECT 'next cursor has no page', p, cur FROM x WHERE nxt IS NOT NULL
 UNION ALL SELECT 'cursor fetched twice', p, cursor FROM c WHERE cursor IS NOT NULL AND n > 1
 UNION ALL SELECT 'named by two pages', p, cur FROM x WHERE nxt IS NOT NULL AND n > 1 AND nxt IN (SELECT cursor FROM c WHERE cursor IS NOT NULL)
 UNION ALL SELECT 'no page leads here', p, cursor FROM c WHERE cursor IS NOT NULL AND cursor NOT IN (SELECT nxt FROM x WHERE nxt IS NOT NULL AND others > 0)""",
+        "silver_increments": """
+SELECT conv_id, turn, role, md5(text) AS text_md5 FROM (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, role DESC NULLS LAST, text DESC NULLS LAST) AS rn FROM conversations) WHERE rn = 1""",
+        "limit_history": f"""
+WITH {_LIMITS}
+SELECT source, ts AS valid_from, limit_chars, lead(ts) OVER (PARTITION BY source ORDER BY ts) AS valid_to,
+       lead(ts) OVER (PARTITION BY source ORDER BY ts) IS NULL AS is_current
+FROM d WHERE doc_id % 10 = 0""",
+        "limit_as_of": f"""
+WITH {_LIMITS}
+SELECT d.doc_id, d.source, d.ts AS "at", v.limit_chars, v.ts AS valid_from
+FROM d ASOF LEFT JOIN (SELECT * FROM d WHERE doc_id % 10 = 0) v ON d.source = v.source AND d.ts >= v.ts""",
+        "label_provider": r"""
+WITH c AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '[STFGM][0-9]{7}[A-Z]', '[NRIC]', 'g'), '\+65\s?\d{4}\s?\d{4}', '[PHONE]', 'g'),
+  '[A-Za-z0-9._+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '[EMAIL]', 'g') AS clean FROM documents)
+SELECT doc_id, CASE WHEN contains(clean, '[EMAIL]') THEN 'neutral' ELSE ['positive', 'neutral', 'negative'][1 + length(clean) % 3] END AS label,
+  CASE WHEN contains(clean, '[EMAIL]') THEN 'rules-v1' ELSE 'length-v1' END AS label_source, contains(clean, '[EMAIL]') AS needs_review FROM c""",
         "paged_by_cursor": """
 SELECT doc_id AS record_id, lang, source, CAST(n_chars AS BIGINT) AS n_chars, doc_id // 50 AS page_rank, CAST(doc_id % 50 AS INTEGER) AS pos_in_page FROM documents""",
         "page_rings": """

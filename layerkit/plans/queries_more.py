@@ -13,9 +13,10 @@ from pyspark.sql import types as T
 
 from layerkit.functions.text import first_word
 from layerkit.operators import (
-    accepted_values, has_marker, list_pii, not_null, pii_scan_namespaces, redact, redact_by_table, run_checks, tag, unique,
+    accepted_values, as_of_lookup, has_marker, history, latest_state, list_pii, merge_latest, not_null, pii_scan_namespaces, provider_labels, redact,
+    redact_by_table, run_checks, tag, unique,
 )
-from layerkit.operators.enrich import MARKERS
+from layerkit.operators.enrich import LABELS, MARKERS
 from layerkit.plans import queries as Q
 from layerkit.session import scratch_path
 from layerkit.sources import (
@@ -183,6 +184,68 @@ def q_marker_default(spark, sf_dir):
     return c.select("conv_id", "turn", "role", has_marker(text).alias("flagged"))
 
 
+def q_silver_increments(spark, sf_dir):
+    """The latest turn of each conversation, kept by four loads, of which
+    the second first brought turns that weren't its own and was run again."""
+    c = Q._t(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turn, some = F.col("turn"), F.col("conv_id") % 16 == 3
+    path = scratch_path(spark, "silver")
+    early, third, fourth = turn.isin(2, 3), (turn > 3) & some, (turn > 3) & ~some
+
+    def load(name, rows, history=None):
+        merge_latest(spark, rows, path, ["conv_id"], ["turn"], name, buckets=16, history=history)
+
+    load("one", c.where(turn <= 1))
+    load("two", c.where(early | ((turn == 4) & (F.col("conv_id") % 3 == 0))))
+    load("three", c.where(third))
+    load("two", c.where(early), c.where((turn <= 3) | third))
+    load("four", c.where(fourth))
+    return latest_state(spark, path).select("conv_id", "turn", "role", F.md5("text").alias("text_md5"))
+
+
+def _limits(spark, sf_dir):
+    """Versions of a limit by source: that of every tenth document, from its time on."""
+    d = Q._t(spark, sf_dir, "documents").select("doc_id", "source", F.col("n_chars").cast("bigint").alias("limit_chars"))
+    at = F.timestamp_add("MINUTE", F.col("doc_id"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("at")
+    return d.select("doc_id", "source", at, "limit_chars")
+
+
+def q_limit_history(spark, sf_dir):
+    """Every version with the time until which it was valid."""
+    d = _limits(spark, sf_dir).where(F.col("doc_id") % 10 == 0)
+    return history(d.select("source", F.col("at").alias("valid_from"), "limit_chars"), ["source"], "valid_from")
+
+
+def q_limit_as_of(spark, sf_dir):
+    """Every document with the version of its source's limit that was valid at its time."""
+    d = _limits(spark, sf_dir)
+    versions = d.where(F.col("doc_id") % 10 == 0).select("source", F.col("at").alias("valid_from"), "limit_chars")
+    return as_of_lookup(d.select("doc_id", "source", "at"), versions, ["source"], "at", "valid_from", ["limit_chars", "valid_from"])
+
+
+def length_provider():
+    """Stands for a provider: labels by length, and refuses texts with e-mail addresses."""
+    labels = LABELS
+
+    def provider(texts: list[str]) -> list[str]:
+        if any("[EMAIL]" in t for t in texts):
+            raise ValueError("refused")
+        return [labels[len(t) % 3] for t in texts]
+
+    return provider
+
+
+def q_label_provider(spark, sf_dir):
+    """Redacted texts sent to a provider in Arrow batches; the second run
+    sends only what the first didn't, and texts that fail fall back alone."""
+    path, clean = scratch_path(spark, "provider-labels"), scratch_path(spark, "redacted")
+    Q._docs(spark, sf_dir, "doc_id", "text").select("doc_id", redact("text").alias("clean")).write.parquet(clean)
+    d = spark.read.parquet(clean)
+    provider_labels(d.where(F.col("doc_id") % 2 == 0), "clean", length_provider(), "length-v1", path)
+    out = provider_labels(d, "clean", length_provider(), "length-v1", path, fallback=lambda _: F.lit("neutral"))
+    return out.select("doc_id", "label", "label_source", "needs_review")
+
+
 def _namespace(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:8]}"
 
@@ -279,6 +342,10 @@ MORE: dict[str, Q.Query] = {
     "feedback_good": q_feedback_good,
     "feedback_rejects": q_feedback_rejects,
     "page_chain_problems": q_page_chain_problems,
+    "silver_increments": q_silver_increments,
+    "limit_history": q_limit_history,
+    "limit_as_of": q_limit_as_of,
+    "label_provider": q_label_provider,
     "paged_by_cursor": q_paged_by_cursor,
     "page_rings": q_page_rings,
     "check_build_error": q_check_build_error,

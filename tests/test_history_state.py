@@ -1,0 +1,110 @@
+"""Type-2 history, as-of lookup, latest versions by increments, provider labels with memory."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from layerkit.operators import as_of_lookup, history, latest_by, latest_state, merge_latest, provider_labels
+from layerkit.session import scratch_path
+
+
+def test_history(spark):
+    rows = [("a", 1, "x"), ("a", 5, "y"), ("a", 5, "z"), ("b", 2, "x"), (None, 3, "n"), ("a", None, "lost"), ("a", 9, None)]
+    got = history(spark.createDataFrame(rows, "k string, at long, v string"), ["k"], "at").collect()
+    assert sorted((str(r.k), r.at, str(r.v), r.valid_to, r.is_current) for r in got) == [
+        ("None", 3, "n", None, True), ("a", 1, "x", 5, False), ("a", 5, "z", 9, False), ("a", 9, "None", None, True), ("b", 2, "x", None, True)]
+
+
+@pytest.mark.parametrize("per_bin", [1_000_000, 40, 3])
+def test_as_of_lookup_by_plain_python(spark, per_bin):
+    rng = random.Random(per_bin)
+    versions = [(rng.choice("hab"), rng.randint(0, 300), i) for i in range(60)] + [("z", 5, 99), ("h", None, 98), (None, 1, 97), ("h", -50, 96)]
+    seen = set()
+    versions = [v for v in versions if not (v[:2] in seen or seen.add(v[:2]))]
+    facts = [(i, rng.choice("hhhhhhabq"), rng.randint(0, 320)) for i in range(500)] + [(900, None, 5), (901, "h", None), (902, "h", -60), (903, "h", 10_000)] + [(i, "h", 77) for i in range(1000, 1200)]
+    v = spark.createDataFrame(versions, "k string, valid_from long, price long")
+    f = spark.createDataFrame(facts, "id long, k string, at long").repartition(3)
+    out = as_of_lookup(f, v, ["k"], "at", "valid_from", ["price", "valid_from"], rows_per_bin=per_bin)
+    assert out.columns == ["id", "k", "at", "price", "valid_from"]
+    for r in out.collect():
+        before = [(a, p) for k, a, p in versions if k == r.k and k is not None and a is not None and r.at is not None and a <= r.at]
+        assert (r.valid_from, r.price) == (max(before) if before else (None, None)), r
+    assert out.count() == len(facts)
+
+
+def test_as_of_lookup_of_timestamps_and_dates(spark):
+    v = spark.sql("select 1 k, timestamp_ntz'2024-01-01 00:00:00.5' f, 'a' p union all select 1, timestamp_ntz'2024-01-02 00:00:00', 'b'")
+    f = spark.sql("select 1 k, timestamp_ntz'2024-01-01 00:00:00.499999' t union all select 1, timestamp_ntz'2024-01-01 00:00:00.5' union all select 1, timestamp_ntz'2024-03-01 00:00:00'")
+    for per_bin in (1, 100):
+        assert sorted(str(r.p) for r in as_of_lookup(f, v, ["k"], "t", "f", ["p"], per_bin).collect()) == ["None", "a", "b"]
+    d = as_of_lookup(f.selectExpr("k", "date(t) t"), v.selectExpr("k", "date(f) f", "p"), ["k"], "t", "f", ["p"])
+    assert sorted(r.p for r in d.collect()) == ["a", "a", "b"]
+    assert "NestedLoop" not in d._jdf.queryExecution().executedPlan().toString() and "Cartesian" not in d._jdf.queryExecution().executedPlan().toString()
+
+
+def rows_of(df):
+    return sorted(tuple(map(str, r)) for r in df.collect())
+
+
+def test_state_equals_latest_of_all_loads(spark):
+    rng = random.Random(4)
+    path = scratch_path(spark, "state")
+    schema = "k long, at long, v string"
+    make = lambda n, keys: [(rng.choice(keys), rng.randint(0, 50), f"v{rng.randint(0, 999)}") for _ in range(n)]
+    loads = {"one": make(300, range(60)), "two": make(200, [*range(40, 90), None]), "three": make(5, [7]), "four": [], "five": make(50, range(5))}
+    done = {}
+    for name, rows in loads.items():
+        batch = spark.createDataFrame(rows, schema)
+        touched = merge_latest(spark, batch, path, ["k"], ["at"], name, buckets=16)
+        done[name] = rows
+        every = spark.createDataFrame([r for x in done.values() for r in x], schema)
+        assert rows_of(latest_state(spark, path)) == rows_of(latest_by(every, ["k"], ["at"]))
+        assert len(touched) <= len({r[0] for r in rows})
+        assert len(touched) < 2 if name in ("three", "four") else True
+    # The second load again, with other rows: what it said before is gone, older versions are back.
+    done["two"] = make(30, range(60, 70))
+    every = spark.createDataFrame([r for x in done.values() for r in x], schema)
+    with pytest.raises(ValueError, match="history"):
+        merge_latest(spark, spark.createDataFrame(done["two"], schema), path, ["k"], ["at"], "two", buckets=16)
+    merge_latest(spark, spark.createDataFrame(done["two"], schema), path, ["k"], ["at"], "two", buckets=16, history=every)
+    assert rows_of(latest_state(spark, path)) == rows_of(latest_by(every, ["k"], ["at"]))
+    assert latest_state(spark, scratch_path(spark, "none")) is None
+
+
+def test_only_touched_buckets_are_read(spark):
+    path = scratch_path(spark, "state")
+    first = spark.range(1000).selectExpr("id as k", "1 as at", "'x' as v")
+    merge_latest(spark, first, path, ["k"], ["at"], "first", buckets=32)
+    batch = spark.createDataFrame([(5, 2, "y"), (6, 0, "late")], "k long, at int, v string")
+    touched = merge_latest(spark, batch.withColumn("extra", F.lit(1)), path, ["k"], ["at"], "second", buckets=32)
+    assert 1 <= len(touched) <= 2
+    held = latest_state(spark, path, touched)
+    assert all(any(f"_bucket={b}/" in f for b in touched) and "/second-" in f for f in held.inputFiles())
+    state = {r.k: (r.at, r.v, r.extra) for r in latest_state(spark, path).collect()}
+    assert len(state) == 1000 and state[5] == (2, "y", 1) and state[6] == (1, "x", None)
+
+
+def test_provider_is_asked_once_for_each_text(spark):
+    path = scratch_path(spark, "labels")
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["good", "bad", "good", "poison", None, "good day"])], "id int, said string")
+
+    def provider(texts):
+        if any("poison" in t for t in texts):
+            raise RuntimeError("refused")
+        return ["positive" if "good" in t else "negative" for t in texts]
+
+    def refuses(texts):
+        raise RuntimeError("asked again")
+
+    got = {r.id: (r.label, r.label_source, r.needs_review) for r in provider_labels(df, "said", provider, "p-1", path).collect()}
+    want = {0: ("positive", "p-1", False), 1: ("negative", "p-1", False), 2: ("positive", "p-1", False), 5: ("positive", "p-1", False)}
+    assert {i: got[i] for i in want} == want and got[3][1:] == got[4][1:] == ("rules-v1", True) and len(got) == 6
+    assert spark.read.parquet(path).count() == 3
+    # What is known isn't asked for again, by no one; what failed is, and so are new texts.
+    again = {r.id: r.label_source for r in provider_labels(df, "said", refuses, "p-1", path).collect()}
+    assert again == {0: "p-1", 1: "p-1", 2: "p-1", 5: "p-1", 3: "rules-v1", 4: "rules-v1"}
+    more = df.union(spark.createDataFrame([(9, "new and good")], df.schema))
+    assert {r.id for r in provider_labels(more, "said", lambda t: ["negative"] * len(t), "p-1", path).where("label = 'negative' and label_source = 'p-1'").collect()} == {1, 3, 9}
+    assert provider_labels(df, "said", refuses, "p-2", path).where("needs_review").count() == 6
+    assert provider_labels(df.limit(0), "said", refuses, "p-2", path).count() == 0
