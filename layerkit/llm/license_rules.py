@@ -95,10 +95,9 @@ SENTENCES: list[tuple[str, str]] = [
 ]
 
 #: A text or a sentence without any of these holds no licence sentence: every
-#: pattern above, ``SPEAKS`` and ``SPDX_MARK`` needs one of them. They are single
-#: words or beginnings of words, so that no line break stands between. Tried first.
-MAY_HOLD = ("licen[cs]e|copyright|permission|redistribut|spdx|domain|reserved|cc0|cc[^a-z0-9.+]|creative|attribution|gnu|gpl|mit[^a-z0-9]|applicable|"
-            "hope|provided|no[^a-z0-9.+]+event|endorse|bsd|apache|mozilla|eclipse|boost|zlib|artistic|isc[^a-z0-9]")
+#: pattern above, ``SPEAKS`` and ``SPDX_MARK`` needs one of them. Tried first.
+MAY_HOLD = ("licen[cs]e|copyright|permission|redistribut|spdx|public[^a-z0-9.+]+domain|reserved|cc0|cc[^a-z0-9.+]+by|creative|attribution|gnu|gpl|"
+            "applicable|hope[^a-z0-9.+]+that|is[^a-z0-9.+]+provided|no[^a-z0-9.+]+event|endorse|bsd")
 
 #: Ordered rules. Longer notices come before what they contain.
 RULES: list[tuple[str, list[str]]] = [
