@@ -24,6 +24,7 @@ besides are passed through, whatever their names.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -31,7 +32,7 @@ from operator import add
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerkit.llm.decision_list import RATIOS
@@ -233,6 +234,21 @@ def _brought(rows: DataFrame) -> pd.DataFrame:
     return got
 
 
+_HASHES = 1 << 32
+
+
+def _hash(column: str = "_id") -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(_HASHES))
+
+
+def _first(rows: DataFrame, order: list[Column], k: int) -> DataFrame:
+    """The first ``k`` rows, in two steps, so that what the second one reads
+    doesn't grow with the tasks."""
+    part = rows.withColumn("_part", F.pmod(F.xxhash64("_id"), F.lit(64)))
+    some = part.withColumn("_place", F.row_number().over(Window.partitionBy("_part").orderBy(*order))).where(F.col("_place") <= k)
+    return some.drop("_part", "_place").orderBy(*order).limit(k)
+
+
 def surest_of(table: DataFrame, sure: float = SURE) -> Surest:
     """The surest rows among all unlabelled ones of ``features``. Sure means
     calibrated: a view that tells little is never sure and passes nothing on."""
@@ -245,8 +261,8 @@ def surest_of(table: DataFrame, sure: float = SURE) -> Surest:
             gone = table.sparkSession.createDataFrame([(i,) for i in sorted(taken)], table.select("_id").schema)
             free = free.join(F.broadcast(gone), "_id", "left_anti")
         ties = [F.xxhash64("_id"), F.col("_id")]
-        good = free.where(F.col("_odds") >= least).orderBy(F.desc("_odds"), *ties).limit(n_good)
-        bad = free.where(F.col("_odds") <= -least).orderBy("_odds", *ties).limit(n_bad)
+        good = _first(free.where(F.col("_odds") >= least), [F.desc("_odds"), *ties], n_good)
+        bad = _first(free.where(F.col("_odds") <= -least), [F.asc("_odds"), *ties], n_bad)
         got = _brought(good.withColumn("_kind", F.lit(0)).unionByName(bad.withColumn("_kind", F.lit(1))))
         got = got.sort_values(["_kind", "_odds", "_id"], kind="stable").reset_index(drop=True)
         return got, int((got["_kind"] == 0).sum())
@@ -258,7 +274,11 @@ def learn_from(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text:
                columns: dict[str, str] = DEFAULT_COLUMNS, max_labelled: int = MAX_LABELLED, grow: int = GROW) -> Pair:
     """Co-train on a bounded sample of the labelled and all unlabelled documents."""
     table = features(docs, labels, id_col, text, label_col, columns)
-    some = _brought(table.where("_good is not null").orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)).sort_values("_id")
+    marked = table.where("_good is not null")
+    # The lowest hashes, and before that about twice as many, so that no task sends more than its share of them.
+    share = min(1.0, 2 * max_labelled / max(marked.count(), 1))
+    low = marked.where(_hash() < F.lit(math.ceil(share * _HASHES)))
+    some = _brought(low.orderBy(_hash(), "_id").limit(max_labelled)).sort_values("_id")
     return cotrain(some[[*METADATA, *CONTENT]], some["_good"].to_numpy(), surest_of(table), grow=grow)
 
 
