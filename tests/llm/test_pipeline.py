@@ -56,7 +56,7 @@ def test_odd_tables(spark, tmp_path, rows):
 
 def test_run_and_registration(spark):
     names = set(registry.queries())
-    assert names <= set(E.queries()) and "pipeline" in names and len([n for n in names if n.startswith("op")]) == 10
+    assert names <= set(E.queries()) and "pipeline" in names and len([n for n in names if n.startswith("op")]) == 13
     assert set(registry.oracle_sql()) <= names
     assert corpus_pipeline.run(spark, SF001).count() > 0
     assert DOCUMENTS.startswith("doc_id")
