@@ -43,6 +43,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_license_rules": license_rules.ORACLE,
         "op6_secret_ledger": secret_ledger.ORACLE,
         "op9_chat_parts": chat_parts.ORACLE,
-        "op11_whitening": op11_whitening,
         "op12_lexical_search": lexical_search.ORACLE,
     }
