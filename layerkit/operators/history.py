@@ -12,6 +12,8 @@ from layerkit.functions._util import ntz_lit
 
 #: Facts of one key that meet in one group at most, if they spread evenly over time.
 ROWS_PER_BIN = 10_000
+#: Shares into which a key's rows are dealt when they learn of its bins.
+SHARES = 64
 
 
 def history(df: DataFrame, keys: Sequence[str], valid_from: str) -> DataFrame:
@@ -38,8 +40,9 @@ def as_of_lookup(facts: DataFrame, versions: DataFrame, keys: Sequence[str], at:
     the last version before it: one pass in order, no pairs. A key with many facts
     is cut into bins of time, of about ``rows_per_bin`` facts, each of which begins
     with the version that is valid at its beginning; keys of one bin, nearly all,
-    have nothing to add. Facts without a key or time get NULLs; ``valid_to`` isn't
-    needed. Times are numbers, dates or timestamps, of one type on both sides."""
+    have nothing to add. Rows learn of their key's bins in shares by time, and move
+    by key and bin, so a hot key is one task nowhere. Facts without a key or time
+    get NULLs; ``valid_to`` isn't needed. Times are numbers, dates or timestamps, of one type on both sides."""
     names = [f"__v{i}" for i in range(len(take))]
     keyed = [f"__k{i}" for i in range(len(keys))]
     complete = F.col(at).isNotNull()
@@ -66,8 +69,11 @@ def as_of_lookup(facts: DataFrame, versions: DataFrame, keys: Sequence[str], at:
     bin_of = F.when(F.col("__bins").isNull(), 0).otherwise(F.greatest(F.least(place, F.col("__bins") - 1), F.lit(0)))
     line = [*keyed, "__bin"]
 
+    shared = hot.withColumn("__share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+
     def binned(rows: DataFrame) -> DataFrame:
-        return rows.join(hot, keyed, "left").withColumn("__bin", bin_of)
+        share = F.pmod(F.xxhash64("__at"), F.lit(SHARES)).cast("int")
+        return rows.withColumn("__share", share).join(shared, [*keyed, "__share"], "left").withColumn("__bin", bin_of)
 
     fb = binned(f).select(*line, "__at", F.lit(1).alias("__kind"), "__fact", F.lit(None).cast(v.schema["__version"].dataType).alias("__version"))
     vb = binned(v)
@@ -81,7 +87,9 @@ def as_of_lookup(facts: DataFrame, versions: DataFrame, keys: Sequence[str], at:
     carried = carried.select(*keyed, F.explode(F.sequence(F.col("__bin") + 1, F.col("__until"))).alias("__bin"), F.lit(None).cast(v.schema["__at"].dataType).alias("__at"),
                              F.lit(0).alias("__kind"), nothing, "__version")
     in_order = Window.partitionBy(*line).orderBy(F.asc_nulls_first("__at"), "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = fb.unionByName(begun).unionByName(carried).withColumn("__seen", F.last("__version", ignorenulls=True).over(in_order)).where("__kind = 1")
+    # Dealt by key and bin: the planner would take rows dealt by key alone as good enough.
+    dealt = fb.unionByName(begun).unionByName(carried).repartition(*line)
+    seen = dealt.withColumn("__seen", F.last("__version", ignorenulls=True).over(in_order)).where("__kind = 1")
     found = seen.select("__fact.*", *(F.col(f"__seen.{n}").alias(c) for c, n in zip(take, names)))
     without = facts.where(~F.coalesce(complete, F.lit(False))).select("*", *(F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in take))
     return found.unionByName(without)
