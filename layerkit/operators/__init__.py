@@ -3,7 +3,7 @@
 from layerkit.operators.aggregates import count_by, row_count, row_counts
 from layerkit.operators.audit import audit_row, latest_runs, local_now, replace_partition, stalled_runs
 from layerkit.operators.checks import (
-    Check, accepted_values, assertion, freshness, not_null, relationships, row_failures,
+    Check, accepted_values, assertion, failure_counts, freshness, not_null, relationships, row_failures,
     run_checks, summarize, unique,
 )
 from layerkit.operators.clean import cast_columns, clean_facts, current_dim, keep_valid, out_of_range, project

@@ -8,12 +8,13 @@ A check yields its *failing rows*; it passes when there are none. Severity
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 import logging
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +26,18 @@ Models = Mapping[str, DataFrame]
 log = logging.getLogger(__name__)
 
 
+@dataclass(frozen=True)
+class Keyed:
+    """What a check counts by key: rows of the model that ``where`` lets through, by
+    ``cols``; ``parent`` (model, column) marks the keys that a parent holds.
+    ``failures`` gives a key's failures from its rows ``n`` and ``held``."""
+
+    cols: tuple[str, ...]
+    where: Callable[[], Column]
+    failures: Callable[[Column, Column], Column]
+    parent: tuple[str, str] | None = None
+
+
 @dataclass
 class Check:
     """``failing(models) -> DataFrame`` of offending rows; ``weight`` names the
@@ -37,6 +50,7 @@ class Check:
     weight: str | None = None
     row_level: Callable[[], object] | None = field(default=None, repr=False)
     requires: tuple = ()   # other models the check reads (e.g. a relationship's parent)
+    keyed: Keyed | None = field(default=None, repr=False)
 
     def failures(self, models: Models) -> int:
         df = self.failing(models)
@@ -66,7 +80,11 @@ def unique(model: str, col: str | Sequence[str], severity: str = "error") -> Che
             nn = nn & F.col(c).isNotNull()
         return d.where(nn).groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
-    return Check(f"unique_{model}_{name}", model, failing, severity)
+    def where():
+        return functools.reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in cols))
+
+    return Check(f"unique_{model}_{name}", model, failing, severity,
+                 keyed=Keyed(tuple(cols), where, lambda n, held: (n > 1).cast("long")))
 
 
 def accepted_values(model: str, col: str, values: Iterable, severity: str = "error") -> Check:
@@ -77,7 +95,8 @@ def accepted_values(model: str, col: str, values: Iterable, severity: str = "err
         return (m[model].where(F.col(col).isNotNull() & ~F.col(col).isin(vals))
                 .groupBy(col).agg(F.count(F.lit(1)).alias("n")))
 
-    return Check(f"accepted_values_{model}_{col}", model, failing, severity)
+    return Check(f"accepted_values_{model}_{col}", model, failing, severity,
+                 keyed=Keyed((col,), lambda: F.col(col).isNotNull() & ~F.col(col).isin(vals), lambda n, held: F.lit(1).cast("long")))
 
 
 def relationships(model: str, col: str, parent: str, field_name: str, severity: str = "error") -> Check:
@@ -88,7 +107,8 @@ def relationships(model: str, col: str, parent: str, field_name: str, severity:
     """
     return Check(f"relationships_{model}_{col}__{parent}_{field_name}", model,
                  lambda m: orphan_keys(m[model], col, m[parent], field_name), severity, weight="n",
-                 requires=(parent,))
+                 requires=(parent,),
+                 keyed=Keyed((col,), lambda: F.col(col).isNotNull(), lambda n, held: F.when(held, F.lit(0)).otherwise(n), (parent, field_name)))
 
 
 def assertion(model: str, name: str, query: Callable[[Models], DataFrame], severity: str = "error",
@@ -106,6 +126,84 @@ def row_failures(df: DataFrame, checks: Sequence[Check]) -> dict[str, int]:
     return {c.name: int(row[f"c{i}"]) for i, c in enumerate(rl)}
 
 
+def _groups(kind: T.DataType) -> bool:
+    """Whether values of a type can be grouped as they are, alike in every engine path."""
+    return isinstance(kind, (T.IntegralType, T.DecimalType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)) \
+        or kind == T.StringType()
+
+
+def shares_scan(check: Check, models: Models) -> bool:
+    """Whether ``failure_counts`` can count the check: a row-level one, or one by
+    key whose columns are of simple types, the same in the parent."""
+    if check.row_level is not None:
+        return True
+    if check.keyed is None:
+        return False
+    kinds = {f.name: f.dataType for f in models[check.model].schema.fields}
+    if not all(c in kinds and _groups(kinds[c]) for c in check.keyed.cols):
+        return False
+    if check.keyed.parent is None:
+        return True
+    parent, col = check.keyed.parent
+    there = {f.name: f.dataType for f in models[parent].schema.fields}
+    return there.get(col) == kinds[check.keyed.cols[0]]
+
+
+def failure_counts(models: Models, model: str, checks: Sequence[Check]) -> DataFrame:
+    """``(check, failures)`` by the check's place in the list, for checks of one
+    model that ``shares_scan``; a check without failing rows may be missing.
+
+    The model is read once, whatever the number of checks: each row gives one
+    (check, key) pair for every check that it concerns, a failing row of a
+    row-level check one without a key. Parents add their keys. Pairs are counted
+    in every task before the one shuffle, so a hot key or a column of NULLs is a
+    row for each task. Keys keep their types: each check fills the columns of
+    its types and leaves the others NULL."""
+    df = models[model]
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    names: list[list[str]] = []           # the pair's columns that hold each check's key
+    slots: dict[str, T.DataType] = {}
+    for c in checks:
+        own: list[str] = []
+        for col in (c.keyed.cols if c.keyed else ()):
+            kind = kinds[col].simpleString()
+            name = f"{kind}_{sum(1 for o in own if o.startswith(kind + '_'))}"
+            slots[name] = kinds[col]
+            own.append(name)
+        names.append(own)
+
+    def pair(i: int, cols: Sequence[Column]) -> list[Column]:
+        given = dict(zip(names[i], cols))
+        return [F.lit(i).alias("check"), *(given.get(s, F.lit(None)).cast(t).alias(s) for s, t in slots.items())]
+
+    pairs = []
+    for i, c in enumerate(checks):
+        where = c.row_level() if c.keyed is None else c.keyed.where()
+        pairs.append(F.when(where, F.struct(*pair(i, [F.col(x) for x in (c.keyed.cols if c.keyed else ())]))))
+    rows = df.select(F.inline(F.array(*pairs))).where("check is not null").withColumns({"n": F.lit(1).cast("long"), "held": F.lit(False)})
+    for i, c in enumerate(checks):
+        if c.keyed and c.keyed.parent:
+            parent, col = c.keyed.parent
+            keys = models[parent].where(F.col(col).isNotNull()).select(*pair(i, [F.col(col)]))
+            rows = rows.unionByName(keys.withColumns({"n": F.lit(0).cast("long"), "held": F.lit(True)}))
+    by_key = rows.groupBy("check", *(F.col(f"`{s}`") for s in slots)).agg(F.sum("n").alias("n"), F.max("held").alias("held"))
+    n, held = F.col("n"), F.col("held")
+    failures = functools.reduce(lambda e, ic: e.when(F.col("check") == ic[0], ic[1].keyed.failures(n, held) if ic[1].keyed else n), enumerate(checks), F)
+    return by_key.select("check", failures.alias("failures")).groupBy("check").agg(F.sum("failures").alias("failures"))
+
+
+def all_failures(models: Models, model: str, checks: Sequence[Check]) -> dict[str, int]:
+    """Failures of each check of one model: those that can share a scan in one
+    job, others one by one. Only the counts reach the driver."""
+    shared = [c for c in checks if shares_scan(c, models)]
+    if any(c.keyed for c in shared):
+        found = {r["check"]: int(r["failures"]) for r in failure_counts(models, model, shared).collect()}
+        out = {c.name: found.get(i, 0) for i, c in enumerate(shared)}
+    else:
+        out = row_failures(models[model], shared)
+    return out | {c.name: c.failures(models) for c in checks if c not in shared}
+
+
 RESULT_SCHEMA = T.StructType([
     T.StructField("node", T.StringType()),
     T.StructField("kind", T.StringType()),
@@ -134,7 +232,8 @@ def run_checks(
     A model whose upstream has an ``error`` failure, failed to build or was
     skipped is skipped with all its checks. A model that fails to build (its
     builder raises, or the first check that runs it does) has status ``error``
-    and its checks are skipped; the run goes on. Models whose upstream is decided are built
+    and its checks are skipped; the run goes on. A model's checks share one scan
+    of it (``failure_counts``). Models whose upstream is decided are built
     and tested together; their check jobs run concurrently (up to
     ``max_concurrent_jobs`` Spark jobs). Returns the result table
     ``(node, kind, model, severity, failures, status)`` — one row per node,
@@ -156,13 +255,13 @@ def run_checks(
         view[name] = df
         runnable = [c for c in by_model.get(name, [])
                     if all(r in view and r not in failed for r in c.requires)]
-        fused = row_failures(df, runnable)
+        counted = all_failures(view, name, runnable)
         out = []
         for c in by_model.get(name, []):
             if c not in runnable:  # a model it reads was skipped or failed its checks
                 out.append((c.name, "test", name, c.severity, None, "skipped"))
                 continue
-            n = fused[c.name] if c.name in fused else c.failures(view)
+            n = counted[c.name]
             out.append((c.name, "test", name, c.severity, n, _status(n, c.severity)))
         return df, out
 
