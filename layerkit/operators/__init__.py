@@ -24,5 +24,6 @@ from layerkit.operators.privacy import (
     leak_found, list_pii, name_dictionary, pii_scan, pii_scan_namespaces, redact, redact_by_table, tag,
 )
 from layerkit.operators.stamp import new_batch_id, stamp
+from layerkit.operators.stored_keys import known_rows, orphan_counts, orphan_rows, stored_child, write_child, write_parent_keys
 
 __all__ = [n for n in dir() if not n.startswith("_")]

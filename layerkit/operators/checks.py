@@ -194,8 +194,10 @@ def failure_counts(models: Models, model: str, checks: Sequence[Check]) -> DataF
 
 def all_failures(models: Models, model: str, checks: Sequence[Check]) -> dict[str, int]:
     """Failures of each check of one model: those that can share a scan in one
-    job, others one by one. Only the counts reach the driver."""
+    job, others (and a single one by key) one by one. Only counts reach the driver."""
     shared = [c for c in checks if shares_scan(c, models)]
+    if len(shared) == 1 and shared[0].keyed:
+        shared = []
     if any(c.keyed for c in shared):
         found = {r["check"]: int(r["failures"]) for r in failure_counts(models, model, shared).collect()}
         out = {c.name: found.get(i, 0) for i, c in enumerate(shared)}

@@ -21,6 +21,10 @@ raw AS (
                      OVER (PARTITION BY file_key ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + 2 AS line
   FROM texts)"""
 
+_STORED = """
+stored AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN -1 WHEN o_orderkey % 7 = 0 THEN 1 WHEN o_orderkey % 11 <> 0 THEN o_custkey END::BIGINT AS o_custkey FROM orders)"""
+
 _PAGES = """
 base AS (
   SELECT p AS page_no, CASE WHEN p = 0 THEN NULL ELSE 'c' || p END AS cursor, CASE WHEN p = (SELECT max(event_id // 50) FROM events) THEN NULL ELSE 'c' || (p + 1) END AS nxt
@@ -124,6 +128,13 @@ WITH t AS (SELECT conv_id, turn, role, text, (conv_id * 8 + turn) % {2 * size} A
 p AS (SELECT conv_id, turn, role, ' ' || lower(text || ' ok' || upper(CASE WHEN k < {size} THEN {markers}[k + 1] ELSE 'x' END)
              || CASE WHEN k % 3 = 0 THEN ' end' ELSE '' END) || ' ' AS padded FROM t)
 SELECT conv_id, turn, role, len(list_filter({markers}, lambda m: contains(padded, m))) > 0 AS flagged FROM p""",
+        "stored_known": f"""
+WITH {_STORED}
+SELECT o_orderkey, o_custkey, o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) AS known FROM stored WHERE o_custkey IS NOT NULL""",
+        "stored_orphans": f"""
+WITH {_STORED}
+SELECT o_custkey, count(*) AS n FROM stored s WHERE o_custkey IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = s.o_custkey AND c.c_acctbal >= 0) GROUP BY o_custkey""",
         "full_refresh_twice": "SELECT * FROM supplier",
         "reset_tables": """
 SELECT 'supplier' AS table_name, (SELECT count(*) FROM supplier) AS rows_before, true AS dropped, CAST(0 AS BIGINT) AS rows_after

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from layerkit.functions.text import first_word
 from layerkit.operators import (
-    accepted_values, as_of_lookup, has_marker, history, latest_state, list_pii, merge_latest, not_null, pii_scan_namespaces, provider_labels, redact,
-    redact_by_table, run_checks, tag, unique,
+    accepted_values, as_of_lookup, has_marker, history, known_rows, latest_state, list_pii, merge_latest, not_null, orphan_counts, orphan_rows,
+    pii_scan_namespaces, provider_labels, redact, redact_by_table, run_checks, stored_child, tag, unique, write_child, write_parent_keys,
 )
 from layerkit.operators.enrich import LABELS, MARKERS
 from layerkit.plans import queries as Q
@@ -258,6 +258,38 @@ def _read_then_drop(spark: SparkSession, namespace: str, df: DataFrame, name: st
     return spark.read.parquet(path)
 
 
+KEY_BUCKETS = 32
+#: Low, so that the orders' hot customers are stored apart at every size.
+HOT_ORDERS = 500
+
+
+def stored_orders(spark: SparkSession, sf_dir: str, ns: str):
+    """Orders and the keys of active customers in buckets. Every third order is of
+    the one missing customer -1, every seventh of customer 1, every eleventh of none."""
+    ensure_namespace(spark, ns)
+    k = F.col("o_orderkey")
+    cust = F.when(k % 3 == 0, F.lit(-1).cast("long")).when(k % 7 == 0, F.lit(1).cast("long")).when(k % 11 != 0, F.col("o_custkey"))
+    orders = Q._t(spark, sf_dir, "orders").select("o_orderkey", cust.alias("o_custkey"))
+    write_child(orders, f"{ns}.orders", ["o_custkey"], KEY_BUCKETS, HOT_ORDERS)
+    write_parent_keys(Q.active_customers(spark, sf_dir).select(F.col("c_custkey").alias("o_custkey")), f"{ns}.customers", ["o_custkey"], KEY_BUCKETS)
+    return stored_child(spark, f"{ns}.orders", ["o_custkey"]), spark.table(f"{ns}.customers")
+
+
+def q_stored_known(spark, sf_dir):
+    """Orders stored by customer, with and without an active one; neither
+    side moves."""
+    ns = _namespace("stored")
+    child, parent = stored_orders(spark, sf_dir, ns)
+    rows = known_rows(child, parent).withColumn("known", F.lit(True)).unionByName(orphan_rows(child, parent).withColumn("known", F.lit(False)))
+    return _read_then_drop(spark, ns, rows, "stored-known")
+
+
+def q_stored_orphans(spark, sf_dir):
+    """Q4: missing customers with their orders, from buckets and stored counts."""
+    ns = _namespace("stored")
+    return _read_then_drop(spark, ns, orphan_counts(*stored_orders(spark, sf_dir, ns)), "stored-orphans")
+
+
 def q_full_refresh_twice(spark, sf_dir):
     """Two full refreshes of a managed table leave the same rows."""
     ns = _namespace("refresh")
@@ -346,6 +378,8 @@ MORE: dict[str, Q.Query] = {
     "limit_history": q_limit_history,
     "limit_as_of": q_limit_as_of,
     "label_provider": q_label_provider,
+    "stored_known": q_stored_known,
+    "stored_orphans": q_stored_orphans,
     "paged_by_cursor": q_paged_by_cursor,
     "page_rings": q_page_rings,
     "check_build_error": q_check_build_error,
