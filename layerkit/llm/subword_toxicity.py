@@ -20,7 +20,8 @@ number for each bucket; that table is broadcast (its size is a parameter) and
 every whole text is scored in one narrow pass.
 
 Defined results: null and empty texts, and texts without words, get the score of
-a text without strong words; repeated rows and repeated ids give one result each;
+a text without strong words; of very long texts the n-grams of a bounded run of
+words (one longer word alone) are held at a time; repeated rows and repeated ids give one result each;
 without labels of both classes every score is the share of label 1 (one half
 without labels); an empty table gives an empty result. Labels, language, source
 and id are never inputs of a score, and other columns are never read.
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from layerkit.llm.tables import read_table, ship
-from layerkit.llm.words import BYTE_KEYS, mix, slices, split_words, word_hashes
+from layerkit.llm.words import BYTE_KEYS, Words, mix, slices, split_words, word_hashes
 
 BUCKETS = 1 << 17
 DIMENSIONS = 8
@@ -48,6 +49,8 @@ SIZES = (3, 4, 5, 6)
 MAX_TOXIC, MAX_CLEAN = 2000, 3000
 #: Words of fewer sampled documents than this have no target of their own.
 LEAST_DOCUMENTS = 3
+#: Letters of words whose n-grams are held at a time.
+GRAM_BYTES = 1 << 18
 STRONG = 1.5
 THRESHOLD = 0.3
 _rng = np.random.Generator(np.random.PCG64(1709))
@@ -86,13 +89,22 @@ class Model:
     bias: float = 0.0
     weights: np.ndarray = field(default_factory=lambda: np.zeros(4))
 
+    def logits(self, w: Words) -> np.ndarray:
+        """Each word's, from ``GRAM_BYTES`` of words at a time."""
+        hashes, out, i = word_hashes(w), np.empty(len(w.start)), 0
+        size = np.cumsum(w.end - w.start + 2)
+        while i < len(out):
+            j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + GRAM_BYTES, side="right")))
+            word, ids = grams(w.data, w.start[i:j], w.end[i:j], hashes[i:j], len(self.scores))
+            out[i:j] = self.bias + np.bincount(word, weights=self.scores[ids], minlength=j - i) / np.maximum(np.bincount(word, minlength=j - i), 1)
+            i = j
+        return out
+
     def strong(self, texts: pa.Array) -> np.ndarray:
         """Three features of each text, 0 where no word's logit passes ``STRONG``."""
         w = split_words(texts, lower=True)
-        n, doc = len(w.start), w.doc
-        word, ids = grams(w.data, w.start, w.end, word_hashes(w), len(self.scores))
-        logit = self.bias + np.bincount(word, weights=self.scores[ids], minlength=n) / np.maximum(np.bincount(word, minlength=n), 1)
-        over = np.maximum(logit - STRONG, 0)
+        doc = w.doc
+        over = np.maximum(self.logits(w) - STRONG, 0)
         total = np.bincount(doc, weights=over, minlength=len(texts))
         most = np.zeros(len(texts))
         np.maximum.at(most, doc, over)

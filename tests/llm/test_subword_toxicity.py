@@ -1,9 +1,11 @@
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow as pa
 
 from layerkit.llm import subword_toxicity as st
+from layerkit.llm.words import BYTE_KEYS, mix, split_words, word_hashes
 
 from .small import ODD_ROWS, SF1, empty, labels, odd
 
@@ -35,6 +37,48 @@ def test_unseen_misspellings_share_n_grams():
     assert strong[1, 2] > 0.5 and strong[1, 2] > strong[0, 2] and (strong[2:] == 0).all()
 
 
+def plain_grams(word: bytes) -> list[int]:
+    """Buckets of a word and its n-grams, one by one."""
+    def mixed(x):
+        return int(mix(np.array([x % 2**64], dtype=np.uint64))[0]) % st.BUCKETS
+
+    marked = [2, *word, 3]
+    w = split_words(pa.array([word.decode()]))
+    out = [mixed(int(word_hashes(w)[0]))]
+    for size in st.SIZES:
+        for i in range(len(marked) - size + 1):
+            out.append(mixed(sum(int(BYTE_KEYS[b]) * int(st._FACTORS[k]) for k, b in enumerate(marked[i : i + size])) + size - 1))
+    return out
+
+
+def test_score_by_plain_python():
+    rng = np.random.default_rng(9)
+    model = st.Model(rng.normal(0, 6, st.BUCKETS), 0.3, np.array([-2.0, 0.5, 0.7, 0.1]))
+    texts = ["One two two naïve\tWORD", "x", "", None, "a" * 50 + " tail", " ".join(rng.choice(["alpha", "be", "gamma"], 40))]
+    got = model.of(pa.array(texts))
+    for t, score in zip(texts, got):
+        words = [x.lower().encode() for x in (t or "").split()]
+        over = [max(model.bias + float(np.mean([model.scores[g] for g in plain_grams(x)])) - st.STRONG, 0.0) for x in words]
+        n, total = max(len(words), 1), sum(over)
+        x = [1.0, np.log1p(50 * total / n), np.log1p(total / np.sqrt(n)), max(over, default=0.0)]
+        assert abs(score - 1 / (1 + np.exp(-np.dot(model.weights, x)))) < 1e-9
+
+
+def test_long_text_in_bounded_memory(monkeypatch):
+    rng = np.random.default_rng(5)
+    model = st.Model(rng.normal(0, 3, st.BUCKETS), 0.1, np.array([-1.0, 1.0, 1.0, 1.0]))
+    text = " ".join("".join(x) for x in rng.choice(list("abcdefgh"), (60_000, 6)))
+    tracemalloc.start()
+    (much,) = model.of(pa.array([text * 10]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    (once,) = model.of(pa.array([text]))
+    monkeypatch.setattr(st, "GRAM_BYTES", 1 << 30)
+    assert model.of(pa.array([text]))[0] == once and model.of(pa.array([text * 10]))[0] == much
+    print("bytes a byte:", peak / len(text) / 10)
+    assert peak < 40 * 10 * len(text)
+
+
 def test_odd_rows(spark):
     for marks in ([], [(1, 1, 1)], [(1, 1, 0), (1, 1, 1), (6, 1, 0), (8, 1, None), (None, 1, 1), (10, 1, 0)]):
         model = st.learn_from(odd(spark), labels(spark, marks))
