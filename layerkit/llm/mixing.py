@@ -42,49 +42,18 @@ from pyspark.sql import functions as F
 from layerkit.llm.tables import read_table
 from layerkit.session import scratch_path
 
-CYCLE = 1000
 BLOCK_ROWS = 16
 BUCKET_ROWS = 4000
 #: Blocks of the schedule that the driver holds at a time.
 PIECE = 500_000
-#: Sources with a number of their own in ``class``; all are scheduled alike.
-MAX_SOURCES = 200
+#: File lists up to this length (some 20 MB) are broadcast when rows learn their place.
+MAX_FILES = 100_000
 #: Without given weights a source's weight is its number of documents to this
 #: power: small sources get more than their share, large ones less.
 EXPONENT = 0.5
 SEED = 20240229
 
 
-def classes(docs: DataFrame, source: str, weights: dict[str, float] | None = None, other: float = 0.0) -> DataFrame:
-    """An outline of the weights: ``source`` (null: all others), ``class`` (from 0)
-    and ``slots``, rounded, of a cycle. ``mixed`` doesn't round. Weights need not
-    add up to 1."""
-    counts = docs.groupBy(F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source")).agg(F.count(F.lit(1)).alias("n"))
-    if weights is None:
-        named = counts.orderBy(F.desc("n"), "source").limit(MAX_SOURCES).select("source", F.pow("n", F.lit(EXPONENT)).alias("weight"))
-        rest = counts.join(F.broadcast(named.select("source")), "source", "left_anti").agg(F.sum(F.pow("n", F.lit(EXPONENT))).alias("weight"))
-        rest = rest.where("weight is not null").select(F.lit(None).cast("string").alias("source"), "weight")
-        listed = named.unionByName(rest)
-    else:
-        _check(weights)
-        rows = F.array(*(F.struct(F.lit(s).cast("string").alias("source"), F.lit(float(w)).alias("weight")) for s, w in [*weights.items(), (None, max(other, 1e-12))]))
-        listed = docs.sparkSession.range(1).select(F.inline(rows))
-    # A window without partitions over one row for each class.
-    everything, order = Window.partitionBy(F.lit(0)), Window.partitionBy(F.lit(0)).orderBy(F.asc_nulls_last("source"))
-    slots = F.greatest(F.lit(1), F.round(F.col("weight") / F.sum("weight").over(everything) * CYCLE).cast("int"))
-    return listed.select("source", (F.row_number().over(order) - 1).alias("class"), slots.alias("slots"))
-
-
-def cycle(listed: DataFrame) -> DataFrame:
-    """The schedule of one cycle of ``classes``: ``class``, ``j`` (block of the class
-    within the cycle), ``slot``, ``slots`` (of the class), ``cycle_slots``, and the
-    block's ``release`` and ``deadline``."""
-    tasks = sorted((r["class"], r["slots"]) for r in listed.collect())
-    slots = [n for _, n in tasks]
-    rows = [(tasks[k][0], j, t, slots[k], sum(slots), release, deadline) for k, j, t, release, deadline in _earliest_deadline_first(slots, slots)]
-    return listed.sparkSession.createDataFrame(rows, "class int, j int, slot int, slots int, cycle_slots int, release int, deadline int")
-
-
 def _check(weights: dict[str, float]) -> None:
     if any(w <= 0 for w in weights.values()):
         raise ValueError("weights must be positive")
@@ -146,9 +115,8 @@ SCHEDULE = pa.schema([("_source", pa.string()), ("class", pa.int32()), ("block",
 def _written_schedule(spark: SparkSession, counts: dict[str, int], weights: dict[str, float] | None, other: float, block_rows: int) -> DataFrame:
     """One row for each block, written in pieces under the shared folder."""
     names, shares = _tasks(counts, weights, other)
-    own = sorted(weights or sorted(names, key=lambda s: (-counts[s], s))[:MAX_SOURCES])
-    number = {s: k for k, s in enumerate(own)}
-    labels = [number.get(s, len(own)) for s in names]
+    number = {s: k for k, s in enumerate(sorted(s for s in names if s is not None))}
+    labels = [number.get(s, len(number)) for s in names]
     all_slots = schedule(shares, [-(-counts.get(s, 0) // block_rows) for s in names])
     path = scratch_path(spark, "mixing-schedule")
     while True:
@@ -164,7 +132,8 @@ def _written_schedule(spark: SparkSession, counts: dict[str, int], weights: dict
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", source: str = "source", weights: dict[str, float] | None = None, other: float = 0.0,
           block_rows: int = BLOCK_ROWS, seed: int = SEED) -> DataFrame:
-    """``row`` (all columns of ``docs`` as a struct), ``class``, ``block`` (of its
+    """``row`` (all columns of ``docs`` as a struct), ``class`` (its source's number
+    by name), ``block`` (of its
     source), ``slot``, ``release``, ``deadline`` and ``position``, by which the
     rows are in mixed order."""
     named = F.coalesce(F.col(source).cast("string"), F.lit(""))
@@ -217,7 +186,8 @@ def place_in_files(docs: DataFrame, name: str = "position") -> DataFrame:
     # One row for each file; part numbers of more digits make longer names.
     order = Window.partitionBy(F.lit(0)).orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("_file", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"))
-    placed = given.join(F.broadcast(files), "_file").withColumn(name, F.col("_before") + F.col("_row"))
+    files = F.broadcast(files) if len(docs.inputFiles()) <= MAX_FILES else files
+    placed = given.join(files, "_file").withColumn(name, F.col("_before") + F.col("_row"))
     return placed.drop("_file", "_row", "_before")
 
 

@@ -9,24 +9,12 @@ from layerkit.llm import mixing
 from .small import ODD_ROWS, SF01, empty, odd
 
 
-def check_schedule(listed):
-    """The cycle is a Pfair schedule: every block in its window, and each class
-    less than one block off its share at every slot."""
-    slots = {r["class"]: r["slots"] for r in listed.collect()}
-    total = sum(slots.values())
-    order = sorted(mixing.cycle(listed).collect(), key=lambda r: r["slot"])
-    assert [r["slot"] for r in order] == list(range(total))
-    done = collections.Counter()
-    for t, r in enumerate(order):
-        assert r["j"] == done[r["class"]] and r["release"] <= t < r["deadline"]
-        done[r["class"]] += 1
-        assert all(abs(done[c] - (t + 1) * s / total) < 1 for c, s in slots.items())
-    assert done == collections.Counter(slots)
-
-
-@pytest.mark.parametrize("weights", [{"a": 0.5, "b": 0.3, "c": 0.2}, {"a": 1, "b": 1, "c": 1}, {"a": 97, "b": 2, "c": 1}, {"a": 1}])
-def test_schedule(spark, weights):
-    check_schedule(mixing.classes(spark.createDataFrame([("a",)], "source string"), "source", weights, other=0.1))
+@pytest.mark.parametrize("weights", [{"a": 0.5, "b": 0.3, "c": 0.2}, {"a": 1, "b": 1, "c": 1}, {"a": 97, "b": 2, "c": 1}, {"a": 1}, {"a": 0.1, "b": 0.2, "c": 1e-3}])
+def test_schedule(weights):
+    names = list(weights)
+    rows = [(names[k], *r) for k, *r in mixing.schedule(list(map(float, weights.values())), [400] * len(names))]
+    end = min(max(r[2] for r in rows if r[0] == s) for s in names)  # until a source has run out
+    check_shares([r for r in rows if r[2] <= end], weights)
 
 
 def test_query_keeps_rows_and_stays_within_a_block(spark):
@@ -38,15 +26,16 @@ def test_query_keeps_rows_and_stays_within_a_block(spark):
     assert (got.groupby("slot").source.nunique() == 1).all()
     for _, g in got.groupby("source"):
         assert sorted(g.block) == sorted(k // mixing.BLOCK_ROWS for k in range(len(g)))
-    listed = mixing.classes(spark.read.parquet(f"{SF01}/documents.parquet"), "source")
-    check_schedule(listed)
+    rows = {(r.source, r.block, r.slot, r.release, r.deadline) for r in got.itertuples()}
+    n = docs.source.value_counts().to_dict()
+    end = min(max(r[2] for r in rows if r[0] == s) for s in n)  # until a source has run out
+    check_shares([r for r in rows if r[2] <= end], {s: c**0.5 for s, c in n.items()})
 
 
-def test_many_sources_share_a_class(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
+def test_every_source_has_a_number(spark):
     rows = [(i, f"s{i % 10 if i % 2 else 0}") for i in range(200)]
     got = mixing.mixed(spark.createDataFrame(rows, "doc_id long, source string")).select("row.*", "class", "position").toPandas()
-    assert sorted(got.doc_id) == list(range(200)) and got.position.is_unique and got["class"].nunique() == 4
+    assert sorted(got.doc_id) == list(range(200)) and got.position.is_unique and got["class"].nunique() == got.source.nunique() == 6
 
 
 def test_order_in_files(spark, tmp_path):
@@ -68,7 +57,7 @@ def test_odd_rows_and_weights(spark):
     assert sorted(map(key, out.collect())) == sorted(map(key, odd(spark).collect())) and out.count() == len(ODD_ROWS)
     assert mixing.in_mixed_order(empty(spark)).count() == 0
     with pytest.raises(ValueError):
-        mixing.classes(odd(spark), "source", {"a": 0})
+        mixing.mixed(odd(spark), weights={"a": 0})
 
 
 def check_shares(rows, weights):
@@ -95,7 +84,6 @@ def test_given_weights_hold_over_many_cycles(spark):
 
 
 def test_every_source_has_its_windows(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 100)
     monkeypatch.setattr(mixing, "PIECE", 50)
     n = {f"s{k:03d}": 3 + k % 7 for k in range(300)}
