@@ -130,3 +130,60 @@ def test_share_of_candidates(spark):
             share.append(held.mean())
             near.append(held[np.argsort(-(unit @ asks[r]))[:21]].mean())
         assert np.mean(share) < most and np.mean(near) > 0.93
+
+
+def test_probes_do_not_depend_on_the_number_of_rows():
+    """Before, 256 cells a table among 200 vectors and 9 among 100 million."""
+    assert {cp.probes_for(n, 64) for n in (0, 1, 200, 2000, 10**8, 10**12)} == {cp.PROBES}
+    assert cp.probes_for(10, 2) == cp.n_cells(2)
+
+
+def test_probes_by_cosine_find_that_share():
+    """Fewer for nearer vectors; new pairs at the cosine are found as often as said."""
+    steps = [cp.probes_at(c, 64) for c in (0.2, 0.3, 0.4, 0.9)]
+    assert steps == sorted(steps, reverse=True) and steps[-1] == cp.PROBES < steps[0]
+    rng = np.random.default_rng(5)
+    x, y = (rng.standard_normal((300, 64)) for _ in range(2))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    cell, probe = cp.cells(0.2 * x + np.sqrt(0.96) * y), cp.probes(x, steps[0])
+    met = (probe == cell[:, :, None]).any(axis=(1, 2)).mean()
+    assert 0.85 <= met <= 0.96
+
+
+def test_more_vectors_far_off_lose_no_neighbour(spark):
+    """A query's neighbours among few vectors are the same ones when many vectors
+    join that are farther away than they. Before, the many made it probe fewer cells."""
+    rng = np.random.default_rng(6)
+    near = rng.standard_normal((200, 64))
+    near[:, 0] += 2
+    far = rng.standard_normal((8000, 64)) * 0.05
+    far[:, 0] -= 2
+    few = [(i, v.tolist()) for i, v in enumerate(near)]
+    many = few + [(1001 + i * 20, v.tolist()) for i, v in enumerate(far)]
+    got = [sorted(tuple(r) for r in cp.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect())
+           for rows in (few, many)]
+    assert len(got[0]) == 200 and got[0] == got[1]
+
+
+def test_rough_products_drop_no_near_vector():
+    """Products of large numbers that cancel out: the best are chosen by the exact score."""
+    rng = np.random.default_rng(7)
+    q = rng.standard_normal(64) * 1e8
+    v = rng.standard_normal((400, 64)) * 1e8
+    v -= ((v @ q) / (q @ q))[:, None] * q
+    ids = np.arange(400)
+    score = (v * q).sum(axis=1)
+    got, scores, at = cp._best_of(q, v, ids, 20)
+    assert got.tolist() == np.lexsort((ids, -score))[:20].tolist() and (scores == score[got]).all() and (at == got).all()
+
+
+def test_wide_probes_bound_a_block_of_queries(spark, monkeypatch):
+    """Blocks of queries are cut by the bytes of their probes too."""
+    monkeypatch.setattr(cp, "ASK_BYTES", 1 << 14)
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, rng.standard_normal(16).tolist()) for i in range(120)], "vec_id long, embedding array<double>")
+    some = sorted(tuple(r) for r in cp.nearest(df, F.col("vec_id") % 20 == 0).collect())
+    monkeypatch.undo()
+    assert some == sorted(tuple(r) for r in cp.nearest(df, F.col("vec_id") % 20 == 0).collect())
