@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.session import ship_package
-from layerkit.sources.csv_lines import BLOCK, FILE, LINE, OPEN
+from layerkit.sources.csv_lines import BLOCK, FILE, LINE, OPEN, read_tasks
 
 _INSIDE = re.compile(r'(?:[^"]++|"")*+')
 _LEFT_OPEN = re.compile(r'(?:(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+|),)*+"(?:[^"]++|"")*+\Z')
@@ -182,11 +182,14 @@ def read_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     fields, and whether it is a record that is never closed (its first line).
 
     ``path`` goes to Spark's own reader as it is. The text is read twice, and a
-    third time if records go over the ends of splits. One small row per split
-    reaches the driver."""
+    third time if records go over the ends of splits, small splits several by one
+    task. One small row per split reaches the driver."""
     ship_package(spark)
     text = spark.read.option("lineSep", "\n").text(path if isinstance(path, str) else list(path))
     raw = text.select(F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK), "value")
+    planned = text.rdd.getNumPartitions()
+    tasks = read_tasks(spark, planned)
+    raw = raw.coalesce(tasks) if tasks < planned else raw
     states, over = split_states(raw.mapInArrow(_sum_up, SPLIT_SUM).collect())
     shared = spark.sparkContext.broadcast(states)
     whole = raw.mapInArrow(lambda b: _cut(b, shared.value, False), PIECES).select(FILE, LINE, "value", OPEN)

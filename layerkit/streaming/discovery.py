@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerkit.operators.stamp import BATCH_ID, stamp
+from layerkit.session import least_tasks, listed_in_few_tasks
 from layerkit.sources.csv_lines import FILE, LINE, OUTCOME, literal_path, parse_csv_outcomes, read_lines
 from layerkit.sources.csv_records import read_records
 
@@ -74,12 +75,11 @@ def ingest_new_files(
               .option("pathGlobFilter", path_glob))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    files = reader.load(source_dir).select("path")
     read = read_records if quoted_breaks else read_lines
     epochs: list[int] = []
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        names = sorted(r.path for r in batch.distinct().collect())  # bounded per trigger
+        names = sorted(r.path for r in batch.coalesce(least_tasks(spark)).distinct().collect())  # bounded per trigger
         if not names:
             return
         paths = [literal_path(n) for n in names]
@@ -92,9 +92,10 @@ def ingest_new_files(
              .partitionBy(BATCH_ID, OUTCOME).parquet(path))
         epochs.append(epoch_id)
 
-    q = (files.writeStream.foreachBatch(per_batch)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
+    with listed_in_few_tasks(spark):
+        q = (reader.load(source_dir).select("path").writeStream.foreachBatch(per_batch)
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True)
+             .start())
+        q.awaitTermination()
     return len(epochs)

@@ -143,3 +143,24 @@ def test_long_quoted_fields(spark):
     lines = spark.createDataFrame([("f", 1, HEADER), ("f", 2, f'S1,2026-09-07,"{text}""q"",",PRESENT')], "_source_file string, _line long, value string")
     good, rejects = parse_csv_lines(lines, SCHEMA)
     assert rejects.count() == 0 and good.first().module_code == text + '"q",'
+
+
+def test_small_splits_are_read_several_by_one_task(spark):
+    """One task for each split before, each with some KB for the driver."""
+    from layerkit.session import least_tasks
+    from layerkit.sources.csv_lines import read_lines, read_tasks
+    from layerkit.sources.csv_records import read_records
+
+    d = tempfile.mkdtemp(prefix="splits-")
+    for f in range(3):
+        _write(d, f"f{f}.csv", [f"file {f} line {i}" for i in range(1, 3001)])
+    small = spark.newSession()
+    small.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    assert small.read.text(d).rdd.getNumPartitions() > 100 > 3 * least_tasks(spark)
+    for read in (read_lines, read_records):
+        rows = read(small, d)
+        assert rows.rdd.getNumPartitions() <= least_tasks(spark)
+        assert rows.count() == 9000
+        assert rows.where("value != concat('file ', regexp_extract(_source_file, 'f([0-9])\\\\.csv', 1), ' line ', _line)").isEmpty()
+    # Splits of Spark's usual size keep a task each.
+    assert read_tasks(spark, 10**6) == 10**6 and read_tasks(small, 10**6) == max(least_tasks(spark), 8)

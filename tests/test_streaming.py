@@ -37,3 +37,22 @@ def test_odd_file_names_are_loaded_once_each(spark):
     ingest_new_files(spark, land, one, table, ckpt, "run1", AT)
     assert sorted(r.h for r in good_rows(spark, table, one).collect()) == ["1", "2", "3", "4", "5"]
     assert ingest_new_files(spark, land, one, table, ckpt, "run2", AT) == 0
+
+
+def test_many_small_splits_and_files_take_few_tasks(spark):
+    """A task for each split and for each path listed before."""
+    from layerkit.session import LISTING_CONF, least_tasks, listed_in_few_tasks
+
+    land = tempfile.mkdtemp(prefix="landing-")
+    for f in range(40):
+        _write(land, f"f{f:02d}.csv", [HEADER, *[f"S{f}-{i},2026-09-07,DE101,PRESENT" for i in range(200)]])
+    small = spark.newSession()
+    small.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    usual = small.conf.get(LISTING_CONF)
+    table, ckpt = (scratch_path(spark, n) for n in ("table", "ckpt"))
+    ingest_new_files(small, land, SCHEMA, table, ckpt, "run1", AT)
+    assert good_rows(spark, table, SCHEMA).select("student_id").distinct().count() == 8000
+    assert len(spark.read.parquet(table).inputFiles()) <= least_tasks(spark)
+    assert small.conf.get(LISTING_CONF) == usual
+    with listed_in_few_tasks(small):
+        assert small.conf.get(LISTING_CONF) == str(least_tasks(spark))
