@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from layerkit.functions._util import as_col
 from layerkit.functions.text import contains_any, hits, overlaps, phrase_hits, token_set
 from layerkit.operators.incremental import path_exists
-from layerkit.session import free_name, ship_package
+from layerkit.session import batches_within, free_name, ship_package
 
 # The keyword classifier's word lists, phrases and labels.
 POSITIVE_WORDS = (
@@ -134,6 +134,9 @@ def pandas_classifier(fn: Callable[[list[str]], list[str | None]]) -> Callable[[
     return lambda c: udf(c)
 
 
+#: Rows and bytes of the texts of one call of a provider, about: a Python worker
+#: holds a batch several times over, as Arrow, as text and as the call's list.
+CALL_ROWS, CALL_BYTES = 1000, 1 << 22
 LABEL_TABLE = "digest string, provider string, label string"
 
 
@@ -144,7 +147,8 @@ def provider_labels(df: DataFrame, text: str, fn: Callable[[list[str]], list[str
 
     The label table at ``path`` holds what the provider has said, by the digest of
     the (redacted) text and the provider's name and version. Texts that it lacks
-    are sent, each once however many rows hold it, in Arrow batches; texts whose
+    are sent, each once however many rows hold it, in Arrow batches of at most about
+    ``CALL_ROWS`` texts and ``CALL_BYTES``, however long the texts are; texts whose
     own call fails get the fallback's label and are sent again by the next run, as
     no failure is kept. A null text isn't sent and has the fallback's label."""
     spark = df.sparkSession
@@ -158,7 +162,8 @@ def provider_labels(df: DataFrame, text: str, fn: Callable[[list[str]], list[str
     asked = texts.join(known, "digest", "left_anti").withColumn("label", pandas_classifier(fn)(F.col("text")))
     # A filter on the label would be run before its column is made, and so call twice.
     said = asked.select(F.explode(F.array_compact(F.array(F.when(F.col("label").isNotNull(), F.struct("digest", F.lit(provider).alias("provider"), "label"))))).alias("r"))
-    said.select("r.*").write.mode("append").parquet(path)
+    with batches_within(spark, CALL_ROWS, CALL_BYTES):
+        said.select("r.*").write.mode("append").parquet(path)
     known = spark.read.schema(LABEL_TABLE).parquet(path).where(F.col("provider") == provider).groupBy(F.col("digest").alias(digest)).agg(F.first("label").alias("__label"))
     got = rows.join(known, digest, "left")
     return label_with_fallback(got, text, lambda _: F.col("__label"), fallback, provider, fallback_id).drop(digest, "__label")

@@ -108,3 +108,21 @@ def test_provider_is_asked_once_for_each_text(spark):
     assert {r.id for r in provider_labels(more, "said", lambda t: ["negative"] * len(t), "p-1", path).where("label = 'negative' and label_source = 'p-1'").collect()} == {1, 3, 9}
     assert provider_labels(df, "said", refuses, "p-2", path).where("needs_review").count() == 6
     assert provider_labels(df.limit(0), "said", refuses, "p-2", path).count() == 0
+
+
+def test_a_call_of_the_provider_is_bounded_in_rows_and_bytes(spark):
+    """All 2,500 texts of a task went into one call before, however long."""
+    from layerkit.operators.enrich import CALL_BYTES, CALL_ROWS
+    from layerkit.session import BATCH_BYTES_CONF, BATCH_ROWS_CONF
+
+    def says(texts):
+        return [f"{len(texts)},{sum(map(len, texts))}"] * len(texts)
+
+    usual = [spark.conf.get(c) for c in (BATCH_ROWS_CONF, BATCH_BYTES_CONF)]
+    for n, size in ((2500, 40), (120, 200_000)):
+        df = spark.range(n).select("id", F.rpad(F.col("id").cast("string"), size, " x").alias("text")).coalesce(1)
+        out = provider_labels(df, "text", says, "v1", scratch_path(spark, "calls")).collect()
+        calls = {tuple(map(int, r["label"].split(","))) for r in out}
+        assert len(out) == n and {r["label_source"] for r in out} == {"v1"}
+        assert max(rows for rows, _ in calls) <= CALL_ROWS and max(total for _, total in calls) <= CALL_BYTES + size
+    assert [spark.conf.get(c) for c in (BATCH_ROWS_CONF, BATCH_BYTES_CONF)] == usual
