@@ -133,7 +133,7 @@ def test_share_of_candidates(spark):
 
 
 def test_probes_do_not_depend_on_the_number_of_rows():
-    """Before, 256 cells a table among 200 vectors and 9 among 100 million."""
+    """Before, 257 cells a table among 200 vectors and 10 among 100 million."""
     assert {cp.probes_for(n, 64) for n in (0, 1, 200, 2000, 10**8, 10**12)} == {cp.PROBES}
     assert cp.probes_for(10, 2) == cp.n_cells(2)
 
