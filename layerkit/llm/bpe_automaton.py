@@ -44,8 +44,9 @@ from layerkit.llm.words import slices
 
 #: Fixed value: the public pre-splitting pattern of this kind of byte-level BPE.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: What a worker keeps of its work, some 100 to 200 bytes each.
 WORDS_KEPT = 400_000
-ARCS_KEPT = 2_000_000
+ARCS_KEPT = 400_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -127,15 +128,20 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class _Kept(dict):
-    """Encoded words by text; starts anew when full."""
+    """Encoded words by text: at most ``WORDS_KEPT``, half of them as ``older``,
+    which go when the newer half is full, but for those met again meanwhile."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = _packed(self.encode(word.encode("utf-8", "surrogatepass")))
-        if len(self) >= WORDS_KEPT:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = _packed(self.encode(word.encode("utf-8", "surrogatepass")))
+        if len(self) >= WORDS_KEPT // 2:
+            self.older = dict(self)
             self.clear()
         if len(word) <= 64:
             self[word] = ids

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from layerkit.llm.components import components
 from layerkit.llm.tables import free_name, read_table, ship, stored
 from layerkit.llm.words import mix, slices, split_words, windows, word_hashes
+from layerkit.session import TEXT_BATCH, batches_within
 
 BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
@@ -194,16 +195,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row:
     documents whose shingle sets have ``100 * intersection >= percent * union``
     are linked, and ``component_id`` is the smallest id reachable."""
-    ship(docs.sparkSession)
-    signed = stored(signatures(docs, id_col, text, size), "signatures")
-    known = signed.where("set_key is not null and doc_id is not null")
-    classes = known.groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    nodes = known.join(classes.withColumnRenamed("node", "doc_id"), ["set_key", "doc_id"])
-    nodes = nodes.dropDuplicates(["doc_id", "set_key"]).select(F.col("doc_id").alias("node"), "minima", "bands")
-    cells = _cells(docs, nodes, _clusters(nodes), id_col, text, size)
-    agree = least_agreement(percent)
-    links = cells.groupBy("cluster", "low", "high").applyInArrow(lambda t: _confirm(t, percent, agree), "a bigint, b bigint")
-    joined = components(links, "a", "b")
+    spark = docs.sparkSession
+    ship(spark)
+    with batches_within(spark, *TEXT_BATCH):  # all of the work in Python is done inside
+        signed = stored(signatures(docs, id_col, text, size), "signatures")
+        known = signed.where("set_key is not null and doc_id is not null")
+        classes = known.groupBy("set_key").agg(F.min("doc_id").alias("node"))
+        nodes = known.join(classes.withColumnRenamed("node", "doc_id"), ["set_key", "doc_id"])
+        nodes = nodes.dropDuplicates(["doc_id", "set_key"]).select(F.col("doc_id").alias("node"), "minima", "bands")
+        cells = _cells(docs, nodes, _clusters(nodes), id_col, text, size)
+        agree = least_agreement(percent)
+        links = cells.groupBy("cluster", "low", "high").applyInArrow(lambda t: _confirm(t, percent, agree), "a bigint, b bigint")
+        joined = components(links, "a", "b")
     found = classes.join(joined, "node", "left").select("set_key", F.coalesce("root", "node").alias("component"))
     out = signed.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

@@ -96,3 +96,15 @@ def test_odd_rows_round_trip(spark):
     assert ba.encode(empty(spark), ba.tokenizer_path(), ["doc_id"]).count() == 0
     null_ids = spark.createDataFrame([(1, None)], "doc_id long, token_ids binary")
     assert ba.decode(null_ids, ba.tokenizer_path(), ["doc_id"]).collect()[0]["text"] == ""
+
+
+def test_words_kept_are_bounded_and_frequent_ones_stay(coder, library, monkeypatch):
+    monkeypatch.setattr(ba, "WORDS_KEPT", 20)
+    asked = []
+    mine = ba.Coder(coder.automaton)
+    plain = mine.words.encode
+    mine.words.encode = lambda w: asked.append(w) or plain(w)
+    for k in range(200):
+        same(mine, library, f" often w{k} x{k}")
+        assert len(mine.words) + len(mine.words.older) <= 20
+    assert asked.count(b" often") == 1

@@ -1,6 +1,7 @@
 import random
 
 from layerkit.llm import near_dedup
+from layerkit.session import BATCH_BYTES_CONF, TEXT_BATCH
 from layerkit.llm.components import components
 
 from .small import DOCUMENTS, ODD_ROWS, SF001, duplicate_components, empty, odd, shingles
@@ -69,3 +70,20 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     assert near_dedup.near_duplicates(empty(spark)).count() == 0
     assert near_dedup.keep_one(empty(spark)).schema == spark.createDataFrame([], DOCUMENTS).schema
+
+
+def test_workers_get_small_batches(spark, monkeypatch):
+    """However many rows a task has; the session's own limits come back."""
+    docs = spark.range(0, 4000, 1, 1).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(1, 150), i -> hex(xxhash64(id, i)))) as text")
+    plain, before = near_dedup._signature_batches, spark.conf.get(BATCH_BYTES_CONF)
+
+    def watched(batches, size):
+        def small(b):
+            assert b.nbytes < 2 * TEXT_BATCH[1], b.nbytes
+            return b
+
+        return plain(map(small, batches), size)
+
+    monkeypatch.setattr(near_dedup, "_signature_batches", watched)
+    assert near_dedup.near_duplicates(docs).where("kept").count() == 4000
+    assert spark.conf.get(BATCH_BYTES_CONF) == before

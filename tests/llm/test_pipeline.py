@@ -1,11 +1,13 @@
 import importlib
 import sys
 
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as E
 import corpus_pipeline
 from layerkit.llm import bpe_automaton, cotraining, mixing, registry
+from layerkit.session import BATCH_BYTES_CONF, BATCH_ROWS_CONF, TEXT_BATCH
 
 from .small import DOCUMENTS, SF001, SF01, WORD, duplicate_components, labels, odd
 from .test_secret_ledger import base
@@ -93,3 +95,23 @@ def test_the_mixture_reaches_the_last_stage(spark, tmp_path):
     got = corpus_pipeline.tokens(spark, spark.read.parquet(path), SF001).select("doc_id", "position").collect()
     assert [r["doc_id"] for r in sorted(got, key=lambda r: r["position"])] == sorted(mixed, key=mixed.get)
     assert sorted(r["position"] for r in got) == list(range(len(mixed)))
+
+
+@pytest.mark.parametrize("at", [0, 4])
+def test_stages_bound_the_batches_of_what_they_return(spark, tmp_path, at):
+    before = {k: spark.conf.get(k) for k in (BATCH_ROWS_CONF, BATCH_BYTES_CONF)}
+    labels(spark, [(1, 1, 0)]).write.parquet(str(tmp_path / "labels.parquet"))
+    try:
+        spark.conf.set(BATCH_BYTES_CONF, "64m")
+        odd(spark).write.parquet(str(tmp_path / "docs"))
+        corpus_pipeline.STAGES[at][1](spark, spark.read.parquet(str(tmp_path / "docs")), str(tmp_path))
+
+        def sizes(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+        text = spark.range(0, 4000, 1, 1).selectExpr("repeat(hex(id), 1000) as text")
+        assert text.mapInArrow(sizes, "n long").selectExpr("max(n)").first()[0] < 2 * TEXT_BATCH[1]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
